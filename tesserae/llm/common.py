@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -87,5 +89,15 @@ def running_totals(df: DataFrame, order: list[str], sums: dict[str, Column], wit
     return out.select(*df.columns, *[(F.col(f"_l_{k}") + F.col(f"_b_{k}")).cast("long").alias(k) for k in sums])
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that `column`, a string or binary, holds about `size` bytes in each; rows stay whole."""
+    for batch in batches:
+        start, held = 0, 0
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        if not len(lengths):
+            continue
+        ends = np.cumsum(lengths)
+        while start < len(ends):
+            stop = max(start + 1, int(np.searchsorted(ends, held + size, side="right")))
+            yield batch.slice(start, stop - start)
+            held, start = int(ends[stop - 1]), stop

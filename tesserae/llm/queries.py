@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import mixing, packing, quality_cascade, simhash, token_files, winnowing
 from .common import documents
 
 
@@ -14,13 +14,29 @@ def _byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compared(documents(spark, sf_dir), gram=5, window=4)
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_output(documents(spark, sf_dir), _byte_bpe(), end_id=2)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, budget=3)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), _byte_bpe(), end_id=1, window=2048)
 
 
-QUERIES = {"op3_token_output": op3_token_output, "op7_packing": op7_packing}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cascade.quality_report(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op2_fingerprints, op3_token_output, op4_simhash, op6_mixing, op7_packing, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
