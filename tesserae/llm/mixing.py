@@ -124,5 +124,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     share = C("taken") / C("size")
     luck = F.pmod(F.xxhash64(F.lit("mixed"), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     times = taken.filter(C("size") > 0).groupBy(C("doc_id").alias("_doc")).agg(F.max(F.floor(share + luck)).cast("int").alias("_times"))
-    out = docs.join(times, C("doc_id").eqNullSafe(C("_doc"))).filter(C("_times") > 0)
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), C("_times")))).select(*docs.columns)
+    held = docs.select(C("doc_id").alias("_id"), F.struct(*docs.columns).alias("_held"))
+    out = held.join(times, C("_id").eqNullSafe(C("_doc"))).filter(C("_times") > 0)
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), C("_times")))).select("_held.*")

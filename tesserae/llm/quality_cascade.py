@@ -123,7 +123,7 @@ def cascade(docs: DataFrame, rules: list[Rule], always: tuple[str, ...] = (), te
     kept aside, and a feature takes their place only if it is in `always`.
     """
     known = features(text)
-    aside = {c: _private(c) for c in docs.columns if c in known and c != text}
+    aside = {c: _private(c) for c in docs.columns if c in (*known, "rejected_by") and c != text}
     out = docs.withColumnsRenamed(aside).withColumn("rejected_by", F.lit(None).cast("string"))
     have: set[str] = set()
 
@@ -181,10 +181,11 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that no rule rejects, with the columns of docs.
+    """The rows of docs that no rule rejects, with the columns of docs; a null or empty text is rejected.
 
     The filter reads a column that is not deterministic: Catalyst would otherwise push the verdict
     down to the scan and there compute each array anew inside the functions over it.
     """
-    judged = cascade(docs, ordered(docs, base_rules() + own_rules())).withColumn("_row", F.monotonically_increasing_id())
-    return judged.filter(C("rejected_by").isNull() & (C("_row") >= 0)).select(*docs.columns)
+    held = docs.select("text", F.struct(*docs.columns).alias("_held"))
+    judged = cascade(held, ordered(held, base_rules() + own_rules())).withColumn("_number", F.monotonically_increasing_id())
+    return judged.filter(C("rejected_by").isNull() & (C("_number") >= 0)).select("_held.*")

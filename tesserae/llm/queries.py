@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_cascade, simhash, token_files, winnowing
+from . import mixing, packing, quality_cascade, simhash, suffix_dedup, token_files, winnowing
 from .common import documents
 
 
@@ -34,9 +34,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), _byte_bpe(), end_id=1, window=2048)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(documents(spark, sf_dir), width=50)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.quality_report(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_fingerprints, op3_token_output, op4_simhash, op6_mixing, op7_packing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_fingerprints, op3_token_output, op4_simhash, op6_mixing, op7_packing, op9_suffix_dedup, op10_quality_rules)}
 ORACLES: dict[str, str] = {}

@@ -278,3 +278,54 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, blocks:
     by_print = named.join(roots, C("root") == C("_root")).select(C("fp").alias("_fp"), "component_id")
     out = prints.join(by_print, C("fp") == C("_fp"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _likeness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the Jaccard similarity of the shingles of text and lead, `words` words each, to rows."""
+    for batch in batches:
+        found, lead, last = [], None, None
+        for n, text, other in zip(*(batch.column(c).to_pylist() for c in ("words", "text", "lead_text")), strict=True):
+            if lead is None or other != last:
+                last, lead = other, shingles(other, n)
+            own = shingles(text, n)
+            both = len(own & lead)
+            found.append(both / (len(own) + len(lead) - both) if own or lead else 1.0)
+        yield pa.RecordBatch.from_arrays([batch.column("group"), batch.column("doc_id"), pa.array(found, pa.float64())], names=["group", "doc_id", "likeness"])
+
+
+def shingles(text: str | None, n: int) -> set[bytes]:
+    """The set of a text's shingles of n lower-cased (A-Z) words; fewer words are one shingle."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return set(map(b" ".join, zip(*(w[i:] for i in range(n))))) if len(w) >= n else {b" ".join(w)} if w else set()
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, budget: int = 8, blocks: int = 10, words: int = 5, least: float = 0.8) -> DataFrame:
+    """docs without near duplicates: columns as they are.
+
+    Candidate groups are components of fingerprints within `budget` bits. In each the smallest doc_id leads; documents whose
+    `words`-word shingles are at least `least` alike (Jaccard) go, the leader stays, and what
+    remains of the group goes round again under its next leader, until each group is decided.
+    So every document that goes is truly like one that stays. Rows with one doc_id stay or go together.
+    """
+    found = near_duplicates(docs, shingle, budget, blocks)
+    groups = written(found.select("doc_id", C("component_id").alias("group")).distinct())
+    large = groups.groupBy("group").agg(F.count("*").alias("_n")).filter(C("_n") > 1).withColumnRenamed("group", "_g")
+    members = groups.join(large, C("group") == C("_g")).select("group", C("doc_id").alias("_id"))
+    texts = docs.select(C("doc_id").cast("long").alias("doc_id"), C("text").cast("string").alias("text"))
+    left = written(texts.join(members, C("doc_id") == C("_id")).select("group", "doc_id", "text"))
+    gone = None
+    while True:
+        lead = left.groupBy(C("group").alias("_g")).agg(F.min(F.struct("doc_id", "text")).alias("_lead"))
+        pairs = left.join(lead, (C("group") == C("_g")) & (C("doc_id") != C("_lead.doc_id")))
+        pairs = pairs.select("group", "doc_id", "text", C("_lead.text").alias("lead_text"), F.lit(words).alias("words"))
+        judged = written(pairs.mapInArrow(_likeness, "group long, doc_id long, likeness double"))
+        if judged.isEmpty():
+            break
+        now = judged.filter(C("likeness") >= least).select("doc_id").distinct()
+        gone = now if gone is None else gone.union(now)
+        rest = judged.filter(C("likeness") < least).select(C("doc_id").alias("_id")).distinct()
+        left = written(left.join(rest, C("doc_id") == C("_id"), "left_semi"))
+    if gone is None:
+        return docs
+    held = docs.select(C("doc_id").cast("long").alias("_id"), F.struct(*docs.columns).alias("_held"))
+    return held.join(gone.withColumnRenamed("doc_id", "_gone"), C("_id") == C("_gone"), "left_anti").select("_held.*")
