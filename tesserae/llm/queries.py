@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_cascade, simhash, suffix_dedup, token_files, winnowing
+from . import license_scan, mixing, ngram_trie, packing, quality_cascade, quality_fm, simhash, suffix_dedup, token_files, winnowing
 from .common import documents
 
 
@@ -14,6 +14,10 @@ def _byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(license_scan.as_tree(documents(spark, sf_dir)))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compared(documents(spark, sf_dir), gram=5, window=4)
 
@@ -26,6 +30,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, budget=3)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.scored(documents(spark, sf_dir))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -34,6 +42,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), _byte_bpe(), end_id=1, window=2048)
 
 
+def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.classified(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(documents(spark, sf_dir), width=50)
 
@@ -42,5 +54,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.quality_report(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_fingerprints, op3_token_output, op4_simhash, op6_mixing, op7_packing, op9_suffix_dedup, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_license_scan, op2_fingerprints, op3_token_output, op4_simhash, op5_lm_scoring,
+        op6_mixing, op7_packing, op8_quality_fm, op9_suffix_dedup, op10_quality_rules,
+    )
+}
 ORACLES: dict[str, str] = {}
