@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import slices, written
 from .tokenizing import encoder
 
 
@@ -110,13 +110,16 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to, part = encoder(tokenizer), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
         seen: dict[int, int] = {}
-        for batch in batches:
+        for batch in slices(batches):
             out = {c: [] for c in ("part", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "full", "k")}
-            for name, raw in zip(batch.column("doc_id").to_pylist(), to.encode(batch.column("text").to_pylist()), strict=True):
-                ids = memoryview(to.ids(raw).tobytes() + end)
-                total = len(ids) // 4
+            flat, sizes = to.column(batch.column("text"))
+            stops = np.cumsum(sizes)
+            raw = memoryview(np.insert(flat.astype("<u4"), stops, end).tobytes())
+            stops += np.arange(1, len(stops) + 1)
+            for name, total, stop in zip(batch.column("doc_id").to_pylist(), (sizes + 1).tolist(), stops.tolist(), strict=True):
+                ids = raw[4 * (stop - total) : 4 * stop]
                 for start in range(0, total, window):
                     length = min(window, total - start)
                     k = seen.get(length, 0)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 class ChunkEncoder:
     """Encodes texts with the `tokenizers` library, remembering chunks between single spaces.
@@ -16,7 +19,7 @@ class ChunkEncoder:
     the ids never depend on it.
     """
 
-    def __init__(self, path: str, limit: int = 1_200_000, special_as_text: bool = False):
+    def __init__(self, path: str, limit: int = 1_000_000, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -34,8 +37,8 @@ class ChunkEncoder:
     def _learn(self, missing: Iterable[str]) -> None:
         """Encodes new chunks in long runs; a token that begins with a space begins a chunk."""
         new = list(missing)
-        for k in range(0, len(new), 4_000):
-            some = new[k : k + 4_000]
+        for k in range(0, len(new), 200):
+            some = new[k : k + 200]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, dtype=self.kind)
             at = np.flatnonzero(self.spaced[ids])
             if len(at) != len(some):  # a special token in the text took a space with it
@@ -45,38 +48,44 @@ class ChunkEncoder:
             ends = [*(at[1:] * w).tolist(), len(ids) * w]
             self.chunks.update(zip(some, (raw[i:j] for i, j in zip((at * w).tolist(), ends, strict=True)), strict=True))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text, each in `width` little-endian bytes; a null text has none."""
-        out: list[bytes] = [b""] * len(texts)
-        whole: list[int] = []
-        cut: list[tuple[int, list[str]]] = []
-        heads: list[str] = []
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each text); a null text has none."""
+        texts = pc.fill_null(texts, "")
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        n = len(texts)
+        if not n:
+            return np.zeros(0, self.kind), np.zeros(0, np.int64)
+        cut = pc.split_pattern(texts, " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        bounds, heads = bounds - bounds[0], cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
+        pieces = cut.flatten().dictionary_encode()
+        at, names = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
+        first = [names[i] for i in at[heads].tolist()]
         if len(self.chunks) > self.limit:
             self.chunks = {}
-        have, missing = self.chunks, set()
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            head, *rest = text.split(" ")
-            new = set(rest).difference(have)
-            # such chunks are never kept, so every text that has one comes through here
-            if not head or head[-1].isspace() or any(not x or x[0].isspace() or x[-1].isspace() for x in new):
-                whole.append(i)
-                continue
-            missing |= new
-            heads.append(head)
-            cut.append((i, rest))
-        self._learn(missing)
-        get = self.chunks.__getitem__
-        for (i, rest), first in zip(cut, self._plain(heads), strict=True):
-            out[i] = b"".join([first, *map(get, rest)])
-        for i, ids in zip(whole, self._plain([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        return out
-
-    def ids(self, raw: bytes) -> np.ndarray:
-        """What encode() gives for a text, as unsigned 32-bit integers."""
-        return np.frombuffer(raw, dtype=self.kind).astype("<u4")
+        odd = np.array([not x or x[0].isspace() or x[-1].isspace() for x in names])
+        beside = odd[at]
+        beside[heads] = False
+        whole = np.logical_or.reduceat(beside, heads)
+        whole |= np.array([not x or x[-1].isspace() for x in first])
+        self._learn(x for x, o in zip(names, odd.tolist(), strict=True) if not o and x not in self.chunks)
+        own = self._plain([x if not w else texts[i].as_py() for i, (x, w) in enumerate(zip(first, whole.tolist(), strict=True))])
+        raw = [*map(self.chunks.get, names, repeat(b"")), *own]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // self.kind.itemsize
+        starts = np.cumsum(sizes) - sizes
+        at[heads] = len(names) + np.arange(n)
+        long = sizes[at]
+        drop = np.repeat(whole, np.diff(bounds))
+        drop[heads] = False
+        long[drop] = 0
+        ends = np.cumsum(long)
+        flat = np.frombuffer(b"".join(raw), self.kind)[np.repeat(starts[at] - (ends - long), long) + np.arange(ends[-1])]
+        return flat, np.diff(np.concatenate([[0], ends])[bounds])
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        flat, sizes = self.column(pa.array(texts, pa.string()))
+        return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
