@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import parts, shared_dir
+from .common import parts, shared_dir, slices
 from .tokenizing import encoder
 
 # The sixteen selectors of Simple-8b, ids in a word and bits of each.
@@ -36,23 +36,27 @@ HEAD = struct.Struct("<4sIQQQ")
 ESCAPE = np.uint64(1) << np.uint64(60)
 
 
+_SHORT = np.concatenate([[0], np.floor(np.log2(np.arange(1, 1 << 16))) + 1]).astype(np.uint8)
+
+
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits that each id needs."""
+    if ids.dtype == np.uint16 or (len(ids) and ids.max() < 1 << 16):
+        return _SHORT[ids]
     out = np.zeros(len(ids), np.uint8)
-    rest = ids.copy()
-    for step in (32, 16, 8, 4, 2, 1) if len(ids) and ids.max() >= 1 << 16 else (8, 4, 2, 1):
+    rest = ids.astype(np.uint64)
+    for step in (48, 32, 16):
         high = rest >= (np.uint64(1) << np.uint64(step))
-        out += high.astype(np.uint8) * np.uint8(step)
-        rest = np.where(high, rest >> np.uint64(step), rest)
-    return out + (rest > 0)
+        out[high] += np.uint8(16)
+        rest[high] >>= np.uint64(16)
+    return out + _SHORT[rest]
 
 
 def encode(ids: np.ndarray, block: int = 512) -> bytes:
     """ids (unsigned) as one payload."""
-    ids = np.ascontiguousarray(ids, dtype=np.uint64)
     n = len(ids)
-    places = np.flatnonzero(ids >= ESCAPE)
-    escaped = ids[places]
+    places = np.flatnonzero(ids >= ESCAPE) if ids.dtype.itemsize == 8 else np.zeros(0, np.int64)
+    escaped = ids[places].astype(np.uint64)
     if len(places):
         ids = ids.copy()
         ids[places] = 0
@@ -95,18 +99,18 @@ def encode(ids: np.ndarray, block: int = 512) -> bytes:
     offsets = np.zeros(blocks + 1, np.uint32)
     if blocks:
         np.cumsum(np.bincount(starts // block, minlength=blocks), out=offsets[1:])
-    padded = np.concatenate([ids, np.zeros(block + 240, np.uint64)])
+    padded = np.concatenate([ids, np.zeros(240, ids.dtype)])
     chosen = pick.reshape(-1)[starts]
-    stop = np.minimum((starts // block + 1) * block, n)
+    room = np.minimum((starts // block + 1) * block, n) - starts
     for s in np.unique(chosen):
         own = np.flatnonzero(chosen == s)
         c, b = int(COUNTS[s]), int(BITS[s])
         word = np.full(len(own), np.uint64(int(s) << 60))
         if b:
-            first, last = starts[own], stop[own]
+            first, over = starts[own], np.flatnonzero(room[own] < c)
             for j in range(c):
-                value = padded[first + j]
-                value[first + j >= last] = 0
+                value = padded[first + j].astype(np.uint64)
+                value[over[room[own[over]] <= j]] = 0
                 word |= value << np.uint64(b * j)
         words[own] = word
     return HEAD.pack(MAGIC, block, n, len(words), len(places)) + offsets.tobytes() + words.tobytes() + places.astype("<u8").tobytes() + escaped.tobytes()
@@ -134,10 +138,12 @@ def decode(payload: bytes) -> np.ndarray:
         if not b:
             continue
         own = np.flatnonzero(selector == s)
-        mask = np.uint64((1 << b) - 1)
+        mask, at, word = np.uint64((1 << b) - 1), first[own], words[own]
+        over = np.flatnonzero(at + c > stop[own])
         for j in range(c):
-            inside = own if j == 0 else own[first[own] + j < stop[own]]
-            out[first[inside] + j] = (words[inside] >> np.uint64(b * j)) & mask
+            put = at + j
+            put[over[put[over] >= stop[own[over]]]] = n  # past the block's end
+            out[put] = (word >> np.uint64(b * j)) & mask
     out = out[:n]
     out[places.astype(np.int64)] = escaped
     return out
@@ -146,7 +152,7 @@ def decode(payload: bytes) -> np.ndarray:
 SEGMENTS = "shard int, segment long, before long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment_ids: int = 1 << 17, special_as_text: bool = False) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment_ids: int = 1 << 19, special_as_text: bool = False) -> None:
     """Tokenise `text` of docs (doc_id, text) and write its ids, in ascending doc_id order.
 
     Null texts are empty: their documents have the end id alone. Rows that share a doc_id
@@ -156,24 +162,26 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment_ids:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to = encoder(tokenizer, special_as_text)
-        end = np.array([end_id], to.kind).tobytes()
         shard, segment, before = TaskContext.get().partitionId(), 0, 0
         names, texts, size = [], [], 0
+        end = np.array([end_id], to.kind)
 
         def flush() -> pa.RecordBatch:
             nonlocal segment, before
-            found = b"".join(texts)
-            ids = np.frombuffer(found, to.kind)
-            lengths = [len(x) // to.kind.itemsize for x in texts]
+            ids, lengths = np.concatenate(texts), [len(x) for x in texts]
             row = {"shard": [shard], "segment": [segment], "before": [before], "n_ids": [len(ids)], "doc_ids": [list(names)], "lengths": [lengths], "payload": [encode(ids)]}
             segment, before = segment + 1, before + len(ids)
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("shard", pa.int32()), ("segment", pa.int64()), ("before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())]))
 
-        for batch in batches:
-            for name, raw in zip(batch.column("doc_id").to_pylist(), to.encode(batch.column("text").to_pylist()), strict=True):
+        for batch in slices(batches):
+            flat, sizes = to.column(batch.column("text"))
+            stops = np.cumsum(sizes)
+            flat = np.insert(flat, stops, end)
+            stops += np.arange(1, len(stops) + 1)
+            for name, i, j in zip(batch.column("doc_id").to_pylist(), (stops - sizes - 1).tolist(), stops.tolist(), strict=True):
                 names.append(name)
-                texts.append(raw + end)
-                size += len(raw) // to.kind.itemsize + 1
+                texts.append(flat[i:j])
+                size += j - i
                 if size >= segment_ids:
                     yield flush()
                     names, texts, size = [], [], 0
