@@ -1,0 +1,142 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tesserae.functions import plural, similarity
+from tesserae.functions import text as T
+from tesserae.operators import checks, registry, relational, rewrite, stats, verify
+
+C = F.col
+
+# (class, source, target, locale, finding)
+CASES = [
+    ("placeholder", "%s of %d", "%d of %s", "fr", False), ("placeholder", "%1$s", "%s", "fr", False), ("placeholder", "0x%04X", "0x% 4X", "fr", True),
+    ("leak", "%d%%", "%d%%-ot", "hu", False), ("leak", "%s x", "%sZ x", "fr", True),
+    ("tags", "<b>a</b>", "<b>a", "fr", True), ("tags", "<priority>", "<priorité>", "fr", False),
+    ("tokens", "[ZONE]", "[ZONA]", "es", True), ("identifiers", "use user_name", "use user name", "fr", True),
+    ("trailing", "a ", "b", "fr", True), ("boilerplate", "Quote", "citationstegn", "da", False), ("boilerplate", "x", "x [a | b]", "he_IL", True),
+    ("mixedscript", "DNS zone", "ДНС зона", "ru_RU", True), ("mixedscript", "note", "WARNINGΟΠΟ", "el_GR", True), ("mixedscript", "IMPORTANT", "ВАЖНО", "ru_RU", False),
+    ("nearmiss", "NOTE this", "NOE this", "fr", True), ("nearmiss", "MFA", "AMF", "fr", False), ("nearmiss", "DNSSEC key", "DNSEC key", "fr", True), ("nearmiss", "NOTE", "NOTA", "es", False),
+    ("literalmask", "use YYYYMMDDnn", "use AAAAMMJJnn", "fr", True), ("literalmask", "DS and SSH", "x", "fr", False),
+    ("protocoldowngrade", "https only", "http only", "fr", True), ("protocoldowngrade", "IPv6 address", "IPv4 address", "fr", True), ("protocoldowngrade", "https", "rien", "fr", False),
+    ("ipliteral", "192.0.2.0/24", "192.0.2/24", "fr", True), ("ipliteral", "0.0.0.0", "0.0.0", "fr", False), ("ipliteral", "fec0::/10", "fec0:/10", "fr", True), ("ipliteral", "192.0.2.1", "nada", "fr", False),
+    ("fragment_punctuation", "(ID", "(ID)", "fr", True), ("fragment_punctuation", "delete the", "supprimer ?", "fr", True), ("fragment_punctuation", "How it works", "Comment ?", "fr", False),
+    ("escape_artifact", "x", 'x \\"', "zh_CN", True), ("unlocalized", "Edit zone metadata", "Redaktirovat metadannye", "ru_RU", True), ("unlocalized", "API URL", "URL API", "ru_RU", False),
+    ("repetition", "x", "a a a a a a b", "fr", True), ("numerals", "1,000,000 rows", "1.000.000 rows", "de", False), ("numerals", "240-255", "from 240 to 255", "fr", False),
+    ("numerals", "port 8080", "port", "fr", True), ("numerals", "value 42", "مقدار ۴۲", "fa_IR", False), ("truncation", "a b c d e f g h i j k l", "abc", "fr", True),
+    ("truncation", "a b c d e f g h i j k l", "abc", "zh_CN", False), ("rrtype", "the TXT record", "le record", "fr", True), ("negation_loss", "do not stop", "arrêter", "fr", True),
+    ("negation_loss", "do not stop", "ne pas arrêter", "fr", False), ("englishleak", "keys with dots", "ключи with точки", "ru_RU", True),
+]
+
+
+def test_row_checks(spark):
+    rows = [(i, loc, s, d) for i, (_, s, d, loc, _) in enumerate(CASES)] + [(len(CASES), "fr", None, None)]
+    got = {r.pos: r for r in checks.flagged(spark.createDataFrame(rows, "pos long, locale string, src string, dst string")).collect()}
+    wrong = [(c, s, d) for i, (c, s, d, _, want) in enumerate(CASES) if got[i][f"is_{c}"] != want]
+    assert not wrong
+    assert not any(got[len(CASES)][f"is_{n}"] for n in checks.ROW_CHECKS)
+
+
+def test_findings_and_exit_code(spark):
+    pairs = spark.createDataFrame([(1, "fr", "%s", "x"), (2, "fr", "a", "b")], "pos long, locale string, src string, dst string")
+    found = checks.findings(pairs, ["placeholder", "tags"])
+    assert [(r.cls, r.pos) for r in found.collect()] == [("placeholder", 1)]
+    assert verify.exit_code(found) == 1 and verify.exit_code(found.filter("false")) == 0
+
+
+def pairs_of(spark, rows):
+    return spark.createDataFrame([(i, "fr", s, d) for i, (s, d) in enumerate(rows)], "pos long, locale string, src string, dst string")
+
+
+def test_antonyms(spark):
+    df = pairs_of(spark, [("Set as default", "x"), ("Unset as default", "x"), ("Server Running", "y"), ("Server Not Running", "y"), ("Enable", "z"), ("Disable now", "z")])
+    assert {(min(r.pos_a, r.pos_b), r.relation) for r in checks.antonym_collisions(df).collect()} == {(0, "swap"), (2, "negation")}
+
+
+def test_collapse(spark):
+    df = pairs_of(spark, [("Failed to bind to server", "Echec de l'opération sur le serveur"), ("Failed to connect to server", "Echec de l'opération sur le serveur"), ("has one record here", "un enregistrement ici présent"), ("have one record here", "un enregistrement ici présent")])
+    assert [r.dst for r in checks.msgstr_collapses(df).collect()] == ["Echec de l'opération sur le serveur"]
+
+
+def test_crosswire_band(spark):
+    rows = [("Alpha Beta 77", "Gamma Delta 99"), ("plain", "plain"), ("Gamma Delta 99", "Alpha Beta 77")] + [("x", "y")] * 200 + [("Gamma Delta 99", "none")]
+    assert {r.pos for r in checks.crosswires(pairs_of(spark, rows)).collect()} == {0, 2}
+
+
+def test_diacritics(spark):
+    rows = [("s", "métadonnées réseau")] * 12 + [("s", "metadonnees reseau"), ("s", "reseau et château"), ("s", "autre")]
+    assert {r.pos for r in checks.diacritics(pairs_of(spark, rows)).collect()} == {12, 13}
+
+
+def test_mojibake(spark):
+    df = spark.createDataFrame([("cafÃ© Â© Ãx",)], "t string")
+    assert df.select(checks.repaired_mojibake(C("t")).alias("r")).first().r == "café © Ãx"
+
+
+def test_plural_rules(spark):
+    assert plural.equivalent(spark, "n != 1", "n == 1 ? 0 : 1") and not plural.equivalent(spark, "n > 1", "n != 1")
+    assert plural.header_parts("nplurals=2; plural=(n > 1);") == (2, "(n > 1)")
+    for bad in ("n; import os", "__import__", "n ? 1"):
+        with pytest.raises(ValueError):
+            plural.rule_sql(bad)
+
+
+def test_escapes(spark):
+    df = spark.createDataFrame([('a\\\\n "x"\n',)], "t string")
+    row = df.select(T.escape_po(C("t")).alias("e"), T.unescape_po(T.escape_po(C("t")), single_pass=True).alias("u")).first()
+    assert row.u == 'a\\\\n "x"\n'
+
+
+def test_sentinels():
+    masked, found = similarity.mask("Save %s in <b>[X]</b> {y}")
+    assert found == ["%s", "<b>", "</b>", "{y}"] and similarity.unmask(masked.lower().replace("x", " x "), found) == "save %s in <b>[ x ]</b> {y}"
+
+
+def test_registry_diff_and_services(spark):
+    old = spark.createDataFrame([("COM", "http://a"), ("net", "https://b"), ("org", None)], "k string, v string")
+    new = spark.createDataFrame([("com", "https://a"), ("dev", "https://d"), ("org", None)], "k string, v string")
+    got = {r.key: r.status for r in relational.registry_diff(old, new, "k", "v", T.https_url(C("v"))).collect()}
+    assert got == {"com": "unchanged", "net": "removed", "dev": "added", "org": "unchanged"}
+    body = spark.createDataFrame([('{"services": [[["a", "B"], ["http://x/", "https://y/"]]]}',)], "b string")
+    assert {r.key: r.url for r in registry.services(body, "b").collect()} == {"a": "https://x/", "b": "https://x/"}
+    text = registry.as_array_file(spark.createDataFrame([("b", "2"), ("a", "1")], "k string, v string"), "k", "v", "test")
+    assert [(r.key, r.value) for r in registry.array_file(text, "value").collect()] == [("a", "1"), ("b", "2")]
+
+
+def test_review_is_all_or_nothing(spark):
+    entries = spark.createDataFrame([("fr", "Save %s", "x", ["fuzzy"]), ("de", "Save %s", "y", ["fuzzy"])], "locale string, msgid string, msgstr string, flags array<string>")
+    fixes = spark.createDataFrame([("fr", "Save %s", "Sauver %s"), ("de", "Save %s", "Sichern"), ("de", "Gone", "Weg")], "locale string, msgid string, text string")
+    done, problems = rewrite.reviewed(entries, fixes)
+    assert {r.locale: (r.msgstr, r.flags) for r in done.collect()} == {"fr": ("Sauver %s", []), "de": ("y", ["fuzzy"])}
+    assert {(r.msgid, tuple(r.reasons)) for r in problems.collect()} == {("Save %s", ("placeholders",)), ("Gone", ("unknown",))}
+
+
+def test_rules_and_years(spark):
+    df = spark.createDataFrame([("license", "the thing"), ("other", "the thing"), ("the thing", "the thing")], "src string, dst string").withColumn("locale", F.lit("en"))
+    rules = [rewrite.Rule("en", "the ([a-z])", r"\1", include="license"), rewrite.Rule("de", "t", "d")]
+    assert [r.new_dst for r in rewrite.rewritten(df, rules).collect()] == ["thing", "the thing", "the thing"]
+    years = spark.createDataFrame([("Copyright 2019-2025 X",), ("Copyright 2025 X",), ("Copyright 2024 X",)], "t string")
+    assert [r[0] for r in years.select(rewrite.year_rolled(C("t"), 2026)).collect()] == ["Copyright 2019-2026 X", "Copyright 2026 X", "Copyright 2024 X"]
+    text = spark.createDataFrame([("a the the the b bon bon!",)], "t string")
+    assert text.select(T.collapse_repeats(C("t"))).first()[0] == "a the b bon!"
+
+
+def test_exclusions(spark):
+    df = spark.createDataFrame([("API",), ("api url",), ("DNS2",), ("Zone",), ("",)], "t string")
+    assert [r[0] for r in df.select(stats.is_excluded(C("t"), ["API", "URL"])).collect()] == [True, True, True, False, False]
+
+
+def test_flattened_and_templates(spark):
+    df = spark.createDataFrame([('{"a": {"b": 1, "c": {"d": "x"}}, "e": 2}',)], "j string")
+    assert {r.path for r in registry.flattened(df, "j").collect()} == {"a.b", "a.c.d", "e"}
+    lines = spark.createDataFrame([("t.html", 1, "{% trans 'Hello ' %} {{ \"Bye\"|trans }}")], "path string, line int, text string")
+    assert sorted(r.msgid for r in registry.template_strings(lines, "path", "line", "text").collect()) == ["Bye", "Hello"]
+
+
+def test_streamed_findings(spark, tmp_path):
+    from tesserae.streaming.checking import checked
+
+    pairs_of(spark, [("%s", "x"), ("a", "b")]).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("pos long, locale string, src string, dst string").parquet(str(tmp_path / "in"))
+    seen = []
+    checked(stream, lambda df, _: seen.extend(df.collect()), str(tmp_path / "c"), ["placeholder"]).awaitTermination()
+    assert [r.pos for r in seen] == [0]
