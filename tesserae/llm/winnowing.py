@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from .common import running_totals, words
 
 C = F.col
+#: Stands for a null doc_id, before all others.
+NONE = -(2**63)
 
 
 def _let(value: Column, body) -> Column:
@@ -49,8 +51,8 @@ def winnow(text: Column, gram: int = 5, window: int = 4) -> Column:
 
 
 def hashes(fingerprint: Column) -> Column:
-    """The distinct hashes of a fingerprint."""
-    return F.array_distinct(F.transform(fingerprint, lambda x: x["hash"]))
+    """The distinct hashes of a fingerprint, of which 32 bits stand for a likeness and take half the room on their way."""
+    return F.array_distinct(F.transform(fingerprint, lambda x: F.shiftright(F.shiftleft(x["hash"], 32), 32).cast("int")))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -68,7 +70,7 @@ def _keyed(docs: DataFrame, *kept: Column) -> DataFrame:
     """_id and _o tell rows apart: rows with one doc_id are numbered by their texts' hashes."""
     from pyspark.sql import Window
 
-    own = docs.select(F.coalesce(C("doc_id").cast("long"), F.lit(-(2**63))).alias("_id"), C("doc_id").alias("doc_id"), F.xxhash64("text").alias("_h"), *kept)
+    own = docs.select(F.coalesce(C("doc_id").cast("long"), F.lit(NONE)).alias("_id"), F.xxhash64("text").alias("_h"), *kept)
     return own.withColumn("_o", F.row_number().over(Window.partitionBy("_id").orderBy("_h"))).drop("_h")
 
 
@@ -86,10 +88,11 @@ def with_next(docs: DataFrame, gram: int, window: int) -> DataFrame:
     asks = small.select(C("_id").alias("_to"), C("_o").alias("_to_o"), "_m", F.pmod(C("_rank") + 1, F.lit(max(total, 1))).alias("_wanted"))
     asks = asks.join(small.select("_rank", C("_id").alias("_from"), C("_o").alias("_from_o")), C("_wanted") == C("_rank")).drop("_wanted", "_rank")
     full = _keyed(docs, text.alias("text"))
+    # both joins read one dealing of the texts: it must have the same columns for both
     # equal ids are rare: they are told apart after the join, so that all joins share one dealing of the texts
     told = full.join(asks, (C("_id") == C("_from")) & (C("_o") - C("_from_o") == 0))
     told = told.select("_to", "_to_o", F.substring("text", F.lit(1), C("_m")).alias("_head"), hashes(winnow(C("text"), gram, window)).alias("_next"))
-    return full.join(told, (C("_id") == C("_to")) & (C("_o") - C("_to_o") == 0)).select("doc_id", "text", "_head", "_next")
+    return full.join(told, (C("_id") == C("_to")) & (C("_o") - C("_to_o") == 0)).select(F.nullif("_id", F.lit(NONE)).alias("doc_id"), "text", "_head", "_next")
 
 
 def compared(docs: DataFrame, gram: int = 5, window: int = 4) -> DataFrame:
