@@ -109,7 +109,8 @@ def mix(docs: DataFrame, block_words: int = 64, shard_blocks: int = 1024, weight
     b = F.lit(block_words)
     covers = placed.filter(C("size") > 0).withColumn("block", F.explode(F.sequence(F.floor(C("at") / b), F.floor((C("at") + C("size") - 1) / b))))
     covers = covers.withColumn("words", F.least(C("at") + C("size"), (C("block") + 1) * b) - F.greatest(C("at"), C("block") * b)).select("row", C("source").alias("_s"), C("block").alias("_b"), "words")
-    taken = covers.join(times, (C("_b") == C("block")) & C("_s").eqNullSafe(C("source"))).groupBy(C("row").alias("_row")).agg(F.sum(C("words") * C("times")).alias("_taken"))
+    # slots unroll from few rows, by whose size Catalyst would broadcast them: they grow with the input
+    taken = covers.join(times.hint("merge"), (C("_b") == C("block")) & C("_s").eqNullSafe(C("source"))).groupBy(C("row").alias("_row")).agg(F.sum(C("words") * C("times")).alias("_taken"))
     out = placed.join(taken, C("row") == C("_row"), "left").select("doc_id", "source", "size", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"))
     return with_source(out, sources.select("source", "source_size", "target")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
