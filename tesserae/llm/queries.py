@@ -51,7 +51,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_cascade.quality_report(documents(spark, sf_dir))
+    # which of several rules rejects a row first depends on their order, so on times; the verdict doesn't
+    return quality_cascade.quality_report(documents(spark, sf_dir)).drop("rejected_by")
 
 
 QUERIES = {
@@ -61,4 +62,21 @@ QUERIES = {
         op6_mixing, op7_packing, op8_quality_fm, op9_suffix_dedup, op10_quality_rules,
     )
 }
-ORACLES: dict[str, str] = {}
+OP9_SQL = """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+ w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+ m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+ g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS b FROM w JOIN m USING (s) WHERE doc_id > least),
+ r AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (b <> coalesce(before, -2) + 1) AS n_spans FROM (SELECT doc_id, b, lag(b) OVER (PARTITION BY doc_id ORDER BY b) AS before FROM g) GROUP BY doc_id),
+ k AS (SELECT doc_id, string_agg(substr(h, 2 * b + 1, 2), '' ORDER BY b) AS kept FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS b FROM d) a ANTI JOIN g USING (doc_id, b) GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN r ON d.doc_id = r.doc_id LEFT JOIN k ON d.doc_id = k.doc_id"""
+
+OP10_SQL = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+ v AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+ r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS k FROM v) WHERE k > 1) GROUP BY doc_id),
+ f AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+   len(regexp_extract_all(t, '\p{Lu}')) AS n_capitals, len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutters FROM d LEFT JOIN r ON d.doc_id = r.doc_id),
+ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (10 * n_symbols > n_words OR 100 * n_dup_lines > 40 * n_lines OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 100 * n_stutters > 25 * n_words OR 100 * n_capitals > 35 * word_chars) AS kept FROM b"""
+
+ORACLES: dict[str, str] = {"op9_suffix_dedup": OP9_SQL, "op10_quality_rules": OP10_SQL}
