@@ -43,11 +43,34 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: Tables written in this process and not yet swept.
+SCRATCH: list[str] = []
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the tables that written() has made so far. Plans that read them must have run."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """Cut lineage: write df as Parquet into the shared folder and read it again."""
+    """Cut lineage: write df as Parquet into the shared folder and read it again.
+
+    The shuffle files of the write are dropped at its end, since its rows are then read from the table.
+    """
     spark = df.sparkSession
-    path = shared_dir(spark)
-    df.write.parquet(path)
+    path, before = shared_dir(spark), spark.conf.get(CLEANUP, "false")
+    SCRATCH.append(path)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

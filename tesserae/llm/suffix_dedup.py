@@ -7,8 +7,8 @@ smaller doc_id. The corpus is cut so that equal strings meet:
    equals. A run of windows with one anchor is a segment; equal windows have equal anchors, so
    they meet in the anchor's shard. Segments equal as wholes collapse there to that of the least
    doc_id: all others repeat it and go. Within a task this is done before the shuffle.
-2. Anchors under which different segments of different documents remain get these segments' bytes. Each
-   shard's text is suffix-sorted by induced sorting, its tuples in disk-backed queues beyond a
+2. Anchors under which different segments of different documents remain get these segments' bytes; those that
+   cannot agree on `width` bytes around the anchor drop out. Each shard's text is suffix-sorted by induced sorting, its tuples in disk-backed queues beyond a
    bound of memory; neighbours that share `width` bytes form groups, and in each group all windows
    but those of the least doc_id go. Common prefixes, of which only `width` bytes matter,
    are compared after the induction, eight bytes at a time.
@@ -103,13 +103,9 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """All columns of docs in the struct `_row`, so that no name clashes, with `_doc` (doc_id, null least), `_tie` (tells rows with one doc_id apart) and `_data` (the text's bytes)."""
+    """All columns of docs but text in the struct `_row`, so that no name clashes, with `_doc` (doc_id, null least), `_tie` (tells rows with one doc_id apart) and `_data` (the text's bytes)."""
     data = F.coalesce(C("text").cast("string"), F.lit("")).cast("binary")
-    return docs.select(F.coalesce(C("doc_id").cast("long"), F.lit(-(2**63))).alias("_doc"), F.hash("text").alias("_tie"), data.alias("_data"), F.struct(*docs.columns).alias("_row"))
-
-
-def _unpack(where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return where >> 16, (where >> 8) & 0xFF
+    return docs.select(F.coalesce(C("doc_id").cast("long"), F.lit(-(2**63))).alias("_doc"), F.hash("text").alias("_tie"), data.alias("_data"), F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"))
 
 
 def _segment_rows(width: int) -> Callable:
@@ -180,12 +176,12 @@ class _Shard:
         return remove, compare, late
 
 
-STAGED = "kind int, gram long, doc long, tie int, at long, size int"
+STAGED = "kind int, gram long, doc long, tie int, at long, size int, lead int"
 
 
 def _staged(kind: int, gram, doc, tie, at) -> pa.RecordBatch:
-    start, size = _unpack(at)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), kind, np.int32)), pa.array(gram), pa.array(doc), pa.array(tie), pa.array(start), pa.array(size.astype(np.int32))], names=["kind", "gram", "doc", "tie", "at", "size"])
+    start, size, lead = (x.astype(t) for x, t in zip((at >> 16, (at >> 8) & 0xFF, at & 0xFF), (np.int64, np.int32, np.int32), strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(doc), kind, np.int32), gram, doc, tie, start, size, lead)], names=["kind", "gram", "doc", "tie", "at", "size", "lead"])
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,6 +225,30 @@ def repeats(data: np.ndarray, begins: np.ndarray, doc: np.ndarray, width: int, m
     return np.sort(order[own > least])
 
 
+def comparable(data: np.ndarray, begins: np.ndarray, anchor: np.ndarray, doc: np.ndarray, width: int) -> np.ndarray:
+    """Which strings can share a window of `width` bytes around their anchors with a string of another document.
+
+    Of such a window the anchor leaves width - GRAM bytes, so the longer side has at least half of them: the two strings
+    agree on the anchor with so many bytes before it, or after it.
+    """
+    ends, side = np.concatenate([begins[1:], [len(data)]]), (width - GRAM + 1) // 2
+    x = _loads(data)
+    out = np.zeros(len(begins), bool)
+    for first, has in ((anchor - side, anchor - begins >= side), (anchor, ends - anchor - GRAM >= side)):
+        own = np.flatnonzero(has)
+        if not len(own):
+            continue
+        code = np.zeros(len(own), np.uint64)
+        for k in [*range(0, side + GRAM - 8, 8), side + GRAM - 8]:
+            code = (code ^ x[first[own] + k]) * _MIX[0]
+            code ^= code >> np.uint64(32)
+        order = np.argsort(code, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], code[order][1:] != code[order][:-1]]))
+        several = np.minimum.reduceat(doc[own][order], starts) < np.maximum.reduceat(doc[own][order], starts)
+        out[own[order]] |= np.repeat(several, np.diff(np.concatenate([starts, [len(own)]])))
+    return out
+
+
 SPANS = "doc long, tie int, at long, size int"
 
 
@@ -240,7 +260,14 @@ def _sorted_shard(width: int) -> Callable:
         table = pa.Table.from_batches(held).combine_chunks()
         data, ends = _bytes_of(table.column("data").chunk(0))
         begins = np.concatenate([[0], ends[:-1]])
-        doc, tie, at = (table.column(c).to_numpy() for c in ("doc", "tie", "at"))
+        doc, tie, at, lead = (table.column(c).to_numpy() for c in ("doc", "tie", "at", "lead"))
+        some = np.flatnonzero(comparable(data, begins, begins + lead, doc, width))
+        if not len(some):
+            return
+        size = (ends - begins)[some]
+        data = data[np.repeat(begins[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        ends = np.cumsum(size)
+        begins, doc, tie, at = ends - size, doc[some], tie[some], at[some]
         found = repeats(data, begins, doc, width)
         if not len(found):
             return
@@ -256,16 +283,17 @@ def _sorted_shard(width: int) -> Callable:
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = {c: [] for c in ("gram", "doc", "tie", "at", "data")}
+        out = {c: [] for c in ("gram", "doc", "tie", "at", "lead", "data")}
         for doc, tie, data, wanted in zip(*(batch.column(c).to_pylist() for c in ("_doc", "_tie", "_data")), batch.column("_wanted"), strict=True):
             rows = wanted.values
-            gram, at, size = (rows.field(k).to_pylist() for k in range(3))
+            gram, at, size, lead = (rows.field(k).to_pylist() for k in range(4))
+            out["lead"] += lead
             out["gram"] += gram
             out["doc"] += [doc] * len(gram)
             out["tie"] += [tie] * len(gram)
             out["at"] += at
             out["data"] += [data[i : i + k] for i, k in zip(at, size, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(out["gram"], pa.int64()), pa.array(out["doc"], pa.int64()), pa.array(out["tie"], pa.int32()), pa.array(out["at"], pa.int64()), pa.array(out["data"], pa.binary())], names=list(out))
+        yield pa.RecordBatch.from_arrays([pa.array(out["gram"], pa.int64()), pa.array(out["doc"], pa.int64()), pa.array(out["tie"], pa.int32()), pa.array(out["at"], pa.int64()), pa.array(out["lead"], pa.int32()), pa.array(out["data"], pa.binary())], names=list(out))
 
 
 def _per_document(rows: DataFrame, *fields: str) -> DataFrame:
@@ -273,15 +301,15 @@ def _per_document(rows: DataFrame, *fields: str) -> DataFrame:
 
 
 def with_spans(docs: DataFrame, width: int = 50) -> DataFrame:
-    """`_row` (the columns of docs), `_doc`, `_tie`, `_data` and `_wanted`: the (at, size) of removed spans, overlapping and in no order; null if none."""
+    """`_row` (the columns of docs but text), `_doc`, `_tie`, `_data` and `_wanted`: the (at, size) of removed spans, overlapping and in no order; null if none."""
     n = parts(docs.sparkSession)
     full = keyed(docs)
     rows = full.select("_doc", "_tie", "_data").mapInArrow(_segment_rows(width), "gram long, content long, doc long, tie int, at long, gone boolean")
     staged = written(rows.repartition(n, "gram").sortWithinPartitions("gone", "gram", "content", "doc").mapInArrow(_classes, STAGED))
-    dealt = full.repartition(n, "_doc")
-    wanted = _per_document(staged.filter("kind = 1"), "gram", "at", "size")
+    dealt = full.repartition(n, "_doc")  # both joins take all its columns, so that the texts move once
+    wanted = _per_document(staged.filter("kind = 1"), "gram", "at", "size", "lead")
     one = (C("_doc") == C("_d")) & (C("_tie").bitwiseXOR(C("_t")) == 0)  # rows with one doc_id are few: told apart after the join
-    found = dealt.join(wanted, one).select("_doc", "_tie", "_data", "_wanted").mapInArrow(_fetch, "gram long, doc long, tie int, at long, data binary")
+    found = dealt.join(wanted, one).select("_doc", "_tie", "_data", "_row", "_wanted").mapInArrow(_fetch, "gram long, doc long, tie int, at long, lead int, data binary")
     spans = found.repartition(4 * n, "gram").mapInArrow(_sorted_shard(width), SPANS).union(staged.filter("kind = 0").select("doc", "tie", "at", "size"))
     return dealt.join(_per_document(spans, "at", "size"), one, "left").drop("_d", "_t")
 
@@ -351,7 +379,7 @@ def without_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
                     at = j
                 out.append(raw[at:])
                 texts.append(b"".join(out).decode("utf-8", "replace"))
-            columns = dict(zip(names, batch.column("_row").flatten(), strict=True))
+            columns = dict(zip([c for c in names if c != "text"], batch.column("_row").flatten(), strict=True))
             columns["text"] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
