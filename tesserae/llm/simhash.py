@@ -7,8 +7,8 @@ their differing bits, and are dropped when these exceed the budget - which is no
 the leading blocks, so that tries of different leading bits are different tasks. A trie that
 many fingerprints share is dealt out further, by pairs of nodes some levels down.
 
-Equal fingerprints are one leaf. A task hands on, of the links it finds, a spanning forest:
-no link between different groups is lost, and no group is written out pair by pair.
+Equal fingerprints are one leaf. A task hands on, of the links it finds, a spanning forest with the
+nearest first: no link between different groups is lost, and no group is written out pair by pair.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from .common import parts, written
 from .components import components
 
 C = F.col
+#: Stands for a null doc_id, before all others.
+NONE = -(2**63)
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -45,14 +47,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fp (bigint with the fingerprint's bits) of all docs (doc_id, text)."""
+    """doc_id, fp (bigint with the fingerprint's bits) and same (a hash of the text) of all docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(x, shingle) for x in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            texts = batch.column("text").to_pylist()
+            found = np.array([fingerprint(x, shingle) for x in texts], dtype=np.uint64)
+            same = np.array([xxhash.xxh64_intdigest((x or "").encode("utf-8", "surrogatepass")) for x in texts], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64)), pa.array(same.view(np.int64))], names=["doc_id", "fp", "same"])
 
-    return docs.select(C("doc_id").cast("long").alias("doc_id"), C("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(C("doc_id").cast("long").alias("doc_id"), C("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, same long")
 
 
 def turns(budget: int, blocks: int) -> list[list[tuple[int, int]]]:
@@ -147,28 +151,43 @@ def _leaves(keys, alo, ahi, blo, bhi, budget, side) -> Iterator[tuple[np.ndarray
 
 
 class Forest:
-    """Union-find over 0..n-1; add() tells which links joined two trees."""
+    """Union-find over 0..n-1."""
 
     def __init__(self, n: int):
         self.root = np.arange(n)
 
-    def _settle(self) -> None:
+    def add(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Joins the trees of each link; returns those of the links that joined two."""
+        used: list[tuple[np.ndarray, np.ndarray]] = [(i[:0], j[:0])]
         while True:
-            up = self.root[self.root]
-            if (up == self.root).all():
-                return
-            self.root = up
-
-    def add(self, i: np.ndarray, j: np.ndarray) -> None:
-        while len(i):
             a, b = self.root[i], self.root[j]
-            lo, hi = np.minimum(a, b), np.maximum(a, b)
-            open_ = lo != hi
+            open_ = a != b
             if not open_.any():
-                return
-            i, j, lo, hi = i[open_], j[open_], lo[open_], hi[open_]
-            np.minimum.at(self.root, hi, lo)
-            self._settle()
+                return np.concatenate([x for x, _ in used]), np.concatenate([y for _, y in used])
+            i, j, a, b = i[open_], j[open_], a[open_], b[open_]
+            high, first = np.unique(np.maximum(a, b), return_index=True)  # each root hangs below a smaller one, by one link
+            self.root[high] = np.minimum(a, b)[first]
+            used.append((i[first], j[first]))
+            while True:
+                up = self.root[self.root]
+                if (up == self.root).all():
+                    break
+                self.root = up
+
+
+def nearest_forest(keys: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]], budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs in which nearer keys are linked first. Memory is that of the forest and one portion of pairs."""
+    i, j = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for a, b in pairs:
+        if not len(a):
+            continue
+        i, j = np.concatenate([i, a]), np.concatenate([j, b])
+        apart, forest, kept = np.bitwise_count(keys[i] ^ keys[j]), Forest(len(keys)), []
+        for d in range(budget + 1):
+            own = apart == d
+            kept.append(forest.add(i[own], j[own]))
+        i, j = (np.concatenate([k[x] for k in kept]) for x in (0, 1))
+    return i, j
 
 
 def trie_links(prints: DataFrame, budget: int = 3, blocks: int | None = None, heavy: int = 1 << 15) -> DataFrame:
@@ -211,14 +230,12 @@ def trie_links(prints: DataFrame, budget: int = 3, blocks: int | None = None, he
         turn, key, sub, side = turn[order], key[order], sub[order], side[order]
         cuts = np.flatnonzero(np.concatenate([[True], (turn[1:] != turn[:-1]) | (sub[1:] != sub[:-1]), [True]]))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            own, forest = key[a:b], Forest(b - a)
+            own = key[a:b]
             cross = side[a:b] if side[a:b].any() and not side[a:b].all() else None
-            for i, j in trie_pairs(own, leads[turn[a]], budget, cross):
-                forest.add(i, j)
-            linked = np.flatnonzero(forest.root != np.arange(b - a))
-            if len(linked):
+            i, j = nearest_forest(own, trie_pairs(own, leads[turn[a]], budget, cross), budget)
+            if len(i):
                 back = _unturned(own, plan[turn[a]])
-                yield pa.RecordBatch.from_arrays([pa.array(back[linked].view(np.int64)), pa.array(back[forest.root[linked]].view(np.int64))], names=["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(back[i].view(np.int64)), pa.array(back[j].view(np.int64))], names=["u", "v"])
 
     spread = dealt.repartition(n, "turn", "lead", "sub")
     return spread.select("turn", "sub", "side", "key").mapInArrow(join, "u long, v long")
@@ -280,17 +297,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, blocks:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _likeness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the Jaccard similarity of the shingles of text and lead, `words` words each, to rows."""
-    for batch in batches:
-        found, lead, last = [], None, None
-        for n, text, other in zip(*(batch.column(c).to_pylist() for c in ("words", "text", "lead_text")), strict=True):
-            if lead is None or other != last:
-                last, lead = other, shingles(other, n)
-            own = shingles(text, n)
-            both = len(own & lead)
-            found.append(both / (len(own) + len(lead) - both) if own or lead else 1.0)
-        yield pa.RecordBatch.from_arrays([batch.column("group"), batch.column("doc_id"), pa.array(found, pa.float64())], names=["group", "doc_id", "likeness"])
+def _alike(words: int, least: float):
+    """Of pairs (a, b, text_a, text_b) those whose shingles of `words` words are that alike (Jaccard)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
+                own, other = shingles(x, words), shingles(y, words)
+                both = len(own & other)
+                ok.append(both >= least * (len(own) + len(other) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
 
 
 def shingles(text: str | None, n: int) -> set[bytes]:
@@ -299,33 +318,26 @@ def shingles(text: str | None, n: int) -> set[bytes]:
     return set(map(b" ".join, zip(*(w[i:] for i in range(n))))) if len(w) >= n else {b" ".join(w)} if w else set()
 
 
-def one_of_each(docs: DataFrame, shingle: int = 3, budget: int = 8, blocks: int = 10, words: int = 5, least: float = 0.8) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 2, budget: int = 8, blocks: int = 10, words: int = 5, least: float = 0.8) -> DataFrame:
     """docs without near duplicates: columns as they are.
 
-    Candidate groups are components of fingerprints within `budget` bits. In each the smallest doc_id leads; documents whose
-    `words`-word shingles are at least `least` alike (Jaccard) go, the leader stays, and what
-    remains of the group goes round again under its next leader, until each group is decided.
-    So every document that goes is truly like one that stays. Rows with one doc_id stay or go together.
+    Candidates are the links of the trie join within `budget` bits, nearest first; a link counts if the documents' shingles of `words` words
+    are at least `least` alike (Jaccard), both texts read whole. Of each component the smallest doc_id stays. Equal texts
+    are one text from the start. Rows with a null doc_id stay unless a text with a doc_id equals theirs in all; rows that share a doc_id stay or go together.
     """
-    found = near_duplicates(docs, shingle, budget, blocks)
-    groups = written(found.select("doc_id", C("component_id").alias("group")).distinct())
-    large = groups.groupBy("group").agg(F.count("*").alias("_n")).filter(C("_n") > 1).withColumnRenamed("group", "_g")
-    members = groups.join(large, C("group") == C("_g")).select("group", C("doc_id").alias("_id"))
-    texts = docs.select(C("doc_id").cast("long").alias("doc_id"), C("text").cast("string").alias("text"))
-    left = written(texts.join(members, C("doc_id") == C("_id")).select("group", "doc_id", "text"))
-    gone = None
-    while True:
-        lead = left.groupBy(C("group").alias("_g")).agg(F.min(F.struct("doc_id", "text")).alias("_lead"))
-        pairs = left.join(lead, (C("group") == C("_g")) & (C("doc_id") != C("_lead.doc_id")))
-        pairs = pairs.select("group", "doc_id", "text", C("_lead.text").alias("lead_text"), F.lit(words).alias("words"))
-        judged = written(pairs.mapInArrow(_likeness, "group long, doc_id long, likeness double"))
-        if judged.isEmpty():
-            break
-        now = judged.filter(C("likeness") >= least).select("doc_id").distinct()
-        gone = now if gone is None else gone.union(now)
-        rest = judged.filter(C("likeness") < least).select(C("doc_id").alias("_id")).distinct()
-        left = written(left.join(rest, C("doc_id") == C("_id"), "left_semi"))
-    if gone is None:
-        return docs
-    held = docs.select(C("doc_id").cast("long").alias("_id"), F.struct(*docs.columns).alias("_held"))
-    return held.join(gone.withColumnRenamed("doc_id", "_gone"), C("_id") == C("_gone"), "left_anti").select("_held.*")
+    prints = written(fingerprints(docs, shingle))
+    texts = written(prints.groupBy("fp", "same").agg(F.coalesce(F.min("doc_id"), F.lit(NONE)).alias("doc")))
+    lead = written(texts.groupBy("fp").agg(F.min("doc").alias("lead")))
+    own = texts.join(lead.withColumnRenamed("fp", "_fp"), C("fp") == C("_fp")).filter(C("doc") != C("lead")).select(C("doc").alias("a"), C("lead").alias("b"))
+    links = trie_links(lead.select("fp"), budget, blocks).distinct()
+    links = links.join(lead.select(C("fp").alias("_u"), C("lead").alias("a")), C("u") == C("_u")).join(lead.select(C("fp").alias("_v"), C("lead").alias("b")), C("v") == C("_v")).select("a", "b")
+    pairs = written(own.union(links).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    whole = docs.select(F.coalesce(C("doc_id").cast("long"), F.lit(NONE)).alias("doc"), C("text").cast("string").alias("text"))
+    some = written(whole.join(wanted, C("doc") == C("_id"), "left_semi").groupBy("doc").agg(F.min("text").alias("text")))
+    both = pairs.join(some.select(C("doc").alias("_a"), C("text").alias("text_a")), C("a") == C("_a")).join(some.select(C("doc").alias("_b"), C("text").alias("text_b")), C("b") == C("_b"))
+    true = both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(words, least), "a long, b long").select(C("a").alias("u"), C("b").alias("v"))
+    gone = components(true).filter(C("node") != C("root")).select(C("node").alias("_gone"))
+    stay = texts.select(C("doc").alias("_stay")).distinct().join(gone, C("_stay") == C("_gone"), "left_anti")
+    held = docs.select(F.coalesce(C("doc_id").cast("long"), F.lit(NONE)).alias("_id"), F.struct(*docs.columns).alias("_held"))
+    return held.join(stay, C("_id") == C("_stay"), "left_semi").select("_held.*")

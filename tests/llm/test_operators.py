@@ -423,7 +423,8 @@ def test_pipeline(spark, docs, tmp_path, corpus):
     docs.withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long")).write.parquet(f"{tmp_path}/documents.parquet")
     now = common.documents(spark, str(tmp_path))
     for _, stage in corpus_pipeline.STAGES[:2]:
-        now = common.written(stage(spark, now, str(tmp_path)))
+        stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{stage.__name__}")
+        now = spark.read.parquet(f"{tmp_path}/{stage.__name__}")
     rows = [(r.doc_id, r.text) for r in now.collect()]
     assert len({t for _, t in rows}) == len(rows)
     cut = {r.doc_id: r.text for r in corpus_pipeline.STAGES[2][1](spark, now, str(tmp_path)).collect()}
