@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import threading
 from collections.abc import Iterable
 from itertools import repeat
 
@@ -29,6 +31,8 @@ class ChunkEncoder:
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
         self.chunks: dict[str, bytes] = {}
+        self.lock = threading.Lock()
+        self.timer: threading.Timer | None = None
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -48,8 +52,29 @@ class ChunkEncoder:
             ends = [*(at[1:] * w).tolist(), len(ids) * w]
             self.chunks.update(zip(some, (raw[i:j] for i, j in zip((at * w).tolist(), ends, strict=True)), strict=True))
 
+    def _forget(self) -> None:
+        """Give memory back: a Python worker that waits for its next task keeps what it holds beside the JVM."""
+        with self.lock:
+            self.chunks = {}
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
     def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of ids of each text); a null text has none."""
+        """(ids of all texts in a row, number of ids of each text); a null text has none.
+
+        Chunks are forgotten a few seconds after the last use.
+        """
+        if self.timer:
+            self.timer.cancel()
+        with self.lock:
+            out = self._column(texts)
+        self.timer = threading.Timer(4, self._forget)
+        self.timer.daemon = True
+        self.timer.start()
+        return out
+
+    def _column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts, "")
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
