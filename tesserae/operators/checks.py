@@ -231,7 +231,9 @@ def findings(pairs: DataFrame, names: list[str] | None = None) -> DataFrame:
     """locale, pos, cls, hard, src, dst: a row for each check that a pair fails."""
     names = names or list(ROW_CHECKS)
     classes = F.filter(F.array(*[F.when(C(f"is_{n}"), F.struct(F.lit(n).alias("cls"), F.lit(ROW_CHECKS[n].hard).alias("hard"))) for n in names]), lambda x: x.isNotNull())
-    return flagged(pairs, names).select("locale", "pos", F.explode(classes).alias("f"), "src", "dst").select("locale", "pos", "f.cls", "f.hard", "src", "dst")
+    # for a plain explode Catalyst would infer a filter on the array, and so compute every check twice
+    rows = flagged(pairs, names).select("locale", "pos", F.explode_outer(classes).alias("f"), "src", "dst").filter(C("f").isNotNull())
+    return rows.select("locale", "pos", "f.cls", "f.hard", "src", "dst")
 
 
 def finding_counts(found: DataFrame) -> DataFrame:
