@@ -47,13 +47,13 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (bigint with the fingerprint's bits) and same (a hash of the text) of all docs (doc_id, text)."""
+    """doc_id, fp (bigint with the fingerprint's bits) and same (Spark's xxhash64 of the text) of all docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             found = np.array([fingerprint(x, shingle) for x in texts], dtype=np.uint64)
-            same = np.array([xxhash.xxh64_intdigest((x or "").encode("utf-8", "surrogatepass")) for x in texts], dtype=np.uint64)
+            same = np.array([xxhash.xxh64_intdigest((x or "").encode("utf-8", "surrogatepass"), 42) for x in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64)), pa.array(same.view(np.int64))], names=["doc_id", "fp", "same"])
 
     return docs.select(C("doc_id").cast("long").alias("doc_id"), C("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, same long")
@@ -318,26 +318,163 @@ def shingles(text: str | None, n: int) -> set[bytes]:
     return set(map(b" ".join, zip(*(w[i:] for i in range(n))))) if len(w) >= n else {b" ".join(w)} if w else set()
 
 
+def hashed(text: str | None, n: int) -> np.ndarray:
+    """Ascending 64-bit hashes of shingles(text, n)."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    own = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
+    n = min(n, len(own))
+    out = np.full(len(own) - n + 1 if n else 0, n, np.uint64)
+    for j in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + own[j : len(own) - n + 1 + j]
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return np.unique(out ^ (out >> np.uint64(29)))
+
+
+def needed(n: np.ndarray | int, share: float) -> np.ndarray:
+    """The least whole number that is `share` of n or more."""
+    return np.ceil(share * n - 1e-9).astype(np.int64)
+
+
+def _keyed_texts(docs: DataFrame) -> DataFrame:
+    """key (the `same` of fingerprints) and text."""
+    text = F.coalesce(C("text").cast("string"), F.lit(""))
+    return docs.select(F.xxhash64(text).alias("key"), text.alias("text"))
+
+
+def common_shingles(texts: DataFrame, words: int, sample: int = 20000, least: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending hashes and counts of shingles that `least` or more of about `sample` distinct texts have: bounded by the sample.
+
+    They are only put last in the order of shingles; any order gives the same pairs.
+    """
+    total = texts.count()
+    some = texts.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.lit(int(min(1.0, sample / max(total, 1)) * (1 << 20))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            found = [hashed(t, words) for k, t in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True) if not (k in seen or seen.add(k))]
+            if found:
+                h, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    often = some.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(C("n") >= least).toArrow()
+    h, n = often.column("h").to_numpy().view(np.uint64), often.column("n").to_numpy()
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def shared_shingles(docs: DataFrame, words: int, least: float) -> DataFrame:
+    """sig, key, n, at: a row for each text and shingle that can prove it alike to another, if two texts or more have it.
+
+    In any one order of all shingles, sets of n and m that are `least` alike have their first common shingle among the first
+    n - needed(n) + 1 and m - needed(m) + 1. Rare shingles come first, so that few texts meet. n is the text's number of shingles, at the place of this one.
+    """
+    texts = _keyed_texts(docs)
+    model = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, words))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, counts = model.value
+        seen: set[int] = set()
+        for batch in batches:
+            sigs, sizes, own = [np.zeros(0, np.uint64)], [], []
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if key in seen:
+                    continue
+                seen.add(key)
+                h = hashed(text, words)
+                if not len(h):
+                    h = np.zeros(1, np.uint64)  # texts without words are alike
+                elif len(often):
+                    place = np.minimum(np.searchsorted(often, h), len(often) - 1)
+                    h = h[np.argsort(np.where(often[place] == h, counts[place], 0), kind="stable")]
+                sigs.append(h[: len(h) - int(needed(len(h), least)) + 1])
+                sizes.append(len(h))
+                own.append(key)
+            taken = np.array([len(x) for x in sigs[1:]], np.int64)
+            at = np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
+            columns = [np.concatenate(sigs).view(np.int64), np.repeat(np.array(own, np.int64), taken), np.repeat(np.array(sizes, np.int32), taken), at.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["sig", "key", "n", "at"])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, _SIGS)
+        sig, key = table.column("sig").to_numpy(), table.column("key").to_numpy()
+        order = np.lexsort((key, sig))
+        sig, key = sig[order], key[order]
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
+        order, sig = order[new], sig[new]
+        twin = np.zeros(len(sig), bool)
+        twin[1:] = sig[1:] == sig[:-1]
+        twin[:-1] |= sig[1:] == sig[:-1]
+        yield from table.take(pa.array(order[twin])).to_batches(max_chunksize=1 << 16)
+
+    kind = "sig long, key long, n int, at int"
+    return texts.mapInArrow(first, kind).repartition(parts(docs.sparkSession), "sig").mapInArrow(met, kind)
+
+
+_SIGS = pa.schema([("sig", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
+
+
+def _open_pairs(sigs: DataFrame, roots: DataFrame, least: float, star: bool) -> DataFrame:
+    """Distinct pairs (a, b) of keys of different roots that share a sig and can be alike by size and place; star: only those with a sig's first text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        if not table.num_rows:
+            return
+        sig, key, n, at, root = (table.column(c).to_numpy().astype(np.int64) for c in ("sig", "key", "n", "at", "root"))
+        order = np.lexsort((key, sig))
+        sig, key, n, at, root = (x[order] for x in (sig, key, n, at, root))
+        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        ends = np.repeat(np.concatenate([starts[1:], [len(sig)]]), np.diff(np.concatenate([starts, [len(sig)]])))
+        i, apart = starts if star else np.arange(len(sig)), 1
+        while True:
+            i = i[i + apart < ends[i]]
+            if not len(i):
+                return
+            j = i + apart
+            ok = root[i] != root[j]
+            ok &= np.minimum(n[i], n[j]) >= needed(np.maximum(n[i], n[j]), least)
+            ok &= np.minimum(at[i], at[j]) + np.minimum(n[i] - at[i], n[j] - at[j]) >= needed(n[i] + n[j], least / (1 + least))
+            if ok.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[i[ok]]), pa.array(key[j[ok]])], names=["a", "b"])
+            apart += 1
+
+    named = sigs.join(roots, C("key") == C("node"), "left").select("sig", "key", "n", "at", F.coalesce("root", "key").alias("root"))
+    return named.repartition(parts(sigs.sparkSession), "sig").mapInArrow(run, "a long, b long").distinct()
+
+
+def _true_links(docs: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
+    """Links (u, v) of those pairs (a, b) of keys whose texts, read whole, are alike."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct()
+    some = written(_keyed_texts(docs).join(wanted, C("key") == C("_key"), "left_semi").groupBy("key").agg(F.min("text").alias("text")))
+    both = pairs.join(some.select(C("key").alias("_a"), C("text").alias("text_a")), C("a") == C("_a")).join(some.select(C("key").alias("_b"), C("text").alias("text_b")), C("b") == C("_b"))
+    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(words, least), "a long, b long").select(C("a").alias("u"), C("b").alias("v")))
+
+
 def one_of_each(docs: DataFrame, shingle: int = 2, budget: int = 8, blocks: int = 10, words: int = 5, least: float = 0.8) -> DataFrame:
     """docs without near duplicates: columns as they are.
 
-    Candidates are the links of the trie join within `budget` bits, nearest first; a link counts if the documents' shingles of `words` words
-    are at least `least` alike (Jaccard), both texts read whole. Of each component the smallest doc_id stays. Equal texts
-    are one text from the start. Rows with a null doc_id stay unless a text with a doc_id equals theirs in all; rows that share a doc_id stay or go together.
+    Texts whose shingles of `words` words are at least `least` alike (Jaccard), both read whole, are linked, and of each component the
+    smallest doc_id stays. The links of the trie join within `budget` bits are read first, so that dense groups are one early. Then every pair
+    of different groups that shares a shingle as alike texts must (shared_shingles) is read: first each with one text of its shingle, then all that are still
+    apart. So no component at `least` is missed. Equal texts are one text from the start. Rows with a null doc_id stay unless a text with a doc_id
+    equals theirs in all; rows that share a doc_id stay or go together.
     """
     prints = written(fingerprints(docs, shingle))
-    texts = written(prints.groupBy("fp", "same").agg(F.coalesce(F.min("doc_id"), F.lit(NONE)).alias("doc")))
-    lead = written(texts.groupBy("fp").agg(F.min("doc").alias("lead")))
-    own = texts.join(lead.withColumnRenamed("fp", "_fp"), C("fp") == C("_fp")).filter(C("doc") != C("lead")).select(C("doc").alias("a"), C("lead").alias("b"))
+    texts = written(prints.groupBy(C("same").alias("key")).agg(F.min("fp").alias("fp"), F.coalesce(F.min("doc_id"), F.lit(NONE)).alias("doc")))
+    lead = written(texts.groupBy("fp").agg(F.min("key").alias("lead")))
+    own = texts.join(lead.withColumnRenamed("fp", "_fp"), C("fp") == C("_fp")).filter(C("key") != C("lead")).select(C("key").alias("a"), C("lead").alias("b"))
     links = trie_links(lead.select("fp"), budget, blocks).distinct()
     links = links.join(lead.select(C("fp").alias("_u"), C("lead").alias("a")), C("u") == C("_u")).join(lead.select(C("fp").alias("_v"), C("lead").alias("b")), C("v") == C("_v")).select("a", "b")
-    pairs = written(own.union(links).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    whole = docs.select(F.coalesce(C("doc_id").cast("long"), F.lit(NONE)).alias("doc"), C("text").cast("string").alias("text"))
-    some = written(whole.join(wanted, C("doc") == C("_id"), "left_semi").groupBy("doc").agg(F.min("text").alias("text")))
-    both = pairs.join(some.select(C("doc").alias("_a"), C("text").alias("text_a")), C("a") == C("_a")).join(some.select(C("doc").alias("_b"), C("text").alias("text_b")), C("b") == C("_b"))
-    true = both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(words, least), "a long, b long").select(C("a").alias("u"), C("b").alias("v"))
-    gone = components(true).filter(C("node") != C("root")).select(C("node").alias("_gone"))
-    stay = texts.select(C("doc").alias("_stay")).distinct().join(gone, C("_stay") == C("_gone"), "left_anti")
+    pairs = written(own.union(links).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    true = _true_links(docs, pairs, words, least)
+    sigs = written(shared_shingles(docs, words, least))
+    for star in (True, False):
+        more = _open_pairs(sigs, written(components(true)), least, star)
+        more = written(more.join(pairs.select(C("a").alias("_a"), C("b").alias("_b")), (C("a") == C("_a")) & (C("b") == C("_b")), "left_anti"))
+        true, pairs = true.union(_true_links(docs, more, words, least)), pairs.union(more)
+    grouped = texts.join(components(true), C("key") == C("node"), "left").groupBy(F.coalesce("root", "key").alias("root"))
+    stay = grouped.agg(F.min("doc").alias("_stay")).select("_stay").distinct()
     held = docs.select(F.coalesce(C("doc_id").cast("long"), F.lit(NONE)).alias("_id"), F.struct(*docs.columns).alias("_held"))
     return held.join(stay, C("_id") == C("_stay"), "left_semi").select("_held.*")

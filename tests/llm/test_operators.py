@@ -227,6 +227,35 @@ def test_one_of_each(spark):
     assert sorted(r.doc_id for r in kept) == list(range(0, 36, 3))
 
 
+def kept_by_brute_force(texts, least=0.8):
+    sets = [simhash.shingles(t, 5) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in [(i, j) for j in range(len(texts)) for i in range(j)]:
+        both = len(sets[i] & sets[j])
+        if both >= least * (len(sets[i]) + len(sets[j]) - both):
+            a, b = sorted((top(i), top(j)))
+            root[b] = a
+    return [i for i in range(len(texts)) if root[i] == i]
+
+
+def test_alike_texts_among_texts_with_one_fingerprint(spark):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(8):
+        tail = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        texts += [" ".join(["same"] * 500 + tail), " ".join(["same"] * 500 + tail[:-2] + ["other", "end"])]
+    rng.shuffle(texts)
+    assert len({simhash.fingerprint(t, 2) for t in texts}) == 1
+    kept = simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(kept) == 8 and sorted(r.doc_id for r in kept) == kept_by_brute_force(texts)
+
+
 # --- repeats -------------------------------------------------------------------------------
 
 
