@@ -256,6 +256,23 @@ def test_alike_texts_among_texts_with_one_fingerprint(spark):
     assert len(kept) == 8 and sorted(r.doc_id for r in kept) == kept_by_brute_force(texts)
 
 
+def test_every_alike_text_is_found_whatever_its_fingerprint(spark):
+    rng = random.Random(5)
+    texts = []
+    for k in range(40):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(45, 90) if k % 2 else rng.randint(49, 54))]
+        edit = list(base)
+        for at in rng.sample(range(len(base)), max(1, len(base) * (2 + k % 19) // 100)) if k % 2 else [len(base) // 2]:
+            edit[at] = f"e{rng.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(edit)]
+    kept = kept_by_brute_force(texts)
+    gone = set(range(len(texts))) - set(kept)
+    far = [i for i in gone if (simhash.fingerprint(texts[i], 2) ^ simhash.fingerprint(texts[i - 1], 2)).bit_count() > 8]
+    assert len(far) >= 3
+    found = simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in found) == kept
+
+
 # --- repeats -------------------------------------------------------------------------------
 
 
