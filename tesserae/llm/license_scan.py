@@ -1,7 +1,8 @@
 """License scans: sparse TF-IDF cosine of passages to templates, then inheritance by directory.
 
 Every line of a text with a cue of licensing is a passage (lines that follow each other are one, and
-long ones are cut into sentences too); its TF-IDF vector is compared with the templates'. A
+long ones are cut into sentences too), and so is every run of words in the paragraph around a cue that has the cue's words
+and a template's length; its TF-IDF vector is compared with the templates'. An SPDX tag names its license. A
 file without a license of its own takes that of the nearest directory above it with a license file.
 """
 
@@ -9,9 +10,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +51,9 @@ TEMPLATES = [
 ]
 
 _CUE = re.compile(r"licen[sc]|permission is hereby|rights reserved|public domain|redistribut|free software|spdx|creative commons|\bcc[ -]?(?:by|0)", re.IGNORECASE)
+_SPDX = re.compile(r"SPDX-License-Identifier:\s*\(?([A-Za-z0-9.\-]+?)(?:-only|-or-later)?\+?(?![A-Za-z0-9.\-+])", re.IGNORECASE)
+#: A line without letters or digits (blank, or a bare comment mark) ends a paragraph.
+_BREAK = re.compile(r"\n[^\w\n]*(?=\n)")
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 _SENTENCE = re.compile(r"(?<=[.!?;:])\s+")
 LICENSE_FILE = r"(?i)^(?:licen[sc]e|copying|unlicense|notice)(?:[.\-].*)?$"
@@ -62,6 +68,9 @@ class Matcher:
         self.rare = math.log(1 + len(bags)) + 1
         self.by_word: dict[str, list[tuple[int, float]]] = {}
         self.names = [name for name, _ in bags]
+        self.spdx = {name.lower(): name for name in self.names}
+        self.lengths = [bag.total() for _, bag in bags]
+        self.longest = max(self.lengths, default=0)
         for k, (_, bag) in enumerate(bags):
             norm = math.sqrt(sum((n * self.idf[w]) ** 2 for w, n in bag.items()))
             for w, n in bag.items():
@@ -101,9 +110,57 @@ class Matcher:
             if len(line) > 120:
                 yield from (s for s in _SENTENCE.split(line) if _CUE.search(s))
 
+    def stretches(self, text: str) -> Iterator[tuple[list[str], int, int]]:
+        """Words around cues, within a paragraph and a template's length, with the places of the first and last word of a cue."""
+        breaks = [(m.start(), m.end()) for m in _BREAK.finditer(text)]
+        spans, words, at = [(a, b) for a, b in zip([0, *(e for _, e in breaks)], [*(b for b, _ in breaks), len(text)], strict=True)], [], -1
+        lowered, starts = "", []
+        for cue in _CUE.finditer(text):
+            k = bisect_right(spans, (cue.start(), len(text) + 1)) - 1
+            if k != at:
+                at, lowered = k, text[spans[k][0] : spans[k][1]].lower()
+                found = [(m.start(), m.group()) for m in _WORD.finditer(lowered)]
+                starts, words = [x for x, _ in found], [w for _, w in found]
+            first = max(bisect_right(starts, cue.start() - spans[k][0]) - 1, 0)
+            last = max(bisect_left(starts, cue.end() - spans[k][0]) - 1, first)
+            low, high = max(0, last + 1 - self.longest), first + self.longest
+            yield words[low:high], first - low, last - low
+
+    def slid(self, words: list[str], first: int, last: int, score: float) -> tuple[float, str | None]:
+        """The best of the windows of each template's length that have the words first..last, if better than `score`."""
+        idf = np.array([self.idf.get(w, self.rare) for w in words])
+        weights = np.zeros((len(self.lengths), len(words) + 1))
+        for i, w in enumerate(words):
+            for k, x in self.by_word.get(w, ()):
+                weights[k, i + 1] = idf[i] * x
+        dots, norms, name = weights.cumsum(1), np.concatenate([[0.0], (idf**2).cumsum()]), None
+        for k, n in enumerate(self.lengths):
+            n = min(n, len(words))
+            a = np.arange(max(0, last + 1 - n), min(first, len(words) - n) + 1)
+            if not len(a):
+                continue
+            # repeated words only lengthen a vector, so this is not less than the cosine
+            most = (dots[k, a + n] - dots[k, a]) / np.sqrt(norms[a + n] - norms[a])
+            for i in a[most > max(score, self.least - 1e-9)][np.argsort(-most[most > max(score, self.least - 1e-9)])].tolist():
+                own = self.cosine(" ".join(words[i : i + n]))
+                if own[0] > score:
+                    score, name = own
+        return score, name
+
     def best(self, text: str | None) -> tuple[str | None, float]:
         """License and cosine of a text's best passage; the license is null below `least`."""
-        score, name = max((self.cosine(p) for p in self.passages(text or "")), key=lambda x: (x[0], x[1] or ""), default=(0.0, None))
+        text = text or ""
+        if not _CUE.search(text):
+            return None, 0.0
+        tags = [self.spdx[x.lower()] for x in _SPDX.findall(text) if x.lower() in self.spdx]
+        if tags:
+            return max(tags), 1.0
+        score, name = max((self.cosine(p) for p in self.passages(text)), key=lambda x: (x[0], x[1] or ""), default=(0.0, None))
+        if score < 1 - 1e-9:
+            for words, first, last in self.stretches(text):
+                more, other = self.slid(words, first, last, score)
+                if other is not None:
+                    score, name = more, other
         return (name if score >= self.least else None), min(score, 1.0)
 
 

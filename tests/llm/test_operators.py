@@ -465,6 +465,18 @@ def test_licenses(spark):
     assert got["q/z.txt"] == (None, None, False) and got["n/m.txt"][0] == "CC-BY-NC-4.0" and got[None] == (None, None, False)
 
 
+def test_wrapped_licenses():
+    wrapped = {
+        "MIT": "/*\n * Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files (the \"Software\"), to deal\n * in the Software without restriction, including without limitation the rights\n */",
+        "BSD-3-Clause": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met. Neither the name of the copyright holder nor the names of its\n# contributors may be used to endorse or promote products\n",
+        "MPL-2.0": "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n// file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        "GPL-3.0": "// SPDX-License-Identifier: GPL-3.0-or-later\nint main() {}",
+    }
+    matcher = license_scan.Matcher()
+    assert {name: matcher.best(text)[0] for name, text in wrapped.items()} == {name: name for name in wrapped}
+    assert matcher.best("plain words\n\nthe license office was closed and\nnobody in the public domain of words came")[0] is None
+
+
 def test_pipeline(spark, docs, tmp_path, corpus):
     docs.withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long")).write.parquet(f"{tmp_path}/documents.parquet")
     now = common.documents(spark, str(tmp_path))
