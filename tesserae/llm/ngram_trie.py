@@ -1,35 +1,34 @@
-"""N-gram scoring with an Elias-Fano trie.
+"""N-gram scoring with Elias-Fano tries over all n-grams.
 
-Counts and what a text needs of them:
+Documents are dealt to blocks, n-grams to shards: a shard has some first words with all that follows them. First words so
+frequent that they would fill a shard are spread over several by their second word. Which words these are is read from a sample; it decides
+where n-grams are kept, never what is counted.
 
-- Words are counted over all training documents. The counts of a block of documents' own words come
-  back to that block, so every text is scored with exact unigram counts, whatever the vocabulary.
-- Frequent words, those with at least a share `frequent` of all training tokens, are at most
-  1 / frequent many; n-grams of them with at least a share `kept` of all tokens are at most
-  1 / kept for each order. So the trie has a size bound that doesn't grow with the corpus, and every worker maps it.
+1. A block sends each shard its distinct n-grams as a small packed trie: words of all orders with their
+   training counts, those of documents held out with a count of zero.
+2. A shard adds these up and builds its trie: level k has the n-grams of k words. A word is stored as its hash lifted by
+   its parent's number, so a level is one monotone sequence in Elias-Fano coding; where the children of a node begin is a second one. Probabilities
+   and back-off weights are bytes on a quantised log scale. The levels are mapped from files. The n-grams that blocks ask for are looked up by
+   successor search among the children of their context, and the bytes go back to each block in the order that it sent.
+3. A block takes up the answers and scores its texts.
 
-The trie has a level for each order. A level is sorted by (parent, word); words are stored as
-word + parent's prefix sum, which makes the whole level one monotone sequence in Elias-Fano
-coding; where the children of a node begin is a second one. A lookup is a successor search between
-a node's child pointers, so it is relative to the context. Probabilities are bytes on a quantised log scale.
+Nothing is left out: no n-gram is too rare, and no list of words is held by the driver or broadcast.
 
-Smoothing is interpolated absolute discounting: what counts lose by the discount goes to the next shorter context,
-at last to unigrams, and what unigrams lose to one class of unknown words.
+Smoothing is interpolated. Bigrams: (c(vw) + b p(w)) / (c(v) + b) (a Dirichlet prior). Longer n-grams: absolute discounting, where what
+the counts lose goes to the next shorter context. Unigrams: discounted by Ney's estimate in favour of one class of unknown words.
 """
 
 from __future__ import annotations
 
-import io
-import math
 import os
 import tempfile
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,47 +36,52 @@ from .common import parts, slices, written
 
 C = F.col
 END = b" end"  # no word holds a space
-
-
-def tokens(text: str | None) -> list[bytes]:
-    """Lower-cased (A-Z) words of a text, then one end."""
-    return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
+#: Bits of a word's hash below its parent's number.
+WORD_BITS = 40
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class EliasFano:
-    """A monotone sequence: low bits packed, high bits in unary with samples for select."""
+    """An ascending sequence: low bits in whole bytes, high bits in unary with samples for select."""
 
-    def __init__(self, low: np.ndarray, high: np.ndarray, bits: int, n: int):
-        self.low, self.high, self.bits, self.n = low, high, bits, n
-        self._ones = np.zeros(0, np.int64)
+    def __init__(self, low: np.ndarray, high: np.ndarray, width: int, n: int):
+        self.low, self.high, self.width, self.n = low, high, width, n
+        self._ones: np.ndarray | None = None
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
         values = np.asarray(values, np.uint64)
         n = len(values)
         top = int(values[-1]) if n else 0
-        bits = max(0, int(math.floor(math.log2(max(top, 1) / n))) if n else 0)
+        width = min(7, -(-max(0, (top // max(n, 1)).bit_length() - 1) // 8))
+        bits = 8 * width
         high = np.zeros((n + (top >> bits) + 8) // 8, np.uint8)
         at = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         np.bitwise_or.at(high, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        kept = (values & np.uint64((1 << bits) - 1)).astype(np.uint64)
-        packed = np.packbits(((kept[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8), axis=None, bitorder="little") if bits and n else np.zeros(0, np.uint8)
-        return cls(np.concatenate([packed, np.zeros(8, np.uint8)]), high, bits, n)
+        low = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(n, 8)[:, :width]).ravel()
+        return cls(np.concatenate([low, np.zeros(8, np.uint8)]), high, width, n)
 
-    def _select(self) -> np.ndarray:
-        """Where every 64th one of the high bits is; found once for each process."""
-        if not len(self._ones) and self.n:
+    def _select(self) -> tuple[np.ndarray, np.ndarray]:
+        """Byte that holds every 64th one of the high bits, and the ones before that byte; found once."""
+        if self._ones is None:
             counts = np.cumsum(np.bitwise_count(np.asarray(self.high)), dtype=np.int64)
-            byte = np.searchsorted(counts, np.arange(0, self.n, 64), side="right")
-            self._ones, self._before = byte, np.concatenate([[0], counts])[byte]
-        return self._ones
+            self._ones = np.searchsorted(counts, np.arange(0, self.n, 64), side="right")
+            self._before = np.concatenate([[0], counts])[self._ones]
+        return self._ones, self._before
+
+    def _lows(self, i) -> np.ndarray:
+        if not self.width:
+            return np.zeros(self.n, np.uint64)[i]
+        loads = np.ndarray((self.n,), "<u8", self.low, strides=(self.width,))
+        return loads[i] & np.uint64((1 << (8 * self.width)) - 1)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """Values at positions i."""
         i = np.asarray(i, np.int64)
         if not len(i):
             return np.zeros(0, np.uint64)
-        byte, before = self._select()[i // 64].copy(), self._before[i // 64].copy()
+        ones, befores = self._select()
+        byte, before = ones[i // 64].copy(), befores[i // 64].copy()
         while True:  # step to the byte that holds the one wanted
             own = np.bitwise_count(self.high[byte]).astype(np.int64)
             on = before + own <= i
@@ -92,15 +96,18 @@ class EliasFano:
             hit = (one == 1) & (left == 0)
             bit[hit] = b
             left = np.where(hit, -1, left - one)
-        upper = (byte * 8 + bit - i).astype(np.uint64)
-        if not self.bits:
-            return upper
-        start = i * self.bits
-        window = np.zeros(len(i), np.uint64)
-        for k in range(8):
-            window |= self.low[np.minimum((start >> 3) + k, len(self.low) - 1)].astype(np.uint64) << np.uint64(8 * k)
-        lower = (window >> (start & 7).astype(np.uint64)) & np.uint64((1 << self.bits) - 1)
-        return (upper << np.uint64(self.bits)) | lower
+        return ((byte * 8 + bit - i).astype(np.uint64) << np.uint64(8 * self.width)) | self._lows(i)
+
+    def decode(self, lo: int, hi: int) -> np.ndarray:
+        """Values at positions lo..hi-1."""
+        if hi <= lo:
+            return np.zeros(0, np.uint64)
+        ones, befores = self._select()
+        byte, skip = int(ones[lo // 64]), lo - int(befores[lo // 64])
+        stop = int(ones[(hi - 1) // 64 + 1]) + 1 if (hi - 1) // 64 + 1 < len(ones) else len(self.high)
+        bits = np.flatnonzero(np.unpackbits(np.asarray(self.high[byte:stop]), bitorder="little"))[skip : skip + hi - lo]
+        upper = (byte * 8 + bits - np.arange(lo, hi)).astype(np.uint64)
+        return (upper << np.uint64(8 * self.width)) | self._lows(slice(lo, hi))
 
     def successor(self, lo: np.ndarray, hi: np.ndarray, value: np.ndarray) -> np.ndarray:
         """First position in [lo, hi) whose value is not less than `value`, hi if none."""
@@ -115,275 +122,406 @@ class EliasFano:
 
 
 class Quantiser:
-    """Log10 values as bytes on an even scale from `least` to zero."""
+    """Log10 values as codes 1..255 on an even scale from zero to `least`; code 0 stands for `absent`."""
 
     def __init__(self, least: float):
-        self.least = min(least, -1e-6)
+        self.least = min(float(least), -1e-6)
 
     def code(self, x: np.ndarray) -> np.ndarray:
-        return np.round(np.clip(x / self.least, 0, 1) * 255).astype(np.uint8)
+        return (1 + np.round(np.clip(np.log10(np.maximum(x, 1e-300)) / self.least, 0, 1) * 254)).astype(np.uint8)
 
-    def values(self) -> np.ndarray:
+    def values(self, absent: float) -> np.ndarray:
         """What each of the 256 codes stands for, no longer as a logarithm."""
-        return 10.0 ** (np.arange(256) / 255 * self.least)
+        return np.concatenate([[absent], 10.0 ** (np.arange(255) / 254 * self.least)])
+
+    @classmethod
+    def over(cls, x: np.ndarray) -> Quantiser:
+        return cls(np.log10(max(float(x.min(initial=1.0)), 1e-300)))
+
+
+def lifted(node: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Keys of words below nodes, ascending with both."""
+    if len(node) and int(node.max()) >> (64 - WORD_BITS):
+        raise ValueError("a shard has too many n-grams; deal to more shards")
+    return (node.astype(np.uint64) << np.uint64(WORD_BITS)) | word
 
 
 class Trie:
-    """Levels 2..order over word ids; level k has, for each n-gram of k words, a discounted probability
-    and, as a context, a back-off weight; both quantised log10."""
+    """Level 0: first words by hash. Level k: keys (words lifted by their parents), first (where a node's children begin), prob and,
+    but for the last level, backoff, the weight of the next shorter context."""
 
-    def __init__(self, n_words: int, order: int):
-        self.n_words, self.order = n_words, order
-        self.levels: list[dict] = []
-        self.unigram_backoff = np.zeros(n_words)
+    def __init__(self, levels: list[dict]):
+        self.levels = levels
 
     @classmethod
-    def of(cls, n_words: int, totals: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray]], discount: float = 0.75) -> Trie:
-        """totals: counts of the words. grams: for orders 2, 3, ...: rows of word ids and their counts.
+    def of(cls, words: np.ndarray, totals: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray]], prior: float, discount: float) -> Trie:
+        """words: ascending hashes with their counts `totals`. grams: for each longer order ascending keys (number of the parent among all
+        n-grams of the order below, hash of the word) and their counts. What has a count of zero isn't stored."""
+        seen = totals > 0
+        levels, node, context = [{"keys": EliasFano.of(words[seen])}], np.cumsum(seen) - 1, totals[seen].astype(np.float64)
+        for k, (keys, counts) in enumerate(grams):
+            seen = counts > 0
+            own, count = keys[seen], counts[seen].astype(np.float64)
+            parent = node[(own >> np.uint64(WORD_BITS)).astype(np.int64)]
+            if k:
+                prob = np.maximum(count - discount, 0) / context[parent]
+                weight = discount * np.bincount(parent, minlength=len(context)) / np.maximum(context, 1)
+                weight[weight <= 0] = 1.0  # a context without children says nothing
+                scale = Quantiser.over(weight)
+                levels[-1] |= {"backoff": scale.code(weight), "backoff_scale": scale}
+            else:
+                prob = count / (context[parent] + prior)
+            scale = Quantiser.over(prob)
+            levels.append({
+                "keys": EliasFano.of(lifted(parent, own & np.uint64((1 << WORD_BITS) - 1))), "first": EliasFano.of(np.searchsorted(parent, np.arange(len(context) + 1))),
+                "prob": scale.code(prob), "scale": scale, "backoff": np.ones(len(own), np.uint8), "backoff_scale": Quantiser(-1.0),
+            })
+            node, context = np.cumsum(seen) - 1, count
+        return cls(levels)
+
+    def save(self, folder: str) -> None:
+        """A file for each array."""
+        for k, level in enumerate(self.levels):
+            for name, x in level.items():
+                if isinstance(x, EliasFano):
+                    np.save(f"{folder}/{k}-{name}-low.npy", x.low)
+                    np.save(f"{folder}/{k}-{name}-high.npy", x.high)
+                    np.save(f"{folder}/{k}-{name}-shape.npy", np.array([x.width, x.n]))
+                else:
+                    np.save(f"{folder}/{k}-{name}.npy", np.array([x.least]) if isinstance(x, Quantiser) else x)
 
-        An n-gram whose first words are not a kept n-gram themselves is left out.
+    @classmethod
+    def load(cls, folder: str) -> Trie:
+        """The trie with its arrays mapped from the files."""
+
+        def mapped(name: str) -> np.ndarray:
+            path = f"{folder}/{name}.npy"
+            return np.load(path, mmap_mode="r") if os.path.getsize(path) > 128 else np.load(path)
+
+        levels: list[dict] = []
+        while os.path.exists(f"{folder}/{len(levels)}-keys-low.npy"):
+            k, level = len(levels), {}
+            for name in ("keys", "first")[: 1 + (k > 0)]:
+                width, n = mapped(f"{k}-{name}-shape")
+                level[name] = EliasFano(mapped(f"{k}-{name}-low"), mapped(f"{k}-{name}-high"), int(width), int(n))
+            if k:
+                level |= {"prob": mapped(f"{k}-prob"), "backoff": mapped(f"{k}-backoff")}
+                level |= {name: Quantiser(mapped(f"{k}-{name}")[0]) for name in ("scale", "backoff_scale")}
+            levels.append(level)
+        return cls(levels)
+
+    def roots(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of first words (ascending hashes) in level 0, -1 where absent."""
+        keys = self.levels[0]["keys"]
+        have = keys.decode(0, keys.n)
+        at = np.searchsorted(have, words)
+        out = np.minimum(at, max(len(have) - 1, 0))
+        return np.where(have[out] == words, out, -1) if len(have) else np.full(len(words), -1)
+
+    def children(self, k: int, node: np.ndarray, word: np.ndarray, run: int = 1 << 16) -> np.ndarray:
+        """Numbers in level k of the children `word` (hashes) of nodes of the level above (-1: none), -1 where absent.
+
+        Questions come in ascending order of nodes and words. A run of them reads the children from those of its first
+        context to those of its last, once, and finds each successor there.
         """
-        trie = cls(n_words, 1 + len(grams))
-        parents, context = np.arange(n_words, dtype=np.int64)[:, None], np.asarray(totals, np.float64)
-        for ids, counts in grams:
-            ids, counts = np.asarray(ids, np.int64), np.asarray(counts, np.int64)
-            node = cls._find(parents, ids[:, :-1], n_words)
-            ids, counts, node = ids[node >= 0], counts[node >= 0], node[node >= 0]
-            order = np.lexsort((ids[:, -1], node))
-            ids, counts, node = ids[order], counts[order], node[order]
-            kept = np.bincount(node, np.maximum(counts - discount, 0), minlength=len(parents))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                weight = np.where(context > 0, 1 - kept / context, 1.0)
-                prob = np.log10(np.maximum(counts - discount, 1e-9) / context[node])
-            weight = np.log10(np.clip(weight, 1e-9, 1))
-            if not trie.levels:
-                trie.unigram_backoff = weight
-            else:
-                trie.levels[-1]["backoff_scale"] = Quantiser(float(weight.min(initial=-1e-6)))
-                trie.levels[-1]["backoff"] = trie.levels[-1]["backoff_scale"].code(weight)
-            scale = Quantiser(float(prob.min(initial=-1e-6)))
-            # parent number * words + word is monotone: words of a node's children, lifted by the node
-            trie.levels.append({"keys": EliasFano.of(node * n_words + ids[:, -1]), "first": EliasFano.of(np.searchsorted(node, np.arange(len(parents) + 1))), "scale": scale, "prob": scale.code(prob), "backoff": None, "backoff_scale": Quantiser(-1.0)})
-            parents, context = ids, counts.astype(np.float64)
-        return trie
-
-    @staticmethod
-    def _find(parents: np.ndarray, ids: np.ndarray, n_words: int) -> np.ndarray:
-        """Row of parents (sorted) that equals each row of ids, -1 if none."""
-        if not len(parents):
-            return np.full(len(ids), -1)
-        def key(x: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(x), np.int64)
-            for k in range(x.shape[1]):
-                out = out * n_words + x[:, k]
-            return out
-        have, want = key(parents), key(ids)
-        at = np.minimum(np.searchsorted(have, want), len(have) - 1)
-        return np.where(have[at] == want, at, -1)
-
-    def child(self, level: int, node: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Position in that level (0 for order 2) of each node's child, -1 if none; equal questions are looked up once."""
-        store = self.levels[level]
-        out = np.full(len(node), -1, np.int64)
-        own = np.flatnonzero((node >= 0) & (word >= 0))
-        if not len(own) or not store["keys"].n:
-            return out
-        key, back = np.unique(node[own] * self.n_words + word[own], return_inverse=True)
-        above = key // self.n_words
-        lo, hi = store["first"].get(above).astype(np.int64), store["first"].get(above + 1).astype(np.int64)
-        at = store["keys"].successor(lo, hi, key.astype(np.uint64))
-        inside = at < hi
-        inside[inside] = store["keys"].get(at[inside]) == key[inside].astype(np.uint64)
-        out[own] = np.where(inside, at, -1)[back]
+        level, out = self.levels[k], np.full(len(node), -1, np.int64)
+        own = np.flatnonzero(node >= 0)
+        for i in range(0, len(own), run):
+            ask = own[i : i + run]
+            lo, hi = level["first"].get(np.array([node[ask[0]], node[ask[-1]] + 1])).astype(np.int64).tolist()
+            have, want = level["keys"].decode(lo, hi), lifted(node[ask], word[ask])
+            if len(have):
+                at = np.minimum(np.searchsorted(have, want), len(have) - 1)
+                out[ask] = np.where(have[at] == want, at + lo, -1)
         return out
 
-    def probabilities(self, ids: np.ndarray, starts: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-        """Probability of every token given those before it in its text.
 
-        ids: word ids, -1 for words outside the trie. starts: True where a text begins. unigram:
-        probabilities of the tokens without context. The node that a token's n-gram ends in is the context
-        of the next token one level down.
-        """
-        out, node = unigram.copy(), ids
-        for level, store in enumerate(self.levels):
-            context = np.concatenate([[-1], node[:-1]])
-            context[starts] = -1
-            node = self.child(level, context, ids)
-            seen = np.flatnonzero(context >= 0)
-            if level == 0:
-                weight = 10.0 ** self.unigram_backoff[context[seen]]
-            else:
-                below = self.levels[level - 1]
-                weight = below["backoff_scale"].values()[below["backoff"][context[seen]]] if len(below["backoff"]) else 1.0
-            found, own = node[seen], np.zeros(len(seen))
-            hit = found >= 0
-            own[hit] = store["scale"].values()[store["prob"][found[hit]]]
-            out[seen] = own + weight * out[seen]
+# --- packed counts and words ---------------------------------------------------------------
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Counts as bytes; those of 255 or more follow as 64-bit integers."""
+    return np.minimum(x, 255).astype(np.uint8).tobytes() + x[x >= 255].astype("<i8").tobytes()
+
+
+class _Reader:
+    def __init__(self, raw: bytes):
+        self.raw, self.at = raw, 0
+
+    def take(self, kind: str, n: int) -> np.ndarray:
+        out = np.frombuffer(self.raw, kind, n, self.at)
+        self.at += out.nbytes
         return out
 
-    def save(self) -> bytes:
-        """All arrays as the bytes of one archive."""
-        arrays: dict[str, np.ndarray] = {"shape": np.array([self.n_words, self.order]), "unigram_backoff": self.unigram_backoff}
-        for i, s in enumerate(self.levels):
-            for name in ("keys", "first"):
-                arrays |= {f"{i}_{name}_low": s[name].low, f"{i}_{name}_high": s[name].high, f"{i}_{name}_meta": np.array([s[name].bits, s[name].n])}
-            arrays |= {f"{i}_prob": s["prob"], f"{i}_backoff": s["backoff"] if s["backoff"] is not None else np.zeros(0, np.uint8), f"{i}_scale": np.array([s["scale"].least, s["backoff_scale"].least])}
-        out = io.BytesIO()
-        np.savez(out, **arrays)
-        return out.getvalue()
+    def counts(self, n: int) -> np.ndarray:
+        out = self.take("u1", n).astype(np.int64)
+        large = np.flatnonzero(out == 255)
+        out[large] = self.take("<i8", len(large))
+        return out
 
-    @classmethod
-    def load(cls, raw: bytes) -> Trie:
-        """The trie with its levels mapped from files of this process, removed once open."""
-        with np.load(io.BytesIO(raw)) as stored, tempfile.TemporaryDirectory(prefix="trie-") as folder:
-            mapped = {}
-            for name in stored.files:
-                path = os.path.join(folder, f"{name}.npy")
-                np.save(path, stored[name])
-                mapped[name] = np.load(path, mmap_mode="r") if stored[name].size else stored[name]
-        trie = cls(*(int(x) for x in mapped["shape"]))
-        trie.unigram_backoff = mapped["unigram_backoff"]
-        for i in range(trie.order - 1):
-            level = {name: EliasFano(mapped[f"{i}_{name}_low"], mapped[f"{i}_{name}_high"], *(int(x) for x in mapped[f"{i}_{name}_meta"])) for name in ("keys", "first")}
-            scale, backoff = mapped[f"{i}_scale"]
-            trie.levels.append(level | {"prob": mapped[f"{i}_prob"], "backoff": mapped[f"{i}_backoff"], "scale": Quantiser(float(scale)), "backoff_scale": Quantiser(float(backoff))})
-        return trie
+    def hashes(self, n: int) -> np.ndarray:
+        out = np.zeros((n, 8), np.uint8)
+        out[:, : WORD_BITS // 8] = self.take("u1", n * (WORD_BITS // 8)).reshape(n, WORD_BITS // 8)
+        return out.view("<u8").ravel()
 
 
 def held_out(doc_id: int | None, of: int = 10, rest: int = 0) -> bool:
     return crc32(str(doc_id).encode() if doc_id is not None else b"") % of == rest
 
 
-def _blocks(docs: DataFrame, n: int) -> DataFrame:
-    own = docs.select(C("doc_id").cast("long").alias("doc_id"), C("text").cast("string").alias("text"))
-    return own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(4 * n)).cast("int")).repartition(n, "block")
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block of documents: each word and its count in training documents."""
-    found: dict[int, Counter] = {}
-    for batch in batches:
-        for doc_id, text, block in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "block")), strict=True):
-            own = found.setdefault(block, Counter())
-            if held_out(doc_id):
-                for w in tokens(text):
-                    own[w] += 0
+class Block:
+    """The tokens of some texts and their distinct n-grams, which depend on the set of texts alone, not on its order.
+
+    words: ascending hashes. Level k has keys (number of the (k-1)-gram, number of the word) of the distinct k-grams; at[k] and which[k] say
+    at which tokens one ends and which one.
+    """
+
+    def __init__(self, table: pa.Table, order: int, hot: tuple[np.ndarray, np.ndarray], n_shards: int):
+        self.doc_id = table.column("doc_id")
+        texts = pc.fill_null(table.column("text"), "")
+        texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        local, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.binary()).to_pylist()
+        names.append(END)
+        real = np.fromiter((len(x) > 0 for x in names), bool, len(names))[local]  # white space at an end leaves empty pieces
+        kept = np.concatenate([[0], np.cumsum(real)])[bounds - bounds[0]]
+        self.sizes = np.diff(kept) + 1
+        self.first = np.cumsum(self.sizes) - self.sizes
+        own = np.full(int(self.sizes.sum()), len(names) - 1, np.int64)
+        last = np.zeros(len(own), bool)
+        last[self.first + self.sizes - 1] = True
+        own[~last] = local[real]
+        h = np.fromiter((xxhash.xxh64_intdigest(x or END) for x in names), np.uint64, len(names))
+        self.words, number = np.unique(h, return_inverse=True)
+        self.own, n = number[own], len(self.words)
+        self.flags = np.fromiter((held_out(x) for x in self.doc_id.to_pylist()), bool, len(self.sizes))
+        learned = np.repeat(~self.flags, self.sizes)
+        self.counts = [np.bincount(self.own[learned], minlength=n)]
+        self.keys, self.at, self.which = [np.arange(n)], [np.arange(len(own))], [self.own]
+        node, blocked = self.own, np.zeros(len(own), bool)  # blocked: no n-gram of this order ends here
+        blocked[self.first] = True
+        for _ in range(2, order + 1):
+            at = np.flatnonzero(~blocked)
+            keys, which = np.unique(node[at - 1] * n + self.own[at], return_inverse=True)
+            self.keys.append(keys)
+            self.at.append(at)
+            self.which.append(which)
+            self.counts.append(np.bincount(which[learned[at]], minlength=len(keys)))
+            node = np.full(len(own), -1, np.int64)
+            node[at] = which
+            blocked = blocked | np.concatenate([[True], blocked[:-1]])
+        self._deal(hot, n_shards)
+
+    def _deal(self, hot: tuple[np.ndarray, np.ndarray], n_shards: int) -> None:
+        """order[k]: level k by shard; bounds[k]: where each shard begins there; kids[k]: children of each in that order."""
+        n, kind = len(self.words), np.uint16 if n_shards < 1 << 16 else np.int64
+        home = (self.words % np.uint64(n_shards)).astype(np.int64)
+        spread = np.ones(n, np.int64)
+        if len(hot[0]) and n:
+            place = np.minimum(np.searchsorted(hot[0], self.words), len(hot[0]) - 1)
+            spread = np.where(hot[0][place] == self.words, hot[1][place], 1)
+        copies = np.repeat(np.arange(n), spread)
+        turn = np.arange(len(copies)) - np.repeat(np.cumsum(spread) - spread, spread)
+        shard = (home[copies] + turn) % n_shards
+        by = np.argsort(shard.astype(kind), kind="stable")
+        self.order, self.shards = [copies[by]], np.arange(n_shards + 1)
+        self.bounds, self.kids = [np.searchsorted(shard[by], self.shards)], []
+        place = shard[by] * n + copies[by]  # ascending
+        where = place
+        for k in range(1, len(self.keys)):
+            parent, word = self.keys[k] // n, self.keys[k] % n
+            if k == 1:
+                some = np.where(spread[parent] > 1, ((self.words[word] * _MIX) >> np.uint64(33)).astype(np.int64) % spread[parent], 0)
+                shard = (home[parent] + some) % n_shards
+                above = np.searchsorted(place, shard * n + parent)
             else:
-                own.update(tokens(text))
-    for block, counts in found.items():
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), block, np.int32)), pa.array(list(counts), pa.binary()), pa.array(np.fromiter(counts.values(), np.int64, len(counts)))], names=["block", "word", "n"])
+                shard, above = shard[parent], where[parent]
+            by = np.argsort(shard.astype(kind), kind="stable")
+            self.kids.append(np.bincount(above, minlength=len(self.order[-1])))
+            self.order.append(by)
+            self.bounds.append(np.searchsorted(shard[by], self.shards))
+            where = np.empty(len(by), np.int64)
+            where[by] = np.arange(len(by))
+        self.kids.append(np.zeros(len(self.order[-1]), np.int64))
+
+    def parcels(self) -> Iterator[tuple[int, bytes]]:
+        """(shard, packed trie) for each shard that has any of the n-grams."""
+        n = len(self.words)
+        raw = self.words.astype("<u8").view(np.uint8).reshape(n, 8)
+        words = [raw[o] if k == 0 else raw[self.keys[k][o] % n, : WORD_BITS // 8] for k, o in enumerate(self.order)]
+        counts = [c[o] for c, o in zip(self.counts, self.order, strict=True)]
+        for s in range(len(self.shards) - 1):
+            spans = [slice(int(b[s]), int(b[s + 1])) for b in self.bounds]
+            if spans[0].start == spans[0].stop:
+                continue
+            out = [np.array([x.stop - x.start for x in spans], "<i8").tobytes()]
+            for k, x in enumerate(spans):
+                out += [words[k][x].tobytes(), _pack(counts[k][x])]
+                if k < len(spans) - 1:
+                    out.append(_pack(self.kids[k][x]))
+            yield s, b"".join(out)
+
+    def scores(self, replies: list[bytes], facts: tuple[int, int, float], prior: float) -> list[np.ndarray]:
+        """n_known, base and score of each text. replies: in order of shards."""
+        total, types, d = facts
+        levels = len(self.order)
+        found = [[] for _ in range(levels)]
+        weight = [[] for _ in range(levels)]
+        for raw in replies:
+            read = _Reader(raw)
+            sizes = read.take("<i8", levels)
+            found[0].append(read.counts(int(sizes[0])))
+            for k in range(1, levels):
+                least, backoff = read.take("<f8", 2)
+                found[k].append(Quantiser(least).values(0.0)[read.take("u1", int(sizes[k]))])
+                weight[k].append(Quantiser(backoff).values(1.0)[read.take("u1", int(sizes[k]))])
+
+        def ordered(k: int, values: list[np.ndarray]) -> np.ndarray:
+            out = np.empty(len(self.keys[k]), values[0].dtype)
+            out[self.order[k]] = np.concatenate(values)
+            return out
 
+        counts = ordered(0, found[0])
+        unseen = max(d * types / total, 1e-9) if total else 1.0
+        base = np.log10((counts + 0.1) / (total + 0.1 * (types + 1)))[self.own]
+        now = np.where(counts > 0, np.maximum(counts - d, 1e-9) / max(total, 1), unseen)[self.own]
+        share = np.where(counts > 0, prior / (counts + prior), 1.0)[self.own]  # weight of the shorter context after a token
+        for k in range(1, levels):
+            at = self.at[k]
+            now[at] = ordered(k, found[k])[self.which[k]] + share[at - 1] * now[at]
+            share = np.ones(len(now))
+            share[at] = ordered(k, weight[k])[self.which[k]]
+        return [np.add.reduceat(x, self.first) for x in ((counts > 0).astype(np.int64)[self.own], base, np.log10(now))]
 
-def _frequent(words: DataFrame, total: int, share: float) -> dict[bytes, tuple[int, int]]:
-    """word -> (id, count) of the words with at least that share of all tokens: at most 1 / share."""
-    rows = words.filter(C("c") >= share * total).select("word", "c").collect()
-    return {bytes(r["word"]): (i, r["c"]) for i, r in enumerate(sorted(rows, key=lambda r: (-r["c"], bytes(r["word"]))))}
 
+REPLY = "shard int, block int, data binary, n long, types long, ones long, twos long"
 
-def _gram_counts(docs: DataFrame, ids: dict[bytes, int], order: int, least: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Of the orders 2..order: n-grams of the given words with at least `least` occurrences in training documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(ids)
-    n_words = max(len(ids), 1)
+
+def answer(shard: int, blocks: list[int], parcels: list[bytes], order: int, n_shards: int, prior: float, discount: float) -> pa.RecordBatch:
+    """Adds up the parcels of a shard, builds its trie and looks up in it what each block asks for.
+
+    n, types, ones, twos (on the first row): training tokens, distinct ones, and words seen once and twice of the words at home here.
+    """
+    words: list[list] = [[] for _ in range(order)]
+    counts: list[list] = [[] for _ in range(order)]
+    kids: list[list] = [[] for _ in range(order)]
+    sizes = []
+    for raw in parcels:
+        read = _Reader(raw)
+        sizes.append(read.take("<i8", order).tolist())
+        for k, n in enumerate(sizes[-1]):
+            words[k].append(read.take("<u8", n) if k == 0 else read.hashes(n))
+            counts[k].append(read.counts(n))
+            if k < order - 1:
+                kids[k].append(read.counts(n))
+    keys, which = np.unique(np.concatenate(words[0]), return_inverse=True)
+    totals = np.bincount(which, np.concatenate(counts[0]), len(keys)).astype(np.int64)
+    grams, inverse = [], [which]
+    for k in range(1, order):
+        parent = np.repeat(which, np.concatenate(kids[k - 1]))
+        own, which = np.unique(lifted(parent, np.concatenate(words[k])), return_inverse=True)
+        grams.append((own, np.bincount(which, np.concatenate(counts[k]), len(own)).astype(np.int64)))
+        inverse.append(which)
+    with tempfile.TemporaryDirectory(prefix="trie-") as folder:
+        Trie.of(keys, totals, grams, prior, discount).save(folder)
+        trie = Trie.load(folder)
+        node, found = trie.roots(keys), []
+        for k in range(1, order):
+            node = trie.children(k, node[(grams[k - 1][0] >> np.uint64(WORD_BITS)).astype(np.int64)], grams[k - 1][0] & np.uint64((1 << WORD_BITS) - 1))
+            level, hit = trie.levels[k], node >= 0
+            codes = [np.zeros(len(node), np.uint8) for _ in range(2)]
+            for code, name in zip(codes, ("prob", "backoff"), strict=True):
+                code[hit] = level[name][node[hit]]
+            found.append((np.array([level["scale"].least, level["backoff_scale"].least], "<f8").tobytes(), *codes))
+    at, data = [0] * order, []
+    for own in sizes:
+        spans = [slice(a, a + n) for a, n in zip(at, own, strict=True)]
+        at = [x.stop for x in spans]
+        out = [np.array(own, "<i8").tobytes(), _pack(totals[inverse[0][spans[0]]])]
+        for k in range(1, order):
+            scale, prob, backoff = found[k - 1]
+            out += [scale, prob[inverse[k][spans[k]]].tobytes(), backoff[inverse[k][spans[k]]].tobytes()]
+        data.append(b"".join(out))
+    home = totals[(keys % np.uint64(n_shards)).astype(np.int64) == shard]
+    facts = [int(home.sum()), int((home > 0).sum()), int((home == 1).sum()), int((home == 2).sum())]
+    rest = [pa.array([x] + [0] * (len(blocks) - 1), pa.int64()) for x in facts]
+    return pa.RecordBatch.from_arrays([pa.array([shard] * len(blocks), pa.int32()), pa.array(blocks, pa.int32()), pa.array(data, pa.binary()), *rest], names=["shard", "block", "data", "n", "types", "ones", "twos"])
+
+
+def _hot_words(docs: DataFrame, size: int, n_shards: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending hashes of the words that have half a shard's share of a sample's tokens or more (at most 2 n_shards), and over how many shards to spread each.
+
+    sample: bytes of the sample, about. What isn't found hot here only makes a shard larger.
+    """
+    some = docs.select("text").sample(min(1.0, sample / max(size, 1)), seed=5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            texts = [tokens(t) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) if not held_out(d)]
-            if not texts:
-                continue
-            own = np.fromiter(map(known.get, chain.from_iterable(texts), _MINUS), np.int64)
-            text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-            for k in range(2, order + 1):
-                if len(own) < k:
-                    continue
-                ok = text[k - 1 :] == text[: len(text) - k + 1]
-                key = np.zeros(len(own) - k + 1, np.int64)
-                for j in range(k):
-                    part = own[j : len(own) - k + 1 + j]
-                    ok &= part >= 0
-                    key = key * n_words + part
-                key, n = np.unique(key[ok], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k, np.int32)), pa.array(key), pa.array(n.astype(np.int64))], names=["k", "key", "n"])
-
-    rows = docs.select("doc_id", "text").mapInArrow(run, "k int, key long, n long").groupBy("k", "key").agg(F.sum("n").alias("n"))
-    found = rows.filter(C("n") >= least).toPandas()  # bounded by the share that `least` is of all tokens
-    out = []
-    for k in range(2, order + 1):
-        own = found[found["k"] == k]
-        key, ids_ = own["key"].to_numpy(np.int64), []
-        for _ in range(k):
-            ids_.append(key % n_words)
-            key = key // n_words
-        out.append((np.stack(ids_[::-1], axis=1).reshape(-1, k), own["n"].to_numpy(np.int64)))
-    return out
-
-
-class _Minus:
-    def __iter__(self):
-        return self
-
-    def __next__(self):
-        return -1
-
-
-_MINUS = _Minus()
-_TRIES: dict[int, Trie] = {}
+        for batch in slices(batches):
+            words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(batch.column("text"), ""))).flatten()
+            found = pc.value_counts(words)
+            n = found.field("counts").to_numpy()
+            often = n * 8 * n_shards >= n.sum()
+            h = np.fromiter((xxhash.xxh64_intdigest(x or END) for x in found.field("values").filter(pa.array(often)).cast(pa.binary()).to_pylist()), np.uint64, int(often.sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([h.view(np.int64), [0]])), pa.array(np.concatenate([n[often], [0]])), pa.array(np.concatenate([np.zeros(len(h), np.int64), [n.sum()]]))], names=["h", "n", "of"])
+
+    counts = some.mapInArrow(run, "h long, n long, of long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("of").alias("of"))
+    total = counts.agg(F.sum("of")).first()[0] or 0
+    rows = counts.filter(C("n") * 2 * n_shards >= F.lit(max(total, 1))).select("h", "n").toArrow()
+    h, n = rows.column("h").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    by = np.argsort(h)
+    return h[by], np.minimum(np.ceil(2.0 * n_shards * n[by] / max(total, 1)), n_shards).astype(np.int64)
 
 
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def scored(docs: DataFrame, order: int = 3, frequent: float = 2e-4, kept: float = 2e-6, discount: float = 0.75) -> DataFrame:
+def scored(docs: DataFrame, order: int = 3, prior: float = 300.0, discount: float = 0.75, block_bytes: int = 6 << 20, shard_bytes: int = 12 << 20, sample: int = 16 << 20) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Documents whose crc32(doc_id as text) mod 10 is 0 are held out; the others are learned from, whole. A null text is empty: one
     end. Repeated rows count and are scored as they are. A null doc_id is learned from or not by the crc32 of an empty text (0: held out). Without a training token all words are unknown.
-    frequent: share of tokens from which on a word can be in the trie; kept: share for its n-grams.
+    Only doc_id and text are read, so other columns may have any name. An empty table gives no rows. Words are told apart by 64-bit hashes, words after one context by 40 bits of them.
+    order: words of the longest n-gram, 2 at least. block_bytes, shard_bytes: text that one task's block or shard has, about; numbers of both grow with the input.
     """
     n = parts(docs.sparkSession)
-    dealt = _blocks(docs, n)
-    local = written(dealt.mapInArrow(_count_words, "block int, word binary, n long"))
-    words = written(local.groupBy("word").agg(F.sum("n").alias("c")))
-    facts = words.agg(F.sum("c").alias("N"), F.count(F.when(C("c") > 0, 1)).alias("V"), F.count(F.when(C("c") == 1, 1)).alias("ones"), F.count(F.when(C("c") == 2, 1)).alias("twos")).first()
-    total, types, ones, twos = (int(facts[x] or 0) for x in ("N", "V", "ones", "twos"))
-    common = _frequent(words.filter("c > 0"), max(total, 1), frequent)
-    ids = {w: i for w, (i, _) in common.items()}
-    grams = _gram_counts(docs.select(C("doc_id").cast("long").alias("doc_id"), C("text").cast("string").alias("text")), ids, order, max(2.0, kept * total))
-    trie = Trie.of(max(len(ids), 1), np.array([c for _, c in sorted(common.values())] or [0]), grams, discount)
-    model = docs.sparkSession.sparkContext.broadcast((ids, trie.save()))
+    own = docs.select(C("doc_id").cast("long").alias("doc_id"), C("text").cast("string").alias("text"))
+    size = own.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    n_blocks, n_shards = max(n, -(-size // block_bytes)), max(n, -(-size // shard_bytes))
+    hot = _hot_words(own, size, n_shards, sample)
+    dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")).groupBy("block")
+
+    def send(table: pa.Table) -> pa.Table:
+        found = list(Block(table, order, hot, n_shards).parcels())
+        block = table.column("block")[0].as_py()
+        return pa.table({"shard": pa.array([s for s, _ in found], pa.int32()), "block": pa.array([block] * len(found), pa.int32()), "data": pa.array([x for _, x in found], pa.binary())})
+
+    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[list, list]] = {}
+        for batch in batches:
+            for shard, block, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "block", "data")), strict=True):
+                blocks, parcels = held.setdefault(shard, ([], []))
+                blocks.append(block)
+                parcels.append(data)
+        for shard in list(held):
+            yield answer(shard, *held.pop(shard), order, n_shards, prior, discount)
+
+    parcels = dealt.applyInArrow(send, "shard int, block int, data binary")
+    replies = written(parcels.repartitionById(n_shards, C("shard")).mapInArrow(reply, REPLY))
+    found = replies.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "types", "ones", "twos")]).first()
+    total, types, ones, twos = map(int, found)
     # discount of unigrams by Ney's estimate; what it takes from them is what unknown words get
-    d = ones / (ones + 2 * twos) if ones else 0.5
-    facts_of_words = (total, types, d)
+    facts = (total, types, ones / (ones + 2 * twos) if ones else 0.5)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, raw = model.value
-        tag = id(model)
-        if tag not in _TRIES:
-            _TRIES.clear()
-            _TRIES[tag] = Trie.load(raw)
-        trie, (total, types, d) = _TRIES[tag], facts_of_words
-        names, counts = right.column("word").to_pylist(), right.column("c").to_numpy()
-        place = dict(zip(names, range(len(names)), strict=True))
-        known_ids = np.fromiter(map(ids.get, names, _MINUS), np.int64, len(names))
-        # everything that a word alone decides, once for each word of the block
-        unseen = max(d * types / total, 1e-9) if total else 1.0
-        bases = np.log10((counts + 0.1) / (total + 0.1 * (types + 1)))
-        alone = np.where(counts > 0, np.maximum(counts - d, 1e-9) / max(total, 1), unseen)
-        out = []
-        for batch in slices(left.to_batches(), size=4 << 20):
-            texts = [tokens(t) for t in batch.column("text").to_pylist()]
-            sizes = np.array([len(t) for t in texts])
-            own = np.fromiter(map(place.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
-            starts, first = np.zeros(len(own), bool), np.cumsum(sizes) - sizes
-            starts[first] = True
-            base, known = bases[own], counts[own] > 0
-            score = np.log10(trie.probabilities(known_ids[own], starts, alone[own]))
-            sums = [np.add.reduceat(x, first) for x in (known.astype(np.int64), base, score)]
-            flags = [held_out(x) for x in batch.column("doc_id").to_pylist()]
-            columns = [batch.column("doc_id"), pa.array(flags), pa.array(sizes.astype(np.int64)), pa.array(sums[0]), pa.array(np.full(len(sizes), total, np.int64)), pa.array(sums[1]), pa.array(sums[2])]
-            out.append(pa.RecordBatch.from_arrays(columns, schema=SCORES))
-        return pa.Table.from_batches(out, schema=SCORES)
-
-    needs = local.select("block", "word").join(words.withColumnRenamed("word", "_word"), C("word") == C("_word")).select("block", "word", "c")
-    both = dealt.groupBy("block").cogroup(needs.repartition(n, "block").groupBy("block"))
+        block = Block(left, order, hot, n_shards)
+        by = np.argsort(right.column("shard").to_numpy())
+        data = right.column("data")
+        sums = block.scores([data[i].as_py() for i in by.tolist()], facts, prior)
+        known, base, of = sums
+        columns = [block.doc_id, pa.array(block.flags), pa.array(block.sizes), pa.array(known), pa.array(np.full(len(known), total, np.int64)), pa.array(base), pa.array(of)]
+        return pa.Table.from_arrays([x if isinstance(x, pa.ChunkedArray) else pa.chunked_array([x]) for x in columns], schema=SCORES)
+
+    both = dealt.cogroup(replies.select("block", "shard", "data").groupBy("block"))
     return both.applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -324,41 +324,68 @@ def test_texts_without_repeats_stay_valid(spark):
 def test_elias_fano(values, wanted):
     values = np.sort(np.array(values))
     coded = ngram_trie.EliasFano.of(values)
-    assert (coded.get(np.arange(len(values))) == values).all()
+    assert (coded.get(np.arange(len(values))) == values).all() and (coded.decode(len(values) // 3, len(values)) == values[len(values) // 3 :]).all()
     assert coded.successor(np.array([0]), np.array([len(values)]), np.array([wanted], np.uint64))[0] == np.searchsorted(values, wanted)
 
 
-def test_trie_is_a_distribution():
-    rng = np.random.default_rng(3)
-    text = rng.integers(0, 12, 4000)
-    grams = [tuple(np.unique(np.stack([text[i : len(text) - k + 1 + i] for i in range(k)], axis=1), axis=0, return_counts=True)) for k in (2, 3)]
-    totals = np.bincount(text, minlength=12)
-    trie = ngram_trie.Trie.load(ngram_trie.Trie.of(12, totals, grams).save())
-    for context in ([], [3], [3, 5], [11, 0, 7]):
-        sums = []
-        for w in range(12):
-            ids = np.array([*context, w])
-            starts = np.zeros(len(ids), bool)
-            starts[0] = True
-            sums.append(trie.probabilities(ids, starts, totals[ids] / totals.sum())[-1])
-        assert abs(sum(sums) - 1) < 0.1  # probabilities are quantised
-
-
-def test_lm_scores(docs, corpus):
-    counts = collections.Counter()
+class PlainModel:
+    """The model by dictionaries, without quantised values."""
+
+    def __init__(self, texts, order, prior, discount):
+        self.counts, self.order, self.prior, self.discount = collections.Counter(), order, prior, discount
+        for own in texts:
+            for k in range(1, order + 1):
+                self.counts.update(tuple(own[i : i + k]) for i in range(len(own) - k + 1))
+        ones = [n for g, n in self.counts.items() if len(g) == 1]
+        self.total, self.types = sum(ones), len(ones)
+        once, twice = ones.count(1), ones.count(2)
+        self.d = once / (once + 2 * twice) if once else 0.5
+        self.followers = collections.Counter(g[:-1] for g in self.counts)
+
+    def probability(self, gram):
+        n = self.counts[gram]
+        if len(gram) == 1:
+            return (n - self.d) / self.total if n else self.d * self.types / self.total
+        shorter, context = self.probability(gram[1:]), self.counts[gram[:-1]]
+        if not context:
+            return shorter
+        if len(gram) == 2:
+            return (n + self.prior * shorter) / (context + self.prior)
+        return max(n - self.discount, 0) / context + self.discount * self.followers[gram[:-1]] / context * shorter
+
+    def score(self, own):
+        return sum(math.log10(self.probability(tuple(own[max(0, i + 1 - self.order) : i + 1]))) for i in range(len(own)))
+
+
+def lm_tokens(text):
+    return [w.lower() if w.isascii() else re.sub("[A-Z]", lambda m: m.group().lower(), w) for w in words(text)] + ["\n end"]
+
+
+@pytest.mark.parametrize("order,shard_bytes", [(2, 1 << 20), (3, 1 << 20), (3, 400), (4, 5000)])
+def test_lm_scores(docs, corpus, order, shard_bytes):
+    learned = [lm_tokens(t) for i, t in corpus if zlib.crc32(str(i).encode()) % 10]
+    model = PlainModel(learned, order, 20.0, 0.75)
+    known = [g[0] for g in model.counts if len(g) == 1]
+    context = tuple(learned[0][: order - 1])  # a distribution: all words, and what the class of unknown ones gets
+    assert abs(sum(model.probability((*context, w)) for w in known) + model.probability((*context, "unknown")) - 1) < 1e-9
+    got = {r.doc_id: r for r in ngram_trie.scored(docs, order=order, prior=20.0, block_bytes=15_000, shard_bytes=shard_bytes).collect()}
     for i, t in corpus:
-        if zlib.crc32(str(i).encode()) % 10:
-            counts.update(ngram_trie.tokens(t))
-    total, types = sum(counts.values()), len(counts)
-    got = {r.doc_id: r for r in ngram_trie.scored(docs).collect()}
-    for i, t in corpus:
-        own = ngram_trie.tokens(t)
-        r = got[i]
-        base = sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (types + 1))) for w in own)
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(i).encode()) % 10 == 0, len(own), sum(counts[w] > 0 for w in own), total)
-        assert abs(r.base_score - base) < 1e-6 * max(1, len(own)) and r.score <= 0
-    held = [r for r in got.values() if r.held_out]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+        own, r = lm_tokens(t), got[i]
+        base = sum(math.log10((model.counts[(w,)] + 0.1) / (model.total + 0.1 * (model.types + 1))) for w in own)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(i).encode()) % 10 == 0, len(own), sum(model.counts[(w,)] > 0 for w in own), model.total)
+        assert abs(r.base_score - base) < 1e-6 * len(own) and abs(r.score - model.score(own)) < 0.012 * len(own)
+
+
+def test_words_that_fill_a_shard_are_spread(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["the", f"w{rng.randrange(300)}"]) for _ in range(200))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    h, n = ngram_trie._hot_words(docs, 1, 16, 1 << 20)
+    assert len(h) == 1 and n[0] >= 8
+    model = PlainModel([lm_tokens(t) for i, t in rows if zlib.crc32(str(i).encode()) % 10], 3, 300.0, 0.75)
+    for r in ngram_trie.scored(docs, shard_bytes=3000, block_bytes=9000).collect():
+        own = lm_tokens(rows[r.doc_id][1])
+        assert abs(r.score - model.score(own)) < 0.012 * len(own)
 
 
 # --- mixing ----------------------------------------------------------------------------------
