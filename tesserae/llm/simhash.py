@@ -221,9 +221,10 @@ def trie_links(prints: DataFrame, budget: int = 3, blocks: int | None = None, he
     n = parts(spark)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        if not table.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         turn, key = table.column("turn").to_numpy(), table.column("key").to_numpy().view(np.uint64)
         sub, side = table.column("sub").to_numpy(), table.column("side").to_numpy()
         order = np.lexsort((side, key, sub, turn))
@@ -419,11 +420,18 @@ def _open_pairs(sigs: DataFrame, roots: DataFrame, least: float, star: bool) ->
     """Distinct pairs (a, b) of keys of different roots that share a sig and can be alike by size and place; star: only those with a sig's first text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        if not table.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         sig, key, n, at, root = (table.column(c).to_numpy().astype(np.int64) for c in ("sig", "key", "n", "at", "root"))
         order = np.lexsort((key, sig))
+        starts = np.flatnonzero(np.concatenate([[True], sig[order][1:] != sig[order][:-1]]))
+        # a shingle whose texts are one group already has nothing to say
+        several = np.minimum.reduceat(root[order], starts) < np.maximum.reduceat(root[order], starts)
+        order = order[np.repeat(several, np.diff(np.concatenate([starts, [len(order)]])))]
+        if not len(order):
+            return
         sig, key, n, at, root = (x[order] for x in (sig, key, n, at, root))
         starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         ends = np.repeat(np.concatenate([starts[1:], [len(sig)]]), np.diff(np.concatenate([starts, [len(sig)]])))
@@ -452,7 +460,7 @@ def _true_links(docs: DataFrame, pairs: DataFrame, words: int, least: float) ->
     return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(words, least), "a long, b long").select(C("a").alias("u"), C("b").alias("v")))
 
 
-def one_of_each(docs: DataFrame, shingle: int = 2, budget: int = 8, blocks: int = 10, words: int = 5, least: float = 0.8) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 2, budget: int = 4, blocks: int | None = None, words: int = 5, least: float = 0.8) -> DataFrame:
     """docs without near duplicates: columns as they are.
 
     Texts whose shingles of `words` words are at least `least` alike (Jaccard), both read whole, are linked, and of each component the
