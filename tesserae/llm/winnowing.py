@@ -1,20 +1,18 @@
 """Document fingerprints by winnowing, with SQL functions only.
 
-Grams are runs of `gram` words; in every window of `window` grams the least hash is chosen, the
+Grams are runs of `gram` words, hashed by a rolling (cyclic polynomial) hash; in every window of `window` grams the least hash is chosen, the
 rightmost among equals, and kept with its position. Two texts that share gram + window - 1 words in a
 row share a fingerprint. A text with fewer words than a gram is a gram itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import running_totals, words
+from .common import parts, words
 
 C = F.col
-#: Stands for a null doc_id, before all others.
-NONE = -(2**63)
 
 
 def _let(value: Column, body) -> Column:
@@ -22,12 +20,37 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def _turned(x: Column, by: int) -> Column:
+    """The 64 bits of x rotated to the left."""
+    return F.shiftleft(x, by).bitwiseOR(F.shiftrightunsigned(x, 64 - by))
+
+
+def rolled(h: Column, n: int) -> Column:
+    """Cyclic polynomial hashes of all runs of n of h: the values of a hash that rolls along h, one word in and one out at a time.
+
+    Neighbouring runs share their halves: a run of 2 m is one of m, rotated by m, with the next one of m.
+    """
+
+    def joined(left: Column, right: Column, size: int, by: int) -> Column:
+        """Runs of `size` with the run that follows, `by` words long."""
+        return F.transform(F.slice(left, 1, F.greatest(F.size(right) - size, F.lit(0))), lambda x, i: _turned(x, by).bitwiseXOR(F.get(right, i + size)))
+
+    def grow(runs: Column, size: int, digits: str) -> Column:
+        if not digits:
+            return runs
+        double = joined(runs, runs, size, size)
+        if digits[0] == "0":
+            return _let(double, lambda x: grow(x, 2 * size, digits[1:]))
+        return _let(double, lambda x: _let(joined(x, h, 2 * size, 1), lambda y: grow(y, 2 * size + 1, digits[1:])))
+
+    return grow(h, 1, f"{n:b}"[1:])
+
+
 def grams(text: Column, gram: int = 5) -> Column:
     """Hashes of all grams, in order of their positions; one at least."""
 
     def of(h: Column) -> Column:
-        run = F.transform(F.sequence(F.lit(0), F.size(h) - gram), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(gram)]))
-        return F.when(F.size(h) >= gram, run).otherwise(F.array(F.xxhash64(F.lit(gram), h)))
+        return F.when(F.size(h) >= gram, F.transform(rolled(h, gram), lambda x: F.xxhash64(x))).otherwise(F.array(F.xxhash64(F.lit(gram), h)))
 
     return _let(F.transform(words(text), lambda w: F.xxhash64(w)), of)
 
@@ -51,8 +74,8 @@ def winnow(text: Column, gram: int = 5, window: int = 4) -> Column:
 
 
 def hashes(fingerprint: Column) -> Column:
-    """The distinct hashes of a fingerprint, of which 32 bits stand for a likeness and take half the room on their way."""
-    return F.array_distinct(F.transform(fingerprint, lambda x: F.shiftright(F.shiftleft(x["hash"], 32), 32).cast("int")))
+    """The distinct hashes of a fingerprint."""
+    return F.array_distinct(F.transform(fingerprint, lambda x: x["hash"]))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -66,48 +89,60 @@ def shown(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda x: F.concat(F.hex(x["hash"]), F.lit(":"), x["at"].cast("string"))), " ")
 
 
-def _keyed(docs: DataFrame, *kept: Column) -> DataFrame:
-    """_id and _o tell rows apart: rows with one doc_id are numbered by their texts' hashes."""
-    from pyspark.sql import Window
-
-    own = docs.select(F.coalesce(C("doc_id").cast("long"), F.lit(NONE)).alias("_id"), F.xxhash64("text").alias("_h"), *kept)
-    return own.withColumn("_o", F.row_number().over(Window.partitionBy("_id").orderBy("_h"))).drop("_h")
+def _ranges(docs: DataFrame, n: int, sample: int = 100) -> Column:
+    """Number of the range, of about n, that a row's _key is in; ranges ascend. Their bounds come from about n * sample keys."""
+    total = docs.count()
+    keys = sorted(r["_key"] for r in docs.select("_key").sample(min(1.0, n * sample / max(total, 1)), seed=3).collect())
+    bounds = sorted({keys[len(keys) * k // n] for k in range(1, n)}) if keys else []
+    if not bounds:
+        return F.lit(0)
+    kind = docs.schema["_key"].dataType.simpleString()
+    known = F.array(*[F.struct(F.lit(k), F.lit(i).cast("long"), F.lit(t).cast("long")).cast(kind) for k, i, t in bounds])
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda at, step: at + F.when(F.coalesce(F.get(known, at + step - 1) <= C("_key"), F.lit(False)), step).otherwise(0))
 
 
-def with_next(docs: DataFrame, gram: int, window: int) -> DataFrame:
-    """docs (doc_id, text) with _head, the first quarter-length code points of the next text,
-    and _next, the hashes of the next text's fingerprint; next is by ascending doc_id, at the end the first.
+def in_order(docs: DataFrame, per_part: int = 4) -> tuple[DataFrame, Window]:
+    """(rows, window): docs (doc_id, text) in whose window, by ascending doc_id, each row is followed by the next one, the last one by the first.
 
-    Texts move once, hashed by doc_id; what a document gets from the next one is a head of the
-    length it asks for and hashes. Numbering goes over doc_ids and lengths alone.
+    Texts move once, by ranges of doc_id (and of a hash of the text, so that rows with one doc_id need not meet). The first row of a range is
+    also put behind the range before, marked `_extra`. Only range bounds and first keys, as many as ranges, come to the driver.
     """
     text = F.coalesce(C("text").cast("string"), F.lit(""))
-    small = _keyed(docs, F.floor(F.length(text) / 4).cast("int").alias("_m"))
-    small = running_totals(small, ["_id", "_o"], {"_rank": F.lit(1)}).select("_id", "_o", "_m", "_rank")
-    total = docs.count()
-    asks = small.select(C("_id").alias("_to"), C("_o").alias("_to_o"), "_m", F.pmod(C("_rank") + 1, F.lit(max(total, 1))).alias("_wanted"))
-    asks = asks.join(small.select("_rank", C("_id").alias("_from"), C("_o").alias("_from_o")), C("_wanted") == C("_rank")).drop("_wanted", "_rank")
-    full = _keyed(docs, text.alias("text"))
-    # both joins read one dealing of the texts: it must have the same columns for both
-    # equal ids are rare: they are told apart after the join, so that all joins share one dealing of the texts
-    told = full.join(asks, (C("_id") == C("_from")) & (C("_o") - C("_from_o") == 0))
-    told = told.select("_to", "_to_o", F.substring("text", F.lit(1), C("_m")).alias("_head"), hashes(winnow(C("text"), gram, window)).alias("_next"))
-    return full.join(told, (C("_id") == C("_to")) & (C("_o") - C("_to_o") == 0)).select(F.nullif("_id", F.lit(NONE)).alias("doc_id"), "text", "_head", "_next")
+    i = C("doc_id").cast("long")
+    own = docs.select(i.alias("doc_id"), text.alias("text"), F.struct(i.isNotNull().alias("k"), F.coalesce(i, F.lit(0)).alias("i"), F.xxhash64(text).alias("t")).alias("_key"))
+    own = own.withColumn("_range", _ranges(own, per_part * parts(docs.sparkSession)))
+    firsts = {r["_range"]: r["first"] for r in own.groupBy("_range").agg(F.min("_key").alias("first")).collect()}
+    order = sorted(firsts)
+    before = dict(zip(order, [order[-1], *order[:-1]] if order else [], strict=True))
+    there = F.struct(C("_range").alias("_range"), F.lit(False).alias("_extra"))
+    places = F.array(there)
+    if order:
+        kind = own.schema["_key"].dataType.simpleString()
+        every = range(order[-1] + 1)
+        first = F.array(*[F.struct(F.lit(firsts[r]["k"]), F.lit(firsts[r]["i"]).cast("long"), F.lit(firsts[r]["t"]).cast("long")).cast(kind) if r in firsts else F.lit(None).cast(kind) for r in every])
+        earlier = F.array(*[F.lit(before.get(r, 0)) for r in every])
+        also = F.struct(F.get(earlier, C("_range")).alias("_range"), F.lit(True).alias("_extra"))
+        places = F.when(F.coalesce(F.get(first, C("_range")) == C("_key"), F.lit(False)), F.array(there, also)).otherwise(places)
+    rows = own.withColumn("_place", F.explode(places)).select("doc_id", "text", "_key", "_place._range", "_place._extra")
+    return rows, Window.partitionBy("_range").orderBy("_extra", "_key")
 
 
 def compared(docs: DataFrame, gram: int = 5, window: int = 4) -> DataFrame:
     """Fingerprints of all docs (doc_id, text), of their edited texts, and likenesses.
 
-    The edited text has the next document's first code points in place of its last quarter.
+    The edited text has the next document's first code points in place of its last quarter; next is by ascending doc_id, null first, then by a
+    hash of the text, at the end the first.
     Null texts are empty; a text without words has a fingerprint of one gram, like that of any other such text;
-    rows with equal doc_ids are documents of their own; an empty table gives no rows.
+    rows with equal doc_ids are documents of their own; other columns may have any name; an empty table gives no rows.
     """
-    both = with_next(docs, gram, window)
-    kept = F.length("text") - F.floor(F.length("text") / 4).cast("int")
-    both = both.withColumn("_edited", F.concat(F.substring("text", F.lit(1), kept), C("_head")))
-    both = both.select("doc_id", "_next", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"), winnow(C("text"), gram, window).alias("_f"), winnow(C("_edited"), gram, window).alias("_e"))
-    both = both.withColumns({"_fh": hashes(C("_f")), "_eh": hashes(C("_e"))})
-    return both.select(
+    rows, follows = in_order(docs)
+    drop = F.floor(F.length("text") / 4).cast("int")
+    rows = rows.withColumn("_head", F.substring(F.lead("text").over(follows), F.lit(1), drop)).withColumn("_f", winnow(C("text"), gram, window))
+    rows = rows.withColumn("_fh", hashes(C("_f"))).withColumn("_next", F.lead("_fh").over(follows)).filter(~C("_extra"))
+    rows = rows.withColumn("_edited", F.concat(F.substring("text", F.lit(1), F.length("text") - drop), "_head"))
+    rows = rows.select("doc_id", "_f", "_fh", "_next", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"), winnow(C("_edited"), gram, window).alias("_e"))
+    return rows.select(
         "doc_id", "n_chars", "edited_sha256", shown(C("_f")).alias("fingerprint"), shown(C("_e")).alias("edited_fingerprint"),
-        likeness(C("_fh"), C("_eh")).alias("near_edited"), likeness(C("_fh"), C("_next")).alias("near_next"),
+        likeness(C("_fh"), hashes(C("_e"))).alias("near_edited"), likeness(C("_fh"), C("_next")).alias("near_next"),
     )

@@ -165,6 +165,37 @@ def test_edited_texts(docs, corpus):
     assert all(len(v) == 1 for v in by_text.values())
 
 
+def test_likeness_of_fingerprints(spark, docs, corpus):
+    got = {r.doc_id: r for r in winnowing.compared(docs).collect()}
+    hashes = lambda shown: {x.split(":")[0] for x in shown.split()}
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+    for k, (doc_id, _) in enumerate(corpus):
+        r, after = got[doc_id], got[corpus[(k + 1) % len(corpus)][0]]
+        own = hashes(r.fingerprint)
+        assert abs(r.near_edited - jaccard(own, hashes(r.edited_fingerprint))) < 1e-12
+        assert abs(r.near_next - jaccard(own, hashes(after.fingerprint))) < 1e-12
+    # what is chosen from a text alone is what is chosen there beside other texts, and positions are those of grams
+    one = spark.createDataFrame([(t,) for _, t in corpus[:40]], "t string").select(winnowing.winnow(C("t")).alias("f")).collect()
+    for (doc_id, _), r in zip(corpus[:40], one, strict=True):
+        assert got[doc_id].fingerprint == " ".join(f"{x['hash'] % 2**64:X}:{x['at']}" for x in r.f)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 7, 8, 13])
+def test_rolling_hash(spark, n):
+    turn = lambda x, by: ((x << (by % 64)) | (x >> (64 - by % 64))) % 2**64
+    h = [random.Random(n).getrandbits(64) for _ in range(30)] + [7] * 20
+    signed = np.array(h, np.uint64).view(np.int64).tolist()
+    got = spark.createDataFrame([(signed,)], "h array<bigint>").select(winnowing.rolled(C("h"), n).alias("g")).first().g
+    value = 0
+    for x in h[:n]:
+        value = turn(value, 1) ^ x
+    want = [value]
+    for out, into in zip(h, h[n:], strict=False):
+        value = turn(value, 1) ^ turn(out, n) ^ into
+        want.append(value)
+    assert [x % 2**64 for x in got] == want
+
+
 def brute_components(ids, prints, budget):
     label = {i: i for i in ids}
     near = [(a, b) for a, x in zip(ids, prints, strict=True) for b, y in zip(ids, prints, strict=True) if a < b and bin(x ^ y).count("1") <= budget]
