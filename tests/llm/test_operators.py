@@ -453,6 +453,44 @@ def test_mix(docs, corpus):
         assert abs(taken[s] - want[s]) <= 8 + 0.02 * want[s]
 
 
+def test_shards_are_multinomial_draws(spark, docs, corpus):
+    rows = [(i, f"s{i % 3}", " ".join(["w"] * (40 + i % 90))) for i in range(900)]
+    many = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    _, sources = mixing.laid_out(many, block_words=8)
+    want = {r.source: r.n_slots for r in sources.collect()}
+    draw, total = mixing.drawn(sources, shard_blocks=128).collect(), sum(want.values())
+    counts, first = collections.Counter(), collections.defaultdict(dict)
+    for r in draw:
+        counts[r.shard] += r.n
+        first[r.source][r.shard] = (r.first, r.n)
+    n_shards = -(-total // 128)
+    assert sorted(counts) == list(range(n_shards)) and all(counts[k] == 128 for k in range(n_shards - 1))
+    chi = 0.0
+    for source, by_shard in first.items():
+        at = 0
+        for k in sorted(by_shard):
+            assert by_shard[k][0] == at
+            at += by_shard[k][1]
+        assert at == want[source]
+        own = [by_shard.get(k, (0, 0))[1] for k in range(n_shards - 1)]
+        mean = 128 * want[source] / total
+        chi += sum((x - mean) ** 2 / mean for x in own)
+    free = (n_shards - 1) * (len(want) - 1)
+    assert abs(chi - free) < 5 * math.sqrt(2 * free) and n_shards > 30
+    assert sorted(map(tuple, draw)) == sorted(map(tuple, mixing.drawn(sources, shard_blocks=128).collect()))
+
+
+def test_shards_hold_what_is_taken(docs):
+    taken, places, shards = collections.Counter(), collections.defaultdict(set), collections.defaultdict(set)
+    for r in mixing.mixed_shards(docs, block_words=8, shard_blocks=64).collect():
+        taken[r.doc_id] += r.words
+        places[r.shard].add(r.place)
+        shards[r.doc_id].add(r.shard)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values()) and len(places) > 10
+    for r in mixing.mix(docs, block_words=8, shard_blocks=64).collect():
+        assert (r.taken, r.shards) == (taken[r.doc_id], len(shards[r.doc_id]))
+
+
 def test_permutation(spark):
     df = spark.range(1000).select(mixing.permuted(C("id"), F.lit(1000), F.lit(5).cast("long")).alias("p"), C("id"))
     back = df.select("id", "p", mixing.permuted(C("p"), F.lit(1000), F.lit(5).cast("long"), inverse=True).alias("b")).collect()
