@@ -1,8 +1,9 @@
 """License scans: sparse TF-IDF cosine of passages to templates, then inheritance by directory.
 
 Every line of a text with a cue of licensing is a passage (lines that follow each other are one, and
-long ones are cut into sentences too), and so is every run of words in the paragraph around a cue that has the cue's words
-and a template's length; its TF-IDF vector is compared with the templates'. An SPDX tag names its license. A
+long ones are cut into sentences too), and so is every run of words in the paragraphs around a cue (those that follow each other and have
+cues) that has the cue's words and a template's length; its TF-IDF vector is compared with the templates', which are statements, headers of
+source files, titles, and conditions of license files. Of templates that fit about as well the longest counts, since licenses contain one another. An SPDX tag names its license. A
 file without a license of its own takes that of the nearest directory above it with a license file.
 """
 
@@ -18,13 +19,44 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import slices
+from .common import slices, written
 
 C = F.col
 
-# Usual statements and openings of public licenses, by SPDX identifier.
+# Usual statements, headers, titles and conditions of public licenses, by SPDX identifier.
+_REDISTRIBUTION = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+_BSD_2 = _REDISTRIBUTION + "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_3 = _BSD_2 + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_FREE_SOFTWARE = "is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
 TEMPLATES = [
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-2-Clause", _REDISTRIBUTION),
+    ("BSD-2-Clause", _BSD_2),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-3-Clause", _BSD_3),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. CC0 1.0 Universal public domain dedication."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "This program " + _FREE_SOFTWARE.format("", 2)),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "This program " + _FREE_SOFTWARE.format("", 3)),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-2.1", "This library " + _FREE_SOFTWARE.format("Lesser", 2.1)),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "This library " + _FREE_SOFTWARE.format("Lesser", 3)),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("AGPL-3.0", "This program " + _FREE_SOFTWARE.format("Affero", 3)),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
@@ -50,7 +82,7 @@ TEMPLATES = [
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
 ]
 
-_CUE = re.compile(r"licen[sc]|permission is hereby|rights reserved|public domain|redistribut|free software|spdx|creative commons|\bcc[ -]?(?:by|0)", re.IGNORECASE)
+_CUE = re.compile(r"licen[sc]|permission (?:is|to use)\b|hereby granted|neither the name|rights reserved|public domain|redistribut|free software|spdx|creative commons|\bcc[ -]?(?:by|0)", re.IGNORECASE)
 _SPDX = re.compile(r"SPDX-License-Identifier:\s*\(?([A-Za-z0-9.\-]+?)(?:-only|-or-later)?\+?(?![A-Za-z0-9.\-+])", re.IGNORECASE)
 #: A line without letters or digits (blank, or a bare comment mark) ends a paragraph.
 _BREAK = re.compile(r"\n[^\w\n]*(?=\n)")
@@ -76,14 +108,15 @@ class Matcher:
             for w, n in bag.items():
                 self.by_word.setdefault(w, []).append((k, n * self.idf[w] / norm))
 
-    def cosine(self, passage: str) -> tuple[float, str | None]:
-        bag = Counter(_WORD.findall(passage.lower()))
+    def cosines(self, words: list[str]) -> dict[int, float]:
+        """Cosine to each template that has any of the words."""
+        bag = Counter(words)
         norm = math.sqrt(sum((n * self.idf.get(w, self.rare)) ** 2 for w, n in bag.items()))
         sums: dict[int, float] = {}
         for w, n in bag.items():
             for k, x in self.by_word.get(w, ()):
                 sums[k] = sums.get(k, 0.0) + n * self.idf[w] * x
-        return max(((s / norm, self.names[k]) for k, s in sums.items()), default=(0.0, None))
+        return {k: s / norm for k, s in sums.items()}
 
     def passages(self, text: str) -> Iterator[str]:
         """Lines with a cue, and runs of them; of long ones also the sentences with a cue."""
@@ -111,29 +144,33 @@ class Matcher:
                 yield from (s for s in _SENTENCE.split(line) if _CUE.search(s))
 
     def stretches(self, text: str) -> Iterator[tuple[list[str], int, int]]:
-        """Words around cues, within a paragraph and a template's length, with the places of the first and last word of a cue."""
+        """Words around cues, within paragraphs with cues and a template's length, with the places of the first and last word of a cue."""
         breaks = [(m.start(), m.end()) for m in _BREAK.finditer(text)]
-        spans, words, at = [(a, b) for a, b in zip([0, *(e for _, e in breaks)], [*(b for b, _ in breaks), len(text)], strict=True)], [], -1
-        lowered, starts = "", []
-        for cue in _CUE.finditer(text):
-            k = bisect_right(spans, (cue.start(), len(text) + 1)) - 1
-            if k != at:
-                at, lowered = k, text[spans[k][0] : spans[k][1]].lower()
-                found = [(m.start(), m.group()) for m in _WORD.finditer(lowered)]
+        spans = list(zip([0, *(e for _, e in breaks)], [*(b for b, _ in breaks), len(text)], strict=True))
+        cues = [(m.start(), m.end()) for m in _CUE.finditer(text)]
+        own = [bisect_right(spans, (begin, len(text) + 1)) - 1 for begin, _ in cues]
+        at, starts, words = -1, [], []
+        for (begin, end), k in zip(cues, own, strict=True):
+            if k > at:  # the run of paragraphs with cues that begins here
+                at = k
+                for other in own:
+                    at += other == at + 1
+                low = spans[k][0]
+                found = [(m.start() + low, m.group()) for m in _WORD.finditer(text[low : spans[at][1]].lower())]
                 starts, words = [x for x, _ in found], [w for _, w in found]
-            first = max(bisect_right(starts, cue.start() - spans[k][0]) - 1, 0)
-            last = max(bisect_left(starts, cue.end() - spans[k][0]) - 1, first)
-            low, high = max(0, last + 1 - self.longest), first + self.longest
-            yield words[low:high], first - low, last - low
+            first = max(bisect_right(starts, begin) - 1, 0)
+            last = max(bisect_left(starts, end) - 1, first)
+            left = max(0, last + 1 - self.longest)
+            yield words[left : first + self.longest], first - left, last - left
 
-    def slid(self, words: list[str], first: int, last: int, score: float) -> tuple[float, str | None]:
-        """The best of the windows of each template's length that have the words first..last, if better than `score`."""
+    def slid(self, words: list[str], first: int, last: int) -> Iterator[tuple[int, float]]:
+        """(template, cosine) of the windows of a template's length that have the words first..last, where it may be `least`."""
         idf = np.array([self.idf.get(w, self.rare) for w in words])
         weights = np.zeros((len(self.lengths), len(words) + 1))
         for i, w in enumerate(words):
             for k, x in self.by_word.get(w, ()):
                 weights[k, i + 1] = idf[i] * x
-        dots, norms, name = weights.cumsum(1), np.concatenate([[0.0], (idf**2).cumsum()]), None
+        dots, norms = weights.cumsum(1), np.concatenate([[0.0], (idf**2).cumsum()])
         for k, n in enumerate(self.lengths):
             n = min(n, len(words))
             a = np.arange(max(0, last + 1 - n), min(first, len(words) - n) + 1)
@@ -141,31 +178,49 @@ class Matcher:
                 continue
             # repeated words only lengthen a vector, so this is not less than the cosine
             most = (dots[k, a + n] - dots[k, a]) / np.sqrt(norms[a + n] - norms[a])
-            for i in a[most > max(score, self.least - 1e-9)][np.argsort(-most[most > max(score, self.least - 1e-9)])].tolist():
-                own = self.cosine(" ".join(words[i : i + n]))
-                if own[0] > score:
-                    score, name = own
-        return score, name
+            best = 0.0
+            for i in np.argsort(-most).tolist():
+                if most[i] < max(best, self.least) - 1e-9:
+                    break
+                best = max(best, self.cosines(words[a[i] : a[i] + n]).get(k, 0.0))
+            if best:
+                yield k, best
+
+    def scores(self, text: str) -> dict[int, float]:
+        """The best cosine of a passage of the text to each template; of those below `least` not all."""
+        found: dict[int, float] = {}
+        for passage in self.passages(text):
+            for k, x in self.cosines(_WORD.findall(passage.lower())).items():
+                found[k] = max(x, found.get(k, 0.0))
+        for words, first, last in self.stretches(text):
+            for k, x in self.slid(words, first, last):
+                found[k] = max(x, found.get(k, 0.0))
+        return found
 
     def best(self, text: str | None) -> tuple[str | None, float]:
-        """License and cosine of a text's best passage; the license is null below `least`."""
+        """License and cosine of the template that fits best, of those within 0.05 of it the longest, then the last by name; the license is null below `least`."""
         text = text or ""
         if not _CUE.search(text):
             return None, 0.0
         tags = [self.spdx[x.lower()] for x in _SPDX.findall(text) if x.lower() in self.spdx]
         if tags:
             return max(tags), 1.0
-        score, name = max((self.cosine(p) for p in self.passages(text)), key=lambda x: (x[0], x[1] or ""), default=(0.0, None))
-        if score < 1 - 1e-9:
-            for words, first, last in self.stretches(text):
-                more, other = self.slid(words, first, last, score)
-                if other is not None:
-                    score, name = more, other
-        return (name if score >= self.least else None), min(score, 1.0)
+        found = self.scores(text)
+        top = max(found.values(), default=0.0)
+        if top < self.least - 1e-9:
+            return None, top
+        k = max((k for k, x in found.items() if x >= max(top - 0.05, self.least - 1e-9)), key=lambda k: (self.lengths[k], self.names[k]))
+        return self.names[k], min(found[k], 1.0)
+
+
+RESULTS = ("own_license", "own_score", "license", "origin", "inherited")
 
 
 def own_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = 0.72) -> DataFrame:
-    """files (path, text and others) without text, with own_license and own_score. Whole texts are read; a null text has none."""
+    """files (path, text and others) without text, with own_license and own_score. Whole texts are read; a null or empty text has none.
+
+    Input columns with the names of RESULTS give way; others may have any name.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(templates, least)
@@ -173,43 +228,51 @@ def own_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
             found = [matcher.best(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=["_row", "own_license", "own_score"])
 
-    rest = [c for c in files.columns if c not in ("text", "own_license", "own_score")]
-    held = files.select(C("text").cast("string").alias("text"), F.struct(*rest).alias("_row"))
-    kind = held.schema["_row"].dataType.simpleString()
-    return held.mapInArrow(run, f"_row {kind}, own_license string, own_score double").select("_row.*", "own_license", "own_score")
+    rest = [c for c in files.columns if c not in ("text", *RESULTS)]
+    held = files.select(C("text").cast("string").alias("text"), F.struct(*[C(f"`{c}`") for c in rest]).alias("_row"))
+    kind = T.StructType([held.schema["_row"], T.StructField("own_license", T.StringType()), T.StructField("own_score", T.DoubleType())])
+    return held.mapInArrow(run, kind).select("_row.*", "own_license", "own_score")
 
 
 def inherited(scanned: DataFrame) -> DataFrame:
-    """Adds license (own or inherited), origin (the path it comes from) and inherited to scanned (path, own_license, own_score).
+    """Adds license (own or inherited), origin (the path it comes from) and inherited to scanned (path, own_license, own_score and others), which is read three times.
 
     Directories are resolved once each, not file by file; a directory's license file with the best score counts,
-    then the first path. A null path has no directory. Files of one large directory meet one row in a join that AQE can split.
+    then the first path. A null path has no directory. Repeated rows get equal results. Files of one large directory meet one row in a join that AQE can split.
     """
-    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
-    files = scanned.withColumn("_folder", folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    given = files.filter(name.rlike(LICENSE_FILE) & C("own_license").isNotNull())
-    given = given.groupBy(C("_folder").alias("_at")).agg(F.max_by(F.struct(C("own_license").alias("license"), C("path").alias("origin")), F.struct("own_score", F.hash("path"), "path")).alias("_given"))
+    files = scanned.select(F.struct("*").alias("_row"), C("path").alias("_path"), C("own_license").alias("_own"), C("own_score").alias("_score"), F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("_folder"))
+    name = F.element_at(F.split("_path", "/"), -1)
+    given = files.filter(name.rlike(LICENSE_FILE) & C("_own").isNotNull())
+    given = given.groupBy(C("_folder").alias("_at")).agg(F.min_by(F.struct(C("_own").alias("license"), C("_path").alias("origin")), F.struct(-C("_score"), "_path")).alias("_given"))
     folders = files.select("_folder").filter(C("_folder").isNotNull()).distinct()
     pieces = F.split("_folder", "/")
     up = folders.withColumn("_depth", F.explode(F.sequence(F.lit(0), F.size(pieces)))).withColumn("_above", F.array_join(F.slice(pieces, F.lit(1), C("_depth")), "/"))
     near = up.join(given, C("_above") == C("_at")).groupBy(C("_folder").alias("_of")).agg(F.max_by("_given", "_depth").alias("_near"))
     out = files.join(near, C("_folder") == C("_of"), "left")
-    own = C("own_license").isNotNull()
+    own = C("_own").isNotNull()
     return out.select(
-        *scanned.columns, F.coalesce("own_license", "_near.license").alias("license"),
-        F.when(own, C("path")).otherwise(C("_near.origin")).alias("origin"), (~own & C("_near").isNotNull()).alias("inherited"),
+        *[C("_row")[c].alias(c) for c in scanned.columns], F.coalesce("_own", "_near.license").alias("license"),
+        F.when(own, C("_path")).otherwise(C("_near.origin")).alias("origin"), (~own & C("_near").isNotNull()).alias("inherited"),
     )
 
 
 def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = 0.72) -> DataFrame:
-    return inherited(own_licenses(files, templates, least))
+    """files (path, text and others) without text, with own_license, own_score, license, origin and inherited: own_licenses(), then inherited().
+
+    A row for each row of files: texts are read once, what is found in them is written. Null or empty texts have no license of their own but may
+    inherit one; repeated rows get equal results; an empty table gives no rows.
+    """
+    return inherited(written(own_licenses(files, templates, least)))
 
 
 def as_tree(docs: DataFrame) -> DataFrame:
-    """documents laid out as a tree: source / thousand / fifty; each thousandth and each fiftieth document is its directory's license file."""
+    """doc_id, path, text: documents laid out as a tree: source / thousand / fifty; each thousandth and each fiftieth document is its directory's license file.
+
+    A null source is the directory `none`; a null doc_id has a null path; rows that share a doc_id share a path.
+    """
     i = C("doc_id")
     thousand, fifty = F.floor(i / 1000).cast("string"), F.floor(i / 50).cast("string")
     source = F.coalesce("source", F.lit("none"))
-    path = F.when(i % 1000 == 0, F.concat_ws("/", source, thousand, F.lit("LICENSE"))).when(i % 50 == 0, F.concat_ws("/", source, thousand, fifty, F.lit("LICENSE"))).otherwise(F.concat_ws("/", source, thousand, fifty, F.concat(i.cast("string"), F.lit(".txt"))))
+    inner = F.when(i % 1000 == 0, F.concat_ws("/", source, thousand, F.lit("LICENSE"))).when(i % 50 == 0, F.concat_ws("/", source, thousand, fifty, F.lit("LICENSE")))
+    path = F.when(i.isNotNull(), inner.otherwise(F.concat_ws("/", source, thousand, fifty, F.concat(i.cast("string"), F.lit(".txt")))))
     return docs.select("doc_id", path.alias("path"), "text")
