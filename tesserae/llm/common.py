@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
     """A fresh path in the folder that driver and executors share.
 
     The folder is the one named by spark.checkpoint.dir; a local one is made only where
-    that setting is absent, as in tests on local masters.
+    that setting is absent, on local masters as in tests; elsewhere that is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,22 +37,42 @@ def shared_dir(spark: SparkSession) -> str:
         made = sc._jsc.sc().getCheckpointDir()
         if made.isDefined():
             root = made.get()
+        elif not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         else:
             root = tempfile.mkdtemp(prefix="tesserae-")
             sc.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-#: Tables written in this process and not yet swept.
-SCRATCH: list[str] = []
+class Scratch:
+    """The tables that written() makes while this is the innermost one open; drop() deletes them.
 
+        with Scratch(spark) as scratch:
+            result = operator(docs)
+        result.write.parquet(path)
+        scratch.drop()
 
-def sweep(spark: SparkSession) -> None:
-    """Delete the tables that written() has made so far. Plans that read them must have run."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(SCRATCH.pop())
-        path.getFileSystem(conf).delete(path, True)
+    Results are lazy, so drop() belongs after the result has been written. Tables made outside of any Scratch stay.
+    """
+
+    open: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        Scratch.open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scratch.open.remove(self)
+
+    def drop(self) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        while self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(conf).delete(path, True)
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -65,7 +85,8 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path, before = shared_dir(spark), spark.conf.get(CLEANUP, "false")
-    SCRATCH.append(path)
+    if Scratch.open:
+        Scratch.open[-1].paths.append(path)
     spark.conf.set(CLEANUP, "true")
     try:
         df.write.parquet(path)

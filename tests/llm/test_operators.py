@@ -581,6 +581,76 @@ def test_wrapped_licenses():
     assert matcher.best("plain words\n\nthe license office was closed and\nnobody in the public domain of words came")[0] is None
 
 
+def test_license_files():
+    matcher = license_scan.Matcher()
+    bsd = """Copyright (c) 2001, Some One
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+"""
+    third = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+    after = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"\nAND ANY EXPRESS OR IMPLIED WARRANTIES'
+    files = {
+        "BSD-2-Clause": bsd + after, "BSD-3-Clause": "BSD 3-Clause License\n\n" + bsd + third + after,
+        "Apache-2.0": "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions.\n",
+        "GPL-3.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n",
+        "LGPL-2.1": "                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n",
+        "MIT": "MIT License\n\nCopyright (c) 2020 A\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n",
+        "ISC": "Copyright 2010 B\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n",
+    }
+    assert {name: matcher.best(text)[0] for name, text in files.items()} == {name: name for name in files}
+
+
+def test_license_cosine_by_brute_force():
+    rng = random.Random(8)
+    bags = [collections.Counter(re.findall(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*", t.lower())) for _, t in license_scan.TEMPLATES]
+    seen = collections.Counter(w for b in bags for w in b)
+    idf = lambda w: math.log((1 + len(bags)) / (1 + seen[w])) + 1
+
+    def cosine(a, b):
+        norm = lambda x: math.sqrt(sum((n * idf(w)) ** 2 for w, n in x.items()))
+        return sum(n * b[w] * idf(w) ** 2 for w, n in a.items()) / (norm(a) * norm(b))
+
+    matcher, lexicon = license_scan.Matcher(), sorted(seen) + ["river", "stone", "walk"]
+    for _ in range(60):
+        _, text = rng.choice(license_scan.TEMPLATES)
+        own = [w if rng.random() > 0.15 else rng.choice(lexicon) for w in re.findall(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*", text.lower())]
+        got = matcher.cosines(own)
+        assert all(abs(got.get(k, 0.0) - cosine(collections.Counter(own), b)) < 1e-9 for k, b in enumerate(bags))
+        # no window of a template's length around a cue is better than what is found
+        words = [rng.choice(lexicon) for _ in range(20)] + own + [rng.choice(lexicon) for _ in range(20)]
+        line = " ".join(words)
+        found = matcher.scores(line)
+        for m in license_scan._CUE.finditer(line):
+            at = line.count(" ", 0, m.start())
+            for k, b in enumerate(bags):
+                n = b.total()
+                windows = [words[i : i + n] for i in range(max(0, at - n + 1), min(at, len(words) - n) + 1)]
+                best = max((cosine(collections.Counter(w), b) for w in windows if license_scan._CUE.search(" ".join(w))), default=0.0)
+                ends = line.count(" ", 0, m.end() - 1)
+                if best >= 0.72 and ends == at:
+                    assert found.get(k, 0.0) >= best - 1e-9
+
+
+def test_license_columns_that_clash(spark):
+    files = spark.createDataFrame([("a/LICENSE", "Released under the MIT License.", "x", 1, "y", True, "f", "g"), ("a/b", None, "x", 1, "y", True, "f", "g")], "path string, text string, license string, origin int, own_license string, inherited boolean, _folder string, `odd.name` string")
+    out = license_scan.scan(files)
+    assert out.columns == ["path", "_folder", "odd.name", "own_license", "own_score", "license", "origin", "inherited"]
+    assert {(r.path, r.license, r.origin, r.inherited) for r in out.collect()} == {("a/LICENSE", "MIT", "a/LICENSE", False), ("a/b", "MIT", "a/LICENSE", True)}
+
+
 def test_pipeline(spark, docs, tmp_path, corpus):
     docs.withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long")).write.parquet(f"{tmp_path}/documents.parquet")
     now = common.documents(spark, str(tmp_path))
@@ -596,5 +666,9 @@ def test_pipeline(spark, docs, tmp_path, corpus):
         for k in range(len(raw) - 99):
             windows[raw[k : k + 100]].add(i)
     assert all(len(v) == 1 for v in windows.values())
-    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    lazy = simhash.near_duplicates(docs)
+    first, second = corpus_pipeline.run(spark, str(tmp_path)), corpus_pipeline.run(spark, str(tmp_path))
+    out = first.collect()
+    assert sorted(map(str, out)) == sorted(map(str, second.collect()))
+    assert lazy.count() == docs.count()  # the pipeline deletes only tables of its own
     assert out and {r.doc_id for r in out} <= {i for i, _ in rows}
