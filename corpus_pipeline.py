@@ -1,7 +1,10 @@
 """A corpus pipeline of five stages over the table documents; each takes what the one before kept.
 
-A stage's result is written before the next stage begins, so each begins by deleting the tables that operators
-have left in the shared folder until then.
+In every stage a null text is an empty one, rows that are repeated or share a doc_id are rows of their own unless the stage says otherwise, columns
+beside doc_id, text and source may have any name and pass through, texts are read whole, and an empty table gives an empty one.
+
+Tables that a stage's operator leaves in the shared folder are deleted when the next stage of the same run begins, as the
+stage's result has been written by then, and at the end of run().
 """
 
 from __future__ import annotations
@@ -11,39 +14,50 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tesserae.llm import mixing, packing, quality_cascade, simhash, suffix_dedup
-from tesserae.llm.common import documents, shared_dir, sweep
+from tesserae.llm.common import Scratch, documents, shared_dir
+
+#: What the stage that was last called for an input has left, by input; run() keeps its own.
+_LEFT: dict[str, Scratch] = {}
+
+
+def _stage(spark: SparkSession, sf_dir: str, first: bool, build: Callable[[], DataFrame]) -> DataFrame:
+    left = _LEFT.pop(sf_dir, None)
+    if left and not first:
+        left.drop()
+    with Scratch(spark) as scratch:
+        out = build()
+    _LEFT[sf_dir] = scratch
+    return out
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a quality rule rejects go."""
-    sweep(spark)
-    return quality_cascade.keep_good(docs)
+    """Documents that a quality rule rejects go; those without words are rejected."""
+    return _stage(spark, sf_dir, True, lambda: quality_cascade.keep_good(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8) stays."""
-    sweep(spark)
-    return simhash.one_of_each(docs)
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8) stays, that of the least doc_id.
+
+    Rows that share a doc_id stay or go together; a null doc_id stays unless a document with a doc_id has an equal text.
+    """
+    return _stage(spark, sf_dir, False, lambda: simhash.one_of_each(docs))
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of 50-byte strings that an earlier document has go."""
-    sweep(spark)
-    return suffix_dedup.without_repeats(docs, width=50)
+    """Bytes of 50-byte strings that an earlier document has go; a null doc_id is the earliest. Documents of which nothing is left go."""
+    return _stage(spark, sf_dir, False, lambda: suffix_dedup.without_repeats(docs, width=50))
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stand as often as the mix of sources takes them."""
-    sweep(spark)
-    return mixing.mixed_documents(docs)
+    """Documents stand as often as the mix of sources takes them; those without words go. A null source is a source."""
+    return _stage(spark, sf_dir, False, lambda: mixing.mixed_documents(docs))
 
 
 def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens: a row for each piece of a document."""
+    """Sequences of at most 2048 tokens: a row for each piece of a document; an empty document is one end."""
     import public_tokenizers
 
-    sweep(spark)
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, window=2048)
+    return _stage(spark, sf_dir, False, lambda: packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, window=2048))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -59,8 +73,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over the documents of sf_dir, written like those of the others. Runs don't touch each other's tables."""
     docs, root = documents(spark, sf_dir), shared_dir(spark)
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
-        docs = spark.read.parquet(f"{root}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, stage in STAGES:
+        out = stage(spark, docs, root)
+        out.write.parquet(f"{root}/{name}")
+        docs = spark.read.schema(out.schema).parquet(f"{root}/{name}")
+    _LEFT.pop(root).drop()
+    return docs
