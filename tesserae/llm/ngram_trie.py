@@ -4,7 +4,7 @@ Documents are dealt to blocks, n-grams to shards: a shard has some first words w
 frequent that they would fill a shard are spread over several by their second word. Which words these are is read from a sample; it decides
 where n-grams are kept, never what is counted.
 
-1. A block sends each shard its distinct n-grams as a small packed trie: words of all orders with their
+1. A block is a row of a table, its texts compressed. It sends each shard its distinct n-grams as a small packed trie: words of all orders with their
    training counts, those of documents held out with a count of zero.
 2. A shard adds these up and builds its trie: level k has the n-grams of k words. A word is stored as its hash lifted by
    its parent's number, so a level is one monotone sequence in Elias-Fano coding; where the children of a node begin is a second one. Probabilities
@@ -36,7 +36,7 @@ from .common import parts, slices, written
 
 C = F.col
 END = b" end"  # no word holds a space
-#: Bits of a word's hash below its parent's number.
+#: Bits of a word's hash below its parent's number, and bytes that travel: after one word there are more followers to tell apart than after two.
 WORD_BITS = 40
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -259,12 +259,17 @@ class _Reader:
         out[large] = self.take("<i8", len(large))
         return out
 
-    def hashes(self, n: int) -> np.ndarray:
+    def hashes(self, n: int, width: int) -> np.ndarray:
         out = np.zeros((n, 8), np.uint8)
-        out[:, : WORD_BITS // 8] = self.take("u1", n * (WORD_BITS // 8)).reshape(n, WORD_BITS // 8)
+        out[:, :width] = self.take("u1", n * width).reshape(n, width)
         return out.view("<u8").ravel()
 
 
+def sent_bytes(k: int) -> int:
+    """Bytes of a word's hash that travel at level k."""
+    return 8 if k == 0 else WORD_BITS // 8 if k == 1 else 4
+
+
 def held_out(doc_id: int | None, of: int = 10, rest: int = 0) -> bool:
     return crc32(str(doc_id).encode() if doc_id is not None else b"") % of == rest
 
@@ -350,7 +355,7 @@ class Block:
         """(shard, packed trie) for each shard that has any of the n-grams."""
         n = len(self.words)
         raw = self.words.astype("<u8").view(np.uint8).reshape(n, 8)
-        words = [raw[o] if k == 0 else raw[self.keys[k][o] % n, : WORD_BITS // 8] for k, o in enumerate(self.order)]
+        words = [raw[o if k == 0 else self.keys[k][o] % n, : sent_bytes(k)] for k, o in enumerate(self.order)]
         counts = [c[o] for c, o in zip(self.counts, self.order, strict=True)]
         for s in range(len(self.shards) - 1):
             spans = [slice(int(b[s]), int(b[s + 1])) for b in self.bounds]
@@ -412,7 +417,7 @@ def answer(shard: int, blocks: list[int], parcels: list[bytes], order: int, n_sh
         read = _Reader(raw)
         sizes.append(read.take("<i8", order).tolist())
         for k, n in enumerate(sizes[-1]):
-            words[k].append(read.take("<u8", n) if k == 0 else read.hashes(n))
+            words[k].append(read.hashes(n, sent_bytes(k)))
             counts[k].append(read.counts(n))
             if k < order - 1:
                 kids[k].append(read.counts(n))
@@ -482,7 +487,7 @@ def scored(docs: DataFrame, order: int = 3, prior: float = 300.0, discount: floa
 
     Documents whose crc32(doc_id as text) mod 10 is 0 are held out; the others are learned from, whole. A null text is empty: one
     end. Repeated rows count and are scored as they are. A null doc_id is learned from or not by the crc32 of an empty text (0: held out). Without a training token all words are unknown.
-    Only doc_id and text are read, so other columns may have any name. An empty table gives no rows. Words are told apart by 64-bit hashes, words after one context by 40 bits of them.
+    Only doc_id and text are read, so other columns may have any name. An empty table gives no rows. Words are told apart by 64-bit hashes, words after one word by 40 bits of them, after two or more by 32.
     order: words of the longest n-gram, 2 at least. block_bytes, shard_bytes: text that one task's block or shard has, about; numbers of both grow with the input.
     """
     n = parts(docs.sparkSession)
@@ -492,10 +497,20 @@ def scored(docs: DataFrame, order: int = 3, prior: float = 300.0, discount: floa
     hot = _hot_words(own, size, n_shards, sample)
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")).groupBy("block")
 
-    def send(table: pa.Table) -> pa.Table:
-        found = list(Block(table, order, hot, n_shards).parcels())
-        block = table.column("block")[0].as_py()
-        return pa.table({"shard": pa.array([s for s, _ in found], pa.int32()), "block": pa.array([block] * len(found), pa.int32()), "data": pa.array([x for _, x in found], pa.binary())})
+    def pack(table: pa.Table) -> pa.Table:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table)
+        return pa.table({"block": table.column("block").slice(0, 1), "texts": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+    def unpacked(texts: pa.Scalar) -> Block:
+        return Block(pa.ipc.open_stream(texts.as_buffer()).read_all(), order, hot, n_shards)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, texts in zip(batch.column("block"), batch.column("texts"), strict=True):
+                found = list(unpacked(texts).parcels())
+                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int32()), pa.array([block.as_py()] * len(found), pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["shard", "block", "data"])
 
     def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
@@ -507,7 +522,8 @@ def scored(docs: DataFrame, order: int = 3, prior: float = 300.0, discount: floa
         for shard in list(held):
             yield answer(shard, *held.pop(shard), order, n_shards, prior, discount)
 
-    parcels = dealt.applyInArrow(send, "shard int, block int, data binary")
+    blocks = written(dealt.applyInArrow(pack, "block int, texts binary"))
+    parcels = blocks.mapInArrow(send, "shard int, block int, data binary")
     replies = written(parcels.repartitionById(n_shards, C("shard")).mapInArrow(reply, REPLY))
     found = replies.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "types", "ones", "twos")]).first()
     total, types, ones, twos = map(int, found)
@@ -515,7 +531,7 @@ def scored(docs: DataFrame, order: int = 3, prior: float = 300.0, discount: floa
     facts = (total, types, ones / (ones + 2 * twos) if ones else 0.5)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        block = Block(left, order, hot, n_shards)
+        block = unpacked(left.column("texts")[0])
         by = np.argsort(right.column("shard").to_numpy())
         data = right.column("data")
         sums = block.scores([data[i].as_py() for i in by.tolist()], facts, prior)
@@ -523,5 +539,5 @@ def scored(docs: DataFrame, order: int = 3, prior: float = 300.0, discount: floa
         columns = [block.doc_id, pa.array(block.flags), pa.array(block.sizes), pa.array(known), pa.array(np.full(len(known), total, np.int64)), pa.array(base), pa.array(of)]
         return pa.Table.from_arrays([x if isinstance(x, pa.ChunkedArray) else pa.chunked_array([x]) for x in columns], schema=SCORES)
 
-    both = dealt.cogroup(replies.select("block", "shard", "data").groupBy("block"))
+    both = blocks.groupBy("block").cogroup(replies.select("block", "shard", "data").groupBy("block"))
     return both.applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
