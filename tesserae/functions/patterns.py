@@ -13,6 +13,16 @@ LEAK = rf"%(?:\d+\$)?{SPEC}[A-Za-z]"
 GATE_PRINTF = r"%(?:\d+\$)?[sdfucxXob]|%%"
 MASK_TOKEN = r"%(?:\d+\$)?[sdfucxXob]|%%|\$[A-Za-z_][A-Za-z0-9_]*|\{[^{}]*\}"
 
+# Forms in which a numbered sentinel leaks out of machine translation, in the order in which they are mended.
+SENTINEL_LEAKS = [
+    r"ZZ(\d+)ZZ", r"ZZ(\d+)Z", r"Z(\d+)ZZ+", r"Z(\d+)Z", r"ZZ(\d+)",
+    r'"\s*\u2022?\s*(\d+)\s*\u2022?\s*"', r"\u2022\s*(\d+)", r"(\d+)\s*\u2022", r'"(\d+)"',
+]
+# Code points that a translation has only by accident (music notes, mathematical alphanumerics, box drawing, geometric
+# shapes, miscellaneous symbols but for ballot boxes, dingbats), and Greek.
+ARTIFACTS = r"[\x{2669}-\x{266F}\x{1D400}-\x{1D7FF}\x{2500}-\x{257F}\x{25A0}-\x{25FF}\x{2600}-\x{260F}\x{2613}-\x{26FF}\x{2700}-\x{27BF}]"
+GREEK = r"[\x{0370}-\x{03FF}\x{1F00}-\x{1FFF}]"
+
 # Markup, bracket tokens, identifiers.
 TAG_NAMES = "code|strong|em|b|i|u|a|br|p|span|div|ul|ol|li|small|sup|sub"
 TAG = rf"(?i)</?(?:{TAG_NAMES})(?:[^\p{{L}}\p{{N}}_<>][^<>]*)?>"

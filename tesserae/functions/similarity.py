@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import difflib
+import math
 import re
 import unicodedata
+from collections import Counter
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -24,20 +27,39 @@ def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(best, dtype="float64")
 
 
-def _letters_in_order(short: str, long_: str) -> bool:
-    return re.search(".*".join(map(re.escape, short)), long_, re.DOTALL) is not None
+@dataclass(frozen=True)
+class Likeness:
+    """How a token of the target compares with a missing one of the source."""
+
+    ratio: float  # Ratcliff-Obershelp
+    letters: float  # share of the source token's different letters that the other has
+    apart: int  # difference of lengths
+    rest: float  # length of the other, as a share
+    anagram: bool
+    hollow: bool  # the other is the token without some letters inside, its first two and its end's order kept
+
+    @classmethod
+    def of(cls, token: str, other: str) -> Likeness:
+        left = iter(token)
+        inside = len(other) < len(token) and all(c in left for c in other) and not token.startswith(other)
+        return cls(
+            ratio(token, other), len({*token} & {*other}) / len({*token}), abs(len(token) - len(other)), len(other) / len(token),
+            Counter(token) == Counter(other), inside and len(other) >= 3 and other[:2] == token[:2],
+        )
+
+
+# What makes a technical token a near miss (least ratio, least share of letters, greatest difference of lengths), either of
+# these; and the least length of a word in capitals for stress that lost letters.
+TECHNICAL = [(0.7, 0.0, math.inf), (0.5, 0.75, 2)]
+STRESSED_REST = 0.7
 
 
 def near_miss(token: str, other: str) -> bool:
     """other looks like token with a slip. Words in capitals for stress count only when letters inside are missing."""
+    like = Likeness.of(token, other)
     if token in P.ORDINARY_CAPS:
-        shorter = 3 <= len(other) < len(token) and len(other) >= 0.7 * len(token)
-        return shorter and token[:2] == other[:2] and not token.startswith(other) and _letters_in_order(other, token)
-    if sorted(token) == sorted(other):
-        return False
-    alike = ratio(token, other)
-    common = len(set(token) & set(other)) / len(set(token))
-    return alike >= 0.7 or (common >= 0.75 and alike >= 0.5 and abs(len(token) - len(other)) <= 2)
+        return like.hollow and like.rest >= STRESSED_REST
+    return not like.anagram and any(like.ratio >= least and like.letters >= share and like.apart <= most for least, share, most in TECHNICAL)
 
 
 @F.pandas_udf(BooleanType())
@@ -60,14 +82,22 @@ def mask(text: str) -> tuple[str, list[str]]:
     return _TOKENS.sub(put, text), found
 
 
+_LEAKS = [re.compile(r"[zZ]\s*[xX]\s*(\d+)\s*[xX]\s*[zZ]"), *map(re.compile, P.SENTINEL_LEAKS)]
+
+
 def unmask(text: str, found: list[str]) -> str:
-    """Sentinels, also with spaces or letters of another case, as what they stand for; unknown numbers stay."""
+    """Sentinels, also with spaces or letters of another case, and their known leaked forms, as what they stand for; unknown numbers stay.
+
+    Forms are tried in order over the whole text; without tokens nothing changes.
+    """
 
     def put(match: re.Match) -> str:
-        i = int(match.group(1))
-        return found[i] if i < len(found) else match.group()
+        return found[int(match.group(1))] if int(match.group(1)) < len(found) else match.group()
 
-    return re.sub(r"[zZ]\s*[xX]\s*(\d+)\s*[xX]\s*[zZ]", put, text)
+    if found:
+        for form in _LEAKS:
+            text = form.sub(put, text)
+    return text
 
 
 @F.pandas_udf(StringType())

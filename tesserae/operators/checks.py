@@ -200,7 +200,7 @@ def englishleak(src, dst, locale, prose: tuple[str, ...] = ("with", "from", "thi
     return locale.isin(*P.SCRIPTS) & F.coalesce(F.arrays_overlap(leaked, latin(src)), F.lit(False))
 
 
-#: Our own markers of negation; a locale without an entry is not checked.
+#: Our own markers of negation by language (fr for fr_FR); a locale without an entry is not checked.
 NEGATION = {
     "en": r"(?i)(?:^|[^\p{L}])(?:not|no|never|none|cannot|without|nor|neither|nothing|[a-z]+n't)(?:[^\p{L}]|$)",
     "fr": r"(?i)(?:^|[^\p{L}])(?:ne|pas|aucun|aucune|jamais|sans|non|n'\p{L}+)(?:[^\p{L}]|$)",
@@ -213,7 +213,7 @@ NEGATION = {
 def negation_loss(src, dst, locale):
     out = F.lit(False)
     for name, pattern in NEGATION.items():
-        out = out | ((locale == name) & ~dst.rlike(pattern))
+        out = out | ((F.substring_index(locale, "_", 1) == name) & ~dst.rlike(pattern))
     plain = F.regexp_replace(src, "\"[^\"]*\"|'[^']{2,}'|<[^<>]*>", " ")
     return plain.rlike(NEGATION["en"]) & ~dst.rlike(NEGATION["en"]) & out
 
@@ -253,8 +253,7 @@ def antonym_collisions(pairs: DataFrame) -> DataFrame:
     rows = pairs.select("locale", "pos", T.strip(C("dst")).alias("t"), T.english_words(C("src")).alias("w")).withColumn("block", F.substring("t", 1, 15))
     distinct = rows.groupBy("locale", "block", "t", "w").agg(F.sort_array(F.collect_list("pos")).alias("at"))
     a, b = distinct.alias("a"), distinct.alias("b")
-    near = F.abs(F.size("a.w") - F.size("b.w")) <= F.greatest(F.size("a.w"), F.size("b.w"))
-    both = a.join(b, (C("a.locale") == C("b.locale")) & (C("a.block") == C("b.block")) & (F.hash("a.t", "a.w") < F.hash("b.t", "b.w")) & near)
+    both = a.join(b, (C("a.locale") == C("b.locale")) & (C("a.block") == C("b.block")) & (F.struct("a.t", "a.w") < F.struct("b.t", "b.w")))
     both = both.withColumn("relation", polarity_of("a.w", "b.w")).filter(C("relation").isNotNull() & T.shared_translation(C("a.t"), C("b.t"), C("relation")))
     return both.select(C("a.locale").alias("locale"), F.explode("a.at").alias("pos_a"), C("b.at").alias("_b"), "relation").select("locale", "pos_a", F.explode("_b").alias("pos_b"), "relation")
 
@@ -372,11 +371,18 @@ def repaired_mojibake(text: Column) -> Column:
 
 
 def translation_artifacts(pairs: DataFrame) -> DataFrame:
-    """locale, pos, ch, n: Greek letters in a target that isn't Greek and whose source has none of them."""
-    rows = pairs.select("locale", "pos", "src", F.explode(T.find(C("dst"), r"[\p{IsGreek}�]")).alias("ch")).filter((C("locale") != "el_GR") & ~F.contains(C("src"), C("ch")))
+    """locale, pos, ch, n: symbols that translations have by accident, and Greek letters in a target that isn't Greek, which the source hasn't."""
+    found = T.find(C("dst"), f"{P.ARTIFACTS}|{P.GREEK}")
+    rows = pairs.select("locale", "pos", "src", F.explode(found).alias("ch")).filter(~F.contains(C("src"), C("ch")) & ((C("locale") != "el_GR") | ~C("ch").rlike(P.GREEK)))
     return rows.groupBy("locale", "pos", "ch").agg(F.count("*").alias("n"))
 
 
+def sentinel_leaks(pairs: DataFrame) -> DataFrame:
+    """locale, pos of targets that hold a leaked sentinel in any known form while the source doesn't."""
+    any_form = "|".join(f"(?:{p})" for p in P.SENTINEL_LEAKS)
+    return pairs.filter(C("dst").rlike(any_form) & ~C("src").rlike(any_form)).select("locale", "pos")
+
+
 # --- the gate before a reviewed change ----------------------------------------------------
 
 
@@ -392,6 +398,6 @@ def gate_reasons(msgid: Column, new: Column, locale: Column, literals: list[str]
         ("addresses", T.ipv4(msgid) != T.ipv4(new)),
         ("literals", F.exists(T.literal_array(list(literals) or [""]), lambda x: F.contains(msgid, x) & ~F.contains(new, x))),
         ("empty", T.strip(new) == ""),
-        ("echo", (new == msgid) & (locale != "en")),
+        ("echo", new == msgid),
     ]
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in reasons]))

@@ -93,7 +93,7 @@ def _negated(t: str, locale: str) -> str:
     return matches(t, checks.NEGATION[locale])
 
 
-NEGATION_LOSS = f"({_negated('regexp_replace(src, ' + quoted(chr(34) + '[^' + chr(34) + ']*' + chr(34) + '|' + chr(39) + '[^' + chr(39) + ']{2,}' + chr(39) + '|<[^<>]*>') + chr(44) + ' ' + quoted(' ') + chr(44) + ' ' + quoted('g') + ')', 'en')} AND NOT {_negated('dst', 'en')} AND (" + " OR ".join(f"(locale = '{k}' AND NOT {_negated('dst', k)})" for k in checks.NEGATION) + "))"
+NEGATION_LOSS = f"({_negated('regexp_replace(src, ' + quoted(chr(34) + '[^' + chr(34) + ']*' + chr(34) + '|' + chr(39) + '[^' + chr(39) + ']{2,}' + chr(39) + '|<[^<>]*>') + chr(44) + ' ' + quoted(' ') + chr(44) + ' ' + quoted('g') + ')', 'en')} AND NOT {_negated('dst', 'en')} AND (" + " OR ".join(f"(split_part(locale, '_', 1) = '{k}' AND NOT {_negated('dst', k)})" for k in checks.NEGATION) + "))"
 
 ROW_SQL = {
     "placeholder": lists_differ(lambda t: f"list_transform({find(t, PRINTF)}, lambda x: regexp_replace(x, '[0-9]+\\$', ''))"),
@@ -138,19 +138,26 @@ for _name in checks.ROW_CHECKS:
 COUNTED = [n for n in checks.ROW_CHECKS if n in ROW_SQL and n not in ON_NEIGHBOURS]
 
 
-def finding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.finding_counts(checks.findings(pair_damaged(spark, sf_dir), COUNTED)).select("cls", "locale", C("n").cast("long").alias("n"))
+def _counts(names: list[str]):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return checks.finding_counts(checks.findings(pair_damaged(spark, sf_dir), names)).select("cls", "locale", C("n").cast("long").alias("n"))
 
+    return query
 
-def finding_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = checks.findings(pair_damaged(spark, sf_dir), COUNTED)
-    return found.groupBy("hard").agg(F.count("*").alias("n"), F.count_distinct("pos").alias("rows"), F.count_distinct("cls").alias("classes"))
+
+def _totals(names: list[str]):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = checks.findings(pair_damaged(spark, sf_dir), names)
+        return found.groupBy("hard").agg(F.count("*").alias("n"), F.count_distinct("pos").alias("rows"), F.count_distinct("cls").alias("classes"))
+
+    return query
 
 
 _ALL = " UNION ALL ".join(f"SELECT pos, locale, '{n}' AS cls, {str(checks.ROW_CHECKS[n].hard).lower()} AS hard FROM pair WHERE {ROW_SQL[n]}" for n in COUNTED)
-QUERIES |= {"finding_counts": finding_counts, "finding_totals": finding_totals}
-ORACLES["finding_counts"] = f"WITH {PAIR_DAMAGED}, f AS ({_ALL}) SELECT cls, locale, count(*) AS n FROM f GROUP BY GROUPING SETS ((cls, locale), (cls))"
-ORACLES["finding_totals"] = f"WITH {PAIR_DAMAGED}, f AS ({_ALL}) SELECT hard, count(*) AS n, count(DISTINCT pos) AS rows, count(DISTINCT cls) AS classes FROM f GROUP BY hard"
+#: All row checks; and those alone that have SQL.
+QUERIES |= {"finding_counts": _counts(list(checks.ROW_CHECKS)), "finding_totals": _totals(list(checks.ROW_CHECKS)), "finding_counts_in_sql": _counts(COUNTED), "finding_totals_in_sql": _totals(COUNTED)}
+ORACLES["finding_counts_in_sql"] = f"WITH {PAIR_DAMAGED}, f AS ({_ALL}) SELECT cls, locale, count(*) AS n FROM f GROUP BY GROUPING SETS ((cls, locale), (cls))"
+ORACLES["finding_totals_in_sql"] = f"WITH {PAIR_DAMAGED}, f AS ({_ALL}) SELECT hard, count(*) AS n, count(DISTINCT pos) AS rows, count(DISTINCT cls) AS classes FROM f GROUP BY hard"
 
 
 def length_ratio_median(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,18 +167,18 @@ def length_ratio_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["length_ratio_median"] = f"WITH {PAIR_DOC} SELECT locale, round(coalesce(median(CASE WHEN length(src) >= 8 THEN length(dst) / length(src) END), 1.0), 9) AS ratio FROM pair GROUP BY locale"
 
 
-def _collapsing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents against the first line of their text: openings that many share."""
-    return pair_doc(spark, sf_dir).select("pos", "locale", "src", F.substring_index("dst", "\n", 1).alias("dst"))
+def msgstr_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both kinds: translations short against all their sources, and those of sources that differ in a word."""
+    return checks.msgstr_collapses(pair_doc(spark, sf_dir)).select("locale", "dst", C("n").cast("long").alias("n"), "pressed")
 
 
-def msgstr_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = checks.msgstr_collapses(_collapsing(spark, sf_dir))
-    return out.filter("pressed").select("locale", "dst", C("n").cast("long").alias("n"))
+def msgstr_pressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first kind alone, which SQL can express."""
+    return checks.msgstr_collapses(pair_doc(spark, sf_dir)).filter("pressed").select("locale", "dst", C("n").cast("long").alias("n"))
 
 
 _KEY = "list_transform(list_filter(list_transform(regexp_extract_all(src, '[A-Za-z'']+'), lambda x: lower(x)), lambda x: x NOT IN ('a', 'an', 'the')), lambda x: CASE WHEN length(x) > 3 AND suffix(x, 's') AND NOT regexp_matches(x, '(?:ss|is|us|as)$') THEN x[:-2] ELSE x END)"
-ORACLES["msgstr_collapse"] = rf"""WITH {PAIR_DOC}, p AS (SELECT pos, locale, src, regexp_replace(regexp_replace(split_part(dst, chr(10), 1), '^\s+', ''), '\s+$', '') AS t, split_part(dst, chr(10), 1) AS d, {_KEY} AS k FROM pair),
+ORACLES["msgstr_pressed"] = rf"""WITH {PAIR_DOC}, p AS (SELECT pos, locale, src, regexp_replace(regexp_replace(dst, '^\s+', ''), '\s+$', '') AS t, dst AS d, {_KEY} AS k FROM pair),
  m AS (SELECT locale, coalesce(median(CASE WHEN length(src) >= 8 THEN length(d) / length(src) END), 1.0) AS ratio FROM p GROUP BY locale),
  g AS (SELECT locale, t, count(*) AS n, count(DISTINCT k) AS keys, min(length(src)) AS least FROM p GROUP BY locale, t)
  SELECT g.locale, g.t AS dst, g.n FROM g JOIN m ON g.locale = m.locale WHERE n > 1 AND keys > 1 AND length(t) < 0.6 * ratio * least"""
@@ -236,11 +243,22 @@ def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["mojibake_repair"] = f"WITH {PAIR_DAMAGED} SELECT pos, md5(replace(dst, 'Ã©', 'é')) AS md5 FROM pair WHERE regexp_matches(dst, '{checks.MOJIBAKE}')"
 
 
+def sentinel_leak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.sentinel_leaks(pair_damaged(spark, sf_dir))
+
+
+def _leaked(t: str) -> str:
+    return "(" + " OR ".join(matches(t, p.replace("\\u2022", "\u2022")) for p in P.SENTINEL_LEAKS) + ")"
+
+
+ORACLES["sentinel_leak"] = f"WITH {PAIR_DAMAGED} SELECT locale, pos FROM pair WHERE {_leaked('dst')} AND NOT {_leaked('src')}"
+
+
 def mt_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.translation_artifacts(pair_damaged(spark, sf_dir)).select("locale", "pos", "ch", C("n").cast("long").alias("n"))
 
 
-ORACLES["mt_artifacts"] = f"WITH {PAIR_DAMAGED} SELECT locale, pos, ch, count(*) AS n FROM (SELECT locale, pos, src, unnest(regexp_extract_all(dst, '[\\p{{Greek}}�]')) AS ch FROM pair) WHERE locale <> 'el_GR' AND NOT contains(src, ch) GROUP BY ALL"
+ORACLES["mt_artifacts"] = f"WITH {PAIR_DAMAGED} SELECT locale, pos, ch, count(*) AS n FROM (SELECT locale, pos, src, unnest(string_split(dst, '')) AS ch FROM pair) WHERE NOT contains(src, ch) AND (unicode(ch) BETWEEN 9833 AND 9839 OR unicode(ch) BETWEEN 119808 AND 120831 OR unicode(ch) BETWEEN 9472 AND 9599 OR unicode(ch) BETWEEN 9632 AND 10175 AND unicode(ch) NOT IN (9744, 9745, 9746) OR locale <> 'el_GR' AND (unicode(ch) BETWEEN 880 AND 1023 OR unicode(ch) BETWEEN 7936 AND 8191)) GROUP BY ALL"
 
 
 def review_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +273,7 @@ _GATE = [
     ("leading_space", r"regexp_extract(src, '^(\s*)', 1) <> regexp_extract(dst, '^(\s*)', 1)"),
     ("trailing_space", r"regexp_extract(src, '(\s*)$', 1) <> regexp_extract(dst, '(\s*)$', 1)"),
     ("identifiers", ROW_SQL["identifiers"]), ("addresses", f"list_sort({ips('src')}) <> list_sort({ips('dst')})"),
-    ("literals", "(contains(src, 'DNSSEC') AND NOT contains(dst, 'DNSSEC'))"), ("empty", "trim(dst) = ''"), ("echo", "(dst = src AND locale <> 'en')"),
+    ("literals", "(contains(src, 'DNSSEC') AND NOT contains(dst, 'DNSSEC'))"), ("empty", "trim(dst) = ''"), ("echo", "dst = src"),
 ]
 ORACLES["review_gate"] = f"WITH {PAIR_DAMAGED}, r AS (SELECT pos, concat_ws('|', " + ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in _GATE) + ") AS reasons FROM pair) SELECT pos, reasons FROM r WHERE reasons <> ''"
 
@@ -269,7 +287,7 @@ def echo_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["issue_types"] = f"WITH {PAIR_PAGE} SELECT locale, CASE WHEN dst = '' THEN 'empty' ELSE 'untranslated' END AS issue, count(*) AS n FROM pair WHERE dst = '' OR dst = src GROUP BY ALL"
 QUERIES |= {
-    "length_ratio_median": length_ratio_median, "msgstr_collapse": msgstr_collapse, "crosswire": crosswire, "antonym_collision": antonym_collision,
+    "length_ratio_median": length_ratio_median, "msgstr_collapse": msgstr_collapse, "msgstr_pressed": msgstr_pressed, "crosswire": crosswire, "antonym_collision": antonym_collision,
     "diacritic": diacritic, "term_consistency": term_consistency, "hidden_chars": hidden_chars, "mojibake_find": mojibake_find, "mojibake_repair": mojibake_repair,
-    "mt_artifacts": mt_artifacts, "review_gate": review_gate, "issue_types": echo_issues,
+    "mt_artifacts": mt_artifacts, "sentinel_leak": sentinel_leak, "review_gate": review_gate, "issue_types": echo_issues,
 }

@@ -59,7 +59,7 @@ DAMAGES = [
     CARRIED.replace("NSEC3", "NSEK3") + " wоrd",
     CARRIED + " in in in of of in in in in in in in in in in",
     CARRIED + "​ \u0093",
-    CARRIED.replace("bold", "bÃ©ld αβ"),
+    CARRIED.replace("bold", "bÃ©ld αβ ♪☑✔▲─𝐀 ZZ0Z"),
 ]
 LOCALES = ["en", "ru_RU", "fr", "de", "zh_CN", "es", "el_GR"]
 

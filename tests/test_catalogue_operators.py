@@ -57,6 +57,38 @@ def test_collapse(spark):
     assert [r.dst for r in checks.msgstr_collapses(df).collect()] == ["Echec de l'opération sur le serveur"]
 
 
+def test_collapse_by_brute_force(spark):
+    import itertools
+    import random
+
+    rng = random.Random(6)
+    verbs, nouns, dsts = ["delete", "remove", "add", "show", "has", "have"], ["zone", "record", "user", "server"], ["ok\nune", "une phrase bien plus longue que les autres, vraiment", "et une autre\nqui est assez longue aussi, sans doute"]
+    rows = [(f"{rng.choice(verbs)} the {rng.choice(nouns)} in this list", rng.choice(dsts) + str(rng.randrange(6))) for _ in range(60)]
+    keys = {s: s.replace("the ", "").split() for s, _ in rows}
+    ratios = sorted(len(d) / len(s) for s, d in rows)
+    median = (ratios[29] + ratios[30]) / 2
+    same = {frozenset(x) for x in (("delete", "remove"), ("has", "have"))}
+    want = {}
+    for d in {d for _, d in rows}:
+        own = [s for s, x in rows if x == d]
+        if len(own) < 2 or len({tuple(keys[s]) for s in own}) < 2:
+            continue
+        pressed = len(d) < 0.6 * median * min(map(len, own))
+        differ = [[(x, y) for x, y in zip(keys[a], keys[b], strict=True) if x != y] for a, b in itertools.combinations(own, 2)]
+        swapped = any(len(w) == 1 and frozenset(w[0]) not in same for w in differ)
+        if pressed or swapped:
+            want[d] = (len(own), pressed)
+    got = {r.dst: (r.n, r.pressed) for r in checks.msgstr_collapses(pairs_of(spark, rows)).collect()}
+    assert got == want and any(not p for _, p in want.values()) and any(p for _, p in want.values())
+
+
+def test_leaked_sentinels():
+    source = "%s of {name}"
+    for leaked in ("ZZ0ZZ et ZZ1ZZ", "ZZ0Z et Z1Z", "Z0ZZZ et ZZ1", '"\u2022 0" et \u2022 1', '"0" et 1 \u2022', "zx 0 XZ et ZX1XZ"):
+        assert similarity.unmask(leaked, similarity.mask(source)[1]) == "%s et {name}"
+    assert similarity.unmask("ZZ7ZZ", ["%s"]) == "ZZ7ZZ" and similarity.unmask("ZZ0ZZ", []) == "ZZ0ZZ"
+
+
 def test_crosswire_band(spark):
     rows = [("Alpha Beta 77", "Gamma Delta 99"), ("plain", "plain"), ("Gamma Delta 99", "Alpha Beta 77")] + [("x", "y")] * 200 + [("Gamma Delta 99", "none")]
     assert {r.pos for r in checks.crosswires(pairs_of(spark, rows)).collect()} == {0, 2}
