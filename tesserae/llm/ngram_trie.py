@@ -482,7 +482,7 @@ def _hot_words(docs: DataFrame, size: int, n_shards: int, sample: int) -> tuple[
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def scored(docs: DataFrame, order: int = 3, prior: float = 300.0, discount: float = 0.75, block_bytes: int = 6 << 20, shard_bytes: int = 12 << 20, sample: int = 16 << 20) -> DataFrame:
+def scored(docs: DataFrame, order: int = 3, prior: float = 300.0, discount: float = 0.75, block_bytes: int = 4 << 20, shard_bytes: int = 12 << 20, sample: int = 16 << 20) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Documents whose crc32(doc_id as text) mod 10 is 0 are held out; the others are learned from, whole. A null text is empty: one
@@ -511,6 +511,8 @@ def scored(docs: DataFrame, order: int = 3, prior: float = 300.0, discount: floa
             for block, texts in zip(batch.column("block"), batch.column("texts"), strict=True):
                 found = list(unpacked(texts).parcels())
                 yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int32()), pa.array([block.as_py()] * len(found), pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["shard", "block", "data"])
+                del found
+                pa.default_memory_pool().release_unused()  # else workers keep what one block took beside the JVM
 
     def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
