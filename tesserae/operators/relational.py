@@ -136,7 +136,7 @@ def changed_keys(before: DataFrame, after: DataFrame, key: str, value: str) -> D
     return d.filter(C("status") != "unchanged")
 
 
-def kept_first(rows: DataFrame, bucket: str, order: str, n: int) -> DataFrame:
+def kept_first(rows: DataFrame, bucket: str | list[str], order: str, n: int) -> DataFrame:
     """The first n rows of each bucket by `order`; all for n = 0."""
     if not n:
         return rows

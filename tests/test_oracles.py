@@ -7,11 +7,11 @@ import os
 import duckdb
 import pytest
 
-from tesserae.plans import check_queries, relational_queries
+from tesserae.plans import catalogue_queries, check_queries, relational_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES = {**relational_queries.QUERIES, **check_queries.QUERIES}
-ORACLES = {**relational_queries.ORACLES, **check_queries.ORACLES}
+QUERIES = {**relational_queries.QUERIES, **check_queries.QUERIES, **catalogue_queries.QUERIES}
+ORACLES = {**relational_queries.ORACLES, **check_queries.ORACLES, **catalogue_queries.ORACLES}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
 
 
