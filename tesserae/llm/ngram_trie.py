@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -239,9 +240,15 @@ class Trie:
 # --- packed counts and words ---------------------------------------------------------------
 
 
+def _squeezed(raw: bytes) -> bytes:
+    """Bytes of few kinds, by their entropy, after their length."""
+    out = zstandard.ZstdCompressor(level=1).compress(raw)
+    return len(out).to_bytes(4, "little") + out
+
+
 def _pack(x: np.ndarray) -> bytes:
     """Counts as bytes; those of 255 or more follow as 64-bit integers."""
-    return np.minimum(x, 255).astype(np.uint8).tobytes() + x[x >= 255].astype("<i8").tobytes()
+    return _squeezed(np.minimum(x, 255).astype(np.uint8).tobytes() + x[x >= 255].astype("<i8").tobytes())
 
 
 class _Reader:
@@ -253,10 +260,15 @@ class _Reader:
         self.at += out.nbytes
         return out
 
+    def squeezed(self) -> _Reader:
+        n = int(self.take("<u4", 1)[0])
+        return _Reader(zstandard.ZstdDecompressor().decompress(self.take("u1", n)))
+
     def counts(self, n: int) -> np.ndarray:
-        out = self.take("u1", n).astype(np.int64)
+        own = self.squeezed()
+        out = own.take("u1", n).astype(np.int64)
         large = np.flatnonzero(out == 255)
-        out[large] = self.take("<i8", len(large))
+        out[large] = own.take("<i8", len(large))
         return out
 
     def hashes(self, n: int, width: int) -> np.ndarray:
@@ -380,8 +392,8 @@ class Block:
             found[0].append(read.counts(int(sizes[0])))
             for k in range(1, levels):
                 least, backoff = read.take("<f8", 2)
-                found[k].append(Quantiser(least).values(0.0)[read.take("u1", int(sizes[k]))])
-                weight[k].append(Quantiser(backoff).values(1.0)[read.take("u1", int(sizes[k]))])
+                found[k].append(Quantiser(least).values(0.0)[read.squeezed().take("u1", int(sizes[k]))])
+                weight[k].append(Quantiser(backoff).values(1.0)[read.squeezed().take("u1", int(sizes[k]))])
 
         def ordered(k: int, values: list[np.ndarray]) -> np.ndarray:
             out = np.empty(len(self.keys[k]), values[0].dtype)
@@ -447,7 +459,7 @@ def answer(shard: int, blocks: list[int], parcels: list[bytes], order: int, n_sh
         out = [np.array(own, "<i8").tobytes(), _pack(totals[inverse[0][spans[0]]])]
         for k in range(1, order):
             scale, prob, backoff = found[k - 1]
-            out += [scale, prob[inverse[k][spans[k]]].tobytes(), backoff[inverse[k][spans[k]]].tobytes()]
+            out += [scale, *(_squeezed(x[inverse[k][spans[k]]].tobytes()) for x in (prob, backoff))]
         data.append(b"".join(out))
     home = totals[(keys % np.uint64(n_shards)).astype(np.int64) == shard]
     facts = [int(home.sum()), int((home > 0).sum()), int((home == 1).sum()), int((home == 2).sum())]
