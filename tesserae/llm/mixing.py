@@ -90,7 +90,8 @@ def slots(sources: DataFrame, shard_blocks: int = 1024, seed: int = 1) -> DataFr
 
     A block comes up at most once in a pass over its source, so at most ceil(n_slots / n_blocks) times.
     """
-    draw = written(drawn(sources, shard_blocks, seed))
+    # so many tasks, whatever the size of the draw: its rows are few and small, but each becomes up to shard_blocks slots
+    draw = written(drawn(sources, shard_blocks, seed)).repartition(parts(sources.sparkSession), "shard")
     by_source = Window.partitionBy("shard").orderBy(C("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
     draw = draw.withColumns({"_before": F.coalesce(F.sum("n").over(by_source), F.lit(0)), "_all": F.sum("n").over(Window.partitionBy("shard"))})
     rows = draw.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), C("n") - 1))).withColumn("_t", C("first") + C("_j"))  # n is at most shard_blocks

@@ -478,6 +478,8 @@ def test_shards_are_multinomial_draws(spark, docs, corpus):
     free = (n_shards - 1) * (len(want) - 1)
     assert abs(chi - free) < 5 * math.sqrt(2 * free) and n_shards > 30
     assert sorted(map(tuple, draw)) == sorted(map(tuple, mixing.drawn(sources, shard_blocks=128).collect()))
+    spread = [r[0] for r in mixing.slots(sources, shard_blocks=128).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(spread) == common.parts(spark)  # a small draw unrolls in more than one task
 
 
 def test_shards_hold_what_is_taken(docs):
