@@ -2,12 +2,13 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tesserae.llm import license_scan, mixing, ngram_trie, packing, quality_cascade, quality_fm, simhash, suffix_dedup, token_files, winnowing
+from tesserae.llm import filter_audit, license_scan, line_dedup, mixing, ngram_trie, packing, quality_cascade, quality_fm, simhash, suffix_dedup, token_files, vector_codes, winnowing
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, row string, rejected_by string, n_words int, target double, _tie int, block int, words string, _held string, `group` string, fp string"
@@ -39,6 +40,8 @@ OPERATORS = {
     "fm": (lambda d: quality_fm.classified(d, d.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))), ["held_out", "score", "predicted"]),
     "suffix": (suffix_dedup.removal_report, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]),
     "rules": (quality_cascade.quality_report, ["n_words", "base_failed", "kept"]),
+    "lines": (lambda d: line_dedup.line_report(d, 2), ["n_lines", "n_dropped", "kept_sha256"]),
+    "without lines": (lambda d: line_dedup.without_common_lines(d, 2), ["text", "row", "_held"]),
 }
 
 
@@ -72,8 +75,35 @@ def test_stages_keep_columns(spark, odd, stage):
 
 def test_reruns_agree(odd):
     again = odd.repartition(5)
-    for name in ("mixing", "simhash", "suffix", "tokens", "winnowing"):
+    for name in ("mixing", "simhash", "suffix", "tokens", "winnowing", "lines"):
         build, _ = OPERATORS[name]
         a, b = (sorted(map(str, build(d.dropDuplicates(["doc_id"]).filter("doc_id is not null") if name == "tokens" else d).collect())) for d in (odd, again))
         if name != "tokens":  # of rows with one doc_id any may stay there
             assert a == b, name
+
+
+def test_audit_edges(odd):
+    labels = odd.select("doc_id", F.lit(1).alias("quality"), F.lit(None).cast("int").alias("toxic"), "lang")
+    rows = filter_audit.filter_audit(odd.withColumn("lang", F.when(F.col("doc_id") > 6, F.col("lang"))), labels).collect()
+    assert {r.part for r in rows} == {"", "en"} and len(rows) == 1200
+    for part in ("", "en"):
+        own = [r for r in rows if r.part == part]
+        n = odd.filter("doc_id > 6" if part else "coalesce(doc_id, 0) <= 6").count()
+        assert all(r.kept + sum(q.removed for q in own if q.filter_order == r.filter_order and q.step <= r.step) == n for r in own)
+        assert all(r.toxic_lost == 0 for r in own)
+    assert filter_audit.filter_audit(odd.filter("false"), labels).collect() == []
+    assert len(filter_audit.filter_audit(odd, labels.filter("false")).collect()) == 600
+
+
+def test_code_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(3, [1.0, 2.0, 3.0, 4.0], None), (1, None, 1), (2, [1.0, None, 3.0, 4.0], 1), (4, [1.0, nan, 0.0, 0.0], 1), (5, [inf, 0.0, 0.0, 0.0], 1), (None, [1.0, 2.0, 3.0, 4.0], None), (7, [0.5, -0.5, 0.25, 1e3], 2), (7, [0.5, -0.5, 0.25, 1e3], 2), (8, [1.0], 2)]
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, label int, code string, _v int").repartition(3)
+    got = vector_codes.compressed(table).collect()
+    assert sorted(str(r.vec_id) for r in got) == ["3", "7", "7", "None"] and all(r.error == r.label_error == 0 for r in got)
+    assert len({r.codebooks_sha256 for r in got}) == 1 and len({r.code for r in got if r.vec_id == 7}) == 1
+    assert vector_codes.compressed(table.filter("false")).collect() == []
+    with pytest.raises(OverflowError):
+        vector_codes.exact_type(np.array([[1 << 31] * 4]))
+    with pytest.raises(ValueError, match="divide"):
+        vector_codes.compressed(table.filter("vec_id = 8"))
