@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from . import patterns as P
 
@@ -111,10 +111,24 @@ def repaired_udf(source: pd.Series, target: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else unmask(t, mask(s or "")[1]) for s, t in zip(source, target, strict=True)], dtype="object")
 
 
+# Letters whose mark becomes a letter where marks can't be written.
+SPELT_OUT = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "å": "aa", "Ä": "Ae", "Ö": "Oe", "Ü": "Ue", "Å": "Aa"})
+
+
+def deaccented(text: str) -> str:
+    """All combining marks gone, case folded; exact for every script."""
+    return "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c)).casefold()
+
+
 @F.pandas_udf(StringType())
 def deaccented_udf(text: pd.Series) -> pd.Series:
-    """All combining marks gone, case folded; exact for every script."""
-    return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.combining(c)).casefold())
+    return text.map(lambda t: None if t is None else deaccented(t))
+
+
+@F.pandas_udf(StructType([StructField(c, StringType()) for c in ("folded", "plain", "spelt")]))
+def word_forms_udf(word: pd.Series) -> pd.DataFrame:
+    """A word with its case folded, then also without its marks, or with its marks spelt out."""
+    return pd.DataFrame({"folded": word.map(str.casefold), "plain": word.map(deaccented), "spelt": word.map(lambda w: w.translate(SPELT_OUT).casefold())})
 
 
 @F.pandas_udf(StringType())

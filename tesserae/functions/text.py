@@ -200,9 +200,3 @@ def whois_server(response: Column) -> Column:
 def collapse_repeats(text: Column, least: int = 3) -> Column:
     """A word of at least that many letters that follows itself stands once."""
     return F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}_])(\p{{L}}{{{least},}})(?: \1(?![\p{{L}}\p{{N}}_]))+", "$1")
-
-
-def plain_latin(text: Column) -> Column:
-    """Letters of Latin scripts without their marks, lower-cased; a generated table stands for Unicode decomposition."""
-    marked = [chr(c) for c in range(0xC0, 0x250) if len(unicodedata.normalize("NFD", chr(c))) > 1 and unicodedata.normalize("NFD", chr(c))[0].isascii()]
-    return F.lower(F.translate(text, "".join(marked), "".join(unicodedata.normalize("NFD", c)[0] for c in marked)))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import plural
 from ..functions import text as T
-from . import checks, relational, stats
+from . import checks, ordered, relational, stats
 
 C = F.col
 
@@ -248,11 +248,10 @@ def rollup(pairs: DataFrame) -> DataFrame:
 
 
 def top_patterns(found: DataFrame, pattern: str, pos: str, n: int = 6) -> DataFrame:
-    """pattern, n, more: the n most frequent patterns, of equal ones the earliest, and how many others there are. Patterns are few: they are counted before they meet in one task."""
+    """pattern, n, more: the n most frequent patterns, of equal ones the earliest, and how many others there are."""
     counts = found.groupBy(C(pattern).alias("pattern")).agg(F.count("*").alias("n"), F.min(pos).alias("_first"))
-    by = Window.orderBy(F.desc("n"), "_first", "pattern")
-    ranked = counts.withColumn("_rank", F.row_number().over(by)).withColumn("_all", F.count("*").over(Window.partitionBy()))
-    return ranked.filter(C("_rank") <= n).select("pattern", "n", F.greatest(C("_all") - n, F.lit(0)).alias("more"))
+    top = counts.orderBy(F.desc("n"), "_first", "pattern").limit(n)
+    return top.crossJoin(F.broadcast(counts.agg(F.count("*").alias("_all")))).select("pattern", "n", F.greatest(C("_all") - n, F.lit(0)).alias("more"))  # one row
 
 
 def suspect_characters(pairs: DataFrame) -> DataFrame:
@@ -263,11 +262,10 @@ def suspect_characters(pairs: DataFrame) -> DataFrame:
 
 def carried_ids(lines: DataFrame, path: str, line: str, text: str) -> DataFrame:
     """path, line, msgid, msgstr: each msgstr line with the msgid before it in its file."""
-    before = Window.partitionBy(path).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
     form = r'^{}(?:\[\d+\])? "(.*)"\s*$'
     quoted = lambda name: F.when(C(text).rlike(form.format(name)), F.regexp_extract(text, form.format(name), 1))
-    rows = lines.select(path, line, F.last(quoted("msgid"), ignorenulls=True).over(before).alias("msgid"), quoted("msgstr").alias("msgstr"))
-    return rows.filter(C("msgstr").isNotNull())
+    rows = lines.select(path, line, quoted("msgid").alias("_id"), quoted("msgstr").alias("msgstr"))
+    return ordered.carried(rows, [path], line, {"msgid": C("_id")}).filter(C("msgstr").isNotNull()).select(path, line, "msgid", "msgstr")
 
 
 def filtered_digests(lines: DataFrame, path: str, line: str, text: str, without: str) -> DataFrame:

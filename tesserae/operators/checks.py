@@ -311,24 +311,6 @@ def crosswires(pairs: DataFrame, band: int = 80) -> DataFrame:
     return shared.groupBy("locale", "pos", "size").agg(F.max("n").alias("best")).filter((C("best") >= 2) & (2 * C("best") >= C("size"))).select("locale", "pos", "best")
 
 
-def diacritics(pairs: DataFrame) -> DataFrame:
-    """locale, pos of targets with a word whose marks were lost: it is written with marks elsewhere, and
-    an entry without any marks has two such words or more, one of them this."""
-    words = T.find(T.prose_mask(C("dst")), r"\p{L}{3,}")
-    own = pairs.select("locale", "pos", F.explode(words).alias("w")).withColumns({"low": F.lower("w"), "plain": T.plain_latin(C("w"))})
-    own = own.withColumn("marked", C("low") != C("plain"))
-    counts = own.groupBy("locale", "plain").agg(F.count_if(~C("marked")).alias("bare"), F.count_if("marked").alias("with_marks")).filter((C("with_marks") > 0) & (C("with_marks") >= C("bare")))
-    counts = counts.withColumn("strong", (C("with_marks") >= 5) & (C("with_marks") >= 5 * C("bare"))).select(C("locale").alias("_l"), C("plain").alias("_p"), "strong")
-    # words that the source has too are names or loans
-    in_source = pairs.select("locale", "pos", F.explode(F.array_distinct(F.transform(T.find(C("src"), r"\p{L}{3,}"), T.plain_latin))).alias("plain"))
-    bare = own.filter(~C("marked")).select("locale", "pos", "plain").distinct().join(in_source, ["locale", "pos", "plain"], "left_anti")
-    bare = bare.join(counts, (C("locale") == C("_l")) & (C("plain") == C("_p"))).select("locale", "pos", "plain", "strong")
-    whole = own.groupBy("locale", "pos").agg(F.bool_or("marked").alias("any_marks")).filter(~C("any_marks"))
-    seeds = bare.join(whole.select("locale", "pos"), ["locale", "pos"]).groupBy("locale", "pos").agg(F.count_if("strong").alias("k")).filter(C("k") >= 2).select("locale", "pos")
-    damaged = bare.join(seeds, ["locale", "pos"]).select("locale", "plain").distinct()
-    return bare.join(damaged, ["locale", "plain"], "left_semi").select("locale", "pos").distinct()
-
-
 def term_consistency(pairs: DataFrame, terms: list[tuple[str, str, list[str]]]) -> DataFrame:
     """locale, pos, term: a source with the term whose target has none of the accepted renderings.
 

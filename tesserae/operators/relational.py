@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ordered
+
 C = F.col
 
 
@@ -112,22 +114,21 @@ def merged_locations(records: DataFrame, key: str, location: str, order: str) ->
 
 
 def line_spans(rows: DataFrame, path: str, pos: str, text: str) -> DataFrame:
-    """Adds line_start and line_end, 1-based, of each row's text in its file: running sums of line feeds."""
+    """Adds line_start and line_end, 1-based, of each row's text in its file: running sums of line feeds, by blocks of positions."""
     feeds = F.length(text) - F.length(F.replace(C(text), F.lit("\n")))
-    before = Window.partitionBy(path).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(feeds + 1).over(before), F.lit(0)) + 1
-    return rows.withColumn("line_start", start.cast("long")).withColumn("line_end", (C("line_start") + feeds).cast("long"))
+    out = ordered.running_sums(rows.withColumn("_feeds", feeds.cast("long")), [path], pos, {"line_start": C("_feeds") + 1})
+    return out.withColumn("line_start", C("line_start") + 1).withColumn("line_end", C("line_start") + C("_feeds")).drop("_feeds")
 
 
-def line_owners(lines: DataFrame, spans: DataFrame, path: str, line: str, block: int = 64) -> DataFrame:
+def line_owners(lines: DataFrame, spans: DataFrame, path: str, line: str) -> DataFrame:
     """The row of spans that holds each line, or else the nearest before it.
 
-    An as-of join by merge: spans and lines of a file in one order, the last span carried forward; no pair is tried.
+    An as-of join by merge: spans and lines of a file in one order, the last span carried forward from block to block; no pair is tried.
     """
-    s = spans.select(path, C("line_start").alias("_at"), F.lit(0).alias("_kind"), F.struct(*[c for c in spans.columns if c != path]).alias("_span"), F.lit(None).cast(lines.schema[line].dataType).alias(line))
-    q = lines.select(path, C(line).cast("long").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(s.schema["_span"].dataType).alias("_span"), line)
-    w = Window.partitionBy(path).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    return s.unionByName(q).withColumn("_own", F.last("_span", ignorenulls=True).over(w)).filter("_kind = 1").select(path, line, "_own.*")
+    s = spans.select(path, (2 * C("line_start")).alias("_at"), F.struct(*[c for c in spans.columns if c != path]).alias("_span"), F.lit(None).cast(lines.schema[line].dataType).alias(line))
+    q = lines.select(path, (2 * C(line).cast("long") + 1).alias("_at"), F.lit(None).cast(s.schema["_span"].dataType).alias("_span"), line)
+    own = ordered.carried(s.unionByName(q), [path], "_at", {"_own": C("_span")})
+    return own.filter(C("_at") % 2 == 1).select(path, line, "_own.*")
 
 
 def changed_keys(before: DataFrame, after: DataFrame, key: str, value: str) -> DataFrame:

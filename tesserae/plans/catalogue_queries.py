@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import catalogue, checks
+from ..operators import catalogue, checks, ordered
 from .pairs import PAIR_DAMAGED, pair_damaged, table
 
 C = F.col
@@ -202,6 +202,29 @@ def carried_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.carried_ids(_lines(spark, sf_dir), "path", "line", "text")
 
 
+_QUOTED = r"""l AS (SELECT source AS path, doc_id * 100000 + generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS t, doc_id FROM documents),
+ k AS (SELECT path, line, CASE WHEN line % 5 = 1 THEN 'msgid "' || left(t, 12) || '"' WHEN line % 5 = 2 THEN '"' || t || '"' WHEN line % 5 = 3 THEN 'msgstr "' || t || '"' WHEN line % 5 = 4 THEN '"' || doc_id || '"' WHEN line % 3 = 0 THEN '' ELSE '# ' || t END AS t FROM l),
+ e AS (SELECT *, count(*) FILTER (starts_with(t, 'msgid "')) OVER (PARTITION BY path ORDER BY line) AS e FROM k),
+ q AS (SELECT *, CASE WHEN starts_with(t, 'msgid "') THEN 'i' WHEN starts_with(t, 'msgstr "') THEN 's' WHEN t = '' THEN 'e' WHEN starts_with(t, '"') THEN 'm' END AS kind FROM e WHERE e > 0),
+ o AS (SELECT *, last_value(CASE WHEN kind <> 'm' THEN kind END IGNORE NULLS) OVER (PARTITION BY path, e ORDER BY line) AS open, max(CASE WHEN kind = 's' THEN line END) OVER (PARTITION BY path, e ORDER BY line) AS str FROM q WHERE kind IS NOT NULL),
+ z AS (SELECT path, e, min(line) AS closed FROM o WHERE kind = 'e' AND str IS NOT NULL GROUP BY path, e),
+ w AS (SELECT o.* FROM o LEFT JOIN z ON o.path = z.path AND o.e = z.e WHERE z.closed IS NULL OR line < closed),
+ f AS (SELECT path, e, string_agg(CASE kind WHEN 'i' THEN t[7:] ELSE t END, chr(10) ORDER BY line) FILTER (open = 'i') AS msgid, string_agg(CASE kind WHEN 's' THEN t[8:] ELSE t END, chr(10) ORDER BY line) FILTER (open = 's') AS msgstr FROM w GROUP BY path, e)"""
+
+
+@query(rf"""WITH {_QUOTED} SELECT path, md5(regexp_replace(msgid, '^\s+|\s+$', '', 'g')) AS id, md5(regexp_replace(arg_max(msgstr, e), '^\s+|\s+$', '', 'g')) AS str FROM f WHERE msgid <> '""' AND msgstr IS NOT NULL GROUP BY path, msgid""")
+def quoted_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of the documents as lines of a catalogue a source, read back as a map of quoted texts."""
+    docs = table(spark, sf_dir, "documents").select(C("source").alias("path"), "doc_id", F.posexplode(F.split("text", "\n")).alias("_i", "t"))
+    line = C("doc_id") * 100_000 + C("_i") + 1
+    quoted = lambda word, t: F.concat(F.lit(f'{word}"'), t, F.lit('"'))
+    text = (
+        F.when(line % 5 == 1, quoted("msgid ", F.left("t", F.lit(12)))).when(line % 5 == 2, quoted("", C("t"))).when(line % 5 == 3, quoted("msgstr ", C("t")))
+        .when(line % 5 == 4, quoted("", C("doc_id").cast("string"))).when(line % 3 == 0, "").otherwise(F.concat(F.lit("# "), "t"))
+    )
+    return ordered.quoted_map(docs.select("path", line.alias("line"), text.alias("text"))).select("path", F.md5("msgid").alias("id"), F.md5("msgstr").alias("str"))
+
+
 @query(f"WITH {_LINES} SELECT path, md5(coalesce(string_agg(CASE WHEN id THEN 'msgid \"' WHEN line % 6 = 1 THEN 'msgstr[1] \"' ELSE 'msgstr \"' END || p_name || '\"', chr(10) ORDER BY line) FILTER (NOT comment), '')) AS md5 FROM l GROUP BY path")
 def filtered_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.filtered_digests(_lines(spark, sf_dir), "path", "line", "text", "^#")

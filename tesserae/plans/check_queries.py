@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..operators import checks
-from .pairs import PAIR_DAMAGED, PAIR_DOC, PAIR_PAGE, pair_damaged, pair_doc, pair_page, quoted
+from ..operators import diacritics as lost_marks
+from .pairs import MARKED_SOURCE, PAIR_DAMAGED, PAIR_DOC, PAIR_MARKS, PAIR_PAGE, pair_damaged, pair_doc, pair_marks, pair_page, quoted
 
 C = F.col
 QUERIES: dict = {}
@@ -207,7 +208,31 @@ def antonym_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diacritic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.diacritics(pair_doc(spark, sf_dir)).select("locale", "pos")
+    """Damaged words of whole documents, as one string an entry."""
+    return lost_marks.diacritics(pair_marks(spark, sf_dir)).select("locale", "pos", F.array_join("words", " ").alias("words"))
+
+
+_FOLD = "replace(lower({w}), 'ß', 'ss')"
+_SPELT_OUT = _FOLD.format(w="replace(replace(replace(replace(replace(replace(replace(replace({w}, 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'å', 'aa'), 'Ä', 'Ae'), 'Ö', 'Oe'), 'Ü', 'Ue'), 'Å', 'Aa')")
+_MASK = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(dst, {quoted(PRINTF)}, ' ', 'g'), {quoted(f'({ANY})')}, {quoted(chr(92) + '1' + chr(92) + '1')}, 'g'), {quoted(f'(^|{ANY})(?:' + IDENT + f')({ANY}|$)')}, {quoted(chr(92) + '1 ' + chr(92) + '2')}, 'g'), {quoted(P.TOKEN)}, ' ', 'g'), {quoted(P.TAG)}, ' ', 'g')"
+_LETTERS = r"[\p{L}\p{Nl}\p{No}]{3,}"
+
+
+def _forms(w: str) -> str:
+    return f"{_FOLD.format(w=w)} AS folded, strip_accents({_FOLD.format(w=w)}) AS plain, {_SPELT_OUT.format(w=w)} AS spelt"
+
+
+ORACLES["diacritic"] = f"""WITH {PAIR_MARKS}, o AS MATERIALIZED (SELECT locale, pos, unnest({find(_MASK, _LETTERS)}) AS word FROM pair),
+ c AS (SELECT locale, word, count(*) AS n FROM o GROUP BY ALL), v AS MATERIALIZED (SELECT *, folded = plain AND folded = spelt AS bare FROM (SELECT *, {_forms('word')} FROM c)),
+ k AS (SELECT locale, plain AS key, bare, n FROM v UNION ALL SELECT locale, spelt, bare, n FROM v WHERE spelt <> folded),
+ m AS (SELECT locale, key, coalesce(sum(n) FILTER (bare), 0) AS b, coalesce(sum(n) FILTER (NOT bare), 0) AS m FROM k GROUP BY ALL HAVING m > 0 AND m >= b),
+ g AS (SELECT v.locale, word, folded, m >= 5 AND m >= 5 * b AS strong FROM v JOIN m ON v.locale = m.locale AND v.folded = m.key WHERE bare),
+ f AS MATERIALIZED (SELECT DISTINCT o.locale, pos, o.word, folded, strong FROM o JOIN g ON o.locale = g.locale AND o.word = g.word WHERE folded NOT IN (SELECT strip_accents(lower(w)) FROM (SELECT unnest({find(quoted(MARKED_SOURCE), _LETTERS)}) AS w))),
+ s AS (SELECT locale, pos FROM f GROUP BY ALL HAVING count(*) FILTER (strong) >= 2),
+ r AS (SELECT locale, pos, unnest({find('dst', _LETTERS)}) AS word FROM pair JOIN s USING (locale, pos)),
+ u AS (SELECT locale, pos FROM (SELECT locale, pos, {_forms('word')} FROM r) GROUP BY ALL HAVING bool_and(folded = plain AND folded = spelt)),
+ d AS (SELECT DISTINCT locale, folded FROM f JOIN u USING (locale, pos))
+ SELECT locale, pos, array_to_string(list_sort(list_distinct(list(folded))), ' ') AS words FROM f JOIN d USING (locale, folded) GROUP BY locale, pos"""
 
 
 #: Our own agreed terms for the standard tables.

@@ -86,3 +86,30 @@ def _list(values: list[str]) -> str:
 
 
 PAIR_DAMAGED = f"pair AS (SELECT doc_id AS pos, ({_list(LOCALES)})[doc_id % {len(LOCALES)} + 1] AS locale, text || {quoted(CARRIED)} AS src, text || ({_list(DAMAGES)})[doc_id % {len(DAMAGES)} + 1] AS dst FROM documents)"
+
+
+#: Letters with marks of the documents' languages, of Greek and Cyrillic, and the same without; and letters with marks spelt out.
+MARKED = ("éèêëàâîïôûùçáíóúñäöüÉÈÊËÀÂÎÏÔÛÙÇÁÍÓÚÑÄÖÜάέήίόύώйЙ", "eeeeaaiiouucaiounaouEEEEAAIIOUUCAIOUNAOUαεηιουωиИ")
+SPELT = [("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("Ä", "Ae"), ("Ö", "Oe"), ("Ü", "Ue")]
+MARKED_TAIL = " ασφάλεια δεδομένων, новый край 'héritées' %s user_name_id"
+MARKED_SOURCE = "The zone of records and data"
+
+
+def pair_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents with Greek and Russian words behind them, a twentieth without their marks, a twentieth with umlauts spelt out."""
+    text, i = F.concat("text", F.lit(MARKED_TAIL)), C("doc_id")
+    spelt = text
+    for mark, plain in SPELT:
+        spelt = F.replace(spelt, F.lit(mark), F.lit(plain))
+    dst = F.when(i % 20 == 5, F.translate(text, *MARKED)).when(i % 20 == 7, F.translate(spelt, *MARKED)).otherwise(text)
+    return table(spark, sf_dir, "documents").select(i.alias("pos"), C("lang").alias("locale"), F.lit(MARKED_SOURCE).alias("src"), dst.alias("dst"))
+
+
+def _spelt(text: str) -> str:
+    for mark, plain in SPELT:
+        text = f"replace({text}, '{mark}', '{plain}')"
+    return text
+
+
+_T = f"(text || {quoted(MARKED_TAIL)})"
+PAIR_MARKS = f"pair AS MATERIALIZED (SELECT doc_id AS pos, lang AS locale, '{MARKED_SOURCE}' AS src, CASE doc_id % 20 WHEN 5 THEN translate({_T}, '{MARKED[0]}', '{MARKED[1]}') WHEN 7 THEN translate({_spelt(_T)}, '{MARKED[0]}', '{MARKED[1]}') ELSE {_T} END AS dst FROM documents)"

@@ -11,7 +11,7 @@ from __future__ import annotations
 import glob
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +34,12 @@ def unescape(text: str) -> str:
     return text
 
 
+def unescape_once(text: str) -> str:
+    """Each escape decoded once: the inverse of escape(), also where a backslash stands before n or t."""
+    plain = dict(_ESCAPES)
+    return re.sub(r'\\[nt"\\]', lambda m: plain[m.group()], text)
+
+
 def escape(text: str) -> str:
     for escaped, plain in reversed(_ESCAPES):
         text = text.replace(plain, escaped)
@@ -65,7 +71,7 @@ def split_blocks(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def _quoted(lines: list[str], wanted: str) -> str:
+def _quoted(lines: list[str], wanted: str, decode: Callable[[str], str]) -> str:
     """The joined string after a keyword and in the lines that go on."""
     parts, on = [], False
     for line in lines:
@@ -76,14 +82,14 @@ def _quoted(lines: list[str], wanted: str) -> str:
                 parts.append(match.group(3))
         elif on and (more := _MORE.match(line)):
             parts.append(more.group(1))
-    return unescape("".join(parts))
+    return decode("".join(parts))
 
 
-def parse_block(raw: str, sep: str = "") -> Entry:
+def parse_block(raw: str, sep: str = "", decode: Callable[[str], str] = unescape) -> Entry:
     entry, lines = Entry(raw, sep), raw.split("\n")
     if any(x.startswith("#~") for x in lines) or not raw.strip():
         entry.obsolete = True
-        entry.obsolete_msgid = _quoted([x[2:].strip() for x in lines if x.startswith("#~")], "msgid") or None
+        entry.obsolete_msgid = _quoted([x[2:].strip() for x in lines if x.startswith("#~")], "msgid", decode) or None
         return entry
     current: tuple | None = None
     pieces: dict[tuple, list[str]] = {}
@@ -100,7 +106,7 @@ def parse_block(raw: str, sep: str = "") -> Entry:
         elif current and (more := _MORE.match(line)):
             pieces[current].append(more.group(1))
     for (word, index), parts in pieces.items():
-        value = unescape("".join(parts))
+        value = decode("".join(parts))
         if index is not None:
             entry.plurals[int(index)] = value
         else:
@@ -108,10 +114,10 @@ def parse_block(raw: str, sep: str = "") -> Entry:
     return entry
 
 
-def parse(text: str) -> list[Entry]:
+def parse(text: str, decode: Callable[[str], str] = unescape) -> list[Entry]:
     out, line = [], 1
     for raw, sep in split_blocks(text):
-        entry = parse_block(raw, sep)
+        entry = parse_block(raw, sep, decode)
         entry.line_start = line
         line += (raw + sep).count("\n")
         out.append(entry)
@@ -154,10 +160,10 @@ def place(path: str) -> tuple[str, str | None]:
     return locale, module
 
 
-def rows(path: str, text: str) -> Iterator[tuple]:
+def rows(path: str, text: str, decode: Callable[[str], str] = unescape) -> Iterator[tuple]:
     locale, module = place(path)
     seen_header = False
-    for pos, e in enumerate(parse(text)):
+    for pos, e in enumerate(parse(text, decode)):
         msgid = e.fields.get("msgid", "")
         header = not e.obsolete and not seen_header and msgid == "" and "msgid" in e.fields
         seen_header = seen_header or header
@@ -202,8 +208,8 @@ class PoSource(DataSource):
         return PoReader(self.options)
 
 
-def read_po(spark: SparkSession, path: str) -> DataFrame:
-    """Catalogues through Spark's own file reader: path may be a glob and in any store."""
+def read_po(spark: SparkSession, path: str, once: bool = False) -> DataFrame:
+    """Catalogues through Spark's own file reader: path may be a glob and in any store. once: each escape is decoded once."""
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
     def batches(frames):
@@ -212,7 +218,7 @@ def read_po(spark: SparkSession, path: str) -> DataFrame:
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         for frame in frames:
             for name, text in zip(frame["path"], frame["value"], strict=True):
-                yield pd.DataFrame(list(rows(name, text or "")), columns=names)
+                yield pd.DataFrame(list(rows(name, text or "", unescape_once if once else unescape)), columns=names)
 
     return files.mapInPandas(batches, SCHEMA)
 

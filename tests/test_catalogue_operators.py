@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions import plural, similarity
 from tesserae.functions import text as T
-from tesserae.operators import checks, registry, relational, rewrite, stats, verify
+from tesserae.operators import checks, diacritics, registry, relational, rewrite, stats, verify
 
 C = F.col
 
@@ -96,7 +96,7 @@ def test_crosswire_band(spark):
 
 def test_diacritics(spark):
     rows = [("s", "métadonnées réseau")] * 12 + [("s", "metadonnees reseau"), ("s", "reseau et château"), ("s", "autre")]
-    assert {r.pos for r in checks.diacritics(pairs_of(spark, rows)).collect()} == {12, 13}
+    assert {r.pos for r in diacritics.diacritics(pairs_of(spark, rows)).collect()} == {12, 13}
 
 
 def test_mojibake(spark):

@@ -7,11 +7,12 @@ import os
 import duckdb
 import pytest
 
-from tesserae.plans import catalogue_queries, check_queries, relational_queries
+from tesserae.plans import catalogue_queries, check_queries, relational_queries, workflow_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES = {**relational_queries.QUERIES, **check_queries.QUERIES, **catalogue_queries.QUERIES}
-ORACLES = {**relational_queries.ORACLES, **check_queries.ORACLES, **catalogue_queries.ORACLES}
+MODULES = (relational_queries, check_queries, catalogue_queries, workflow_queries)
+QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+ORACLES = {k: f for m in MODULES for k, f in m.ORACLES.items()}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
 
 
