@@ -3,7 +3,8 @@
 Every line of a text with a cue of licensing is a passage (lines that follow each other are one, and
 long ones are cut into sentences too), and so is every run of words in the paragraphs around a cue (those that follow each other and have
 cues) that has the cue's words and a template's length; its TF-IDF vector is compared with the templates', which are statements, headers of
-source files, titles, and conditions of license files. Of templates that fit about as well the longest counts, since licenses contain one another. An SPDX tag names its license. A
+source files, titles, and conditions of license files. The template with the greatest cosine counts; as licenses contain one another, a longer one that fits about as well takes its place if
+the passage that fits it has all of its further words (a version, Lesser, a further clause). An SPDX tag names its license or licenses. A
 file without a license of its own takes that of the nearest directory above it with a license file.
 """
 
@@ -79,11 +80,17 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software"),
+    ("CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("PostgreSQL", "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies."),
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
 ]
 
 _CUE = re.compile(r"licen[sc]|permission (?:is|to use)\b|hereby granted|neither the name|rights reserved|public domain|redistribut|free software|spdx|creative commons|\bcc[ -]?(?:by|0)", re.IGNORECASE)
-_SPDX = re.compile(r"SPDX-License-Identifier:\s*\(?([A-Za-z0-9.\-]+?)(?:-only|-or-later)?\+?(?![A-Za-z0-9.\-+])", re.IGNORECASE)
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.\-+() \t]+)", re.IGNORECASE)
+_SPDX_NAME = re.compile(r"([A-Za-z0-9.\-]+?)(?:-only|-or-later)?\+?(?![A-Za-z0-9.\-+])", re.IGNORECASE)
 #: A line without letters or digits (blank, or a bare comment mark) ends a paragraph.
 _BREAK = re.compile(r"\n[^\w\n]*(?=\n)")
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
@@ -99,7 +106,7 @@ class Matcher:
         self.idf = {w: math.log((1 + len(bags)) / (1 + n)) + 1 for w, n in seen.items()}
         self.rare = math.log(1 + len(bags)) + 1
         self.by_word: dict[str, list[tuple[int, float]]] = {}
-        self.names = [name for name, _ in bags]
+        self.names, self.bags = [name for name, _ in bags], [bag for _, bag in bags]
         self.spdx = {name.lower(): name for name in self.names}
         self.lengths = [bag.total() for _, bag in bags]
         self.longest = max(self.lengths, default=0)
@@ -163,8 +170,8 @@ class Matcher:
             left = max(0, last + 1 - self.longest)
             yield words[left : first + self.longest], first - left, last - left
 
-    def slid(self, words: list[str], first: int, last: int) -> Iterator[tuple[int, float]]:
-        """(template, cosine) of the windows of a template's length that have the words first..last, where it may be `least`."""
+    def slid(self, words: list[str], first: int, last: int) -> Iterator[tuple[int, float, list[str]]]:
+        """(template, cosine, window) of the best of the windows of a template's length that have the words first..last, where it may be `least`."""
         idf = np.array([self.idf.get(w, self.rare) for w in words])
         weights = np.zeros((len(self.lengths), len(words) + 1))
         for i, w in enumerate(words):
@@ -178,39 +185,70 @@ class Matcher:
                 continue
             # repeated words only lengthen a vector, so this is not less than the cosine
             most = (dots[k, a + n] - dots[k, a]) / np.sqrt(norms[a + n] - norms[a])
-            best = 0.0
+            best, window = 0.0, []
             for i in np.argsort(-most).tolist():
                 if most[i] < max(best, self.least) - 1e-9:
                     break
-                best = max(best, self.cosines(words[a[i] : a[i] + n]).get(k, 0.0))
+                x = self.cosines(words[a[i] : a[i] + n]).get(k, 0.0)
+                if x > best:
+                    best, window = x, words[a[i] : a[i] + n]
             if best:
-                yield k, best
+                yield k, best, window
+
+    def fits(self, text: str) -> dict[int, tuple[float, list[str]]]:
+        """The best cosine of a passage of the text to each template, with the passage's words; of those below `least` not all."""
+        found: dict[int, tuple[float, list[str]]] = {}
+
+        def add(k: int, x: float, words: list[str]) -> None:
+            if x > found.get(k, (0.0,))[0]:
+                found[k] = x, words
 
-    def scores(self, text: str) -> dict[int, float]:
-        """The best cosine of a passage of the text to each template; of those below `least` not all."""
-        found: dict[int, float] = {}
         for passage in self.passages(text):
-            for k, x in self.cosines(_WORD.findall(passage.lower())).items():
-                found[k] = max(x, found.get(k, 0.0))
+            words = _WORD.findall(passage.lower())
+            for k, x in self.cosines(words).items():
+                add(k, x, words)
         for words, first, last in self.stretches(text):
-            for k, x in self.slid(words, first, last):
-                found[k] = max(x, found.get(k, 0.0))
+            for k, x, window in self.slid(words, first, last):
+                add(k, x, window)
         return found
 
+    def scores(self, text: str) -> dict[int, float]:
+        return {k: x for k, (x, _) in self.fits(text).items()}
+
+    def tagged(self, text: str) -> str | None:
+        """The licenses of SPDX tags that are known: of a tag with several all, joined as it joins them; of several tags the last by name."""
+        named = []
+        for expression in _SPDX.findall(text):
+            parts = [x for x in _SPDX_NAME.findall(re.split(r"\s+WITH\s", expression, flags=re.IGNORECASE)[0]) if x]
+            joints = {x.upper() for x in parts if x.upper() in ("OR", "AND")}
+            known = [self.spdx.get(x.lower()) for x in parts if x.upper() not in ("OR", "AND")]
+            if not joints:
+                known = known[:1]
+            if known and (None not in known or len(joints) != 1):
+                known = sorted({x for x in known if x})
+                if known:
+                    named.append(f" {joints.pop()} ".join(known) if len(joints) == 1 else known[-1])
+        return max(named, default=None)
+
     def best(self, text: str | None) -> tuple[str | None, float]:
-        """License and cosine of the template that fits best, of those within 0.05 of it the longest, then the last by name; the license is null below `least`."""
+        """License and cosine of the template that fits best; the license is null below `least`.
+
+        That is the one of greatest cosine, of equal ones the longest, then the last by name; or the longest of the longer ones within 0.05 of it all of whose words that it
+        has more are in the passage that fits it.
+        """
         text = text or ""
         if not _CUE.search(text):
             return None, 0.0
-        tags = [self.spdx[x.lower()] for x in _SPDX.findall(text) if x.lower() in self.spdx]
-        if tags:
-            return max(tags), 1.0
-        found = self.scores(text)
-        top = max(found.values(), default=0.0)
-        if top < self.least - 1e-9:
-            return None, top
-        k = max((k for k, x in found.items() if x >= max(top - 0.05, self.least - 1e-9)), key=lambda k: (self.lengths[k], self.names[k]))
-        return self.names[k], min(found[k], 1.0)
+        if tag := self.tagged(text):
+            return tag, 1.0
+        found = self.fits(text)
+        top = max(found, key=lambda k: (round(found[k][0], 9), self.lengths[k], self.names[k]), default=None)
+        if top is None or found[top][0] < self.least - 1e-9:
+            return None, found[top][0] if top is not None else 0.0
+        least = max(found[top][0] - 0.05, self.least - 1e-9)
+        held = [k for k, (x, words) in found.items() if x >= least and self.lengths[k] > self.lengths[top] and not (self.bags[k] - self.bags[top]) - Counter(words)]
+        k = max(held, key=lambda k: (self.lengths[k], found[k][0], self.names[k]), default=top)
+        return self.names[k], min(found[k][0], 1.0)
 
 
 RESULTS = ("own_license", "own_score", "license", "origin", "inherited")

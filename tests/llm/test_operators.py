@@ -646,6 +646,73 @@ def test_license_cosine_by_brute_force():
                     assert found.get(k, 0.0) >= best - 1e-9
 
 
+FREE = "free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+
+
+def _drawn_out(text, mark, width):
+    """text in lines of about that many characters, each behind a comment's mark."""
+    lines, line = [], ""
+    for word in text.split():
+        if line and len(line) + len(word) > width:
+            lines.append(line)
+            line = ""
+        line = f"{line} {word}".strip()
+    return "\n".join(mark + x for x in [*lines, line])
+
+
+@pytest.mark.parametrize(("mark", "width"), [("", 10**6), (" * ", 60), ("# ", 72), ("// ", 40)])
+def test_each_template_knows_its_own_text(mark, width):
+    """Alone, and between code and other comments, whatever stands before its lines."""
+    matcher = license_scan.Matcher()
+    wrong = []
+    for name, text in license_scan.TEMPLATES:
+        own = _drawn_out(text, mark, width)
+        for whole in (own, f"{mark}Copyright (C) 2020 A Person\n{mark}\n{own}\n{mark}\nint main() {{ return 0; }}\n"):
+            if matcher.best(whole)[0] != name:
+                wrong.append((name, text[:60], matcher.best(whole)))
+    assert wrong == []
+
+
+@pytest.mark.parametrize(("kind", "version", "program", "name"), [("", "2", "program", "GPL-2.0"), ("", "3", "program", "GPL-3.0"), ("Affero ", "3", "program", "AGPL-3.0"), ("Lesser ", "2.1", "library", "LGPL-2.1"), ("Lesser ", "3", "library", "LGPL-3.0")])
+@pytest.mark.parametrize("mark", ["", " * ", "# "])
+def test_license_families(kind, version, program, name, mark):
+    text = f"This {program} is " + FREE.format(kind, version)
+    rest = f" This {program} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY. See the GNU Affero, Lesser and General Public Licenses for more details."
+    assert license_scan.Matcher().best(_drawn_out(text, mark, 70))[0] == name
+    assert license_scan.Matcher().best(_drawn_out(text + rest, mark, 70))[0] == name
+
+
+def test_license_tags():
+    matcher = license_scan.Matcher()
+    tags = {"MIT": "MIT", "(MIT OR Apache-2.0)": "Apache-2.0 OR MIT", "GPL-2.0-or-later WITH Classpath-exception-2.0": "GPL-2.0", "LGPL-3.0+ AND MIT": "LGPL-3.0 AND MIT", "gpl-3.0-only */": "GPL-3.0"}
+    assert {t: matcher.best(f"// SPDX-License-Identifier: {t}\nint x;")[0] for t in tags} == tags
+    assert matcher.best("// SPDX-License-Identifier: Own-1.0\nint x;")[0] is None
+
+
+def test_choice_of_license_by_brute_force():
+    """The greatest cosine, but for longer templates whose further words are all there, on texts of mixed templates."""
+    rng, matcher = random.Random(12), license_scan.Matcher()
+    bags = [collections.Counter(re.findall(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*", t.lower())) for _, t in license_scan.TEMPLATES]
+    for _ in range(150):
+        words = rng.choice(license_scan.TEMPLATES)[1].split()
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = rng.choice(rng.choice(license_scan.TEMPLATES)[1].split())
+        text = " ".join(words)
+        got = matcher.best(text)
+        found = matcher.scores(text)
+        windows = {k: collections.Counter(w) for k, (_, w) in matcher.fits(text).items()}
+        if not found or max(found.values()) < matcher.least - 1e-9:
+            assert got[0] is None
+            continue
+        best = sorted(found, key=lambda k: (round(found[k], 9), bags[k].total(), license_scan.TEMPLATES[k][0]))[-1]
+        for k in sorted(found, key=lambda k: (bags[k].total(), found[k], license_scan.TEMPLATES[k][0]), reverse=True):
+            more = {w: n - bags[best][w] for w, n in bags[k].items() if n > bags[best][w]}
+            if bags[k].total() > bags[best].total() and found[k] >= max(found[best] - 0.05, matcher.least - 1e-9) and all(windows[k][w] >= n for w, n in more.items()):
+                best = k
+                break
+        assert got[0] == license_scan.TEMPLATES[best][0]
+
+
 def test_license_columns_that_clash(spark):
     files = spark.createDataFrame([("a/LICENSE", "Released under the MIT License.", "x", 1, "y", True, "f", "g"), ("a/b", None, "x", 1, "y", True, "f", "g")], "path string, text string, license string, origin int, own_license string, inherited boolean, _folder string, `odd.name` string")
     out = license_scan.scan(files)
