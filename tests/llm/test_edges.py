@@ -107,3 +107,27 @@ def test_code_edges(spark):
         vector_codes.exact_type(np.array([[1 << 31] * 4]))
     with pytest.raises(ValueError, match="divide"):
         vector_codes.compressed(table.filter("vec_id = 8"))
+
+
+def test_stages_chain_without_a_write(spark, odd, tmp_path):
+    """All five stages, lazily one after the other, give what they give when each is written; a second caller's stages disturb nothing."""
+    docs = odd.filter("doc_id IS NOT NULL")
+    lazy = docs
+    for _, stage in corpus_pipeline.STAGES:
+        lazy = stage(spark, lazy, "lazy")
+    other = corpus_pipeline.STAGES[1][1](spark, docs, "lazy")
+    n = lazy.count()
+    assert n > 0 and other.count() > 0
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    written = corpus_pipeline.run(spark, str(tmp_path))
+    assert written.count() == n and sorted(map(str, lazy.select("doc_id", "length").collect())) == sorted(map(str, written.select("doc_id", "length").collect()))
+    assert not [k for k in corpus_pipeline._LEFT if k[1] not in ("", "lazy")]
+
+
+def test_a_written_stage_frees_what_it_read(spark, odd, tmp_path):
+    left = lambda: [s for k, v in corpus_pipeline._LEFT.items() if k[1] == "freed" for _, s in v if s.paths]
+    out = corpus_pipeline.STAGES[1][1](spark, odd, "freed")
+    held = left()
+    out.write.parquet(str(tmp_path / "one"))
+    corpus_pipeline.STAGES[2][1](spark, spark.read.parquet(str(tmp_path / "one")), "freed")
+    assert held and not [s for s in held if s.paths]
