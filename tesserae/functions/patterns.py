@@ -65,6 +65,7 @@ LEAK_STRIP = (
 BOILERPLATE = (
     r"(?i)(?<![\p{L}\p{N}_])(?:tweet|tweets|retweet|twitter|facebook|instagram|wikipedia|accessdate"
     r"|hashtag|opensubtitles|addic7ed|yify|synced by|ripped by)(?![\p{L}\p{N}_])"
+    "|دانلود بازی|دانلود زیرنویس|دانلود فیلم|زیرنویس فارسی|titrat u sollen"
 )
 WIKI_CHROME = r"\[[^\[\]]*\|[^\[\]]*\]"
 QUESTION_OPENER = r"(?i)^(?:are|is|do|does|did|can|could|will|would|should|have|has)(?![\p{L}\p{N}_])"
@@ -75,6 +76,20 @@ STOPWORDS = "The And For You Not This That Use Using Please Only All Each New".s
 ORDINARY_CAPS = "ALIAS ALL ALLOW BEGIN CERT COUNTER CRITICAL DEPRECATED DOMAIN EDIT END EXPERIMENTAL FROM GET HOSTMASTER IMPORTANT KEY LOC MAIL MUST NATIVE NO NOT NOTE NOTIFY OK ONCE ORIGIN POST PRIVATE PUBLIC RECOMMENDED REQUIRE RP SEP SERIAL SERVER SHOULD SIG STRONGLY TYPE URI WARNING ZONE".split()
 FRAGMENT_TAIL = "a an the and or of to for in on at by with from into as is are be was were than that this these those about over under between per".split()
 ENGLISH_NEGATION = "not no never none cannot can't don't doesn't won't isn't aren't wasn't weren't shouldn't couldn't wouldn't hasn't haven't didn't without nor neither nothing".split()
+# Ordinary English of an interface that is no term of art, which a text in another script should not hold.
+PROSE = """about addresses authentication before cannot changed checked configuration configure credentials dashboard disable disabled display
+download edit editing emails enable enabled enter existing expected guidelines information invalid layer login logins logout logs management misses missing
+must options password permission permissions please preview properties queried recovery rejected review security selected selection session settings unknown
+updated username users zones""".split()
+# English negation, and spans in which its words are literals.
+ENGLISH_NEGATED = (
+    r"(?i)(?<![A-Za-z'])(?:not|no|cannot|can't|never|nor|neither|nothing|without|won't|don't|doesn't|isn't|aren't|didn't|shouldn't|couldn't|wouldn't"
+    r"|hasn't|haven't|wasn't|weren't)(?![A-Za-z'])"
+)
+ENGLISH_LITERAL = (
+    "\"[^\"]*\"|'[^']*'|[\u201c\u201d][^\u201c\u201d]*[\u201c\u201d]" r"|(?<![\p{L}\p{N}_])[\p{L}\p{N}_]+=[\p{L}\p{N}_]+"
+    r"|(?<![\p{L}\p{N}_])[a-zA-Z][a-zA-Z0-9]*(?:[_-][a-zA-Z0-9]+)+(?![\p{L}\p{N}_])"
+)
 POLAR_PREFIXES = "un in dis".split()
 NOT_POLAR = "der less like port able direction line".split()
 POLAR_PAIRS = [

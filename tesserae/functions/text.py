@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,6 +25,11 @@ def literal_array(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it, also where Catalyst would write it out each time."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip(text: Column) -> Column:
     """Without white space of any kind at either end (trim removes only spaces)."""
     return F.regexp_replace(F.regexp_replace(text, r"(?U)^\s+", ""), r"(?U)\s+$", "")
@@ -90,7 +97,7 @@ def _digit_tables() -> tuple[str, str]:
 
 def ascii_digits(text: Column) -> Column:
     """Digits of all scripts as 0-9."""
-    return F.translate(text, *_digit_tables())
+    return F.when(text.rlike(r"[\p{Nd}&&[^0-9]]"), F.translate(text, *_digit_tables())).otherwise(text)
 
 
 def numeric_text(text: Column) -> Column:
@@ -200,3 +207,14 @@ def whois_server(response: Column) -> Column:
 def collapse_repeats(text: Column, least: int = 3) -> Column:
     """A word of at least that many letters that follows itself stands once."""
     return F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}_])(\p{{L}}{{{least},}})(?: \1(?![\p{{L}}\p{{N}}_]))+", "$1")
+
+
+def negation_pattern(markers: str, clitic: bool = False) -> str:
+    """A pattern for markers of negation, separated by spaces: `word` as a whole, `word-` at a word's start, `-word` at its end, `-word-` anywhere; all anywhere if clitic."""
+    edge = r"[\p{L}\p{N}_]"
+    parts = []
+    for marker in markers.split():
+        word = re.escape(marker.strip("-"))
+        before, after = ("" if clitic or marker.startswith("-") else f"(?<!{edge})"), ("" if clitic or marker.endswith("-") else f"(?!{edge})")
+        parts.append(f"{before}{word}{after}")
+    return "(?iu)(?:" + "|".join(parts) + ")"

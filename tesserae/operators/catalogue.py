@@ -205,24 +205,13 @@ def constants(files: DataFrame, text: str) -> DataFrame:
     return files.select(F.explode(T.find(C(text), r"(?m)^\s*public const ([A-Z][A-Z0-9]*) = '\1';", 1)).alias("name")).distinct()
 
 
-def term_pattern(term: str) -> str:
-    """A term bounded by other than letters, digits, _, \\, / and -, also with an s behind; without regard to case if it has no capital."""
-    fold = "" if any(c.isupper() for c in term) else "(?i)"
-    return rf"{fold}(?<![A-Za-z0-9_\\/-]){re.escape(term)}s?(?![A-Za-z0-9_\\/-])"
-
-
 def dropped_terms(pairs: DataFrame, glossary: list[tuple[str, list[str]]]) -> DataFrame:
-    """locale, pos, term: literals (term, exempt locales) that the source has and the target has not, whatever its case and the spaces around slashes.
+    """locale, pos, term: literals (term, exempt locales) that the source has and the target has not.
 
     The glossary is a short list given by the caller; the plan holds a test for each term, no join.
     """
-    target = F.lower(F.regexp_replace("dst", r"\s*/\s*", "/"))
-    rows = pairs.withColumn("_target", target)
-    hits = [
-        F.when(C("src").rlike(term_pattern(term)) & ~F.contains(C("_target"), F.lit(term.lower())) & ~C("locale").isin(exempt or [""]), F.lit(term))
-        for term, exempt in glossary
-    ]
-    return rows.select("locale", "pos", F.explode(F.array_compact(F.array(*hits))).alias("term"))
+    hits = [F.when(checks.term_dropped(C("src"), C("dst"), C("locale"), term, exempt), F.lit(term)) for term, exempt in glossary]
+    return pairs.select("locale", "pos", F.explode(F.array_compact(F.array(*hits))).alias("term"))
 
 
 def glossary_document(terms: DataFrame, corpus: DataFrame) -> DataFrame:
@@ -238,9 +227,8 @@ def glossary_document(terms: DataFrame, corpus: DataFrame) -> DataFrame:
 
 def rollup(pairs: DataFrame) -> DataFrame:
     """One row over catalogues: scanned, affected, mojibake, hidden, artifacts."""
-    size = lambda p: F.size(T.find(C("dst"), p))
-    hidden = sum((size(p) for p in checks.HIDDEN.values()), F.lit(0))
-    own = pairs.groupBy("locale").agg(F.sum(size(checks.MOJIBAKE)).alias("mojibake"), F.sum(hidden).alias("hidden"))
+    hidden, damaged = F.size(checks.hidden_in(C("dst"), C("locale"))), F.size(checks.mojibake_in(C("dst")))
+    own = pairs.groupBy("locale").agg(F.sum(damaged).alias("mojibake"), F.sum(hidden).alias("hidden"))
     marks = checks.translation_artifacts(pairs).groupBy("locale").agg(F.sum("n").alias("artifacts"))
     rows = own.join(marks, "locale", "left").na.fill(0, ["mojibake", "hidden", "artifacts"])
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)

@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
 from ..functions.similarity import near_miss_udf, ratio_udf
+from ..sources.shared import kept
 
 C = F.col
 
 
 @dataclass(frozen=True)
 class Check:
-    """hard: a finding fails the run. build: (src, dst, locale) -> boolean Column."""
+    """hard: a finding fails the run. build: (src, dst, locale, and a check's own inputs by name) -> boolean Column."""
 
     name: str
     hard: bool
-    build: Callable[[Column, Column, Column], Column]
+    build: Callable[..., Column]
 
 
 ROW_CHECKS: dict[str, Check] = {}
@@ -70,8 +72,10 @@ def trailing(src, dst, locale):
 
 
 @check("boilerplate", True)
-def boilerplate(src, dst, locale):
-    return (dst.rlike(P.BOILERPLATE) & ~src.rlike(P.BOILERPLATE)) | (dst.rlike(P.WIKI_CHROME) & ~src.rlike(P.WIKI_CHROME))
+def boilerplate(src, dst, locale, phrases: tuple[str, ...] = ()):
+    """Chrome of other products in the target alone; phrases are further ones, wherever they stand."""
+    any_of = "|".join([P.BOILERPLATE, *map(re.escape, phrases)])
+    return (dst.rlike(any_of) & ~src.rlike(any_of)) | (dst.rlike(P.WIKI_CHROME) & ~src.rlike(P.WIKI_CHROME))
 
 
 def _translated(letters: str, others: str) -> Callable[[Column], Column]:
@@ -156,27 +160,41 @@ def unlocalized(src, dst, locale):
     return (T.strip(dst) != "") & (F.size(words) >= 2) & out
 
 
+def _most_common(words: Column) -> Column:
+    """word and n of the most frequent word of an array, of equally frequent ones the first. Runs of the sorted words are counted, so the work grows with the words and not with their square."""
+    empty = F.struct(F.lit("").alias("word"), F.lit(0).alias("n"), F.lit(0).alias("at"))
+    ordered = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))))
+
+    def step(a: Column, x: Column) -> Column:
+        on = a["run"]["word"] == x["word"]
+        run = F.struct(x["word"].alias("word"), F.when(on, a["run"]["n"] + 1).otherwise(1).alias("n"), F.when(on, a["run"]["at"]).otherwise(x["at"]).alias("at"))
+        better = (run["n"] > a["best"]["n"]) | ((run["n"] == a["best"]["n"]) & (run["at"] < a["best"]["at"]))
+        return F.struct(run.alias("run"), F.when(better, run).otherwise(a["best"]).alias("best"))
+
+    return F.aggregate(ordered, F.struct(empty.alias("run"), empty.alias("best")), step, lambda a: a["best"])
+
+
 @check("repetition", True)
 def repetition(src, dst, locale):
-    """Of six words or more, one of at most two letters fills two fifths, six times at least."""
+    """Of six words or more, the most frequent has at most two letters and fills two fifths, six times at least; of equally frequent words the first counts."""
     words = T.white_space_words(dst)
     n = F.size(words)
-    short = F.filter(words, lambda w: F.length(w) <= 2)
-    often = F.transform(F.array_distinct(short), lambda w: F.size(F.filter(short, lambda v: v == w)))
-    most = F.array_max(often)
-    longer = F.filter(words, lambda w: F.length(w) > 2)
-    rest = F.coalesce(F.array_max(F.transform(F.array_distinct(longer), lambda w: F.size(F.filter(longer, lambda v: v == w)))), F.lit(0))
-    enough = (n >= 6) & (F.size(short) >= 6) & (10 * F.size(short) >= 4 * n)
-    return enough & F.coalesce((most >= 6) & (10 * most >= 4 * n) & (most > rest), F.lit(False))
+    short = F.size(F.filter(words, lambda w: F.length(w) <= 2))
+    top = _most_common(words)
+    # only texts of that many short words are sorted
+    return F.when((short >= 6) & (short >= n * F.lit(0.4)), (F.length(top["word"]) <= 2) & (top["n"] >= 6) & (top["n"] >= n * F.lit(0.4))).otherwise(F.lit(False))
 
 
 @check("numerals", False)
 def numerals(src, dst, locale):
-    s, d = T.numeric_text(src), T.numeric_text(dst)
-    lost = F.size(F.array_except(T.numbers(s, 2), T.numbers(d, 2))) > 0
-    gone = F.array_except(T.ranges(s), T.ranges(d))
-    present = T.numbers(d)
-    return lost | F.exists(gone, lambda r: F.size(F.array_except(F.split(r, "-"), present)) > 0)
+    """A number of two digits or more, or a range whose ends the target hasn't, is lost; only sources with a digit are prepared."""
+
+    def lost(x: Column) -> Column:
+        gone, present = F.array_except(T.ranges(x["s"]), T.ranges(x["d"])), T.numbers(x["d"])
+        ends = F.exists(gone, lambda r: F.size(F.array_except(F.split(r, "-"), present)) > 0)
+        return (F.size(F.array_except(T.numbers(x["s"], 2), T.numbers(x["d"], 2))) > 0) | ends
+
+    return F.when(src.rlike(r"\p{Nd}"), T.let(F.struct(T.numeric_text(src).alias("s"), T.numeric_text(dst).alias("d")), lost)).otherwise(F.lit(False))
 
 
 @check("truncation", False)
@@ -191,48 +209,57 @@ def rrtype(src, dst, locale):
 
 
 @check("englishleak", False)
-def englishleak(src, dst, locale, prose: tuple[str, ...] = ("with", "from", "this", "that", "have", "will", "your", "when", "which", "there")):
+def englishleak(src, dst, locale, prose: tuple[str, ...] = tuple(P.PROSE)):
+    """A word of ordinary English that the source has too, in a target of another script."""
+
     def latin(text: Column) -> Column:
         kept = F.filter(T.find(F.regexp_replace(text, P.LEAK_STRIP, " "), P.LATIN_WORD), lambda w: w != F.upper(w))
         return F.array_distinct(F.transform(kept, F.lower))
 
     leaked = F.array_intersect(latin(dst), T.literal_array(list(prose)))
-    return locale.isin(*P.SCRIPTS) & F.coalesce(F.arrays_overlap(leaked, latin(src)), F.lit(False))
+    # the script is looked at first: most catalogues are in Latin
+    return F.when(locale.isin(*P.SCRIPTS), F.coalesce(F.arrays_overlap(leaked, latin(src)), F.lit(False))).otherwise(F.lit(False))
 
 
-#: Our own markers of negation by language (fr for fr_FR); a locale without an entry is not checked.
+#: Our own markers of negation by locale or language (fr for fr_FR), as functions.text.negation_pattern reads them; others are given by the caller.
 NEGATION = {
-    "en": r"(?i)(?:^|[^\p{L}])(?:not|no|never|none|cannot|without|nor|neither|nothing|[a-z]+n't)(?:[^\p{L}]|$)",
-    "fr": r"(?i)(?:^|[^\p{L}])(?:ne|pas|aucun|aucune|jamais|sans|non|n'\p{L}+)(?:[^\p{L}]|$)",
-    "de": r"(?i)(?:^|[^\p{L}])(?:nicht|kein|keine|keinen|nie|ohne|nichts)(?:[^\p{L}]|$)",
-    "es": r"(?i)(?:^|[^\p{L}])(?:no|nunca|sin|nada|ningún|ninguna)(?:[^\p{L}]|$)",
-}
+    "fr": "ne n' pas aucun aucune jamais sans non rien im- in- -less", "de": "nicht kein- nie niemals ohne nichts un-", "es": "no nunca sin nada ningún ninguna ni in-",
+    "ru": "не- нет без- ни- никогда", "el": "δεν μην μη- χωρίς ποτέ", "zh": "不 未 无 非 没",
+}
+#: Of these, locales that write without spaces or join markers to words.
+CLITIC = ("zh", "ja", "ko", "th", "ar", "he", "fa")
 
 
 @check("negation_loss", False)
-def negation_loss(src, dst, locale):
-    out = F.lit(False)
-    for name, pattern in NEGATION.items():
-        out = out | ((F.substring_index(locale, "_", 1) == name) & ~dst.rlike(pattern))
-    plain = F.regexp_replace(src, "\"[^\"]*\"|'[^']{2,}'|<[^<>]*>", " ")
-    return plain.rlike(NEGATION["en"]) & ~dst.rlike(NEGATION["en"]) & out
-
-
-def flagged(pairs: DataFrame, names: list[str] | None = None) -> DataFrame:
+def negation_loss(src, dst, locale, markers: dict[str, str] | None = None, clitic: tuple[str, ...] = CLITIC):
+    """The source negates and the target has no marker of its language, nor English negation. markers: by locale or, where that has none, by language; a locale without any is not checked."""
+    markers = NEGATION if markers is None else markers
+    language = F.substring_index(locale, "_", 1)
+    lost = F.lit(False)
+    for name, words in markers.items():
+        own = (locale == name) if "_" in name else ((language == name) & ~locale.isin([x for x in markers if "_" in x] or [""]))
+        lost = F.when(own, ~dst.rlike(T.negation_pattern(words, name in clitic or name.split("_")[0] in clitic))).otherwise(lost)
+    known = language.isin([x for x in markers if "_" not in x] or [""]) | locale.isin([x for x in markers if "_" in x] or [""])
+    return F.when(known & F.regexp_replace(src, P.ENGLISH_LITERAL, " ").rlike(P.ENGLISH_NEGATED) & ~dst.rlike(P.ENGLISH_NEGATED), lost).otherwise(F.lit(False))
+
+
+def flagged(pairs: DataFrame, names: list[str] | None = None, inputs: dict[str, dict] | None = None) -> DataFrame:
     """pairs (src, dst, locale) with a boolean column for each named row check, all in one projection.
 
+    inputs: a check's own inputs by its name, such as {"englishleak": {"prose": [...]}, "negation_loss": {"markers": {...}}}; the defaults are ours.
     Catalyst computes only the columns that are used. A null text is an empty one.
     """
+    inputs = inputs or {}
     src, dst, locale = (F.coalesce(C(c), F.lit("")) for c in ("src", "dst", "locale"))
-    return pairs.select("*", *[F.coalesce(ROW_CHECKS[n].build(src, dst, locale), F.lit(False)).alias(f"is_{n}") for n in names or ROW_CHECKS])
+    return pairs.select("*", *[F.coalesce(ROW_CHECKS[n].build(src, dst, locale, **inputs.get(n, {})), F.lit(False)).alias(f"is_{n}") for n in names or ROW_CHECKS])
 
 
-def findings(pairs: DataFrame, names: list[str] | None = None) -> DataFrame:
+def findings(pairs: DataFrame, names: list[str] | None = None, inputs: dict[str, dict] | None = None) -> DataFrame:
     """locale, pos, cls, hard, src, dst: a row for each check that a pair fails."""
     names = names or list(ROW_CHECKS)
     classes = F.filter(F.array(*[F.when(C(f"is_{n}"), F.struct(F.lit(n).alias("cls"), F.lit(ROW_CHECKS[n].hard).alias("hard"))) for n in names]), lambda x: x.isNotNull())
     # for a plain explode Catalyst would infer a filter on the array, and so compute every check twice
-    rows = flagged(pairs, names).select("locale", "pos", F.explode_outer(classes).alias("f"), "src", "dst").filter(C("f").isNotNull())
+    rows = flagged(pairs, names, inputs).select("locale", "pos", F.explode_outer(classes).alias("f"), "src", "dst").filter(C("f").isNotNull())
     return rows.select("locale", "pos", "f.cls", "f.hard", "src", "dst")
 
 
@@ -244,18 +271,50 @@ def finding_counts(found: DataFrame) -> DataFrame:
 # --- checks over a whole catalogue -------------------------------------------------------
 
 
+def _polar_keys(word: Column) -> Column:
+    """array<struct<key, side>>: two words are of opposite sense only if they have a key in common on different sides."""
+    sides = []
+    for a, b in P.POLAR_PAIRS:
+        sides += [F.when(word == a, F.struct(F.lit(f"{a} {b}").alias("key"), F.lit(0).alias("side"))), F.when(word == b, F.struct(F.lit(f"{a} {b}").alias("key"), F.lit(1).alias("side")))]
+    sides.append(F.when(F.length(word) >= 3, F.struct(word.alias("key"), F.lit(0).alias("side"))))
+    for prefix in P.POLAR_PREFIXES:
+        sides.append(F.when(word.startswith(prefix) & (F.length(word) >= 3 + len(prefix)), F.struct(F.substr(word, F.lit(len(prefix) + 1)).alias("key"), F.lit(1).alias("side"))))
+    return F.array_compact(F.array(*sides))
+
+
 def antonym_collisions(pairs: DataFrame) -> DataFrame:
-    """Sources of opposite sense that share a translation: pos_a, pos_b, relation.
+    """Sources of opposite sense that share a translation: locale, relation, and for each side t, words, pos and n (t_a, ..., t_b, ...).
 
-    Only texts that open alike are compared. Sources are first put together by what the comparison
-    reads, so that repeated rows don't multiply.
+    Rows with equal translations t and words are one class of n rows, shown by the least pos; a result is a pair of classes. Only texts that open alike are compared, and
+    of these only those that can be opposites: with the same words before a word that is the other's opposite, or with the same words but for negations.
     """
-    rows = pairs.select("locale", "pos", T.strip(C("dst")).alias("t"), T.english_words(C("src")).alias("w")).withColumn("block", F.substring("t", 1, 15))
-    distinct = rows.groupBy("locale", "block", "t", "w").agg(F.sort_array(F.collect_list("pos")).alias("at"))
-    a, b = distinct.alias("a"), distinct.alias("b")
-    both = a.join(b, (C("a.locale") == C("b.locale")) & (C("a.block") == C("b.block")) & (F.struct("a.t", "a.w") < F.struct("b.t", "b.w")))
-    both = both.withColumn("relation", polarity_of("a.w", "b.w")).filter(C("relation").isNotNull() & T.shared_translation(C("a.t"), C("b.t"), C("relation")))
-    return both.select(C("a.locale").alias("locale"), F.explode("a.at").alias("pos_a"), C("b.at").alias("_b"), "relation").select("locale", "pos_a", F.explode("_b").alias("pos_b"), "relation")
+    rows = pairs.select("locale", "pos", T.strip(C("dst")).alias("t"), T.english_words(C("src")).alias("w"))
+    classes = rows.groupBy("locale", "t", "w").agg(F.min("pos").alias("pos"), F.count("*").alias("n")).withColumn("block", F.substring("t", 1, 15))
+    several = classes.groupBy("locale", "block").agg(F.count("*").alias("k")).filter("k > 1")
+    negations = T.literal_array(P.ENGLISH_NEGATION)
+    plain = F.xxhash64(F.filter("w", lambda w: ~F.array_contains(negations, w)))
+    own = kept(classes.join(several, ["locale", "block"], "left_semi").withColumns({"size": F.size("w"), "plain": plain, "all": _all_but_none("w", 1), "th": F.xxhash64("t")}))
+    # each word with what stands before it, and with all but it
+    # texts stay behind: their hashes travel with the words
+    words = own.select("locale", "block", "th", "pos", "size", "all", F.posexplode("w").alias("i", "word")).withColumn("h", _placed(C("i"), C("word"), 1))
+    before = Window.partitionBy("locale", "pos").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    words = words.withColumns({"head": F.coalesce(F.bit_xor("h").over(before), F.lit(0)), "rest": C("all").bitwiseXOR(C("h")), "k": _polar_keys(C("word"))})
+    words = words.select("locale", "block", "th", "pos", "size", "i", "head", "rest", F.explode("k").alias("k")).select("*", "k.key", "k.side")
+
+    def met(left: DataFrame, right: DataFrame, keys: list[str], test: Column) -> DataFrame:
+        a, b = (side.select(*[C(c).alias(f"{c}_{name}") for c in dict.fromkeys([*keys, "pos", "size"])], C("locale").alias(f"_l{name}")) for side, name in ((left, "a"), (right, "b")))
+        return a.join(b, [C(f"{c}_a").eqNullSafe(C(f"{c}_b")) for c in keys]).filter(test).select(C("_la").alias("locale"), "pos_a", "pos_b")
+
+    sides = [words.filter(C("side") == n) for n in (0, 1)]
+    swapped = met(*sides, ["locale", "th", "size", "i", "key", "rest"], F.lit(True))
+    extended = met(*sides, ["locale", "block", "i", "key", "head"], C("size_a") != C("size_b"))
+    negated = met(own, own, ["locale", "th", "plain"], (C("size_a") < C("size_b")) & (C("size_b") - C("size_a") <= 2))
+    found = swapped.union(extended).union(negated).select("locale", F.least("pos_a", "pos_b").alias("pos_a"), F.greatest("pos_a", "pos_b").alias("pos_b")).distinct()
+    for name in "ab":
+        shown = own.select(C("locale").alias("_l"), C("pos").alias("_p"), C("t").alias(f"t_{name}"), C("w").alias(f"words_{name}"), C("n").alias(f"n_{name}"))
+        found = found.join(shown, C("locale").eqNullSafe(C("_l")) & (C(f"pos_{name}") == C("_p"))).drop("_l", "_p")
+    found = found.withColumn("relation", polarity_of("words_a", "words_b"))
+    return found.filter(C("relation").isNotNull() & T.shared_translation(C("t_a"), C("t_b"), C("relation")))
 
 
 def polarity_of(a: str, b: str) -> Column:
@@ -276,19 +335,38 @@ def msgstr_collapses(pairs: DataFrame, share: float = 0.6) -> DataFrame:
     """
     ratios = length_ratio_medians(pairs).withColumnRenamed("locale", "_l")
     rows = pairs.select("locale", T.strip(C("dst")).alias("t"), "src", T.msgid_key(C("src")).alias("k"))
-    groups = rows.groupBy("locale", "t").agg(F.count("*").alias("n"), F.count_distinct("k").alias("keys"), F.min(F.length("src")).alias("least")).filter((C("n") > 1) & (C("keys") > 1))
+    # sources that say the same have equal keys, and so equal hashes of 128 bits
+    key = F.struct(F.xxhash64("k"), F.xxhash64(F.lit(1), "k"))
+    groups = rows.groupBy("locale", "t").agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"), F.min(F.length("src")).alias("least"))
+    groups = kept(groups.filter((C("n") > 1) & (C("lo") != C("hi"))).drop("lo", "hi"))
     groups = groups.join(ratios, C("locale") == C("_l")).drop("_l")
     pressed = groups.withColumn("pressed", F.length("t") < share * C("ratio") * C("least"))
-    # substitution: each word of a key blanked in turn makes pairs that differ in one word meet in a group
-    keys = rows.select("locale", "t", "k").distinct().filter(F.size("k") >= 4)
-    holes = keys.select("locale", "t", F.posexplode("k").alias("i", "w"), "k").withColumn("frame", F.concat_ws(" ", F.slice("k", F.lit(1), C("i")), F.lit("\u0001"), F.slice("k", C("i") + 2, F.size("k"))))
-    met = holes.groupBy("locale", "t", "i", "frame").agg(F.collect_set("w").alias("ws")).filter(F.size("ws") > 1)
-    pair = lambda x, y: (x < y) & ~T.same_word(x, y) & ~_synonyms(x, y)
-    met = met.filter(F.exists("ws", lambda x: F.exists("ws", lambda y: pair(x, y)))).select(C("locale").alias("_l"), C("t").alias("_t")).distinct()
+    # substitution: only sources of such groups are compared; two of as many words that differ at one place alone agree in all other words' hashes
+    keys = rows.join(groups.select("locale", "t"), ["locale", "t"], "left_semi").select("locale", "t", "k").distinct().filter(F.size("k") >= 4)
+    whole = keys.withColumns({"size": F.size("k"), "all1": _all_but_none("k", 1), "all2": _all_but_none("k", 2)})  # before the words are unrolled, once a text
+    holes = whole.select("locale", "t", "size", "all1", "all2", F.posexplode("k").alias("i", "w"))
+    frame = ["locale", "t", "size", "i", "h1", "h2"]
+    holes = kept(holes.withColumns({f"h{seed}": C(f"all{seed}").bitwiseXOR(_placed(C("i"), C("w"), seed)) for seed in (1, 2)}).select(*frame, "w"))
+    ends = holes.groupBy(*frame).agg(F.min("w").alias("x"), F.max("w").alias("y")).filter(C("x") != C("y"))
+    differ = lambda x, y: ~T.same_word(x, y) & ~_synonyms(x, y)
+    ends = ends.withColumn("met", differ(C("x"), C("y")))
+    # of the rest, whose first and last word are alike, all words are looked at
+    alike = holes.join(ends.filter(~C("met")), frame, "left_semi").groupBy("locale", "t", *frame[2:]).agg(F.sort_array(F.collect_set("w")).alias("ws"))
+    alike = alike.filter(F.exists("ws", lambda x: F.exists("ws", lambda y: (x < y) & differ(x, y))))
+    met = ends.filter("met").select(C("locale").alias("_l"), C("t").alias("_t")).union(alike.select("locale", "t")).distinct()
     out = pressed.join(met, (C("locale") == C("_l")) & (C("t") == C("_t")), "left")
     return out.filter(C("pressed") | C("_t").isNotNull()).select("locale", C("t").alias("dst"), "n", "pressed")
 
 
+def _placed(at: Column, word: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), at.cast("long"), word)
+
+
+def _all_but_none(words: str, seed: int) -> Column:
+    """All words of an array with their places as one hash; any one of them can be taken out again."""
+    return F.aggregate(F.transform(words, lambda w, i: _placed(i, w, seed)), F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h))
+
+
 def _synonyms(x: Column, y: Column) -> Column:
     out = F.lit(False)
     for a, b in P.SYNONYM_PAIRS:
@@ -322,34 +400,51 @@ def term_consistency(pairs: DataFrame, terms: list[tuple[str, str, list[str]]])
 
 # --- Unicode hygiene ---------------------------------------------------------------------
 
-#: Categories of characters that a reader doesn't see.
+# Categories of characters that a reader doesn't see. Vertical tab, form feed and file, group and record separators end a line, and so
+# aren't seen in one. The zero-width non-joiner belongs to the spelling of some languages.
 HIDDEN = {
-    "zero_width": "[​‌‍⁠﻿]", "bidi": "[‎‏‪-‮⁦-⁩]", "soft_hyphen": "­",
-    "line_separator": "[  ]", "control": "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]", "c1_control": "[\u0080-\u009f]",
+    "zero_width": r"[\x{200B}\x{200C}\x{200D}\x{2060}\x{FEFF}\x{180E}]", "soft_hyphen": r"\x{00AD}", "bidi_control": r"[\x{202A}-\x{202E}\x{2066}-\x{2069}]",
+    "invisible_math": r"[\x{2061}-\x{2064}]", "tag_character": r"[\x{E0000}-\x{E007F}]", "ascii_control": r"[\x00-\x08\x0E-\x1B\x1F\x7F]",
 }
-MOJIBAKE = "[Â-ô][\u0080-¿]"
+NON_JOINER, JOINER_LOCALES = "\u200c", r"^(?:fa|ar|ur|ps)_"
+# A character of Latin-1 that is the lead byte of UTF-8, and any that may have been read with it.
+MOJIBAKE = r"[\x{00C2}-\x{00C5}][\x{0080}-\x{00FF}]"
+_VALID = r"^[\x{00C2}-\x{00C5}][\x{0080}-\x{00BF}]$"
 
 
-def hidden_characters(pairs: DataFrame) -> DataFrame:
-    """category, code, n over the targets."""
+def hidden_in(text: Column, locale: Column) -> Column:
+    """array<struct<category, ch>> of the hidden characters of a text."""
     def named(category: str) -> Callable[[Column], Column]:
         return lambda x: F.struct(F.lit(category).alias("category"), x.alias("ch"))
 
-    found = [F.transform(T.find(C("dst"), p), named(name)) for name, p in HIDDEN.items()]
-    rows = pairs.select(F.explode(F.concat(*found)).alias("f"))
-    return rows.groupBy(C("f.category").alias("category"), F.hex(F.encode("f.ch", "UTF-16BE")).alias("code")).agg(F.count("*").alias("n"))
+    any_of = "|".join(HIDDEN.values())
+    found = F.concat(*[F.transform(T.find(text, p), named(name)) for name, p in HIDDEN.items()])
+    # one scan for the texts that have none
+    some = F.when(text.rlike(any_of), found).otherwise(F.array().cast("array<struct<category:string,ch:string>>"))
+    return F.filter(some, lambda x: (x["ch"] != NON_JOINER) | ~F.coalesce(locale, F.lit("")).rlike(JOINER_LOCALES))
+
+
+def hidden_characters(pairs: DataFrame) -> DataFrame:
+    """locale, category, code, n over the targets; a null target has none."""
+    rows = pairs.select("locale", F.explode(hidden_in(C("dst"), C("locale"))).alias("f"))
+    return rows.groupBy("locale", C("f.category").alias("category"), F.hex(F.encode("f.ch", "UTF-32")).alias("code")).agg(F.count("*").alias("n"))
+
+
+def mojibake_in(text: Column) -> Column:
+    """Pairs of characters of Latin-1 that are the bytes of one character in UTF-8. Pairs are taken from the left; one that isn't valid UTF-8 was text, and takes its two characters along."""
+    return F.filter(T.find(text, MOJIBAKE), lambda x: x.rlike(_VALID))
 
 
 def mojibake(pairs: DataFrame) -> DataFrame:
-    """pattern, n: two characters of Latin-1 that are the two bytes of one character in UTF-8."""
-    return pairs.select(F.explode(T.find(C("dst"), MOJIBAKE)).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))
+    """pattern, n: the damaged pairs of the targets."""
+    return pairs.select(F.explode(mojibake_in(C("dst"))).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))
 
 
 def repaired_mojibake(text: Column) -> Column:
-    """Sequences of two such characters as the one they stand for; what isn't valid UTF-8 stays."""
+    """Damaged pairs as the character they stand for; all else stays."""
     pieces = T.find(text, f"{MOJIBAKE}|(?s:.)")
-    fix = lambda x: F.when(x.rlike(f"^{MOJIBAKE}$"), F.coalesce(F.try_validate_utf8(F.encode(x, "ISO-8859-1")), x)).otherwise(x)
-    return F.array_join(F.transform(pieces, fix), "")
+    fix = lambda x: F.when(x.rlike(_VALID), F.decode(F.encode(x, "ISO-8859-1"), "UTF-8")).otherwise(x)
+    return F.when(F.size(mojibake_in(text)) > 0, F.array_join(F.transform(pieces, fix), "")).otherwise(text)
 
 
 def translation_artifacts(pairs: DataFrame) -> DataFrame:
@@ -368,8 +463,27 @@ def sentinel_leaks(pairs: DataFrame) -> DataFrame:
 # --- the gate before a reviewed change ----------------------------------------------------
 
 
-def gate_reasons(msgid: Column, new: Column, locale: Column, literals: list[str] = ()) -> Column:
-    """array<string> of the reasons against a new translation, in order."""
+def term_pattern(term: str) -> str:
+    """A term bounded by other than letters, digits, _, \\, / and -, also with an s behind; without regard to case if it has no capital."""
+    fold = "" if any(c.isupper() for c in term) else "(?i)"
+    return rf"{fold}(?<![A-Za-z0-9_\\/-]){re.escape(term)}s?(?![A-Za-z0-9_\\/-])"
+
+
+def term_dropped(src: Column, dst: Column, locale: Column, term: str, exempt: list[str] = ()) -> Column:
+    """The source has the term and the target has not, whatever its case and the spaces around slashes; never in an exempt locale."""
+    target = F.lower(F.regexp_replace(dst, r"\s*/\s*", "/"))
+    return src.rlike(term_pattern(term)) & ~F.contains(target, F.lit(term.lower())) & ~locale.isin(list(exempt) or [""])
+
+
+def gate_reasons(msgid: Column, new: Column, locale: Column, literals: list[str] | list[tuple[str, list[str]]] = (), old: Column | None = None) -> Column:
+    """array<string> of the reasons against a new translation, in order.
+
+    literals: terms that must stay, each alone or with its exempt locales. old: the text that is to be corrected; an echo of the msgid is no translation to correct.
+    """
+    terms = [(x, []) if isinstance(x, str) else x for x in literals]
+    dropped = F.lit(False)
+    for term, exempt in terms:
+        dropped = dropped | term_dropped(msgid, new, locale, term, exempt)
     reasons = [
         ("placeholders", T.placeholders(msgid, P.GATE_PRINTF) != T.placeholders(new, P.GATE_PRINTF)),
         ("tags", T.tags(msgid) != T.tags(new)),
@@ -378,8 +492,15 @@ def gate_reasons(msgid: Column, new: Column, locale: Column, literals: list[str]
         ("trailing_space", T.trail(msgid) != T.trail(new)),
         ("identifiers", F.exists(T.identifiers(msgid), lambda x: ~F.contains(new, x))),
         ("addresses", T.ipv4(msgid) != T.ipv4(new)),
-        ("literals", F.exists(T.literal_array(list(literals) or [""]), lambda x: F.contains(msgid, x) & ~F.contains(new, x))),
+        ("literals", dropped),
+        ("fallback", F.lit(False) if old is None else F.coalesce(old == msgid, F.lit(False))),
         ("empty", T.strip(new) == ""),
         ("echo", new == msgid),
     ]
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in reasons]))
+
+
+def gated(rows: DataFrame, msgid: str = "src", new: str = "dst", locale: str = "locale", literals: list = (), old: str | None = None) -> DataFrame:
+    """Rows that the gate refuses, with `reasons` joined by |. The reasons are made once a row: Catalyst would push a filter on them below the projection that makes them."""
+    reasons = F.array_join(gate_reasons(C(msgid), C(new), C(locale), literals, C(old) if old else None), "|")
+    return rows.select("*", F.explode_outer(F.array(reasons)).alias("reasons")).filter(C("reasons") != "")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.similarity import word_forms_udf
+from ..sources.shared import kept
 
 C = F.col
 WORD = r"[\p{L}\p{Nl}\p{No}]{3,}"
@@ -43,20 +44,21 @@ def diacritics(pairs: DataFrame, literals: tuple[str, ...] = ()) -> DataFrame:
     Words of the source, compared without marks, are names or loans and never damaged, nor are `literals`. Null texts are empty.
     """
     rows = pairs.select("locale", "pos", *[F.coalesce(C(c), F.lit("")).alias(c) for c in ("src", "dst")])
-    own = rows.select("locale", "pos", F.explode(words(T.prose_mask(C("dst")))).alias("word"))
-    counts = with_forms(own.groupBy("locale", "word").agg(F.count("*").alias("n")))
+    own = kept(rows.select("locale", "pos", F.explode(words(T.prose_mask(C("dst")))).alias("word")))  # texts are masked once
+    counts = kept(with_forms(own.groupBy("locale", "word").agg(F.count("*").alias("n"))))
     marked = spellings(counts).filter((C("n_marked") > 0) & (C("n_marked") >= C("n_bare"))).select(
         C("locale").alias("_l"), C("key").alias("_key"), ((C("n_marked") >= DOMINANT) & (C("n_marked") >= TIMES * C("n_bare"))).alias("strong"))
     open_ = counts.filter(C("bare") & ~C("word").isin(*literals or [""])).join(marked, C("locale").eqNullSafe(C("_l")) & (C("folded") == C("_key"))).select(
         C("locale").alias("_l"), C("word").alias("_w"), "folded", "strong")
     found = own.distinct().join(open_, C("locale").eqNullSafe(C("_l")) & (C("word") == C("_w"))).select("locale", "pos", "word", "folded", "strong")
+    found = kept(found)
     places = found.select(C("locale").alias("_l"), C("pos").alias("_p")).distinct()
     at = C("locale").eqNullSafe(C("_l")) & (C("pos") == C("_p"))
     # words of the sources of these entries alone
     source = rows.join(places, at, "left_semi").select("locale", "pos", F.explode(F.array_distinct(words(C("src")))).alias("word"))
     forms = with_forms(source.select("word").distinct()).select(C("word").alias("_w"), "plain")
     source = source.join(forms, C("word") == C("_w")).select(C("locale").alias("_l"), C("pos").alias("_p"), "plain").distinct()
-    suspect = found.join(source, at & (C("folded") == C("plain")), "left_anti")
+    suspect = kept(found.join(source, at & (C("folded") == C("plain")), "left_anti"))
     seeds = suspect.groupBy("locale", "pos").agg(F.count_if("strong").alias("k")).filter(C("k") >= SEEDS).select(C("locale").alias("_l"), C("pos").alias("_p"))
     # an entry with a mark anywhere, also in what the mask blanks, gives nothing away
     raw = rows.join(seeds, at, "left_semi").select("locale", "pos", F.explode(F.array_distinct(words(C("dst")))).alias("word"))

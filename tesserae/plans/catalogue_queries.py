@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import catalogue, checks, ordered
+from ..operators import catalogue, ordered
+from .check_queries import HIDDEN_SQL, MOJIBAKE_SQL
 from .pairs import PAIR_DAMAGED, pair_damaged, table
 
 C = F.col
@@ -168,10 +169,10 @@ def glossary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SYMBOL = "NOT contains(src, ch) AND (unicode(ch) BETWEEN 9833 AND 9839 OR unicode(ch) BETWEEN 119808 AND 120831 OR unicode(ch) BETWEEN 9472 AND 9599 OR unicode(ch) BETWEEN 9632 AND 10175 AND unicode(ch) NOT IN (9744, 9745, 9746) OR locale <> 'el_GR' AND (unicode(ch) BETWEEN 880 AND 1023 OR unicode(ch) BETWEEN 7936 AND 8191))"
 _MARKS = f"a AS (SELECT locale, pos, ch, count(*) AS n FROM (SELECT locale, pos, src, unnest(string_split(dst, '')) AS ch FROM pair) WHERE {_SYMBOL} GROUP BY ALL)"
-_HIDDEN = " + ".join(f"len(regexp_extract_all(dst, '{p}'))" for p in checks.HIDDEN.values())
 
 
-@query(f"WITH {PAIR_DAMAGED}, {_MARKS}, o AS (SELECT locale, sum(len(regexp_extract_all(dst, '{checks.MOJIBAKE}'))) AS m, sum({_HIDDEN}) AS h FROM pair GROUP BY locale), r AS (SELECT m, h, (SELECT coalesce(sum(n), 0) FROM a WHERE a.locale = o.locale) AS s FROM o) SELECT count(*) AS scanned, count(*) FILTER (m + h + s > 0) AS affected, sum(m)::BIGINT AS mojibake, sum(h)::BIGINT AS hidden, sum(s)::BIGINT AS artifacts FROM r")
+@query(f"""WITH {PAIR_DAMAGED}, {_MARKS}, o AS (SELECT locale, sum({MOJIBAKE_SQL.format(n='len')}) AS m, sum(len({HIDDEN_SQL})) AS h FROM pair GROUP BY locale), r AS (SELECT m, h, (SELECT coalesce(sum(n), 0) FROM a WHERE a.locale = o.locale) AS s FROM o)
+ SELECT count(*) AS scanned, count(*) FILTER (m + h + s > 0) AS affected, sum(m)::BIGINT AS mojibake, sum(h)::BIGINT AS hidden, sum(s)::BIGINT AS artifacts FROM r""")
 def unicode_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.rollup(pair_damaged(spark, sf_dir))
 

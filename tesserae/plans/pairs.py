@@ -39,7 +39,7 @@ def pair_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAIR_PAGE = """pair AS (SELECT page_id AS pos, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS locale, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS src, regexp_extract(html, '<title>([^<]*)</title>', 1) AS dst FROM pages)"""
 
 #: What a source carries behind its text, and what becomes of it, by doc_id modulo their number.
-CARRIED = ' See [ZONE_NAME] at https://docs.test/a in user_name_id, 192.0.2.10/24, YYYYMMDDnn, %1$s of %d, DNSSEC NSEC3, 4096-8192 <b>bold</b> not (ID '
+CARRIED = ' See [ZONE_NAME] at https://docs.test/a in user_name_id, 192.0.2.10/24, YYYYMMDDnn, %1$s of %d, DNSSEC NSEC3, 4096-8192 <b>bold</b> settings not (ID '
 DAMAGES = [
     CARRIED,
     CARRIED.replace("[ZONE_NAME]", "[ZONE NAME]"),
@@ -60,8 +60,12 @@ DAMAGES = [
     CARRIED + " in in in of of in in in in in in in in in in",
     CARRIED + "​ \u0093",
     CARRIED.replace("bold", "bÃ©ld αβ ♪☑✔▲─𝐀 ZZ0Z"),
+    CARRIED + " a\u200cb\u2062c\U000e0041d\u180ee\u00adf\u202eg\u0007h\u2028i",
+    CARRIED + " déjà\u00a0vu Ê\u00a0la Ää ÃÃ© Â© Å\u0093 Ã\u00ff Ã¨ Ä",
 ]
-LOCALES = ["en", "ru_RU", "fr", "de", "zh_CN", "es", "el_GR"]
+#: A word of prose, translated in two of three.
+DAMAGES = [x.replace("settings", "настройки") if k % 3 else x for k, x in enumerate(DAMAGES)]
+LOCALES = ["en", "ru_RU", "fr", "de", "zh_CN", "es", "el_GR", "fa_IR"]
 
 
 def _chosen(index: Column, values: list[str]) -> Column:
@@ -113,3 +117,34 @@ def _spelt(text: str) -> str:
 
 _T = f"(text || {quoted(MARKED_TAIL)})"
 PAIR_MARKS = f"pair AS MATERIALIZED (SELECT doc_id AS pos, lang AS locale, '{MARKED_SOURCE}' AS src, CASE doc_id % 20 WHEN 5 THEN translate({_T}, '{MARKED[0]}', '{MARKED[1]}') WHEN 7 THEN translate({_spelt(_T)}, '{MARKED[0]}', '{MARKED[1]}') ELSE {_T} END AS dst FROM documents)"
+
+
+def pair_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short words in turn with the document's first word, and before or after whole documents."""
+    i, w = C("doc_id"), F.split_part("text", F.lit(" "), F.lit(1))
+    short = F.repeat(F.lit("in "), (i % 90).cast("int"))
+    dst = F.when(i % 5 == 0, F.repeat(F.concat(F.lit("in "), w, F.lit(" ")), 6)).when(i % 5 == 1, F.repeat(F.concat(w, F.lit(" in ")), 6)).when(i % 5 == 2, F.concat(short, F.left("text", F.lit(200)), F.lit(" of of"))).when(i % 5 == 3, F.concat("text", F.lit(" "), short)).otherwise(C("text"))
+    return table(spark, sf_dir, "documents").select(i.alias("pos"), C("lang").alias("locale"), F.lit("x").alias("src"), dst.alias("dst"))
+
+
+_W = "split_part(text, ' ', 1)"
+PAIR_REPEATS = f"pair AS (SELECT doc_id AS pos, lang AS locale, 'x' AS src, CASE doc_id % 5 WHEN 0 THEN repeat('in ' || {_W} || ' ', 6) WHEN 1 THEN repeat({_W} || ' in ', 6) WHEN 2 THEN repeat('in ', doc_id % 90) || left(text, 200) || ' of of' WHEN 3 THEN text || ' ' || repeat('in ', doc_id % 90) ELSE text END AS dst FROM documents)"
+
+#: What stands before a document's sentence in two sources that share its translation, and behind the second: opposites, one of them with a sentence more, a negation, and none.
+OPPOSITES = [("Enable the", "Disable the", ""), ("Set", "Unset", ""), ("Do show the", "Do hide the", " And more words"), ("Is", "Is not", ""), ("See", "Inspect", ""), ("Use like", "Use unlike", ""), ("A valid", "A invalid", " x")]
+
+
+def pair_opposites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources for each document, whose translation is the whole document for both."""
+    i, n = C("doc_id"), F.lit(len(OPPOSITES))
+    one = F.concat(_chosen((i % n).cast("int"), [x[0] for x in OPPOSITES]), F.lit(" "), "text")
+    two = F.concat(_chosen((i % n).cast("int"), [x[1] for x in OPPOSITES]), F.lit(" "), "text", _chosen((i % n).cast("int"), [x[2] for x in OPPOSITES]))
+    side = F.explode(F.array(F.struct((2 * i).alias("pos"), one.alias("src")), F.struct((2 * i + 1).alias("pos"), two.alias("src")))).alias("s")
+    return table(spark, sf_dir, "documents").select(C("lang").alias("locale"), C("text").alias("dst"), side).select("s.pos", "locale", "s.src", "dst")
+
+
+def _opposite(k: int) -> str:
+    return f"({_list([x[k] for x in OPPOSITES])})[doc_id % {len(OPPOSITES)} + 1]"
+
+
+PAIR_OPPOSITES = f"pair AS (SELECT 2 * doc_id AS pos, lang AS locale, {_opposite(0)} || ' ' || text AS src, text AS dst FROM documents UNION ALL SELECT 2 * doc_id + 1, lang, {_opposite(1)} || ' ' || text || {_opposite(2)}, text FROM documents)"

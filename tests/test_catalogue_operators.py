@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ CASES = [
     ("repetition", "x", "a a a a a a b", "fr", True), ("numerals", "1,000,000 rows", "1.000.000 rows", "de", False), ("numerals", "240-255", "from 240 to 255", "fr", False),
     ("numerals", "port 8080", "port", "fr", True), ("numerals", "value 42", "مقدار ۴۲", "fa_IR", False), ("truncation", "a b c d e f g h i j k l", "abc", "fr", True),
     ("truncation", "a b c d e f g h i j k l", "abc", "zh_CN", False), ("rrtype", "the TXT record", "le record", "fr", True), ("negation_loss", "do not stop", "arrêter", "fr", True),
-    ("negation_loss", "do not stop", "ne pas arrêter", "fr", False), ("englishleak", "keys with dots", "ключи with точки", "ru_RU", True),
+    ("negation_loss", "do not stop", "ne pas arrêter", "fr", False), ("englishleak", "keys and settings", "ключи settings", "ru_RU", True), ("englishleak", "keys and settings", "ключи", "ru_RU", False),
 ]
 
 
@@ -172,3 +174,74 @@ def test_streamed_findings(spark, tmp_path):
     seen = []
     checked(stream, lambda df, _: seen.extend(df.collect()), str(tmp_path / "c"), ["placeholder"]).awaitTermination()
     assert [r.pos for r in seen] == [0]
+
+
+def test_hidden_characters_by_category_and_locale(spark):
+    text = "a​‌᠎­‪⁩⁣\U000e0041\x07\x0b\x1c\x7f‎ \x93 z"
+    rows = [(i, loc, "s", text) for i, loc in enumerate(["fr_FR", "fa_IR", "fa", None])] + [(9, "de_DE", "s", None)]
+    got = checks.hidden_characters(spark.createDataFrame(rows, "pos int, locale string, src string, dst string")).collect()
+    found = {loc: {(r.category, int(r.code, 16)) for r in got if r.locale == loc} for loc in ("fr_FR", "fa_IR", "fa", None)}
+    every = {
+        ("zero_width", 0x200B), ("zero_width", 0x200C), ("zero_width", 0x180E), ("soft_hyphen", 0xAD), ("bidi_control", 0x202A), ("bidi_control", 0x2069),
+        ("invisible_math", 0x2063), ("tag_character", 0xE0041), ("ascii_control", 7), ("ascii_control", 0x7F),
+    }
+    assert found["fr_FR"] == found["fa"] == found[None] == every and found["fa_IR"] == every - {("zero_width", 0x200C)}
+
+
+def test_correct_text_is_no_mojibake(spark):
+    fine = ["déjà vu", "Ê la", "Ää", "Ã", "naïve ", "ÃÃ©"]
+    broken = {"cafÃ©": "café", "Â©Â®": "©®", "Å\u0093uvre": "œuvre", "Ä\u0085": "ą"}
+    df = spark.createDataFrame([(t,) for t in [*fine, *broken]], "t string")
+    got = {r.t: (r.r, r.n) for r in df.select("t", checks.repaired_mojibake(C("t")).alias("r"), F.size(checks.mojibake_in(C("t"))).alias("n")).collect()}
+    assert all(got[t] == (t, 0) for t in fine) and {t: got[t][0] for t in broken} == broken
+
+
+def test_repetition_takes_the_first_of_equals(spark):
+    from collections import Counter
+
+    rng = random.Random(1)
+    texts = ["in foo " * 6, "foo in " * 6, "a b " * 20, "", "a " * 5, "a " * 6, "aa a " * 6 + "x y z", "日 本 日 本 日 日 日 日 x"]
+    texts += [" ".join(rng.choice(["in", "of", "foo", "a"]) for _ in range(rng.randint(1, 20))) for _ in range(300)]
+    flags = {}
+    for t in texts:
+        words = t.split()
+        token, n = Counter(words).most_common(1)[0] if words else ("", 0)
+        flags[t] = len(words) >= 6 and len(token) <= 2 and n >= 6 and n >= len(words) * 0.4
+    rows = checks.flagged(pairs_of(spark, [("x", t) for t in texts]), ["repetition"]).collect()
+    assert {r.dst: r.is_repetition for r in rows} == flags and 10 < sum(flags.values()) < 300
+
+
+def test_checks_take_inputs(spark):
+    rows = [("Do not stop", "nem all"), ("Do not stop", "all"), ("mode p=none set", "all"), ('say "no"', "all"), ("no key", "(No key)")]
+    df = pairs_of(spark, rows).withColumn("locale", F.lit("hu_HU"))
+    hit = lambda given: [r.pos for r in checks.flagged(df, ["negation_loss"], {"negation_loss": given}).filter("is_negation_loss").orderBy("pos").collect()]
+    assert hit({}) == [] and hit({"markers": {"hu": "nem -tlan"}}) == [1] and hit({"markers": {"hu_HU": "xx", "hu": "nem"}}) == [0, 1]
+    df = pairs_of(spark, [("enter the mumble settings", "настройки mumble"), ("zone users", "zone users")]).withColumn("locale", F.lit("ru_RU"))
+    leak = lambda given: [r.pos for r in checks.flagged(df, ["englishleak"], {"englishleak": given}).filter("is_englishleak").collect()]
+    assert leak({}) == [1] and leak({"prose": ("mumble",)}) == [0]
+    df = pairs_of(spark, [("x", "see Brand+ now"), ("x", "زیرنویس فارسی")])
+    chrome = lambda given: [r.pos for r in checks.flagged(df, ["boilerplate"], {"boilerplate": given}).filter("is_boilerplate").collect()]
+    assert chrome({}) == [1] and sorted(chrome({"phrases": ("Brand+",)})) == [0, 1]
+
+
+@pytest.mark.parametrize(("markers", "clitic", "yes", "no"), [("nem", False, "ez nem jó", "nemes"), ("ne-", False, "Nemáte", "jine"), ("-maton", False, "tukematon", "matoni"), ("-me-", False, "gelmedi", "gel"), ("不", True, "我不是", "我是")])
+def test_negation_patterns(spark, markers, clitic, yes, no):
+    row = spark.createDataFrame([(yes, no)], "y string, n string").select(C("y").rlike(T.negation_pattern(markers, clitic)), C("n").rlike(T.negation_pattern(markers, clitic))).first()
+    assert tuple(row) == (True, False)
+
+
+def test_gate_with_old_texts_and_terms(spark):
+    rows = [("Use DNSSEC / x", "Use dnssec/X", "Use it"), ("Zone", "zona", "Zone"), ("a term here", "egy", "b"), ("x", " ", None)]
+    df = spark.createDataFrame([(i, "hu_HU", *r) for i, r in enumerate(rows)], "pos int, locale string, src string, dst string, old string")
+    got = {r.pos: r.reasons for r in checks.gated(df, literals=["DNSSEC", ("term", ["de_DE"])], old="old").collect()}
+    assert got == {1: "fallback", 2: "literals", 3: "leading_space|trailing_space|empty"}
+    exempt = checks.gated(df, literals=[("term", ["hu_HU"])], old=None).collect()
+    assert {r.pos for r in exempt} == {3}
+
+
+def test_antonyms_in_a_hot_block(spark):
+    """Many sources with one translation: only opposites meet, with the numbers of rows they stand for."""
+    rows = [(f"Plain source number {chr(97 + i % 26)} {'x' * (i % 40)}", "one translation") for i in range(400)]
+    rows += [("Enable it", "one translation"), ("enable it!", "one translation"), ("Disable it", "one translation"), ("Server running", "one translation"), ("Server not running", "one translation")]
+    got = {(r.pos_a, r.pos_b, r.n_a, r.n_b, r.relation) for r in checks.antonym_collisions(pairs_of(spark, rows)).collect()}
+    assert got == {(400, 402, 2, 1, "swap"), (403, 404, 1, 1, "negation")}
