@@ -70,9 +70,12 @@ def exported(entries: DataFrame, exclusions: list[str], limit: int = 0) -> DataF
     """locale, section, pos, entry: what translators get, one JSON object a row, the first `limit` of each section (0: all)."""
     rows = relational.kept_first(sections(entries, exclusions).filter(C("section").isin("fuzzy", "untranslated")), ["locale", "section"], "pos", limit)
     fuzzy, several = C("section") == "fuzzy", has_plural()
+    places = C("locations") if "locations" in entries.columns else F.array().cast("array<string>")
+    notes = F.when(F.size("comments") > 0, C("comments")) if "comments" in entries.columns else F.lit(None).cast("array<string>")
     entry = F.struct(
-        "msgid", F.when(fuzzy, C("msgstr")).alias("current_translation"), F.lit("").alias("translation"), F.when(several, C("msgid_plural")).alias("msgid_plural"),
+        F.coalesce(places, F.array().cast("array<string>")).alias("locations"), "msgid", F.when(fuzzy, C("msgstr")).alias("current_translation"), F.lit("").alias("translation"), F.when(several, C("msgid_plural")).alias("msgid_plural"),
         F.when(fuzzy & several, C("plurals")).alias("current_translations"), F.when(several, F.create_map().cast("map<string,string>")).alias("translations"),
+        notes.alias("comments"),
     )
     return rows.select("locale", "section", "pos", F.to_json(entry).alias("entry"))
 

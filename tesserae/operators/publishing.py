@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import Folder
+from .relational import audited_changes, registry_diff
 
 C = F.col
 
@@ -74,3 +75,27 @@ def rewritten(store: Store, content: str, rewrite: Callable[[Column], Column], d
     if not dry_run:
         store.publish(store.stage(checked.withColumn(content, F.when(good, C(content)).otherwise(C("_old"))).select(old.columns)))
     return report
+
+
+def synchronised(store: Store, upstream: DataFrame, key: str, value: str, dry_run: bool = False) -> DataFrame:
+    """The differences (key, old_value, new_value, status) between the store's current map and upstream, which becomes a new version if there are any.
+
+    Keys are compared in lower case and written so; nothing is written in a dry run or without a difference. An empty store takes upstream as it is.
+    """
+    schema = upstream.select(key, value).schema
+    old = store.read() if store.current() else store.spark.createDataFrame([], schema)
+    diff = registry_diff(old, upstream, key, value).filter(C("status") != "unchanged")
+    if dry_run or diff.isEmpty():
+        return diff
+    shown = store.spark.read.parquet(f"{store.root}/{store.stage(diff)}")  # as it was before the new version
+    store.publish(store.stage(upstream.select(F.lower(key).alias(key), value)))
+    return shown
+
+
+def verified(store: Store, after: DataFrame, planned: DataFrame, key: str, value: str, others: list[str] = ()) -> DataFrame:
+    """The problems (relational.audited_changes) of `after` as the store's next version, read back as it was written; it is published if there are none."""
+    name = store.stage(after)
+    problems = audited_changes(store.read(), store.read(name), planned, key, value, others)
+    if problems.isEmpty():
+        store.publish(name)
+    return problems

@@ -133,8 +133,25 @@ def line_owners(lines: DataFrame, spans: DataFrame, path: str, line: str) -> Dat
 
 def changed_keys(before: DataFrame, after: DataFrame, key: str, value: str) -> DataFrame:
     """key and what happened to it between two snapshots; equal rows are left out."""
-    d = registry_diff(before.withColumn(key, C(key)), after, key, value)
-    return d.filter(C("status") != "unchanged")
+    return registry_diff(before, after, key, value).filter(C("status") != "unchanged")
+
+
+def audited_changes(before: DataFrame, after: DataFrame, planned: DataFrame, key: str, value: str, others: list[str] = ()) -> DataFrame:
+    """key, problem of a rewrite held against its plan: lost or new (a key is in one snapshot alone), unexpected (value changed, key not planned), missed (planned, value
+    as before) or spilled (one of `others` changed). Snapshots meet by full outer join; values are compared null with null. No rows if all went as planned."""
+    a = before.select(C(key).alias("_ka"), C(value).alias("_va"), *[C(c).alias(f"_a_{c}") for c in others], F.lit(True).alias("_in_a"))
+    b = after.select(C(key).alias("_kb"), C(value).alias("_vb"), *[C(c).alias(f"_b_{c}") for c in others], F.lit(True).alias("_in_b"))
+    p = planned.select(C(key).alias("_kp")).distinct()
+    rows = a.join(b, C("_ka") == C("_kb"), "full_outer").withColumn("_k", F.coalesce("_ka", "_kb")).join(p, C("_k") == C("_kp"), "left")
+    changed = ~C("_va").eqNullSafe(C("_vb"))
+    spilled = F.lit(False)
+    for c in others:
+        spilled = spilled | ~C(f"_a_{c}").eqNullSafe(C(f"_b_{c}"))
+    problems = F.array(
+        F.when(C("_in_b").isNull(), "lost").when(C("_in_a").isNull(), "new").when(changed & C("_kp").isNull(), "unexpected").when(~changed & C("_kp").isNotNull(), "missed"),
+        F.when(C("_in_a").isNotNull() & C("_in_b").isNotNull() & spilled, "spilled"),
+    )
+    return rows.select(C("_k").alias(key), F.explode(F.array_compact(problems)).alias("problem"))
 
 
 def kept_first(rows: DataFrame, bucket: str | list[str], order: str, n: int) -> DataFrame:

@@ -37,21 +37,29 @@ def issue_types(src: Column, dst: Column) -> Column:
     return F.when(F.coalesce(dst, F.lit("")) == "", "empty").when(dst == src, "untranslated")
 
 
-def coverage(pairs: DataFrame, exclusions: list[str], flagged: Column | None = None) -> DataFrame:
-    """Per locale: total, filled, real, fallback, identity, pct. Excluded sources are no part of the total.
+def coverage(pairs: DataFrame, exclusions: list[str], flagged: Column | None = None, orphaned: Column | None = None) -> DataFrame:
+    """Per locale: total, filled, real, fallback, identity, orphaned, pct (null where total is 0). Excluded and orphaned sources are no part of the total.
 
-    An echo is a fallback unless it is short (two words) and not flagged, when it is an identity.
+    flagged: filled from English; an echo that is flagged is a fallback, another one of one or two words an identity, a longer one neither. orphaned: the entry is obsolete.
     """
-    flagged = F.lit(False) if flagged is None else flagged
-    kept = pairs.filter(~is_excluded(C("src"), exclusions))
+    flagged = F.lit(False) if flagged is None else F.coalesce(flagged, F.lit(False))
+    orphaned = F.lit(False) if orphaned is None else F.coalesce(orphaned, F.lit(False))
+    rows = pairs.withColumns({"_flagged": flagged, "_orphaned": orphaned})
+    kept = ~C("_orphaned") & ~is_excluded(C("src"), exclusions)
     filled = F.coalesce(C("dst"), F.lit("")) != ""
     echo = filled & is_untranslated(C("src"), C("dst"), C("locale"))
-    identity = echo & ~flagged & (F.size(T.white_space_words(C("src"))) <= 2)
-    out = kept.groupBy("locale").agg(
-        F.count("*").alias("total"), F.count_if(filled).alias("filled"), F.count_if(filled & ~echo).alias("real"),
-        F.count_if(echo & ~identity).alias("fallback"), F.count_if(identity).alias("identity"),
+    short = F.size(T.find(C("src"), r"[\p{L}\p{N}_]+")) <= 2
+    count = lambda test: F.count_if(kept & test)
+    out = rows.groupBy("locale").agg(
+        F.count_if(kept).alias("total"), count(filled).alias("filled"), count(filled & ~echo).alias("real"), count(echo & C("_flagged")).alias("fallback"),
+        count(echo & ~C("_flagged") & short).alias("identity"), F.count_if(C("_orphaned") & (F.coalesce(C("src"), F.lit("")) != "")).alias("orphaned"),
     )
-    return out.withColumn("pct", F.round(100.0 * C("real") / C("total"), 2))
+    return out.withColumn("pct", F.round(F.try_divide(100.0 * C("real"), C("total")), 2))
+
+
+def reported(per_locale: DataFrame) -> DataFrame:
+    """Locales of a report: those with anything to translate, with `done` where 95 % is real."""
+    return per_locale.filter(C("total") > 0).withColumn("done", C("pct") >= 95)
 
 
 def totals(per_locale: DataFrame) -> DataFrame:

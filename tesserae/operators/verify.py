@@ -23,11 +23,6 @@ def outcomes(report: DataFrame) -> DataFrame:
     return report.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-def exit_code(found: DataFrame, hard: str = "hard") -> int:
-    """0 without a hard finding, 1 with one."""
-    return int(bool(found.agg(F.coalesce(F.bool_or(hard), F.lit(False))).first()[0]))
-
-
 def fresh(rows: DataFrame, at: str, today: Column, within: int, warn: int) -> DataFrame:
     """Adds age in days and state: fresh, aging or stale."""
     age = F.datediff(today, F.to_date(at))

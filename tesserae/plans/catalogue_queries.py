@@ -41,6 +41,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "locale", F.concat("locale", F.lit(".po")).alias("path"), k.alias("pos"), "msgid", F.when(several, F.concat("msgid", F.lit("s"))).otherwise("").alias("msgid_plural"),
         F.when(several, "").otherwise(text).alias("msgstr"), F.when(several, forms).otherwise(F.create_map().cast("map<int,string>")).alias("plurals"),
         (k % 7 == 0).alias("is_fuzzy"), (k % 11 == 0).alias("obsolete"), F.lit(False).alias("is_header"), F.lit("\n\n").alias("sep"),
+        F.array(F.concat(F.lit("src/a.php:"), k.cast("string")), F.lit("b:1")).alias("locations"), F.when(k % 2 == 0, F.array(F.lit("note"))).otherwise(F.array().cast("array<string>")).alias("comments"),
     )
 
 
@@ -68,10 +69,11 @@ def export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.export_counts(entries(spark, sf_dir), EXCLUDED)
 
 
-@query(f"""WITH {_ENTRIES}, s AS (SELECT *, CASE WHEN fuzzy THEN 'fuzzy' ELSE 'untranslated' END AS section FROM e WHERE NOT obsolete AND msgid <> 'API' AND (open OR fuzzy)), r AS (SELECT *, row_number() OVER (PARTITION BY locale, section ORDER BY pos) AS k FROM s) SELECT locale, section, pos, msgid FROM r WHERE k <= 20""")
+@query(f"""WITH {_ENTRIES}, s AS (SELECT *, CASE WHEN fuzzy THEN 'fuzzy' ELSE 'untranslated' END AS section FROM e WHERE NOT obsolete AND msgid <> 'API' AND (open OR fuzzy)), r AS (SELECT *, row_number() OVER (PARTITION BY locale, section ORDER BY pos) AS k FROM s) SELECT locale, section, pos, '{{"locations":["src/a.php:' || pos || '","b:1"],"msgid":"' || msgid || '"' || CASE WHEN fuzzy THEN ',"current_translation":"' || CASE WHEN several THEN '' ELSE t END || '"' ELSE '' END || ',"translation":""' ||
+ CASE WHEN several THEN ',"msgid_plural":"' || msgid || 's"' || CASE WHEN fuzzy THEN ',"current_translations":{{"0":"' || t || '"' || CASE WHEN short THEN '' ELSE ',"1":"trads ' || msgid || '"' END || '}}' ELSE '' END || ',"translations":{{}}' ELSE '' END || CASE WHEN pos % 2 = 0 THEN ',"comments":["note"]' ELSE '' END || '}}' AS entry FROM r WHERE k <= 20""")
 def export_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first twenty of each section, as the export's limit has it."""
-    return catalogue.exported(entries(spark, sf_dir), EXCLUDED, 20).select("locale", "section", "pos", F.get_json_object("entry", "$.msgid").alias("msgid"))
+    return catalogue.exported(entries(spark, sf_dir), EXCLUDED, 20)
 
 
 def _declared(spark: SparkSession) -> DataFrame:

@@ -200,6 +200,17 @@ ORACLES["msgstr_pressed"] = rf"""WITH {PAIR_DOC}, p AS (SELECT pos, locale, src,
  SELECT g.locale, g.t AS dst, g.n FROM g JOIN m ON g.locale = m.locale WHERE n > 1 AND keys > 1 AND length(t) < 0.6 * ratio * least"""
 
 
+#: Both kinds: groups of sources with several keys that share a translation; two keys of as many words that differ in one, which is neither an inflection nor a synonym.
+_ALIKE = " OR ".join(f"(x IN ('{a}', '{b}') AND y IN ('{a}', '{b}'))" for a, b in [*P.MORPH_PAIRS, *P.SYNONYM_PAIRS])
+ORACLES["msgstr_collapse"] = rf"""WITH {PAIR_DOC}, p AS (SELECT pos, locale, src, regexp_replace(regexp_replace(dst, '^\s+', ''), '\s+$', '') AS t, dst AS d, {_KEY} AS k FROM pair),
+ m AS (SELECT locale, coalesce(median(CASE WHEN length(src) >= 8 THEN length(d) / length(src) END), 1.0) AS ratio FROM p GROUP BY locale),
+ g AS (SELECT locale, t, count(*) AS n, count(DISTINCT k) AS keys, min(length(src)) AS least FROM p GROUP BY locale, t HAVING count(*) > 1 AND count(DISTINCT k) > 1),
+ u AS (SELECT DISTINCT p.locale, p.t, p.k FROM p JOIN g ON p.locale = g.locale AND p.t = g.t WHERE len(p.k) >= 4),
+ b AS (SELECT a.locale, a.t, list_filter(list_zip(a.k, b.k), lambda z: z[1] <> z[2]) AS d FROM u a JOIN u b ON a.locale = b.locale AND a.t = b.t AND len(a.k) = len(b.k) AND a.k < b.k),
+ o AS (SELECT locale, t, d[1][1] AS x, d[1][2] AS y FROM b WHERE len(d) = 1), q AS (SELECT DISTINCT locale, t FROM o WHERE NOT ({_ALIKE} OR ((starts_with(x, y) OR starts_with(y, x)) AND abs(length(x) - length(y)) <= 3)))
+ SELECT g.locale, g.t AS dst, g.n, length(g.t) < 0.6 * ratio * least AS pressed FROM g JOIN m ON g.locale = m.locale LEFT JOIN q ON g.locale = q.locale AND g.t = q.t WHERE length(g.t) < 0.6 * ratio * least OR q.t IS NOT NULL"""
+
+
 def crosswire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.crosswires(pair_doc(spark, sf_dir)).select("locale", "pos", C("best").cast("long").alias("best"))
 

@@ -33,25 +33,27 @@ EXCLUSIONS = ["API", "DNS", "URL", "TTL", "OK"]
 
 
 def _coverage_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents against the text before them: every fifth an echo, every seventh empty; every third echo flagged."""
+    """Documents against the text before them: every fifth an echo, half of these of a few words, every seventh empty, every eleventh obsolete; every third echo flagged."""
     i = C("pos")
-    return pair_doc(spark, sf_dir).select("pos", "locale", "src", F.when(i % 7 == 0, "").when(i % 5 == 0, C("src")).otherwise(C("dst")).alias("dst"), (i % 3 == 0).alias("flagged"))
+    src = F.when(i % 10 == 0, F.left("src", (i % 30).cast("int"))).otherwise(C("src"))
+    rows = pair_doc(spark, sf_dir).select("pos", "locale", src.alias("src"), "dst", (i % 3 == 0).alias("flagged"), (i % 11 == 0).alias("obsolete"))
+    return rows.withColumn("dst", F.when(i % 7 == 0, "").when(i % 5 == 0, C("src")).otherwise(C("dst")))
 
 
-_COVERAGE = rf"""{PAIR_DOC}, p AS (SELECT pos, locale, src, CASE WHEN pos % 7 = 0 THEN '' WHEN pos % 5 = 0 THEN src ELSE dst END AS dst, pos % 3 = 0 AS flagged FROM pair),
- w AS (SELECT *, list_filter(regexp_split_to_array(src, '\s+'), lambda x: x <> '') AS ws FROM p),
- k AS (SELECT *, dst <> '' AND dst = src AS echo FROM w WHERE NOT (src IN ('API', 'DNS', 'URL', 'TTL', 'OK') OR (len(ws) > 0 AND len(list_filter(ws, lambda x: upper(x) NOT IN ('API', 'DNS', 'URL', 'TTL', 'OK'))) = 0) OR (length(src) <= 5 AND upper(src) = src AND lower(src) <> src))),
- c AS (SELECT locale, count(*) AS total, count(*) FILTER (dst <> '') AS filled, count(*) FILTER (dst <> '' AND NOT echo) AS "real", count(*) FILTER (echo AND NOT (NOT flagged AND len(ws) <= 2)) AS fallback, count(*) FILTER (echo AND NOT flagged AND len(ws) <= 2) AS identity FROM k GROUP BY locale)"""
+_COVERAGE = rf"""{PAIR_DOC}, s AS (SELECT pos, locale, CASE WHEN pos % 10 = 0 THEN left(src, pos % 30) ELSE src END AS src, dst FROM pair), p AS (SELECT pos, locale, src, CASE WHEN pos % 7 = 0 THEN '' WHEN pos % 5 = 0 THEN src ELSE dst END AS dst, pos % 3 = 0 AS flagged, pos % 11 = 0 AS obsolete FROM s),
+ w AS (SELECT *, list_filter(regexp_split_to_array(src, '\s+'), lambda x: x <> '') AS ws, len(regexp_extract_all(src, '[\p{{L}}\p{{N}}_]+')) AS n FROM p),
+ k AS (SELECT *, dst <> '' AND dst = src AS echo, NOT obsolete AND NOT (src IN ('API', 'DNS', 'URL', 'TTL', 'OK') OR (len(ws) > 0 AND len(list_filter(ws, lambda x: upper(x) NOT IN ('API', 'DNS', 'URL', 'TTL', 'OK'))) = 0) OR (length(src) <= 5 AND upper(src) = src AND lower(src) <> src)) AS own FROM w),
+ c AS (SELECT locale, count(*) FILTER (own) AS total, count(*) FILTER (own AND dst <> '') AS filled, count(*) FILTER (own AND dst <> '' AND NOT echo) AS "real", count(*) FILTER (own AND echo AND flagged) AS fallback, count(*) FILTER (own AND echo AND NOT flagged AND n <= 2) AS identity, count(*) FILTER (obsolete AND src <> '') AS orphaned FROM k GROUP BY locale)"""
 
 
 @query(f'WITH {_COVERAGE} SELECT *, round(100.0 * "real" / total, 2)::DOUBLE AS pct FROM c')
 def coverage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.coverage(_coverage_pairs(spark, sf_dir), EXCLUSIONS, C("flagged"))
+    return stats.coverage(_coverage_pairs(spark, sf_dir), EXCLUSIONS, C("flagged"), C("obsolete"))
 
 
 @query(f'WITH {_COVERAGE}, d AS (SELECT *, round(100.0 * "real" / total, 2) AS pct FROM c) SELECT count(*) AS locales, sum(total)::BIGINT AS total, sum("real")::BIGINT AS "real", floor(sum(total) / count(*))::BIGINT AS average, count(*) FILTER (pct >= 95) AS done FROM d')
 def coverage_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.totals(stats.coverage(_coverage_pairs(spark, sf_dir), EXCLUSIONS, C("flagged")))
+    return stats.totals(stats.coverage(_coverage_pairs(spark, sf_dir), EXCLUSIONS, C("flagged"), C("obsolete")))
 
 
 @query("SELECT lang, source, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY ROLLUP (lang, source)")
@@ -223,7 +225,12 @@ def rule_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewrite.rewritten(pair_doc(spark, sf_dir), RULES).filter("changed").select("pos", "locale", F.md5("new_dst").alias("md5"))
 
 
-@query()
+_TOKENS = r"regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+')"
+
+
+@query(rf"""WITH t AS (SELECT doc_id, text, {_TOKENS} AS t FROM documents), n AS (SELECT doc_id, text, array_to_string(list_filter(list_transform(range(1, len(t) + 1), lambda i: CASE
+ WHEN i > 2 AND t[i - 1] = ' ' AND t[i] = t[i - 2] AND regexp_full_match(t[i], '\p{{L}}{{3,}}') THEN NULL WHEN i > 1 AND t[i] = ' ' AND t[i + 1] = t[i - 1] AND regexp_full_match(t[i + 1], '\p{{L}}{{3,}}') THEN NULL ELSE t[i] END), lambda x: x IS NOT NULL), '') AS new FROM t)
+ SELECT doc_id, md5(new) AS md5 FROM n WHERE new <> text""")
 def collapse_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("new", T.collapse_repeats(C("text")))
     return docs.filter(C("new") != C("text")).select("doc_id", F.md5("new").alias("md5"))

@@ -7,10 +7,11 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import inspection, publishing, resumable, rule_tables
+from ..operators import checks, inspection, publishing, relational, reports, resumable, rule_tables
 from ..sources import json_documents, php, pot
 from ..sources.shared import shared_dir
-from .pairs import PAIR_DOC, pair_doc, table
+from .check_queries import ROW_SQL
+from .pairs import PAIR_DAMAGED, PAIR_DOC, pair_damaged, pair_doc, table
 
 C = F.col
 QUERIES: dict = {}
@@ -59,6 +60,51 @@ def verified_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read().join(own, C("path") == C("_p"), "left").select("path", F.coalesce("outcome", F.lit("clean")).alias("outcome"), F.md5("content").alias("md5"))
 
 
+_MAPS = """o AS (SELECT lower(s_name) AS key, s_acctbal::VARCHAR AS v, s_suppkey AS k FROM supplier WHERE s_suppkey % 7 <> 0), n AS (SELECT lower(s_name) AS key, CASE WHEN s_suppkey % 3 = 0 THEN 'new' ELSE s_acctbal::VARCHAR END AS v FROM supplier WHERE s_suppkey % 5 <> 0)"""
+
+
+@query(f"WITH {_MAPS} SELECT CASE WHEN o.key IS NULL THEN 'added' WHEN n.key IS NULL THEN 'removed' ELSE 'updated' END AS status, count(*) AS n, 2::BIGINT AS versions FROM o FULL JOIN n ON o.key = n.key WHERE o.v IS DISTINCT FROM n.v GROUP BY 1")
+def registry_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map written once, tried in a dry run, synchronised with another and then with the same again: two versions in all."""
+    k, name, held = C("s_suppkey"), C("s_name"), C("s_acctbal").cast("string")
+    rows = table(spark, sf_dir, "supplier")
+    old = rows.filter(k % 7 != 0).select(name.alias("key"), held.alias("value"))
+    new = rows.filter(k % 5 != 0).select(F.upper(name).alias("key"), F.when(k % 3 == 0, "new").otherwise(held).alias("value"))
+    store = publishing.Store(spark, shared_dir(spark))
+    publishing.synchronised(store, old, "key", "value")
+    publishing.synchronised(store, new, "key", "value", dry_run=True)
+    diff = publishing.synchronised(store, new, "key", "value")
+    publishing.synchronised(store, new, "key", "value")
+    return diff.groupBy("status").agg(F.count("*").alias("n")).withColumn("versions", F.lit(len(store.published())).cast("long"))
+
+
+@query("""WITH b AS (SELECT doc_id AS k, text AS v, lang AS o FROM documents WHERE doc_id % 31 <> 0), a AS (SELECT doc_id AS k, CASE WHEN doc_id % 6 = 0 THEN text || 'x' ELSE text END AS v, CASE WHEN doc_id % 13 = 0 THEN 'zz' ELSE lang END AS o FROM documents WHERE doc_id % 37 <> 0),
+ j AS (SELECT coalesce(a.k, b.k) AS doc_id, a.k AS ak, b.k AS bk, a.v IS DISTINCT FROM b.v AS changed, a.o IS DISTINCT FROM b.o AS spilled FROM a FULL JOIN b ON a.k = b.k)
+ SELECT doc_id, CASE WHEN ak IS NULL THEN 'lost' WHEN bk IS NULL THEN 'new' WHEN changed AND doc_id % 4 <> 0 THEN 'unexpected' WHEN NOT changed AND doc_id % 4 = 0 THEN 'missed' END AS problem FROM j WHERE problem IS NOT NULL UNION ALL SELECT doc_id, 'spilled' FROM j WHERE ak IS NOT NULL AND bk IS NOT NULL AND spilled""")
+def change_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rewrite of every sixth document held against a plan for every fourth."""
+    i, docs = C("doc_id"), table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    after = docs.filter(i % 37 != 0).select("doc_id", F.when(i % 6 == 0, F.concat("text", F.lit("x"))).otherwise(C("text")).alias("text"), F.when(i % 13 == 0, "zz").otherwise(C("lang")).alias("lang"))
+    return relational.audited_changes(docs.filter(i % 31 != 0), after, docs.filter(i % 4 == 0), "doc_id", "text", ["lang"])
+
+
+_REPORTED = ["placeholder", "tags", "tokens", "boilerplate", "rrtype", "truncation"]
+_FOUND = " UNION ALL ".join(f"SELECT pos, locale, '{n}' AS cls, {str(checks.ROW_CHECKS[n].hard).lower()} AS hard, src, dst FROM pair WHERE {ROW_SQL[n]}" for n in _REPORTED)
+
+
+@query(f"""WITH {PAIR_DAMAGED}, f AS ({_FOUND}), r AS (SELECT *, row_number() OVER (PARTITION BY cls, locale ORDER BY pos) AS place, count(*) OVER (PARTITION BY cls, locale) AS of FROM f)
+ SELECT cls, locale, pos, place, of, md5(left(src, 88)) AS src, md5(left(dst, 88)) AS dst FROM r WHERE place <= 3""")
+def finding_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three findings of each class and locale: the report's own limit."""
+    found = reports.examples(checks.findings(pair_damaged(spark, sf_dir), _REPORTED), ["cls", "locale"], "pos", 3)
+    return found.select("cls", "locale", "pos", "place", "of", F.md5("src").alias("src"), F.md5("dst").alias("dst"))
+
+
+@query(f"""WITH {PAIR_DAMAGED}, f AS ({_FOUND}), c AS (SELECT cls, hard, count(*) AS n FROM f GROUP BY ALL) SELECT cls, '    ' || rpad(cls, 20, ' ') || ' ' || lpad(n::VARCHAR, greatest(5, length(n::VARCHAR))::INT, ' ') || CASE WHEN hard THEN '' ELSE '  (soft)' END AS line FROM c""")
+def finding_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.class_totals(checks.findings(pair_damaged(spark, sf_dir), _REPORTED)).select("cls", "line")
+
+
 # --- rules as data ---------------------------------------------------------------------------
 
 #: A file of mined rules, with a guarded one, one whose replacement has a group and a dollar sign, and problems for a reader.

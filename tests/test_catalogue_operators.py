@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions import plural, similarity
 from tesserae.functions import text as T
-from tesserae.operators import checks, diacritics, registry, relational, rewrite, stats, verify
+from tesserae.operators import checks, diacritics, registry, relational, reports, rewrite, stats, verify
 
 C = F.col
 
@@ -42,7 +42,9 @@ def test_findings_and_exit_code(spark):
     pairs = spark.createDataFrame([(1, "fr", "%s", "x"), (2, "fr", "a", "b")], "pos long, locale string, src string, dst string")
     found = checks.findings(pairs, ["placeholder", "tags"])
     assert [(r.cls, r.pos) for r in found.collect()] == [("placeholder", 1)]
-    assert verify.exit_code(found) == 1 and verify.exit_code(found.filter("false")) == 0
+    none = found.filter("false")
+    assert (reports.exit_code(found, found), reports.exit_code(found, none), reports.exit_code(found, found.filter("NOT hard"))) == (1, 0, 0)
+    assert reports.exit_code(none, none) == 2 and reports.exit_code(found, found, found) == 2
 
 
 def pairs_of(spark, rows):
@@ -245,3 +247,23 @@ def test_antonyms_in_a_hot_block(spark):
     rows += [("Enable it", "one translation"), ("enable it!", "one translation"), ("Disable it", "one translation"), ("Server running", "one translation"), ("Server not running", "one translation")]
     got = {(r.pos_a, r.pos_b, r.n_a, r.n_b, r.relation) for r in checks.antonym_collisions(pairs_of(spark, rows)).collect()}
     assert got == {(400, 402, 2, 1, "swap"), (403, 404, 1, 1, "negation")}
+
+
+def test_report_lines(spark):
+    rows = spark.createDataFrame([("fr_FR", 7, 95.25), ("a_very_long_locale", 123456789, None)], "locale string, total int, pct double")
+    columns = [("locale", 8), ("total", -6), ("pct", -5)]
+    assert [r.line for r in reports.table_lines(rows, columns, [F.desc("locale")]).collect()] == ["fr_FR    |      7 | 95.25", "a_very_long_locale | 123456789 |"]
+    assert reports.heading(columns) == ["locale   |  total |   pct", "---------|--------|------"]
+    found = spark.createDataFrame([(k, "tags" if k % 3 else "rrtype", bool(k % 3), "s" * 100, None) for k in range(10)], "pos int, cls string, hard boolean, src string, dst string")
+    got = reports.examples(found, ["cls"], "pos", 2).collect()
+    assert sorted((r.cls, r.pos, r.place, r["of"], len(r.src)) for r in got) == [("rrtype", 0, 1, 4, 88), ("rrtype", 3, 2, 4, 88), ("tags", 1, 1, 6, 88), ("tags", 2, 2, 6, 88)]
+    assert reports.examples(found, ["cls"], "pos", 0).count() == 10
+    assert [r.line for r in reports.class_totals(found).collect()] == ["    tags" + " " * 16 + "     6", "    rrtype" + " " * 14 + "     4  (soft)"]
+
+
+def test_coverage_counts(spark):
+    rows = [("fr", "A b c", "A b c", True, False), ("fr", "A b c", "A b c", False, False), ("fr", "A b", "A b", False, False), ("fr", "x y", "z", None, None), ("fr", "x", "", False, False), ("fr", "gone", "g", False, True), ("de", "API", "API", False, False)]
+    df = spark.createDataFrame(rows, "locale string, src string, dst string, f boolean, o boolean")
+    got = {r.locale: tuple(r)[1:] for r in stats.coverage(df, ["API"], C("f"), C("o")).collect()}
+    assert got == {"fr": (5, 4, 1, 1, 1, 1, 20.0), "de": (0, 0, 0, 0, 0, 0, None)}
+    assert [r.locale for r in stats.reported(stats.coverage(df, ["API"], C("f"), C("o"))).collect()] == ["fr"]

@@ -203,6 +203,25 @@ def test_a_failed_check_leaves_the_old_version(spark):
     assert clean.collect() == [] and len(store.published()) == 2
 
 
+def test_changes_are_held_against_their_plan(spark):
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k string, v string, o int")
+    before = frame(("same", "1", 1), ("fixed", "1", 1), ("wild", "1", 1), ("missed", "1", 1), ("lost", "1", 1), ("spilt", None, None), ("both", "1", 1))
+    after = frame(("same", "1", 1), ("fixed", "2", 1), ("wild", None, 1), ("missed", "1", 1), ("new", "1", 1), ("spilt", None, 2), ("both", "2", 2))
+    planned = spark.createDataFrame([("fixed",), ("fixed",), ("missed",)], "k string")
+    got = sorted(map(tuple, relational.audited_changes(before, after, planned, "k", "v", ["o"]).collect()))
+    assert got == [("both", "spilled"), ("both", "unexpected"), ("lost", "lost"), ("missed", "missed"), ("new", "new"), ("spilt", "spilled"), ("wild", "unexpected")]
+
+
+def test_a_version_with_problems_is_not_published(spark):
+    store = publishing.Store(spark, shared_dir(spark))
+    rows = lambda *values: spark.createDataFrame(list(values), "k string, v string")
+    store.publish(store.stage(rows(("a", "1"), ("b", "1"))))
+    plan = spark.createDataFrame([("a",)], "k string")
+    assert publishing.verified(store, rows(("a", "2"), ("b", "2")), plan, "k", "v").count() == 1 and len(store.published()) == 1
+    assert publishing.verified(store, rows(("a", "2"), ("b", "1")), plan, "k", "v").count() == 0 and len(store.published()) == 2
+    assert {r.k: r.v for r in store.read().collect()} == {"a": "2", "b": "1"}
+
+
 # --- rules and documents -----------------------------------------------------------------
 
 
