@@ -128,6 +128,29 @@ def plural_fixes(entries: DataFrame, proposals: DataFrame, declared: DataFrame,
     return planned.join(problems.select("locale").distinct(), "locale", "left_anti").select("locale", "pos", "msgid", "form", "text"), problems
 
 
+def new_locale(entries: DataFrame, done: DataFrame, locale: str, rule: str) -> DataFrame:
+    """entries of a catalogue as a new locale's, with `source` (translated, source or null for headers and obsolete entries).
+
+    done: source, translation of distinct texts, singular and plural ones alike; what it lacks, or has as null, keeps its source. Form 0 of a plural is the singular's translation and so
+    is the only form there is; all others get the plural's, as placeholders where there are more than two. rule: the new Plural-Forms value.
+    """
+    nplurals = plural.header_parts(rule)[0]
+    known = done.filter(C("translation").isNotNull()).groupBy("source").agg(F.min("translation").alias("translation"))
+    one = known.select(C("source").alias("_s1"), C("translation").alias("_t1"))
+    many = known.select(C("source").alias("_s2"), C("translation").alias("_t2"))
+    rows = entries.join(one, C("msgid") == C("_s1"), "left").join(many, has_plural() & (C("msgid_plural") == C("_s2")), "left")
+    live_ = ~C("obsolete") & ~C("is_header") & (C("msgid") != "")
+    single, several = F.coalesce("_t1", "msgid"), F.coalesce("_t2", "msgid_plural")
+    forms = F.map_from_arrays(F.sequence(F.lit(0), F.lit(nplurals - 1)), F.concat(F.array(single), F.array_repeat(several, nplurals - 1)))
+    head = with_header_field(with_header_field(with_header_field(C("msgstr"), "Language", F.lit(locale)), "Last-Translator", F.lit("Automatically generated")), "Plural-Forms", F.lit(rule))
+    missing = C("_t1").isNull() | (has_plural() & C("_t2").isNull())
+    values = {
+        "msgstr": F.when(C("is_header"), head).when(live_ & ~has_plural(), single).otherwise(C("msgstr")), "plurals": F.when(live_ & has_plural(), forms).otherwise(C("plurals")),
+        "source": F.when(live_, F.when(missing, "source").otherwise("translated")), "locale": F.lit(locale),
+    }
+    return rows.withColumns(values).drop("_s1", "_t1", "_s2", "_t2")
+
+
 def without_obsolete(entries: DataFrame, template: DataFrame) -> DataFrame:
     """Entries that aren't obsolete and whose msgid the template has; the header stays. The last one kept of a catalogue is followed by one line feed."""
     known = template.select(C("msgid").alias("_k")).distinct()

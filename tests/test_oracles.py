@@ -7,10 +7,10 @@ import os
 import duckdb
 import pytest
 
-from tesserae.plans import catalogue_queries, check_queries, relational_queries, workflow_queries
+from tesserae.plans import catalogue_queries, check_queries, file_queries, relational_queries, workflow_queries
 
 SF = "/root/testdata/sf0.001"
-MODULES = (relational_queries, check_queries, catalogue_queries, workflow_queries)
+MODULES = (relational_queries, check_queries, catalogue_queries, workflow_queries, file_queries)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: f for m in MODULES for k, f in m.ORACLES.items()}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
