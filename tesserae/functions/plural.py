@@ -116,6 +116,15 @@ def equivalent(spark: SparkSession, a: str, b: str, upto: int = 200) -> bool:
     return spark.range(upto + 1).withColumnRenamed("id", "n").filter(form(a) != form(b)).isEmpty()
 
 
+def differing(spark: SparkSession, pairs: dict[str, tuple[str, str]], upto: int = 200) -> set[str]:
+    """Names of the pairs of rules that give different forms for some n from 0 to upto; one job for all of them."""
+    if not pairs:
+        return set()
+    tests = F.array_compact(F.array(*[F.when(form(a) != form(b), F.lit(name)) for name, (a, b) in pairs.items()]))
+    rows = spark.range(upto + 1).withColumnRenamed("id", "n").select(F.explode(tests).alias("name")).distinct()
+    return {r["name"] for r in rows.collect()}
+
+
 def forms_fault(plurals: Column, nplurals: Column) -> Column:
     """True where the indices of a plural map are not 0 to nplurals - 1."""
     return F.array_sort(F.map_keys(plurals)) != F.sequence(F.lit(0), nplurals - 1)

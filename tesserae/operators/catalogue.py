@@ -197,7 +197,7 @@ def plural_forms(entries: DataFrame, rules: dict[str, str]) -> DataFrame:
     spark = entries.sparkSession
     headers = entries.groupBy("locale").agg(F.max_by("msgstr", C("is_header")).alias("text"), F.bool_or("is_header").alias("has"))
     found = headers.select("locale", F.when(C("has"), header_field(C("text"), "Plural-Forms")).alias("rule")).collect()
-    faults, declared = [], []
+    faults, declared, pairs = [], [], {}
     for locale, rule in sorted((r.locale, r.rule) for r in found if r.locale is not None):
         expected = rules.get(locale.split("_")[0].lower())
         if rule is None or expected is None:
@@ -205,8 +205,11 @@ def plural_forms(entries: DataFrame, rules: dict[str, str]) -> DataFrame:
             continue
         (n, own), (m, other) = plural.header_parts(rule), plural.header_parts(expected)
         declared.append((locale, n))
-        if n != m or not plural.equivalent(spark, own, other):
+        if n != m:
             faults.append((locale, "other_rule"))
+        else:
+            pairs[locale] = own, other
+    faults += [(locale, "other_rule") for locale in sorted(plural.differing(spark, pairs))]
     head = spark.createDataFrame(faults, "locale string, fault string").select("locale", F.lit(None).cast("long").alias("pos"), "fault")
     counts = spark.createDataFrame(declared, "_l string, nplurals int")
     rows = live(entries).filter(has_plural()).join(F.broadcast(counts), C("locale") == C("_l"))  # a row a locale
@@ -282,10 +285,16 @@ def carried_ids(lines: DataFrame, path: str, line: str, text: str) -> DataFrame:
     return ordered.carried(rows, [path], line, {"msgid": C("_id")}).filter(C("msgstr").isNotNull()).select(path, line, "msgid", "msgstr")
 
 
-def filtered_digests(lines: DataFrame, path: str, line: str, text: str, without: str) -> DataFrame:
-    """path, md5 of each file without the lines that match `without`: two versions that differ in those alone are equal."""
-    kept = F.array_sort(F.collect_list(F.when(~C(text).rlike(without), F.struct(C(line).alias("at"), C(text).alias("t")))))
-    return lines.groupBy(path).agg(F.md5(F.array_join(F.transform(kept, lambda x: x["t"]), "\n")).alias("md5"))
+def filtered_digests(lines: DataFrame, path: str, line: str, text: str, without: str, block: int = 4096) -> DataFrame:
+    """path, md5 of each file without the lines that match `without`: two versions that differ in those alone are equal.
+
+    The digest is that of the digests of each `block` lines kept, so no file is held as one.
+    """
+    kept = F.coalesce(~C(text).rlike(without), F.lit(False))
+    rows = ordered.running_sums(lines.select(path, line, text, kept.cast("int").alias("_kept")), [path], line, {"_no": C("_kept")}).withColumn("_part", F.floor(C("_no") / block))
+    parts = rows.groupBy(path, "_part").agg(F.array_sort(F.collect_list(F.when(C("_kept") == 1, F.struct(C(line).alias("at"), C(text).alias("t"))))).alias("_l"), F.sum("_kept").alias("_n"))
+    digests = parts.select(path, "_part", F.when(C("_n") > 0, F.md5(F.array_join(F.transform("_l", lambda x: x["t"]), "\n"))).alias("_md5"))
+    return digests.groupBy(path).agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(C("_md5").isNotNull(), F.struct("_part", "_md5")))), lambda x: x["_md5"]), "")).alias("md5"))
 
 
 def statistics_counts(logs: DataFrame, text: str) -> DataFrame:

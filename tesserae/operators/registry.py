@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources import json_documents
 
 C = F.col
 
@@ -16,11 +17,13 @@ def links(pages: DataFrame, html: str, pattern: str) -> DataFrame:
 
 
 def services(bootstrap: DataFrame, body: str) -> DataFrame:
-    """key, url of a bootstrap document {services: [[[keys], [urls]], ...]}; the first https URL of a service counts, else the first; of several services for a key the last."""
-    parsed = F.from_json(body, "services array<array<array<string>>>")
-    rows = bootstrap.select(F.posexplode(parsed["services"]).alias("pos", "s"))
-    urls = F.transform(F.get("s", 1), T.https_url)
-    rows = rows.select("pos", F.explode(F.get("s", 0)).alias("key"), F.coalesce(F.get(F.filter(urls, lambda u: u.startswith("https://")), 0), F.get(urls, 0)).alias("url"))
+    """key, url of a bootstrap document {services: [[[keys], [urls]], ...]}; the first https URL of a service counts, else the first; of several services for a key the last.
+
+    A document, or a service, of another shape fails the query.
+    """
+    rows = json_documents.services(bootstrap, body)
+    urls = F.transform("urls", T.https_url)
+    rows = rows.select("pos", F.explode("keys").alias("key"), F.coalesce(F.get(F.filter(urls, lambda u: u.startswith("https://")), 0), F.get(urls, 0)).alias("url"))
     return rows.groupBy(F.lower("key").alias("key")).agg(F.max_by("url", "pos").alias("url"))
 
 

@@ -228,9 +228,11 @@ def quoted_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.quoted_map(docs.select("path", line.alias("line"), text.alias("text"))).select("path", F.md5("msgid").alias("id"), F.md5("msgstr").alias("str"))
 
 
-@query(f"WITH {_LINES} SELECT path, md5(coalesce(string_agg(CASE WHEN id THEN 'msgid \"' WHEN line % 6 = 1 THEN 'msgstr[1] \"' ELSE 'msgstr \"' END || p_name || '\"', chr(10) ORDER BY line) FILTER (NOT comment), '')) AS md5 FROM l GROUP BY path")
+@query(f"""WITH {_LINES}, k AS (SELECT path, line, CASE WHEN id THEN 'msgid "' WHEN line % 6 = 1 THEN 'msgstr[1] "' ELSE 'msgstr "' END || p_name || '"' AS t, row_number() OVER (PARTITION BY path ORDER BY line) - 1 AS no FROM l WHERE NOT comment),
+ b AS (SELECT path, no // 3 AS part, md5(string_agg(t, chr(10) ORDER BY line)) AS d FROM k GROUP BY ALL) SELECT path, md5(string_agg(d, '' ORDER BY part)) AS md5 FROM b GROUP BY path""")
 def filtered_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalogue.filtered_digests(_lines(spark, sf_dir), "path", "line", "text", "^#")
+    """In blocks of three lines, so that files have several."""
+    return catalogue.filtered_digests(_lines(spark, sf_dir), "path", "line", "text", "^#", block=3)
 
 
 @query("SELECT sum(event_id % 50)::BIGINT AS translated, coalesce(sum(event_id % 7) FILTER (event_id % 2 = 0), 0)::BIGINT AS fuzzy, sum(event_id % 3)::BIGINT AS untranslated FROM events")

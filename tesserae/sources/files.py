@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text as T
+from .shared import Folder
 
 C = F.col
 
@@ -17,6 +17,23 @@ def whole_files(spark: SparkSession, path: str, names: str = "*", skip: str | No
     return out.filter(~C("path").rlike(skip)) if skip else out
 
 
+def walked(spark: SparkSession, root: str, pruned: tuple[str, ...] = (".git", "vendor", "node_modules"), suffixes: tuple[str, ...] = (), most: int = 10_000_000) -> DataFrame:
+    """path, modified, content of the files of a tree without the folders of a pruned name, files with one of the suffixes and files over `most` bytes.
+
+    Folders are listed by the driver, pruned ones never; files are listed and read by Spark, which skips large ones by their length before it reads them.
+    """
+    folders, left = [], [root.rstrip("/")]
+    while left:
+        at = left.pop()
+        folders.append(at)
+        left += [f"{at}/{x}" for x in Folder(spark, at).folders() if x not in pruned]
+    read = spark.read.format("binaryFile").load(sorted(folders)).filter(C("length") <= most)
+    out = read.select("path", C("modificationTime").alias("modified"), "content")
+    for suffix in suffixes:
+        out = out.filter(~C("path").endswith(suffix))
+    return out
+
+
 def texts(files: DataFrame) -> DataFrame:
     """Files that are UTF-8, with `text` in place of content."""
     return files.filter(F.is_valid_utf8(C("content").cast("string"))).select("path", "modified", C("content").cast("string").alias("text"))
@@ -47,18 +64,6 @@ def versions(files: DataFrame, name: str = "VERSION") -> DataFrame:
     return files.select("path", found.alias("version")).filter(C("version") != "")
 
 
-def self_named_constants(files: DataFrame) -> DataFrame:
-    """Names of constants whose value is their name: const X = 'X'."""
-    return files.select(F.explode(T.find(C("text"), r"const\s+([A-Z][A-Z0-9_]*)\s*=\s*'\1'", 1)).alias("name")).distinct()
-
-
-def translated_calls(files: DataFrame) -> DataFrame:
-    """msgid, path, line of _('...') and ngettext('...', ...) calls on single lines."""
-    pattern = r"(?<![\p{L}\p{N}_$>])(?:_|gettext|ngettext)\(\s*(?:'((?:[^'\\]|\\.)*)'|\"((?:[^\"\\]|\\.)*)\")"
-    both = F.zip_with(T.find(C("text"), pattern, 1), T.find(C("text"), pattern, 2), lambda a, b: F.when(a != "", a).otherwise(b))
-    return lines(files).select("path", "line", F.explode(both).alias("msgid")).filter(C("msgid") != "")
-
-
 def list_entries(spark: SparkSession, path: str, comment: str = "#") -> DataFrame:
     """Distinct lower-cased entries of a list file, without comments and empty lines."""
     rows = spark.read.text(path).select(F.lower(F.trim("value")).alias("name"))
@@ -75,9 +80,3 @@ def proposals(spark: SparkSession, path: str) -> DataFrame:
     """locale, family, msgid, text of files OUT_<locale>_<family><n>.json, each an object msgid -> text."""
     read = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_name", r"^OUT_(.+)_([a-z]+)[0-9]*\.json$", 1).alias("locale"), F.regexp_extract("_metadata.file_name", r"^OUT_(.+)_([a-z]+)[0-9]*\.json$", 2).alias("family"), F.from_json("value", "map<string,string>").alias("m"))
     return read.select("locale", "family", F.explode("m").alias("msgid", "text"))
-
-
-def exported(rows: DataFrame, locale: str) -> DataFrame:
-    """One JSON document of untranslated entries (pos, msgid, locations), in order."""
-    entry = F.struct("pos", F.struct("locations", "msgid", F.lit("").alias("translation")).alias("e"))
-    return rows.agg(F.to_json(F.struct(F.lit(locale).alias("locale"), F.count("*").alias("untranslated_count"), F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["e"]).alias("entries"))).alias("value"))

@@ -133,18 +133,21 @@ def as_text(word: str, value: str) -> str:
 
 
 def render(raw: str, sep: str, dirty: bool, msgstr: str | None, plurals: dict | None, flags: list[str] | None = None) -> str:
-    """A block as text: as it was if not dirty, else its head with new strings, and new flags if given."""
+    """A block as text: as it was if not dirty, else its head with new strings, and new flags if given: where flags were, or else behind the places, or at the top."""
     if not dirty:
         return raw + (sep or "")
-    head = []
+    head, place, flagged = [], 0, False
     for line in raw.split("\n"):
         if re.match(r"msgstr(?:\[\d+\])?\s", line):
             break
         if flags is not None and line.startswith("#,"):
-            if flags:
-                head.append("#, " + ", ".join(flags))
+            flagged, place = True, place if flagged else len(head)
             continue
         head.append(line)
+        if line.startswith("#:") and not flagged:
+            place = len(head)
+    if flags:
+        head.insert(place, "#, " + ", ".join(flags))
     if plurals:
         tail = [as_text(f"msgstr[{i}]", plurals[i]) for i in sorted(plurals)]
     else:

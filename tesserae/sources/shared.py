@@ -48,6 +48,10 @@ class Folder:
         at = self._path(f"{self.path}/{below}" if below else self.path)
         return sorted(x.getPath().getName() for x in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
+    def folders(self) -> list[str]:
+        """Names of the folders in this one, sorted."""
+        return sorted(x.getPath().getName() for x in self._fs.listStatus(self._path(self.path)) if x.isDirectory())
+
     def create(self, name: str) -> bool:
         """An empty file, made by one caller alone: False if it was there."""
         return self._fs.createNewFile(self._path(f"{self.path}/{name}"))
