@@ -154,6 +154,37 @@ def audited_changes(before: DataFrame, after: DataFrame, planned: DataFrame, key
     return rows.select(C("_k").alias(key), F.explode(F.array_compact(problems)).alias("problem"))
 
 
+def address_number(address: Column) -> Column:
+    """An IPv4 address as a bigint, null for any other text."""
+    parts = F.split(address, r"\.")
+    part = lambda k: F.get(parts, k).try_cast("long")
+    fits = address.rlike(r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.|$)){4}(?<!\.)$")
+    return F.when(fits, ((part(0) * 256 + part(1)) * 256 + part(2)) * 256 + part(3))
+
+
+def bypassed(hosts: DataFrame, rules: DataFrame, host: str = "host", rule: str = "rule") -> DataFrame:
+    """Distinct (host, rule): the rules of a bypass list that a host falls under.
+
+    A rule is an address, a network in CIDR form, a host name, or a domain with a dot (or `*.`) in front for all below it, without regard to case; `*` is for all hosts. No rule is
+    tried against every host: an address is looked up under each length of network that there is, a name under each domain it is in.
+    """
+    h = hosts.select(F.lower(F.trim(host)).alias("host")).filter(C("host") != "").distinct()
+    r = rules.select(C(rule).alias("rule"), F.lower(F.trim(rule)).alias("_r")).distinct()
+    form = r"^([0-9.]+)/([0-9]|[12][0-9]|3[0-2])$"
+    base, length = address_number(F.regexp_extract("_r", form, 1)), F.regexp_extract("_r", form, 2).try_cast("int")
+    net = r.withColumns({"_base": F.coalesce(base, address_number(C("_r"))), "_bits": F.coalesce(length, F.lit(32))}).filter(C("_base").isNotNull())
+    size = F.expr("shiftleft(1L, 32 - _bits)")
+    net = net.select("rule", "_bits", F.floor(C("_base") / size).alias("_net"))
+    lengths = F.broadcast(net.select("_bits").distinct())  # at most 33 rows
+    own = h.withColumn("_a", address_number(C("host"))).filter(C("_a").isNotNull()).crossJoin(lengths).withColumn("_net", F.floor(C("_a") / size))
+    by_address = own.join(net, ["_bits", "_net"]).select("host", "rule")
+    labels = F.split("host", r"\.")
+    above = F.transform(F.sequence(F.lit(2), F.size(labels)), lambda k: F.concat(F.lit("."), F.array_join(F.slice(labels, k, F.size(labels)), ".")))
+    names = h.select("host", F.explode(F.array_distinct(F.concat(F.array("host", F.concat(F.lit("."), "host"), F.lit("*")), F.when(F.size(labels) > 1, above).otherwise(F.array().cast("array<string>"))))).alias("_name"))
+    named = r.select("rule", F.regexp_replace("_r", r"^\*\.", ".").alias("_name"))
+    return by_address.unionByName(names.join(named, "_name").select("host", "rule")).distinct()
+
+
 def kept_first(rows: DataFrame, bucket: str | list[str], order: str, n: int) -> DataFrame:
     """The first n rows of each bucket by `order`; all for n = 0."""
     if not n:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import catalogue, rewrite
+from ..functions import text as T
+from ..functions.similarity import display_domain_udf
+from ..operators import catalogue, relational, rewrite
 from ..sources import files, mo, po, pot
 from ..sources.shared import shared_dir
 from . import catalogue_queries
@@ -136,6 +138,73 @@ def obsolete_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(gone, C("locale") == C("_l"), "left").select("locale", "kept", (F.coalesce("all", F.lit(0)) - C("kept")).alias("gone"), "live")
 
 
+# --- entries against payloads and corrections --------------------------------------------------
+
+
+def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = catalogue_queries.entries(spark, sf_dir).filter(C("msgid") != "API")
+    return rows.withColumn("flags", F.when(C("is_fuzzy"), F.array(F.lit("fuzzy"), F.lit("c-format"))).otherwise(F.array(F.lit("c-format"))))
+
+
+@query(f"""WITH {_ENTRIES}, p AS (SELECT *, CASE pos % 6 WHEN 0 THEN 'neu ' || msgid WHEN 1 THEN CASE WHEN several THEN '' ELSE t END END AS new FROM e WHERE locale = 'de_DE' AND msgid <> 'API')
+ SELECT pos, coalesce(nullif(new, ''), CASE WHEN several THEN '' ELSE t END) AS msgstr, CASE WHEN fuzzy AND coalesce(new, '') = '' THEN 'fuzzy,c-format' ELSE 'c-format' END AS flags, coalesce(new, '') <> '' AND new <> CASE WHEN several THEN '' ELSE t END AS dirty FROM p""")
+def payload_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payload for a sixth of a catalogue, and the texts as they are for another sixth: only the first are dirty, all clear the fuzzy flag."""
+    rows = _flagged(spark, sf_dir).filter(C("locale") == "de_DE")
+    new = F.when(C("pos") % 6 == 0, F.concat(F.lit("neu "), "msgid")).when(C("pos") % 6 == 1, C("msgstr"))
+    out = rewrite.imported(rows, rows.select("msgid", new.alias("translation")))
+    return out.select("pos", "msgstr", F.array_join("flags", ",").alias("flags"), "dirty")
+
+
+@query(f"""WITH {_ENTRIES} SELECT pos, CASE WHEN NOT several THEN CASE WHEN pos % 4 = 2 THEN msgid ELSE t END WHEN pos % 4 = 2 THEN msgid || '|' || msgid || 's|' || msgid || 's' ELSE t || CASE WHEN short THEN '' ELSE '|trads ' || msgid END END AS texts FROM e WHERE locale = 'es_ES'""")
+def english_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of a catalogue fails a check and falls back to its sources, in three plural forms."""
+    rows = catalogue_queries.entries(spark, sf_dir).filter(C("locale") == "es_ES")
+    out = rewrite.english_fallback(rows, rows.filter(C("pos") % 4 == 2), F.lit(3))
+    return out.select("pos", F.when(C("msgid_plural") == "", C("msgstr")).otherwise(F.array_join(F.transform(F.array_sort(F.map_keys("plurals")), lambda k: F.element_at("plurals", k)), "|")).alias("texts"))
+
+
+@query(f"""WITH {_ENTRIES}, f AS (SELECT *, pos % 10 = 4 AND locale IN ('fr_FR', 'xx_XX') AS bad, CASE WHEN pos % 10 = 4 AND locale IN ('fr_FR', 'xx_XX') THEN msgid ELSE 'Ok ' || msgid END AS new FROM e WHERE pos % 2 = 0 AND msgid <> 'API'),
+ stopped AS (SELECT DISTINCT locale FROM f WHERE bad) SELECT locale, pos, 'refused' AS outcome, 'echo' AS text FROM f WHERE bad UNION ALL SELECT e.locale, e.pos, 'entry', CASE WHEN stopped.locale IS NULL AND f.pos IS NOT NULL THEN f.new ELSE CASE WHEN e.several THEN '' ELSE e.t END END FROM e LEFT JOIN f ON e.pos = f.pos LEFT JOIN stopped ON e.locale = stopped.locale WHERE e.msgid <> 'API'""")
+def reviewed_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections of half of all entries; a locale with one that the gate refuses keeps its entries."""
+    rows = _flagged(spark, sf_dir)
+    bad = (C("pos") % 10 == 4) & C("locale").isin("fr_FR", "xx_XX")
+    fixes = rows.filter(C("pos") % 2 == 0).select("locale", "msgid", F.when(bad, C("msgid")).otherwise(F.concat(F.lit("Ok "), "msgid")).alias("text"))
+    result, problems = rewrite.reviewed(rows, fixes)
+    refused = problems.join(rows.select("locale", "msgid", "pos"), ["locale", "msgid"]).select("locale", "pos", F.lit("refused").alias("outcome"), F.array_join("reasons", "|").alias("text"))
+    return refused.unionByName(result.select("locale", "pos", F.lit("entry").alias("outcome"), C("msgstr").alias("text")))
+
+
+# --- names, servers and times ------------------------------------------------------------------
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 IN (0, 1) THEN 'whois.' || s_nationkey || '.example' END AS server, strftime(make_date(2020, 1, 1) + (s_suppkey % 900)::INT, '%Y-%m-%d 00:00+0000') AS stamp, CASE s_suppkey % 3 WHEN 0 THEN 'münchen.' || s_suppkey || '.example' WHEN 1 THEN 'a' || s_suppkey || '.example' ELSE 'xn--' || '.' || s_suppkey END AS shown FROM supplier""")
+def registry_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Servers of lookup responses, times as headers write them and domains in display form, for each supplier."""
+    k, n = C("s_suppkey"), C("s_nationkey").cast("string")
+    response = F.when(k % 4 == 0, F.concat(F.lit("domain: X\nWHOIS: \t WHOIS."), n, F.lit(".Example\nstatus: ok"))).when(k % 4 == 1, F.concat(F.lit("whois:whois."), n, F.lit(".example"))).when(k % 4 == 2, "whois: -\n").otherwise("whois:\nnull")
+    name = F.when(k % 3 == 0, F.concat(F.lit("xn--mnchen-3ya."), k.cast("string"), F.lit(".example"))).when(k % 3 == 1, F.concat(F.lit("a"), k.cast("string"), F.lit(".example"))).otherwise(F.concat(F.lit("xn--."), k.cast("string")))
+    at = F.date_add(F.lit("2020-01-01").cast("date"), (k % 900).cast("int")).cast("timestamp")
+    rows = table(spark, sf_dir, "supplier")
+    return rows.select("s_suppkey", T.whois_server(response).alias("server"), catalogue.stamp(at).alias("stamp"), display_domain_udf(name).alias("shown"))
+
+
+_RULES = [("10.0.0.0/8",), ("10.1.2.0/24",), ("10.1.2.3",), ("*.s7.test",), (".Example.test",), ("host3.s1.test",), ("192.168.0.0/33",), ("0.0.0.0/1",)]
+
+
+@query("""WITH h AS (SELECT DISTINCT CASE c_custkey % 3 WHEN 0 THEN '10.' || (c_custkey % 4) || '.' || (c_custkey % 5) || '.' || (c_custkey % 250) WHEN 1 THEN 'host' || (c_custkey % 9) || '.s' || (c_custkey % 11) || '.test' ELSE (c_custkey % 300) || '.1.2.3' END AS host FROM customer),
+ p AS (SELECT host, regexp_full_match(host, '[0-9.]+') AND split_part(host, '.', 1)::INT < 256 AS ip, CASE WHEN regexp_full_match(host, '[0-9.]+') THEN ((split_part(host, '.', 1)::BIGINT * 256 + split_part(host, '.', 2)::BIGINT) * 256 + split_part(host, '.', 3)::BIGINT) * 256 + split_part(host, '.', 4)::BIGINT END AS a FROM h)
+ SELECT host, '10.0.0.0/8' AS rule FROM p WHERE ip AND a // 16777216 = 10 UNION ALL SELECT host, '10.1.2.0/24' FROM p WHERE ip AND a // 256 = 655618 UNION ALL SELECT host, '10.1.2.3' FROM p WHERE host = '10.1.2.3'
+ UNION ALL SELECT host, '*.s7.test' FROM p WHERE suffix(host, '.s7.test') UNION ALL SELECT host, 'host3.s1.test' FROM p WHERE host = 'host3.s1.test' UNION ALL SELECT host, '0.0.0.0/1' FROM p WHERE ip AND a < 2147483648""")
+def bypass_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts of customers, by address or name, against a bypass list; a rule that is no network matches nothing."""
+    k = C("c_custkey")
+    part = lambda n: (k % n).cast("string")
+    host = F.when(k % 3 == 0, F.concat_ws(".", F.lit("10"), part(4), part(5), part(250))).when(k % 3 == 1, F.concat(F.lit("host"), part(9), F.lit(".s"), part(11), F.lit(".test"))).otherwise(F.concat(part(300), F.lit(".1.2.3")))
+    return relational.bypassed(table(spark, sf_dir, "customer").select(host.alias("host")), spark.createDataFrame(_RULES, "rule string"))
+
+
 # --- source files ----------------------------------------------------------------------------
 
 

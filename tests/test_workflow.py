@@ -341,3 +341,27 @@ def test_release_gates(spark):
     assert got[1] == dict.fromkeys(("branch", "clean", "secrets", "folders", "version"), "pass")
     assert got[2] == {"branch": "warn", "clean": "fail", "secrets": "fail", "folders": "warn", "version": "fail"}
     assert got[3] == {"branch": "warn", "clean": "pass", "secrets": "pass", "folders": "warn", "version": "pass"}
+
+
+def test_bypass_rules_by_brute_force(spark):
+    import ipaddress
+
+    rng = random.Random(2)
+    hosts = [".".join(str(rng.choice([0, 1, 10, 127, 192, 255])) for _ in range(4)) for _ in range(60)] + ["a.b.test", "B.TEST", "x.a.b.test", "test", "256.1.1.1", "1.2.3", "ab.test", ""]
+    rules = ["10.0.0.0/8", "0.0.0.0/0", "192.192.0.0/10", "127.0.0.1/32", "255.255.255.255", ".b.test", "*.test", "a.b.test", "*", "10.0.0.0/33", "300.0.0.0/8", "b.test"]
+
+    def under(host, rule):
+        host, name = host.lower(), rule.lower()
+        if name == "*":
+            return True
+        try:
+            return ipaddress.IPv4Address(host) in ipaddress.IPv4Network(name, strict=False)
+        except ValueError:
+            pass
+        if name.startswith(("*.", ".")):
+            end = name.lstrip("*")
+            return host.endswith(end) or "." + host == end
+        return host == name
+
+    got = {(r.host, r.rule) for r in relational.bypassed(spark.createDataFrame([(h,) for h in hosts], "host string"), spark.createDataFrame([(r,) for r in rules], "rule string")).collect()}
+    assert got == {(h.lower(), r) for h in hosts for r in rules if h and under(h, r)}
