@@ -104,11 +104,10 @@ def form(rule: str) -> Column:
     return F.expr(rule_sql(rule)).cast("int")
 
 
-def evaluated(spark: SparkSession, rules: list[tuple[str, str]], upto: int = 200) -> DataFrame:
-    """locale, n, form for n from 0 to upto."""
-    numbers = spark.range(upto + 1).withColumnRenamed("id", "n")
+def evaluated(numbers: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """numbers (with a column n) with locale and form for each of the rules."""
     forms = F.explode(F.array(*[F.struct(F.lit(name).alias("locale"), form(rule).alias("form")) for name, rule in rules]))
-    return numbers.select("n", forms.alias("r")).select("r.locale", "n", "r.form")
+    return numbers.withColumn("_r", forms).select(*numbers.columns, "_r.locale", "_r.form")
 
 
 def equivalent(spark: SparkSession, a: str, b: str, upto: int = 200) -> bool:

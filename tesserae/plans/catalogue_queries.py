@@ -162,11 +162,12 @@ def glossary_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WORDS = r"SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS term FROM benchmark"
 
 
-@query(rf"WITH t AS ({_WORDS}), w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+')) AS term FROM documents) SELECT CASE WHEN length(term) > 4 THEN 'long' ELSE 'short' END AS \"group\", term FROM t WHERE term IN (SELECT term FROM w)".replace('\\"', '"'))
+@query(rf"""WITH t AS ({_WORDS}), w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+')) AS term FROM documents), g AS (SELECT CASE WHEN length(term) > 4 THEN 'long' ELSE 'short' END AS "group", term FROM t WHERE term IN (SELECT term FROM w))
+ SELECT "group", term, '{{"term":"' || term || '","group":"' || "group" || '","note":"","source":"benchmark"}}' AS entry FROM g""")
 def glossary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = table(spark, sf_dir, "benchmark").select(F.explode(T.find(C("text"), r"[\p{L}\p{N}]+")).alias("term"))
     terms = terms.select(F.when(F.length("term") > 4, "long").otherwise("short").alias("group"), "term", F.lit("").alias("note"), F.lit("benchmark").alias("source"))
-    return catalogue.glossary_document(terms, table(spark, sf_dir, "documents")).select("group", "term")
+    return catalogue.glossary_document(terms, table(spark, sf_dir, "documents"))
 
 
 _SYMBOL = "NOT contains(src, ch) AND (unicode(ch) BETWEEN 9833 AND 9839 OR unicode(ch) BETWEEN 119808 AND 120831 OR unicode(ch) BETWEEN 9472 AND 9599 OR unicode(ch) BETWEEN 9632 AND 10175 AND unicode(ch) NOT IN (9744, 9745, 9746) OR locale <> 'el_GR' AND (unicode(ch) BETWEEN 880 AND 1023 OR unicode(ch) BETWEEN 7936 AND 8191))"

@@ -282,20 +282,26 @@ PLURALS = [
 ]
 
 
-@query("""WITH r AS (SELECT unnest(range(201)) AS n) SELECT 'en' AS locale, n, (n <> 1)::BIGINT AS form FROM r UNION ALL SELECT 'fr', n, (n > 1)::BIGINT FROM r UNION ALL SELECT 'ja', n, 0 FROM r
- UNION ALL SELECT 'ru', n, CASE WHEN n % 10 = 1 AND n % 100 <> 11 THEN 0 WHEN n % 10 BETWEEN 2 AND 4 AND n % 100 NOT BETWEEN 10 AND 19 THEN 1 ELSE 2 END FROM r
- UNION ALL SELECT 'pl', n, CASE WHEN n = 1 THEN 0 WHEN n % 10 BETWEEN 2 AND 4 AND n % 100 NOT BETWEEN 10 AND 19 THEN 1 ELSE 2 END FROM r
- UNION ALL SELECT 'ar', n, CASE WHEN n < 3 THEN n WHEN n % 100 BETWEEN 3 AND 10 THEN 3 WHEN n % 100 >= 11 THEN 4 ELSE 5 END FROM r""")
+_NUMBERS = "r AS (SELECT o_orderkey % 1000 AS n FROM orders)"
+
+
+@query(f"""WITH {_NUMBERS}, f AS (SELECT 'en' AS locale, (n <> 1)::BIGINT AS form FROM r UNION ALL SELECT 'fr', (n > 1)::BIGINT FROM r UNION ALL SELECT 'ja', 0 FROM r
+ UNION ALL SELECT 'ru', CASE WHEN n % 10 = 1 AND n % 100 <> 11 THEN 0 WHEN n % 10 BETWEEN 2 AND 4 AND n % 100 NOT BETWEEN 10 AND 19 THEN 1 ELSE 2 END FROM r
+ UNION ALL SELECT 'pl', CASE WHEN n = 1 THEN 0 WHEN n % 10 BETWEEN 2 AND 4 AND n % 100 NOT BETWEEN 10 AND 19 THEN 1 ELSE 2 END FROM r
+ UNION ALL SELECT 'ar', CASE WHEN n < 3 THEN n WHEN n % 100 BETWEEN 3 AND 10 THEN 3 WHEN n % 100 >= 11 THEN 4 ELSE 5 END FROM r) SELECT locale, form, count(*) AS n FROM f GROUP BY ALL""")
 def plural_rule_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plural.evaluated(spark, PLURALS).withColumn("form", C("form").cast("long"))
+    """The plural form of every order's number in six languages, counted."""
+    numbers = table(spark, sf_dir, "orders").select((C("o_orderkey") % 1000).alias("n"))
+    return plural.evaluated(numbers, PLURALS).groupBy("locale", C("form").cast("long").alias("form")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT 'ru' AS a, 'ru2' AS b, 0::BIGINT AS differing UNION ALL SELECT 'en', 'fr', 1")
+@query(f"""WITH {_NUMBERS} SELECT 'ru' AS a, 'ru2' AS b, 0::BIGINT AS differing UNION ALL SELECT 'en', 'fr', (SELECT count(*) FILTER (n = 0) FROM r) UNION ALL SELECT 'pl', 'ru', (SELECT count(*) FILTER (n <> 1 AND n % 10 = 1 AND n % 100 <> 11) FROM r)""")
 def plural_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For how many orders' numbers two rules give different forms."""
     ru2 = "n%10==1 && n%100!=11 ? 0 : n%10>=2 && n%10<=4 && (n%100<12 || n%100>14) ? 1 : 2"
-    n = spark.range(201).withColumnRenamed("id", "n")
+    n = table(spark, sf_dir, "orders").select((C("o_orderkey") % 1000).alias("n"))
     rules = dict(PLURALS)
-    pairs = [("ru", "ru2", rules["ru"], ru2), ("en", "fr", rules["en"], rules["fr"])]
+    pairs = [("ru", "ru2", rules["ru"], ru2), ("en", "fr", rules["en"], rules["fr"]), ("pl", "ru", rules["pl"], rules["ru"])]
     return n.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), (plural.form(x) != plural.form(y)).cast("long").alias("d")) for a, b, x, y in pairs])).alias("r")).groupBy("r.a", "r.b").agg(F.sum("r.d").alias("differing"))
 
 
