@@ -215,7 +215,11 @@ def read_documents(files: DataFrame) -> DataFrame:
 
 
 def token_output(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None) -> DataFrame:
-    """Write the token files of docs, then return what read_documents() finds in them."""
+    """Write the token files of docs (doc_id, text), then return what read_documents() finds in them: doc_id, start, n_tokens, ids_crc32.
+
+    A null or empty text is its end id alone. Documents stand by ascending doc_id, null first; rows that share a doc_id are documents of their own, in some order. Texts
+    of any length are encoded whole; other columns may have any name; an empty table gives no rows.
+    """
     spark = docs.sparkSession
     path = path or shared_dir(spark)
     write(docs, path, tokenizer, end_id)

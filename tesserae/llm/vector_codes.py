@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch, written
 
 C = F.col
 SCALE = 1024
@@ -176,7 +176,7 @@ def compressed(vectors: DataFrame, column: str = "embedding", split: int = 4, si
     their components; repeated rows are points of their own. Fewer rows make fewer entries. Rows with a null label share one label_error. Components beyond 2^31 / 1024, and squared distances beyond
     63 bits, are an OverflowError. Other columns may have any name; an empty table gives no rows.
 
-    Each round reads and writes the vectors once, with their codes; only codebooks, at most 256 entries, are on the driver and in every task.
+    Each round reads and writes the vectors once, with their codes, and drops what the round before has written; only codebooks, at most 256 entries, are on the driver and in every task.
     """
     spark = vectors.sparkSession
     finite = F.forall(C("_v"), lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
@@ -192,14 +192,19 @@ def compressed(vectors: DataFrame, column: str = "embedding", split: int = 4, si
     entries = np.stack(np.split(start, split, axis=1)) if dims else np.zeros((split, len(first), 0), np.int64)
     state = own.withColumn("_code", F.lit(None).cast("binary"))
     row = f"vec_id long, label {own.schema['label'].dataType.simpleString()}, "
+    before = Scratch(spark)
     if first:
         for _ in range(rounds):
             books = [Codebook.of(e) for e in entries]
-            state = written(state.select("vec_id", "label", "_v", "_code").mapInArrow(assigned(books, dims, kind), row + "_v binary, _code binary, _part int, _entry int, _n long, _sum array<long>"))
+            with Scratch(spark) as now:
+                state = written(state.select("vec_id", "label", "_v", "_code").mapInArrow(assigned(books, dims, kind), row + "_v binary, _code binary, _part int, _entry int, _n long, _sum array<long>"))
+            before.drop()  # the round before has been read for the last time
+            before = now
             entries = moved(entries, state)
             state = state.filter(C("_part").isNull())
     books = [Codebook.of(e) for e in entries]
     out = written(state.select("vec_id", "label", "_v", "_code").mapInArrow(coded(books, dims), row + "code string, error long"))
+    before.drop()
     errors = out.groupBy(C("label").alias("_label")).agg(F.sum("error").alias("label_error"))
     if errors.count() <= BROADCAST_ROWS:
         errors = F.broadcast(errors)
