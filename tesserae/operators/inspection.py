@@ -42,6 +42,22 @@ def expected_columns(known: DataFrame, expectations: DataFrame) -> DataFrame:
     return rows.select("table_name", "column_name", "data_type", "present", actual.alias("actual"), F.when(there == C("present"), "pass").otherwise("fail").alias("outcome"))
 
 
+def scalar_expectations(spark: SparkSession, checks: list[tuple[str, str, str, str | int]]) -> DataFrame:
+    """name, actual, expected, outcome of SQL queries with one column, whose first row (null without any) is held against a value: op is =, <> or >=.
+
+    Numbers are compared as numbers by >=, else values as text; a query that fails, as for a table that isn't there, fails the report.
+    """
+    out = None
+    for name, sql, op, expected in checks:
+        rows = spark.sql(sql)
+        one = rows.limit(1).select(C(rows.columns[0]).cast("string").alias("actual")).agg(F.first("actual").alias("actual"))
+        wanted = F.lit(str(expected))
+        test = {"=": C("actual").eqNullSafe(wanted), "<>": ~C("actual").eqNullSafe(wanted), ">=": C("actual").try_cast("double") >= wanted.try_cast("double")}[op]
+        one = one.select(F.lit(name).alias("name"), "actual", wanted.alias("expected"), F.when(F.coalesce(test, F.lit(False)), "pass").otherwise("fail").alias("outcome"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # --- versions and release gates --------------------------------------------------------------
 
 

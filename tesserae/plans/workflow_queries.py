@@ -229,6 +229,32 @@ def schema_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("table_name", F.coalesce("column_name", F.lit("")).alias("column_name"), F.coalesce("data_type", F.lit("")).alias("data_type"), "outcome")
 
 
+#: What a migration's test asks of its tables: counts with and without a filter, the greatest id, joins, one row, and none.
+MIGRATED = [
+    ("orders", "SELECT count(*) FROM {orders}", ">=", 1000), ("nations", "SELECT count(*) FROM {nation}", "=", 25), ("no_such_nation", "SELECT count(*) FROM {nation} WHERE n_name = 'ATLANTIS'", "=", 0),
+    ("last_nation", "SELECT max(n_nationkey) FROM {nation}", "=", 24), ("first_region", "SELECT r_name FROM {region} ORDER BY r_regionkey LIMIT 1", "<>", ""), ("none", "SELECT r_name FROM {region} WHERE r_regionkey < 0 LIMIT 1", "=", "x"),
+    ("joined", "SELECT count(*) FROM {nation} JOIN {region} ON n_regionkey = r_regionkey JOIN {customer} ON c_nationkey = n_nationkey", ">=", 1), ("renamed", "SELECT count(*) FROM {documents} WHERE lang = 'xx'", ">=", 1),
+]
+_GIVEN = ["orders", "nation", "region", "customer", "documents"]
+
+
+def _asked(sql: str, prefix: str) -> str:
+    return sql.format(**{t: f"{prefix}{t}" for t in _GIVEN})
+
+
+def _expectation(name: str, sql: str, op: str, expected: str | int) -> str:
+    value = f"({_asked(sql, '')})"
+    test = f"{value}::DOUBLE >= {expected}" if op == ">=" else f"{value}::VARCHAR IS {'NOT ' if op == '=' else ''}DISTINCT FROM '{expected}'"
+    return f"SELECT '{name}' AS name, coalesce({value}::VARCHAR, 'none') AS actual, CASE WHEN {test} THEN 'pass' ELSE 'fail' END AS outcome"
+
+
+@query(" UNION ALL ".join(_expectation(*x) for x in MIGRATED))
+def migration_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inspection.registered(spark, **{f"given_{t}": table(spark, sf_dir, t) for t in _GIVEN})
+    rows = inspection.scalar_expectations(spark, [(name, _asked(sql, "given_"), op, expected) for name, sql, op, expected in MIGRATED])
+    return rows.select("name", F.coalesce("actual", F.lit("none")).alias("actual"), "outcome")
+
+
 _RELEASES = """r AS (SELECT s_suppkey AS release, CASE s_suppkey % 4 WHEN 0 THEN 'release/' || s_nationkey WHEN 1 THEN 'master' WHEN 2 THEN 'feature/x' ELSE 'develop' END AS branch,
    CASE WHEN s_suppkey % 13 = 0 THEN 'next' ELSE 'v' || (s_suppkey % 3) || '.' || (s_suppkey % 12) || CASE WHEN s_suppkey % 5 = 0 THEN '-rc1' WHEN s_suppkey % 5 = 1 THEN '.0' ELSE '' END END AS version FROM supplier),
  l AS (SELECT l_suppkey AS release, l_linenumber AS k, l_returnflag AS path, CASE WHEN l_partkey % 17 = 0 THEN 'nightly' ELSE 'v1.' || (l_partkey % 12) || CASE WHEN l_partkey % 7 = 0 THEN '-rc2' ELSE '' END END AS tag FROM lineitem)"""
