@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of few splits dealt to all cores, for work that costs much more than moving its rows; a table of as many splits as there are cores stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def pair_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document and the one before it, by an equi-join on doc_id."""
     docs = table(spark, sf_dir, "documents")
@@ -76,7 +82,7 @@ def pair_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents with CARRIED behind them, against the same with one of DAMAGES."""
     i = C("doc_id")
     n, k = F.lit(len(DAMAGES)), F.lit(len(LOCALES))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         i.alias("pos"), _chosen(F.pmod(i, k).cast("int"), LOCALES).alias("locale"), F.concat("text", F.lit(CARRIED)).alias("src"), F.concat("text", _chosen(F.pmod(i, n).cast("int"), DAMAGES)).alias("dst")
     )
 
@@ -106,7 +112,7 @@ def pair_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     for mark, plain in SPELT:
         spelt = F.replace(spelt, F.lit(mark), F.lit(plain))
     dst = F.when(i % 20 == 5, F.translate(text, *MARKED)).when(i % 20 == 7, F.translate(spelt, *MARKED)).otherwise(text)
-    return table(spark, sf_dir, "documents").select(i.alias("pos"), C("lang").alias("locale"), F.lit(MARKED_SOURCE).alias("src"), dst.alias("dst"))
+    return spread(table(spark, sf_dir, "documents")).select(i.alias("pos"), C("lang").alias("locale"), F.lit(MARKED_SOURCE).alias("src"), dst.alias("dst"))
 
 
 def _spelt(text: str) -> str:
@@ -124,7 +130,7 @@ def pair_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, w = C("doc_id"), F.split_part("text", F.lit(" "), F.lit(1))
     short = F.repeat(F.lit("in "), (i % 90).cast("int"))
     dst = F.when(i % 5 == 0, F.repeat(F.concat(F.lit("in "), w, F.lit(" ")), 6)).when(i % 5 == 1, F.repeat(F.concat(w, F.lit(" in ")), 6)).when(i % 5 == 2, F.concat(short, F.left("text", F.lit(200)), F.lit(" of of"))).when(i % 5 == 3, F.concat("text", F.lit(" "), short)).otherwise(C("text"))
-    return table(spark, sf_dir, "documents").select(i.alias("pos"), C("lang").alias("locale"), F.lit("x").alias("src"), dst.alias("dst"))
+    return spread(table(spark, sf_dir, "documents")).select(i.alias("pos"), C("lang").alias("locale"), F.lit("x").alias("src"), dst.alias("dst"))
 
 
 _W = "split_part(text, ' ', 1)"
@@ -140,7 +146,7 @@ def pair_opposites(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = F.concat(_chosen((i % n).cast("int"), [x[0] for x in OPPOSITES]), F.lit(" "), "text")
     two = F.concat(_chosen((i % n).cast("int"), [x[1] for x in OPPOSITES]), F.lit(" "), "text", _chosen((i % n).cast("int"), [x[2] for x in OPPOSITES]))
     side = F.explode(F.array(F.struct((2 * i).alias("pos"), one.alias("src")), F.struct((2 * i + 1).alias("pos"), two.alias("src")))).alias("s")
-    return table(spark, sf_dir, "documents").select(C("lang").alias("locale"), C("text").alias("dst"), side).select("s.pos", "locale", "s.src", "dst")
+    return spread(table(spark, sf_dir, "documents")).select(C("lang").alias("locale"), C("text").alias("dst"), side).select("s.pos", "locale", "s.src", "dst")
 
 
 def _opposite(k: int) -> str:
