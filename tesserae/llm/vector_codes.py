@@ -20,8 +20,8 @@ from .common import Scratch, written
 
 C = F.col
 SCALE = 1024
-#: Vectors that a task looks at together, and rows of a table of distances.
-SLAB, CHUNK = 1 << 15, 1 << 12
+#: Vectors that a task looks at together, components of these at most, and rows of a table of distances.
+SLAB, SLAB_COMPONENTS, CHUNK = 1 << 15, 1 << 22, 1 << 12
 #: Labels up to this number are broadcast (some 50 bytes each); beyond, the join shuffles.
 BROADCAST_ROWS = 20_000
 
@@ -94,14 +94,16 @@ def _integers(batch: pa.RecordBatch, dims: int) -> np.ndarray:
     return flat.reshape(batch.num_rows, dims)
 
 
-def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches put together to SLAB rows or a few more, so that each entry has many points."""
+def _slabs(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together to SLAB rows, or fewer long ones, so that each entry has many points."""
+    rows = max(1, min(SLAB, SLAB_COMPONENTS // max(dims, 1)))
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) >= SLAB:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
+        for at in range(0, batch.num_rows, rows):
+            held.append(batch.slice(at, rows))
+            if sum(b.num_rows for b in held) >= rows:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
     if sum(b.num_rows for b in held):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
@@ -132,7 +134,7 @@ def assigned(books: list[Codebook], dims: int, kind: pa.DataType) -> Callable:
         k, wide = len(books[0].entries), dims // len(books)
         counts, sums = np.zeros((len(books), k), np.int64), np.zeros((len(books), k, wide), np.int64)
         names = ["vec_id", "label", "_v", "_code", "_part", "_entry", "_n", "_sum"]
-        for batch in _slabs(batches):
+        for batch in _slabs(batches, dims):
             ints, codes, _ = _searched(batch, books, dims)
             for p in range(len(books)):
                 counts[p] += np.bincount(codes[:, p], minlength=k)
@@ -152,7 +154,7 @@ def assigned(books: list[Codebook], dims: int, kind: pa.DataType) -> Callable:
 
 def coded(books: list[Codebook], dims: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slabs(batches):
+        for batch in _slabs(batches, dims):
             _, codes, errors = _searched(batch, books, dims)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array([bytes(c).hex() for c in codes]), pa.array(errors)], names=["vec_id", "label", "code", "error"])
 

@@ -197,3 +197,22 @@ def test_multilinear_extension(counts):
     for k in range(5):
         assert shares[k] == sum((Fraction(n, mask.bit_count()) for mask, n in counts.items() if mask >> k & 1), Fraction(0))
         assert (shares[k] * 120).denominator == 1
+
+
+@pytest.mark.parametrize("slab", [1, 5, 64])
+def test_slabs_of_sliced_batches(monkeypatch, slab):
+    """Vectors and codes that stand in the middle of a batch are read from their own places."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(vector_codes, "SLAB", slab)
+    rng = np.random.default_rng(slab)
+    books = [vector_codes.Codebook.of(rng.integers(-50, 50, (9, 2))) for _ in range(2)]
+    ints, codes = rng.integers(-60, 60, (23, 4)).astype(np.int32), rng.integers(0, 9, (23, 2)).astype(np.uint8)
+    plain = pa.array([[x / 1024 + 1e-5 for x in v] for v in ints.tolist()], pa.list_(pa.float64()))
+    for vectors, before in ((plain, pa.nulls(23, pa.binary())), (vector_codes._binary(ints), vector_codes._binary(codes))):
+        whole = pa.RecordBatch.from_arrays([pa.array(range(23)), vectors, before], names=["vec_id", "_v", "_code"])
+        found = [vector_codes._searched(b, books, 4) for b in vector_codes._slabs(iter([whole.slice(0, 10), whole.slice(10, 0), whole.slice(10)]), 4)]
+        assert (np.concatenate([x[0] for x in found]) == ints).all()
+        want = [((ints[:, 2 * p : 2 * p + 2].astype(np.int64)[:, None, :] - books[p].entries) ** 2).sum(2) for p in range(2)]
+        assert (np.concatenate([x[1] for x in found]) == np.stack([w.argmin(1) for w in want], 1)).all()
+        assert (np.concatenate([x[2] for x in found]) == sum(w.min(1) for w in want)).all()
