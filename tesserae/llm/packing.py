@@ -179,7 +179,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048) -
 
     Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_used,
     and sequence_length, its length with padding. Documents with a null or empty text are their end id.
-    Rows that share a doc_id are documents of their own. An empty table gives no rows.
+    Rows that share a doc_id are documents of their own; other columns may have any name. An empty table gives no rows.
     """
     out = pack_pieces(written(cut(docs, tokenizer, end_id, window)), window)
     used = F.col("sequence_used")

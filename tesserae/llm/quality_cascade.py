@@ -218,7 +218,7 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that no rule rejects, with the columns of docs; a null or empty text is rejected.
+    """The rows of docs that no rule rejects, with the columns of docs, whatever their names; a null or empty text is rejected, repeated rows stay or go alike, an empty table gives none.
 
     The filter reads a column that is not deterministic: Catalyst would otherwise push the verdict
     down to the scan and there compute each array anew inside the functions over it.

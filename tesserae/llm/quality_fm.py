@@ -178,7 +178,7 @@ def classified(docs: DataFrame, labels: DataFrame, rows: int = 8000, threshold:
 
     labels (doc_id, quality 0/1) of documents whose crc32(doc_id as text) mod 4 is 2 are never read; of
     several for a document the greatest counts. rows bounds the sample that the model is fitted on. Only texts
-    make a score; a null text is empty, and empty texts share one score. Repeated rows get equal scores. Without labels all scores are 0.5.
+    make a score; a null text is empty, and empty texts share one score. Repeated rows get equal scores. Without labels all scores are 0.5. Long texts are read whole; other columns may have any name; an empty table gives no rows.
     """
     machine = docs.sparkSession.sparkContext.broadcast(fit(*training_sample(docs, labels, rows)))
 

@@ -333,7 +333,7 @@ def _runs(wanted: pa.StructArray | None) -> tuple[list[int], list[int]]:
 def removal_report(docs: DataFrame, width: int = 50) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-    A null text is empty. A null doc_id is the least. Rows with one doc_id remove nothing from each other. An empty table gives no rows.
+    A null text is empty. A null doc_id is the least. Rows with one doc_id remove nothing from each other. Long texts are read whole; other columns may have any name. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +360,8 @@ def removal_report(docs: DataFrame, width: int = 50) -> DataFrame:
 def without_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     """docs with their repeats cut out of `text`; columns as in docs.
 
-    Spans shrink to whole characters, so texts stay valid. n_chars, if there, is counted anew. Documents of which nothing is left go.
+    Spans shrink to whole characters, so texts stay valid. n_chars, if there, is counted anew. Documents of which nothing is left go, null and empty ones too.
+    Columns may have any name; rows that share a doc_id remove nothing from each other; an empty table gives none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
