@@ -34,9 +34,12 @@ def test_issues_and_report(entries):
 def test_export(entries):
     got = {(r.section, r.pos): json.loads(r.entry) for r in catalogue.exported(entries, ["API"]).collect()}
     assert got == {
-        ("untranslated", 1): {"msgid": "%d zone", "translation": "", "msgid_plural": "%d zones", "translations": {}},
-        ("fuzzy", 2): {"msgid": "Save", "current_translation": "Garder", "translation": ""},
+        ("untranslated", 1): {"locations": [], "msgid": "%d zone", "translation": "", "msgid_plural": "%d zones", "translations": {}},
+        ("fuzzy", 2): {"locations": [], "msgid": "Save", "current_translation": "Garder", "translation": ""},
     }
+    placed = entries.withColumns({"locations": F.array(F.lit("a.php:1")), "comments": F.when(C("pos") == 1, F.array(F.lit("note"))).otherwise(F.array().cast("array<string>"))})
+    shown = {r.pos: json.loads(r.entry) for r in catalogue.exported(placed, ["API"]).collect()}
+    assert shown[1]["locations"] == ["a.php:1"] and shown[1]["comments"] == ["note"] and "comments" not in shown[2]
     counts = catalogue.export_counts(entries, ["API"]).collect()[0].asDict()
     assert counts == {"locale": "fr", "untranslated_count": 1, "fuzzy_count": 1, "excluded_count": 1, "total_untranslated": 1}
 
