@@ -177,16 +177,15 @@ def polarity(a: Column, b: Column) -> Column:
     na, nb = F.size(a), F.size(b)
     n = F.least(na, nb)
     differing = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i < n) & (F.get(a, i) != F.get(b, i)))
-    at = F.get(differing, 0)
-    one = (F.size(differing) == 1) & is_polar(F.get(a, at), F.get(b, at))
-    swap = one & (na == nb) & (n >= 1)
-    extended = one & (na != nb) & (n >= 3)
+    # the words are compared once, not for each pair of opposites
+    first = let(differing, lambda d: F.struct(F.size(d).alias("k"), F.get(a, F.get(d, 0)).alias("x"), F.get(b, F.get(d, 0)).alias("y")))
+    one = let(first, lambda d: (d["k"] == 1) & is_polar(d["x"], d["y"]))
     negations = literal_array(P.ENGLISH_NEGATION)
     long_, short = F.when(na >= nb, a).otherwise(b), F.when(na >= nb, b).otherwise(a)
     plain = [F.filter(x, lambda w: ~F.array_contains(negations, w)) for x in (long_, short)]
     added = F.exists(long_, lambda w: F.array_contains(negations, w) & (F.size(F.filter(long_, lambda v: v == w)) > F.size(F.filter(short, lambda v: v == w))))
     negation = (F.abs(na - nb) >= 1) & (F.abs(na - nb) <= 2) & added & (plain[0] == plain[1])
-    return F.when(swap, "swap").when(extended, "extended").when(negation, "negation")
+    return let(one, lambda o: F.when(o & (na == nb) & (n >= 1), "swap").when(o & (na != nb) & (n >= 3), "extended").when(negation, "negation"))
 
 
 def shared_translation(x: Column, y: Column, relation: Column) -> Column:

@@ -6,12 +6,12 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
-from ..functions.similarity import near_miss_udf, ratio_udf
+from ..functions.similarity import near_miss_udf, ratio_udf, xor_before_udf
 from ..sources.shared import kept
 
 C = F.col
@@ -288,74 +288,104 @@ def antonym_collisions(pairs: DataFrame) -> DataFrame:
     Rows with equal translations t and words are one class of n rows, shown by the least pos; a result is a pair of classes. Only texts that open alike are compared, and
     of these only those that can be opposites: with the same words before a word that is the other's opposite, or with the same words but for negations.
     """
-    rows = pairs.select("locale", "pos", T.strip(C("dst")).alias("t"), T.english_words(C("src")).alias("w"))
-    classes = rows.groupBy("locale", "t", "w").agg(F.min("pos").alias("pos"), F.count("*").alias("n")).withColumn("block", F.substring("t", 1, 15))
-    several = classes.groupBy("locale", "block").agg(F.count("*").alias("k")).filter("k > 1")
+    rows = pairs.filter(C("locale").isNotNull() & C("src").isNotNull() & C("dst").isNotNull()).select("locale", "pos", T.strip(C("dst")).alias("t"), "src")
+    words = T.english_words(C("src"))
     negations = T.literal_array(P.ENGLISH_NEGATION)
     plain = F.xxhash64(F.filter("w", lambda w: ~F.array_contains(negations, w)))
-    own = kept(classes.join(several, ["locale", "block"], "left_semi").withColumns({"size": F.size("w"), "plain": plain, "all": _all_but_none("w", 1), "th": F.xxhash64("t")}))
-    # each word with what stands before it, and with all but it
-    # texts stay behind: their hashes travel with the words
-    words = own.select("locale", "block", "th", "pos", "size", "all", F.posexplode("w").alias("i", "word")).withColumn("h", _placed(C("i"), C("word"), 1))
-    before = Window.partitionBy("locale", "pos").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    words = words.withColumns({"head": F.coalesce(F.bit_xor("h").over(before), F.lit(0)), "rest": C("all").bitwiseXOR(C("h")), "k": _polar_keys(C("word"))})
-    words = words.select("locale", "block", "th", "pos", "size", "i", "head", "rest", F.explode("k").alias("k")).select("*", "k.key", "k.side")
+    # texts stay behind: classes are made of hashes of 128 bits
+    hashed = rows.select("locale", "pos", F.substring("t", 1, 15).alias("block"), *_digest("t"), words.alias("w"))
+    hashed = kept(hashed.select("locale", "pos", "block", "t1", "t2", *_digest("w"), F.size("w").alias("size"), plain.alias("plain"), _all_but_none("w", 1).alias("all")))
+    classes = hashed.groupBy("locale", "block", "t1", "t2", "w1", "w2", "size", "plain", "all").agg(F.min("pos").alias("pos"), F.count("*").alias("n")).drop("w1", "w2")
+    several = classes.groupBy("locale", "block").agg(F.count("*").alias("k")).filter("k > 1")
+    own = kept(classes.join(several, ["locale", "block"], "left_semi"))
+
+    def placed(test: Callable[[Column], Column], side: int) -> DataFrame:
+        """Words that pass the test, with their keys of a side and a hash of what stands before them; a row's other words stay in it."""
+        with_hashes = rows.select("locale", "pos", words.alias("w")).withColumn("h", F.transform("w", lambda w, i: _placed(i, w, 1)))
+        zipped = F.arrays_zip(F.sequence(F.lit(0), F.size("w") - 1).alias("i"), C("w").alias("word"), C("h").alias("h"), xor_before_udf(C("h")).alias("head"))
+        each = with_hashes.filter(F.exists("w", test)).select("locale", "pos", zipped.alias("z"))
+        each = each.select("locale", "pos", F.explode(F.filter("z", lambda z: test(z["word"]))).alias("z")).select("locale", "pos", "z.*")
+        each = each.select("locale", "pos", "i", "h", "head", F.explode(_polar_keys(C("word"))).alias("k"))
+        return each.filter((C("k.side") == side) & ~C("k.key").isin(*P.NOT_POLAR)).select("locale", "pos", "i", "h", "head", "k.key")
+
+    # few words can be the marked one of two opposites; of all others, only those that have such a word in the locale move
+    seconds = [b for _, b in P.POLAR_PAIRS]
+    marked = kept(placed(lambda w: w.isin(*seconds) | w.rlike(f"^(?:{'|'.join(P.POLAR_PREFIXES)})..."), 1))
+    known = kept(marked.select("locale", "key").distinct())
+    firsts = [a for a, _ in P.POLAR_PAIRS]
+    bare = placed(lambda w: w.isin(*firsts) | (F.length(w) >= 3), 0).join(known, ["locale", "key"], "left_semi")
+    sides = [kept(side.join(own, ["locale", "pos"]).withColumn("rest", C("all").bitwiseXOR(C("h"))).drop("h", "all", "plain", "n")) for side in (bare, marked)]
 
     def met(left: DataFrame, right: DataFrame, keys: list[str], test: Column) -> DataFrame:
-        a, b = (side.select(*[C(c).alias(f"{c}_{name}") for c in dict.fromkeys([*keys, "pos", "size"])], C("locale").alias(f"_l{name}")) for side, name in ((left, "a"), (right, "b")))
-        return a.join(b, [C(f"{c}_a").eqNullSafe(C(f"{c}_b")) for c in keys]).filter(test).select(C("_la").alias("locale"), "pos_a", "pos_b")
-
-    sides = [words.filter(C("side") == n) for n in (0, 1)]
-    swapped = met(*sides, ["locale", "th", "size", "i", "key", "rest"], F.lit(True))
-    extended = met(*sides, ["locale", "block", "i", "key", "head"], C("size_a") != C("size_b"))
-    negated = met(own, own, ["locale", "th", "plain"], (C("size_a") < C("size_b")) & (C("size_b") - C("size_a") <= 2))
-    found = swapped.union(extended).union(negated).select("locale", F.least("pos_a", "pos_b").alias("pos_a"), F.greatest("pos_a", "pos_b").alias("pos_b")).distinct()
+        a, b = (side.select(*[C(c).alias(f"{c}_{name}") for c in dict.fromkeys([*keys, "pos", "size", "t1", "t2", *[c for c in ("rest",) if c in side.columns]])], C("locale").alias(f"_l{name}")) for side, name in ((left, "a"), (right, "b")))
+        return a.join(b, [C(f"{c}_a") == C(f"{c}_b") for c in keys]).filter(test).select(C("_la").alias("locale"), "pos_a", "pos_b")
+
+    same = [C(f"{c}_a") == C(f"{c}_b") for c in ("t1", "t2", "rest")]
+    opposite = met(*sides, ["locale", "block", "i", "key", "head"], (C("size_a") != C("size_b")) | (same[0] & same[1] & same[2]))
+    negated = met(own, own, ["locale", "t1", "t2", "plain"], (C("size_a") < C("size_b")) & (C("size_b") - C("size_a") <= 2))
+    found = kept(opposite.union(negated).select("locale", F.least("pos_a", "pos_b").alias("pos_a"), F.greatest("pos_a", "pos_b").alias("pos_b")).distinct())
+    counts = own.select("locale", "pos", "n")
     for name in "ab":
-        shown = own.select(C("locale").alias("_l"), C("pos").alias("_p"), C("t").alias(f"t_{name}"), C("w").alias(f"words_{name}"), C("n").alias(f"n_{name}"))
-        found = found.join(shown, C("locale").eqNullSafe(C("_l")) & (C(f"pos_{name}") == C("_p"))).drop("_l", "_p")
-    found = found.withColumn("relation", polarity_of("words_a", "words_b"))
+        shown = rows.join(found.select("locale", C(f"pos_{name}").alias("pos")).distinct(), ["locale", "pos"], "left_semi").join(counts, ["locale", "pos"])
+        shown = shown.select(C("locale").alias("_l"), C("pos").alias("_p"), C("t").alias(f"t_{name}"), C("src").alias(f"src_{name}"), C("n").alias(f"n_{name}"))
+        found = found.join(shown, (C("locale") == C("_l")) & (C(f"pos_{name}") == C("_p"))).drop("_l", "_p")
+    # words are found once a pair: written out in the comparison, they would be found again for each word
+    both = F.struct(*[T.english_words(C(f"src_{name}")).alias(name) for name in "ab"])
+    opposed = F.explode(F.transform(F.array(both), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), T.polarity(x["a"], x["b"]).alias("relation")))).alias("x")
+    found = found.select("locale", "pos_a", "pos_b", "t_a", "t_b", "n_a", "n_b", opposed).withColumns({"words_a": C("x.a"), "words_b": C("x.b"), "relation": C("x.relation")}).drop("x")
     return found.filter(C("relation").isNotNull() & T.shared_translation(C("t_a"), C("t_b"), C("relation")))
 
 
-def polarity_of(a: str, b: str) -> Column:
-    return T.polarity(C(a), C(b))
-
-
 def length_ratio_medians(pairs: DataFrame) -> DataFrame:
     """locale, ratio: the exact median of dst / src length over sources of 8 characters or more; 1.0 without any."""
-    ratio = F.when(F.length("src") >= 8, F.length("dst") / F.length("src"))
-    return pairs.groupBy("locale").agg(F.coalesce(F.median(ratio), F.lit(1.0)).alias("ratio"))
+    return _ratio_medians(pairs.select("locale", F.length("src").alias("src_size"), F.length("dst").alias("dst_size")))
+
+
+def _ratio_medians(sizes: DataFrame) -> DataFrame:
+    ratio = F.when(C("src_size") >= 8, C("dst_size") / C("src_size"))
+    return sizes.groupBy("locale").agg(F.coalesce(F.median(ratio), F.lit(1.0)).alias("ratio"))
+
+
+def _digest(name: str) -> list[Column]:
+    """A column's value as 128 bits, in two columns."""
+    return [F.xxhash64(name).alias(f"{name}1"), F.xxhash64(F.lit(1), name).alias(f"{name}2")]
 
 
-def msgstr_collapses(pairs: DataFrame, share: float = 0.6) -> DataFrame:
+def msgstr_collapses(pairs: DataFrame, share: float = 0.6, substituted: bool = True) -> DataFrame:
     """locale, dst, n: translations that several different sources share and that drop what they say.
 
     Either the translation is short against all its sources, by the locale's own median ratio, or two
-    of the sources differ in one word that is no inflection or synonym.
+    of the sources differ in one word that is no inflection or synonym. substituted=False leaves the second kind out.
     """
-    ratios = length_ratio_medians(pairs).withColumnRenamed("locale", "_l")
-    rows = pairs.select("locale", T.strip(C("dst")).alias("t"), "src", T.msgid_key(C("src")).alias("k"))
-    # sources that say the same have equal keys, and so equal hashes of 128 bits
-    key = F.struct(F.xxhash64("k"), F.xxhash64(F.lit(1), "k"))
-    groups = rows.groupBy("locale", "t").agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"), F.min(F.length("src")).alias("least"))
+    rows = pairs.filter(C("locale").isNotNull() & C("dst").isNotNull()).select("locale", T.strip(C("dst")).alias("t"), "src", F.length("dst").alias("dst_size")).select("*", *_digest("t"))
+    group = ["locale", "t1", "t2"]
+    # texts stay behind: translations, and sources that say the same, are hashes of 128 bits
+    sizes = kept(rows.select(*group, T.msgid_key(C("src")).alias("k"), F.length("src").alias("src_size"), "dst_size", F.length("t").alias("size")).select(*group, *_digest("k"), "src_size", "dst_size", "size"))
+    key = F.struct("k1", "k2")
+    groups = sizes.groupBy(*group).agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"), F.min("src_size").alias("least"), F.max("size").alias("size"))
     groups = kept(groups.filter((C("n") > 1) & (C("lo") != C("hi"))).drop("lo", "hi"))
-    groups = groups.join(ratios, C("locale") == C("_l")).drop("_l")
-    pressed = groups.withColumn("pressed", F.length("t") < share * C("ratio") * C("least"))
+    pressed = groups.join(_ratio_medians(sizes), "locale").select(*group, "n", (C("size") < share * C("ratio") * C("least")).alias("pressed"))
+    if not substituted:
+        out = pressed.filter("pressed")
+        shown = rows.join(out, group, "left_semi").groupBy(*group).agg(F.min("t").alias("dst"))
+        return out.join(shown, group).select("locale", "dst", "n", "pressed")
     # substitution: only sources of such groups are compared; two of as many words that differ at one place alone agree in all other words' hashes
-    keys = rows.join(groups.select("locale", "t"), ["locale", "t"], "left_semi").select("locale", "t", "k").distinct().filter(F.size("k") >= 4)
+    own = kept(rows.join(groups, group, "left_semi").select(*group, "t", "src"))
+    keys = own.select(*group, T.msgid_key(C("src")).alias("k")).distinct().filter(F.size("k") >= 4)
     whole = keys.withColumns({"size": F.size("k"), "all1": _all_but_none("k", 1), "all2": _all_but_none("k", 2)})  # before the words are unrolled, once a text
-    holes = whole.select("locale", "t", "size", "all1", "all2", F.posexplode("k").alias("i", "w"))
-    frame = ["locale", "t", "size", "i", "h1", "h2"]
+    holes = whole.select(*group, "size", "all1", "all2", F.posexplode("k").alias("i", "w"))
+    frame = [*group, "size", "i", "h1", "h2"]
     holes = kept(holes.withColumns({f"h{seed}": C(f"all{seed}").bitwiseXOR(_placed(C("i"), C("w"), seed)) for seed in (1, 2)}).select(*frame, "w"))
     ends = holes.groupBy(*frame).agg(F.min("w").alias("x"), F.max("w").alias("y")).filter(C("x") != C("y"))
     differ = lambda x, y: ~T.same_word(x, y) & ~_synonyms(x, y)
     ends = ends.withColumn("met", differ(C("x"), C("y")))
     # of the rest, whose first and last word are alike, all words are looked at
-    alike = holes.join(ends.filter(~C("met")), frame, "left_semi").groupBy("locale", "t", *frame[2:]).agg(F.sort_array(F.collect_set("w")).alias("ws"))
+    alike = holes.join(ends.filter(~C("met")), frame, "left_semi").groupBy(*frame).agg(F.sort_array(F.collect_set("w")).alias("ws"))
     alike = alike.filter(F.exists("ws", lambda x: F.exists("ws", lambda y: (x < y) & differ(x, y))))
-    met = ends.filter("met").select(C("locale").alias("_l"), C("t").alias("_t")).union(alike.select("locale", "t")).distinct()
-    out = pressed.join(met, (C("locale") == C("_l")) & (C("t") == C("_t")), "left")
-    return out.filter(C("pressed") | C("_t").isNotNull()).select("locale", C("t").alias("dst"), "n", "pressed")
+    met = ends.filter("met").select(*group).union(alike.select(*group)).distinct().withColumn("met", F.lit(True))
+    out = pressed.join(met, group, "left").filter(C("pressed") | C("met"))
+    shown = own.join(out, group, "left_semi").groupBy(*group).agg(F.min("t").alias("dst"))
+    return out.join(shown, group).select("locale", "dst", "n", "pressed")
 
 
 def _placed(at: Column, word: Column, seed: int) -> Column:

@@ -190,7 +190,7 @@ def msgstr_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def msgstr_pressed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first kind alone, which SQL can express."""
-    return checks.msgstr_collapses(pair_doc(spark, sf_dir)).filter("pressed").select("locale", "dst", C("n").cast("long").alias("n"))
+    return checks.msgstr_collapses(pair_doc(spark, sf_dir), substituted=False).select("locale", "dst", C("n").cast("long").alias("n"))
 
 
 _KEY = "list_transform(list_filter(list_transform(regexp_extract_all(src, '[A-Za-z'']+'), lambda x: lower(x)), lambda x: x NOT IN ('a', 'an', 'the')), lambda x: CASE WHEN length(x) > 3 AND suffix(x, 's') AND NOT regexp_matches(x, '(?:ss|is|us|as)$') THEN x[:-2] ELSE x END)"

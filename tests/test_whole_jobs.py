@@ -1,9 +1,50 @@
 """Queries that do their whole job: none of their input is left out, and what moves between tasks grows with it."""
 
+import random
+
+from tesserae.operators import checks
 from tesserae.plans import relational_queries
 
 
+def shuffled(spark, work):
+    """Bytes that the stages of some work write for others, and the work's result."""
+    sc = spark.sparkContext
+
+    def written():
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+    before = written()
+    out = work()
+    return written() - before, out
+
+
 def test_stale_entries_reads_all_orders(spark, tmp_path):
     spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
     spark.createDataFrame([(20, 1), (21, 2)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
     assert [tuple(r) for r in relational_queries.stale_entries_anti(spark, str(tmp_path)).collect()] == [(3, "c")]
+
+
+def _texts(n, words, seed):
+    rng = random.Random(seed)
+    return [" ".join("".join(rng.choices("abcdefghklmoprst", k=rng.randint(3, 9))) for _ in range(words)) for _ in range(n)]
+
+
+def test_antonyms_move_few_words(spark):
+    """Words that have no opposite in the locale stay where they are."""
+    texts = _texts(40, 1500, 1)
+    rows = [(2 * k + side, "fr", f"{word} {t}", t) for k, t in enumerate(texts) for side, word in enumerate(("Enable", "Disable"))]
+    pairs = spark.createDataFrame(rows, "pos long, locale string, src string, dst string")
+    size, found = shuffled(spark, lambda: checks.antonym_collisions(pairs).collect())
+    assert sorted((r.pos_a, r.pos_b, r.relation) for r in found) == [(2 * k, 2 * k + 1, "swap") for k in range(40)]
+    assert size < 8 * sum(map(len, texts))
+
+
+def test_collapses_leave_texts_behind(spark):
+    """Words of sources travel without the translation that they share."""
+    texts = _texts(20, 1500, 2)
+    rows = [(2 * k + side, "fr", f"{t} {word} here", t) for k, t in enumerate(texts) for side, word in enumerate(("zone", "user"))]
+    pairs = spark.createDataFrame(rows, "pos long, locale string, src string, dst string")
+    size, found = shuffled(spark, lambda: checks.msgstr_collapses(pairs).collect())
+    assert sorted((r.dst, r.n, r.pressed) for r in found) == [(t, 2, False) for t in sorted(texts)]
+    assert size < 100 * sum(map(len, texts))
