@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import framed
+
 C = F.col
 
 MAGIC = 0x950412DE
@@ -16,18 +18,24 @@ MAGIC = 0x950412DE
 
 def compile_entries(entries: list[tuple[str, str]]) -> bytes:
     """(key, value) pairs as one file; later pairs win, keys are sorted by their bytes."""
-    pairs = sorted({k.encode(): v.encode() for k, v in entries}.items())
-    n = len(pairs)
+    own = sorted({k.encode(): v.encode() for k, v in entries}.items())
+    n = len(own)
     at = 28 + 16 * n
-    keys, values, blob = [], [], b""
-    for out, which in ((keys, 0), (values, 1)):
-        for pair in pairs:
-            out.append((len(pair[which]), at + len(blob)))
-            blob += pair[which] + b"\0"
-    return struct.pack("<7I", MAGIC, 0, n, 28, 28 + 8 * n, 0, 28 + 16 * n) + b"".join(struct.pack("<2I", *x) for x in keys + values) + blob
+    places, texts = [], []
+    for which in (0, 1):
+        for pair in own:
+            places.append(struct.pack("<2I", len(pair[which]), at))
+            texts += [pair[which], b"\0"]
+            at += len(pair[which]) + 1
+    return b"".join([struct.pack("<7I", MAGIC, 0, n, 28, 28 + 8 * n, 0, 28 + 16 * n), *places, *texts])
 
 
 def read(raw: bytes) -> dict[str, str]:
+    return dict(pairs(raw))
+
+
+def pairs(raw: bytes) -> Iterator[tuple[str, str]]:
+    """The keys and values of a compiled file, in the order of the file."""
     magic, _, n, keys, values = struct.unpack_from("<5I", raw)
     if magic != MAGIC:
         raise ValueError("not a compiled catalogue")
@@ -36,7 +44,8 @@ def read(raw: bytes) -> dict[str, str]:
         size, at = struct.unpack_from("<2I", raw, table + 8 * i)
         return raw[at : at + size].decode()
 
-    return {text(keys, i): text(values, i) for i in range(n)}
+    for i in range(n):
+        yield text(keys, i), text(values, i)
 
 
 def faults(entries: DataFrame) -> DataFrame:
@@ -75,7 +84,7 @@ def decoded(files: DataFrame) -> DataFrame:
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [(path, k, v) for path, raw in zip(frame["path"], frame["content"], strict=True) for k, v in read(bytes(raw)).items()]
-            yield pd.DataFrame(rows, columns=["path", "key", "value"])
+            rows = ((path, k, v) for path, raw in zip(frame["path"], frame["content"], strict=True) for k, v in pairs(raw))
+            yield from framed(rows, ["path", "key", "value"])
 
     return files.select("path", "content").mapInPandas(batches, "path string, key string, value string")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,6 +34,13 @@ def kept(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def framed(rows: Iterable[tuple], names: list[str], size: int = 2000) -> Iterator[pd.DataFrame]:
+    """Rows as frames of a bounded number of rows, so that a file of many is never held as rows; an empty one gives none."""
+    left = iter(rows)
+    while some := list(itertools.islice(left, size)):
+        yield pd.DataFrame(some, columns=names)
+
+
 class Folder:
     """A path in whatever store Hadoop knows."""
 
