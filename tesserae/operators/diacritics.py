@@ -50,7 +50,8 @@ def diacritics(pairs: DataFrame, literals: tuple[str, ...] = ()) -> DataFrame:
         C("locale").alias("_l"), C("key").alias("_key"), ((C("n_marked") >= DOMINANT) & (C("n_marked") >= TIMES * C("n_bare"))).alias("strong"))
     open_ = counts.filter(C("bare") & ~C("word").isin(*literals or [""])).join(marked, C("locale").eqNullSafe(C("_l")) & (C("folded") == C("_key"))).select(
         C("locale").alias("_l"), C("word").alias("_w"), "folded", "strong")
-    found = own.distinct().join(open_, C("locale").eqNullSafe(C("_l")) & (C("word") == C("_w"))).select("locale", "pos", "word", "folded", "strong")
+    # of all words only the suspect ones are told apart by entry
+    found = own.join(open_, C("locale").eqNullSafe(C("_l")) & (C("word") == C("_w"))).select("locale", "pos", "word", "folded", "strong").distinct()
     found = kept(found)
     places = found.select(C("locale").alias("_l"), C("pos").alias("_p")).distinct()
     at = C("locale").eqNullSafe(C("_l")) & (C("pos") == C("_p"))
