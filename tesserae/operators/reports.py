@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import kept
+
 C = F.col
 
 
@@ -30,13 +32,13 @@ def heading(columns: list[tuple[str, int]]) -> list[str]:
 def examples(found: DataFrame, bucket: list[str], order: str, n: int = 5, width: int = 88) -> DataFrame:
     """The first n rows of each bucket with src and dst cut to a width, their place, and how many rows the bucket has; all rows for n = 0.
 
-    Spark keeps n rows of a bucket in each task before they meet, so a bucket may hold most of the rows.
+    Spark keeps n rows of a bucket in each task before they meet, so a bucket may hold most of the rows. Findings are made once: they are written, cut, and read for both.
     """
+    found = kept(found.withColumns({c: F.left(c, F.lit(width)) for c in ("src", "dst") if c in found.columns}))
     own = found.withColumn("place", F.row_number().over(Window.partitionBy(*bucket).orderBy(order)))
     own = own.filter(C("place") <= n) if n else own
     sizes = found.groupBy(*[C(b).alias(f"_{b}") for b in bucket]).agg(F.count("*").alias("of"))
-    cut = own.withColumns({c: F.left(c, F.lit(width)) for c in ("src", "dst") if c in found.columns})
-    return cut.join(sizes, [C(b).eqNullSafe(C(f"_{b}")) for b in bucket]).drop(*[f"_{b}" for b in bucket])
+    return own.join(sizes, [C(b).eqNullSafe(C(f"_{b}")) for b in bucket]).drop(*[f"_{b}" for b in bucket])
 
 
 def class_totals(found: DataFrame) -> DataFrame:
