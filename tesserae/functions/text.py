@@ -61,6 +61,20 @@ def escape_po(text: Column) -> Column:
     return text
 
 
+def sparse(text: Column, but: tuple[str, ...] = ()) -> Column:
+    """Text with each run of ordinary words, other than those that begin with one of `but`, as one x: what is left for patterns that such words can't be part of."""
+    return F.regexp_replace(text, P.ordinary_run(but), "x ")
+
+
+def ends_in_space(text: Column) -> Column:
+    """The last character is white space of any kind; nothing else of the text is looked at."""
+    return F.right(text, F.lit(1)).rlike(r"(?U)\s")
+
+
+def without_end_space(text: Column) -> Column:
+    return F.when(ends_in_space(text), F.regexp_replace(text, r"(?U)\s+$", "")).otherwise(text)
+
+
 def placeholders(text: Column, pattern: str = P.PRINTF) -> Column:
     """Sorted printf specs; positions are no part of them."""
     return F.array_sort(F.transform(find(text, pattern), lambda x: F.regexp_replace(x, r"\d+\$", "")))

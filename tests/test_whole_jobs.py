@@ -2,7 +2,10 @@
 
 import random
 
-from tesserae.operators import checks
+from pyspark.sql import functions as F
+
+from tesserae.functions import text
+from tesserae.operators import checks, diacritics, reports
 from tesserae.plans import relational_queries
 
 
@@ -48,3 +51,31 @@ def test_collapses_leave_texts_behind(spark):
     size, found = shuffled(spark, lambda: checks.msgstr_collapses(pairs).collect())
     assert sorted((r.dst, r.n, r.pressed) for r in found) == [(t, 2, False) for t in sorted(texts)]
     assert size < 100 * sum(map(len, texts))
+
+
+def test_checks_look_at_few_words(spark):
+    """Words that no pattern can hold are left out of what most checks read, and the rest is as it was."""
+    words = " ".join(_texts(1, 3000, 3))
+    row = spark.createDataFrame([(f"{words} NSEC3, rfc 12 - 14 {words} wоrd 1.2.3.4 {words} Zone",)], "t string")
+    left = row.select(text.sparse(F.col("t")), text.sparse(F.col("t"), (words.split()[0],))).first()
+    assert left[0] == "x NSEC3, x 12 - 14 x wоrd 1.2.3.4 x Zone" and left[1].count(words.split()[0]) >= 3
+    pairs = [(1, "ru_RU", "Its 10-12 zones, see ßabout 1.2.3.4", "Её 10 zones, see ßabout 1.2.3.5"), (2, "ru_RU", f"{words} about 5 {words}", f"{words} About 5 {words}"), (3, "fr", f"{words} 25 {words}", f"{words} 2 5 {words}")]
+    names = ["numerals", "ipliteral", "englishleak"]
+    found = checks.findings(spark.createDataFrame(pairs, "pos long, locale string, src string, dst string"), names).select("pos", "cls").collect()
+    assert sorted(map(tuple, found)) == [(1, "englishleak"), (1, "ipliteral"), (1, "numerals"), (2, "englishleak"), (3, "numerals")]
+
+
+def test_examples_make_findings_once(spark):
+    rows = [(k, "fr", f"See %s {'x' * 100}", "Voir") for k in range(9)]
+    found = checks.findings(spark.createDataFrame(rows, "pos long, locale string, src string, dst string"), ["placeholder"])
+    out = reports.examples(found, ["cls", "locale"], "pos", 2)
+    assert "regexp" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.pos, r.place, r.of, len(r.src)) for r in out.orderBy("pos").collect()] == [(0, 1, 9, 88), (1, 2, 9, 88)]
+
+
+def test_diacritics_tell_few_words_apart(spark):
+    """Words without a marked spelling are counted, but not told apart by entry."""
+    rows = [(k, "fr", "zone", f"{t} données données données") for k, t in enumerate(_texts(40, 1500, 4))] + [(99, "fr", "zone", "donnees")]
+    pairs = spark.createDataFrame(rows, "pos long, locale string, src string, dst string")
+    size, _ = shuffled(spark, lambda: diacritics.diacritics(pairs).collect())
+    assert size < 4 * sum(len(r[3]) for r in rows)
