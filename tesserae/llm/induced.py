@@ -15,6 +15,10 @@ import tempfile
 import numpy as np
 
 
+#: Strings of names within the recursion below this length are sorted by doubling: taking their tuples range by range costs more than sorting them.
+SHORT = 1 << 16
+
+
 class RunQueue:
     """(key, value) tuples out by ascending key, first in first out among equals.
 
@@ -44,13 +48,18 @@ class RunQueue:
         order = np.argsort(keys, kind="stable")
         run = [keys[order], values[order], 0]
         self.new, self.n_new = [], 0
-        if len(self.runs) >= 24:  # merge the short runs at the end; runs stay in order of age
-            last = self.runs[12:]
-            self.runs = self.runs[:12]
+        self.held += len(run[0])
+        # runs at the end that are no longer than twice what follows are merged with it: few runs are left, of falling lengths and in order of age
+        size, first = len(run[0]), len(self.runs)
+        while first and not isinstance(self.runs[first - 1][0], np.memmap) and len(self.runs[first - 1][0]) - self.runs[first - 1][2] <= 2 * size:
+            first -= 1
+            size += len(self.runs[first][0]) - self.runs[first][2]
+        if first < len(self.runs):
+            last = [*self.runs[first:], run]
+            self.runs = self.runs[:first]
             k, v = (np.concatenate([r[x][r[2] :] for r in last]) for x in (0, 1))
             order = np.argsort(k, kind="stable")
-            self.runs.append([k[order], v[order], 0])
-        self.held += len(run[0])
+            run = [k[order], v[order], 0]
         if self.held > self.memory:
             self._spill()
         self.runs.append(run)
@@ -193,10 +202,10 @@ def _small(text: np.ndarray) -> np.ndarray:
             return np.argsort(rank, kind="stable")
 
 
-def suffix_array(text: np.ndarray, memory: int = 1 << 23) -> np.ndarray:
-    """Start positions of all suffixes of an array of non-negative integers, sorted."""
+def suffix_array(text: np.ndarray, memory: int = 1 << 23, short: int = 512) -> np.ndarray:
+    """Start positions of all suffixes of an array of non-negative integers, sorted; of less than `short` by doubling."""
     n = len(text)
-    if n < 512:
+    if n < short:
         return _small(text) if n else np.zeros(0, np.int64)
     is_s = _types(text)
     position = np.int32 if n < 1 << 31 else np.int64
@@ -208,7 +217,7 @@ def suffix_array(text: np.ndarray, memory: int = 1 << 23) -> np.ndarray:
         by_order = sv[::-1][mark[sv[::-1]]]
         names = _names(text, lms, by_order)
         if names.max() + 1 < len(lms):
-            lms = lms[suffix_array(names, memory)]
+            lms = lms[suffix_array(names, memory, SHORT)]
         else:
             lms = by_order
     lk, lv, sk, sv = _sorted_from(text, is_s, lms, memory)

@@ -225,21 +225,24 @@ def repeats(data: np.ndarray, begins: np.ndarray, doc: np.ndarray, width: int, m
     return np.sort(order[own > least])
 
 
-def comparable(data: np.ndarray, begins: np.ndarray, anchor: np.ndarray, doc: np.ndarray, width: int) -> np.ndarray:
+def comparable(data: np.ndarray, begins: np.ndarray, anchor: np.ndarray, doc: np.ndarray, width: int, splits: int = 7) -> np.ndarray:
     """Which strings can share a window of `width` bytes around their anchors with a string of another document.
 
-    Of such a window the anchor leaves width - GRAM bytes, so the longer side has at least half of them: the two strings
-    agree on the anchor with so many bytes before it, or after it.
+    Of such a window the anchor leaves width - GRAM bytes. Their number before the anchor lies in one of `splits` ranges: the two strings agree on the
+    anchor with the least number of the range before it and, behind it, what the greatest leaves.
     """
-    ends, side = np.concatenate([begins[1:], [len(data)]]), (width - GRAM + 1) // 2
+    ends, rest = np.concatenate([begins[1:], [len(data)]]), width - GRAM
+    step = -(-(rest + 1) // splits)
     x = _loads(data)
     out = np.zeros(len(begins), bool)
-    for first, has in ((anchor - side, anchor - begins >= side), (anchor, ends - anchor - GRAM >= side)):
-        own = np.flatnonzero(has)
+    for before in range(0, rest + 1, step):
+        behind = max(0, rest - (before + step - 1))
+        size, first = before + GRAM + behind, anchor - before
+        own = np.flatnonzero((anchor - begins >= before) & (ends - anchor - GRAM >= behind))
         if not len(own):
             continue
         code = np.zeros(len(own), np.uint64)
-        for k in [*range(0, side + GRAM - 8, 8), side + GRAM - 8]:
+        for k in [*range(0, size - 8, 8), size - 8]:
             code = (code ^ x[first[own] + k]) * _MIX[0]
             code ^= code >> np.uint64(32)
         order = np.argsort(code, kind="stable")

@@ -314,6 +314,39 @@ def test_suffix_array(text, memory):
     assert got.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+@given(st.lists(st.integers(0, 3), min_size=600, max_size=3000), st.sampled_from([16, 200, 1 << 16]))
+@settings(max_examples=40, deadline=None)
+def test_suffix_array_of_names(text, short):
+    """Strings of names are sorted alike by doubling and by induction."""
+    before, induced.SHORT = induced.SHORT, short
+    try:
+        got = induced.suffix_array(np.array(text, dtype=np.int64), 300)
+    finally:
+        induced.SHORT = before
+    assert got.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_few_runs_wait():
+    """A queue holds few runs however often it is filled, and stays first in, first out."""
+    queue, rng = induced.RunQueue(1 << 20, 4), np.random.default_rng(3)
+    keys = rng.integers(0, 50, 4000)
+    for k in range(0, 4000, 5):
+        queue.push(keys[k : k + 5], np.arange(k, k + 5))
+    assert queue.least() == 0 and len(queue.runs) <= 12
+    got = np.concatenate([queue.take(b)[1] for b in (20, 51)])
+    assert got.tolist() == np.argsort(keys, kind="stable").tolist()
+
+
+def test_comparable_strings_agree_on_most_of_a_window():
+    """Strings that agree on the anchor and 20 bytes on each side share 50 bytes; with 20 on one side alone they can't."""
+    anchor, left, right = b"0123456789abcdef", b"L" * 20, b"R" * 20
+    strings = [left + anchor + right, b"x" + left + anchor + right + b"y", b"a" * 20 + anchor[::-1] + right, b"b" * 20 + anchor[::-1] + right]
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    begins = np.cumsum([0, *map(len, strings[:-1])])
+    ok = suffix_dedup.comparable(data, begins, begins + [20, 21, 20, 20], np.arange(4), 50)
+    assert ok.tolist() == [True, True, False, False]
+
+
 def brute_removal(rows, width=50):
     least = {}
     for doc_id, text in rows:
