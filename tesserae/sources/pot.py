@@ -44,10 +44,10 @@ def license_head(package: str, year: int, holder: str) -> str:
     return f"# {package} translation template.\n# Copyright (C) {year} {holder}\n# This file is distributed under the same license as the {package} package.\n#\n#, fuzzy\n"
 
 
-def write_template(records: DataFrame, folder: str, head: str, fields: list[tuple[str, str]], parts: int | None = None) -> None:
+def write_template(records: DataFrame, folder: str, head: str, fields: list[tuple[str, str]], parts: int | None = None, most: int = 20000) -> None:
     """Template records as part files of a folder, their names in the order of the records, which are dealt by ranges of `at`.
 
-    The head and the header's fields open the first part. Spark's own commit moves all parts into place at the end, in any store; an existing folder is an error.
+    A file has at most `most` records, as readers hold a file's text whole. The head and the header's fields open the first part. Spark's own commit moves all parts into place at the end, in any store; an existing folder is an error.
     """
     spark = records.sparkSession
     lines = "".join(f'"{k}: {v}\\n"\n' for k, v in fields)
@@ -55,7 +55,7 @@ def write_template(records: DataFrame, folder: str, head: str, fields: list[tupl
     body = records.select("at", "msgid", record(C("locations"), C("msgid"), C("msgid_plural")).alias("text"))
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = header.unionByName(body).repartitionByRange(n, "at", "msgid").sortWithinPartitions("at", "msgid")
-    rows.select(F.regexp_replace("text", r"\n\z", "").alias("text")).write.mode("error").text(folder)  # the writer ends each with a line feed
+    rows.select(F.regexp_replace("text", r"\n\z", "").alias("text")).write.mode("error").option("maxRecordsPerFile", most).text(folder)  # the writer ends each with a line feed
 
 
 def read_template(spark: SparkSession, folder: str) -> DataFrame:
