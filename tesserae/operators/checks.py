@@ -43,14 +43,14 @@ def _named(word: str) -> str:
     return rf"(?i){word}(?<![A-Za-z0-9]{word})(?![A-Za-z0-9])"
 
 
-@check("placeholder", True)
-def placeholder(src, dst, locale):
-    return T.placeholders(src) != T.placeholders(dst)
+@check("placeholder", True, sparse=True)
+def placeholder(src, dst, locale, few):
+    return T.placeholders(few[0]) != T.placeholders(few[1])
 
 
-@check("leak", True)
-def leak(src, dst, locale):
-    return T.has_leak(dst) & ~T.has_leak(src)
+@check("leak", True, sparse=True)
+def leak(src, dst, locale, few):
+    return T.has_leak(few[1]) & ~T.has_leak(few[0])
 
 
 @check("tags", True)
@@ -58,9 +58,9 @@ def tags(src, dst, locale):
     return T.tags(src) != T.tags(dst)
 
 
-@check("tokens", True)
-def tokens(src, dst, locale):
-    return T.bracket_tokens(src) != T.bracket_tokens(dst)
+@check("tokens", True, sparse=True)
+def tokens(src, dst, locale, few):
+    return T.bracket_tokens(few[0]) != T.bracket_tokens(few[1])
 
 
 @check("identifiers", True, sparse=True)
@@ -73,11 +73,11 @@ def trailing(src, dst, locale):
     return T.ends_in_space(src) & ~T.ends_in_space(dst)
 
 
-@check("boilerplate", True)
-def boilerplate(src, dst, locale, phrases: tuple[str, ...] = ()):
+@check("boilerplate", True, sparse=True)
+def boilerplate(src, dst, locale, few, phrases: tuple[str, ...] = ()):
     """Chrome of other products in the target alone; phrases are further ones, wherever they stand."""
     any_of = "|".join([P.BOILERPLATE, *map(re.escape, phrases)])
-    return (dst.rlike(any_of) & ~src.rlike(any_of)) | (dst.rlike(P.WIKI_CHROME) & ~src.rlike(P.WIKI_CHROME))
+    return (dst.rlike(any_of) & ~src.rlike(any_of)) | (few[1].rlike(P.WIKI_CHROME) & ~few[0].rlike(P.WIKI_CHROME))
 
 
 def _translated(letters: str, others: str) -> Callable[[Column], Column]:
