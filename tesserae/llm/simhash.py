@@ -59,6 +59,22 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select(C("doc_id").cast("long").alias("doc_id"), C("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, same long")
 
 
+def keyed_prints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
+    """fingerprints(docs, shingle), its `same` as key, with n and sketch of the text's shingles of `words` words."""
+    text = F.coalesce(C("text").cast("string"), F.lit(""))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            found = np.array([fingerprint(x, shingle) for x in texts], dtype=np.uint64)
+            sets = [hashed(x, words) for x in texts]
+            sizes, drawn = [len(h) for h in sets], [sketch(h) for h in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(found.view(np.int64)), pa.array(sizes, pa.int32()), pa.array(drawn, pa.binary())], names=["doc_id", "key", "fp", "n", "sketch"])
+
+    some = docs.select(C("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    return some.mapInArrow(run, "doc_id long, key long, fp long, n int, sketch binary")
+
+
 def turns(budget: int, blocks: int) -> list[list[tuple[int, int]]]:
     """For every choice of blocks - budget blocks: pieces (shift, width) of the bits, leading ones first."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
@@ -320,17 +336,75 @@ def shingles(text: str | None, n: int) -> set[bytes]:
 
 
 def hashed(text: str | None, n: int) -> np.ndarray:
-    """Ascending 64-bit hashes of shingles(text, n)."""
+    """Ascending 64-bit hashes of shingles(text, n); a text without words has a zero, as such texts are alike."""
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not w:
+        return np.zeros(1, np.uint64)
     own = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
     n = min(n, len(own))
-    out = np.full(len(own) - n + 1 if n else 0, n, np.uint64)
+    out = np.full(len(own) - n + 1, n, np.uint64)
     for j in range(n):
         out = out * np.uint64(0x9E3779B97F4A7C15) + own[j : len(own) - n + 1 + j]
     out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return np.unique(out ^ (out >> np.uint64(29)))
 
 
+def sketch(h: np.ndarray) -> bytes:
+    """Whether each of a power of two of buckets has an odd number of the hashes, bit by bit.
+
+    Two sketches differ in no more bits than the sets have hashes that only one of them has. Halves laid
+    over each other (xor) are the sketch of half the buckets, so that sketches of any sizes can be compared.
+    """
+    power = len(h).bit_length()
+    size = 1 << max(9, min(power, 11), power - 1)  # at least half as many buckets as hashes: unlike sets differ in a fourth of their hashes, alike ones in two ninths
+    odd = np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Sketches:
+    """Sketches of some sets, each held in its own size and folded to every smaller one that occurs."""
+
+    def __init__(self, column: pa.Array):
+        data, offsets = _flat(column)
+        size = np.diff(offsets)
+        self.kind = np.log2(np.maximum(size, 1)).astype(np.int64)
+        self.rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        held, whose = None, np.zeros(0, np.int64)
+        for kind in range(int(self.kind.max(initial=0)), int(self.kind.min(initial=0)) - 1, -1):
+            own = np.flatnonzero(self.kind == kind)
+            fresh = data[(offsets[own][:, None] + np.arange(1 << kind)).ravel()].view(np.uint64).reshape(len(own), (1 << kind) // 8)
+            if held is not None:
+                half = held.shape[1] // 2
+                fresh = np.concatenate([held[:, :half] ^ held[:, half:], fresh])
+            held, whose = fresh, np.concatenate([whose, own])
+            place = np.zeros(len(size), np.int32)
+            place[whose] = np.arange(len(whose))
+            self.rows[kind] = held, place
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """In how many bits, at the smaller size of both, the sketches differ."""
+        out, least = np.zeros(len(i), np.int64), np.minimum(self.kind[i], self.kind[j])
+        for kind in np.unique(least).tolist():
+            (bits, place), own = self.rows[kind], np.flatnonzero(least == kind)
+            step = max(1, (1 << 22) >> kind)
+            for k in range(0, len(own), step):
+                some = own[k : k + step]
+                out[some] = np.bitwise_count(bits[place[i[some]]] ^ bits[place[j[some]]]).sum(1, dtype=np.int64)
+        return out
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column without nulls, and where each value begins and ends among them."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def room(n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
+    """How many elements only one of two sets of n and m can have if they are `least` alike."""
+    return n + m - 2 * needed(n + m, least / (1 + least))
+
+
 def needed(n: np.ndarray | int, share: float) -> np.ndarray:
     """The least whole number that is `share` of n or more."""
     return np.ceil(share * n - 1e-9).astype(np.int64)
@@ -383,9 +457,7 @@ def shared_shingles(docs: DataFrame, words: int, least: float) -> DataFrame:
                     continue
                 seen.add(key)
                 h = hashed(text, words)
-                if not len(h):
-                    h = np.zeros(1, np.uint64)  # texts without words are alike
-                elif len(often):
+                if len(often):
                     place = np.minimum(np.searchsorted(often, h), len(often) - 1)
                     h = h[np.argsort(np.where(often[place] == h, counts[place], 0), kind="stable")]
                 sigs.append(h[: len(h) - int(needed(len(h), least)) + 1])
@@ -416,40 +488,122 @@ def shared_shingles(docs: DataFrame, words: int, least: float) -> DataFrame:
 _SIGS = pa.schema([("sig", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
 
 
-def _open_pairs(sigs: DataFrame, roots: DataFrame, least: float, star: bool) -> DataFrame:
-    """Distinct pairs (a, b) of keys of different roots that share a sig and can be alike by size and place; star: only those with a sig's first text."""
+def _held(batches: Iterator[pa.RecordBatch], *keys: str) -> pa.Table | None:
+    """A task's rows as one table in the order of `keys`; None if there are none."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return None
+    table = pa.Table.from_batches(held)
+    return table.take(pa.array(np.lexsort([table.column(k).to_numpy() for k in reversed(keys)]))).combine_chunks()
+
+
+def _partners(sig: np.ndarray, n: np.ndarray, at: np.ndarray, root: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of rows in the order of sig that share it, are of different roots and can be alike by size and place."""
+    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    ends = np.repeat(np.concatenate([starts[1:], [len(sig)]]), np.diff(np.concatenate([starts, [len(sig)]])))
+    i, apart = np.arange(len(sig)), 1
+    while True:
+        i = i[i + apart < ends[i]]
+        if not len(i):
+            return
+        j = i + apart
+        ok = root[i] != root[j]
+        ok &= np.minimum(n[i], n[j]) >= needed(np.maximum(n[i], n[j]), least)
+        ok &= np.minimum(at[i], at[j]) + np.minimum(n[i] - at[i], n[j] - at[j]) >= needed(n[i] + n[j], least / (1 + least))
+        yield i[ok], j[ok]
+        apart += 1
+
+
+def _open_rows(sigs: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """sig, key, n, at, root of those rows of sigs that can have a partner: no sketch need travel to the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
+        table = _held(batches, "sig", "key")
+        if table is None:
             return
-        table = pa.Table.from_batches(held)
-        sig, key, n, at, root = (table.column(c).to_numpy().astype(np.int64) for c in ("sig", "key", "n", "at", "root"))
-        order = np.lexsort((key, sig))
-        starts = np.flatnonzero(np.concatenate([[True], sig[order][1:] != sig[order][:-1]]))
-        # a shingle whose texts are one group already has nothing to say
-        several = np.minimum.reduceat(root[order], starts) < np.maximum.reduceat(root[order], starts)
-        order = order[np.repeat(several, np.diff(np.concatenate([starts, [len(order)]])))]
-        if not len(order):
+        some = np.zeros(table.num_rows, bool)
+        for i, j in _partners(*(table.column(c).to_numpy().astype(np.int64) for c in ("sig", "n", "at", "root")), least):
+            some[i] = some[j] = True
+        yield from table.filter(pa.array(some)).to_batches(max_chunksize=1 << 16)
+
+    named = sigs.join(roots, C("key") == C("node"), "left").select(*sigs.columns, F.coalesce("root", "key").alias("root"))
+    return named.repartition(parts(sigs.sparkSession), "sig").mapInArrow(run, "sig long, key long, n int, at int, root long")
+
+
+def _open_pairs(rows: DataFrame, texts: DataFrame, least: float, nearest: bool) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a, b) of keys of different roots that share a sig and can be alike by size, place and sketch, and the rows that are in such pairs.
+
+    nearest: of a task's pairs only a spanning forest of the roots, with the nearest first; so no more than the task has rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _held(batches, "sig", "key")
+        if table is None:
             return
-        sig, key, n, at, root = (x[order] for x in (sig, key, n, at, root))
-        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        ends = np.repeat(np.concatenate([starts[1:], [len(sig)]]), np.diff(np.concatenate([starts, [len(sig)]])))
-        i, apart = starts if star else np.arange(len(sig)), 1
-        while True:
-            i = i[i + apart < ends[i]]
-            if not len(i):
-                return
-            j = i + apart
-            ok = root[i] != root[j]
-            ok &= np.minimum(n[i], n[j]) >= needed(np.maximum(n[i], n[j]), least)
-            ok &= np.minimum(at[i], at[j]) + np.minimum(n[i] - at[i], n[j] - at[j]) >= needed(n[i] + n[j], least / (1 + least))
-            if ok.any():
-                yield pa.RecordBatch.from_arrays([pa.array(key[i[ok]]), pa.array(key[j[ok]])], names=["a", "b"])
-            apart += 1
+        sig, key, n, at, root = (table.column(c).to_numpy().astype(np.int64) for c in ("sig", "key", "n", "at", "root"))
+        sketches = Sketches(table.column("sketch").chunk(0))
+        names, own = np.unique(key, return_inverse=True)
+        tree = np.zeros(len(names), np.int64)
+        roots, tree[own] = np.unique(root, return_inverse=True)
+        none = [np.zeros(0, np.int64)] * 3
+        held, waiting, count, some = none, [], 0, np.zeros(len(sig), bool)
+
+        def once() -> list[np.ndarray]:
+            """a, b and distance of the pairs held and waiting, each once; nearest: a forest of them."""
+            a, b, far = (np.concatenate([x, *(w[k] for w in waiting)]) for k, x in enumerate(held))
+            _, first = np.unique(a * len(names) + b, return_index=True)
+            a, b, far = a[first], b[first], far[first]
+            if not nearest:
+                return [a, b, far]
+            forest, kept = Forest(len(roots)), [np.zeros(0, np.int64)]
+            for d in np.unique(far).tolist():
+                same = np.flatnonzero(far == d)
+                low, high = np.minimum(tree[a[same]], tree[b[same]]), np.maximum(tree[a[same]], tree[b[same]])
+                code, where = np.unique(low * len(roots) + high, return_index=True)
+                u, v = forest.add(low[where], high[where])
+                kept.append(same[where[np.searchsorted(code, u * len(roots) + v)]])
+            return [x[np.concatenate(kept)] for x in (a, b, far)]
+
+        def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.nulls(len(a), t) for t in _SIGS.types] + [pa.array(names[a]), pa.array(names[b])], names=[*_SIGS.names, "a", "b"])
+
+        for i, j in _partners(sig, n, at, root, least):
+            bits, most = sketches.apart(i, j), room(n[i], n[j], least)
+            ok = bits <= most
+            i, j, far = i[ok], j[ok], bits[ok] * 16 // np.maximum(most[ok], 1)
+            some[i] = some[j] = True
+            waiting.append((np.minimum(own[i], own[j]), np.maximum(own[i], own[j]), far))
+            count += len(i)
+            if count >= 1 << 20:
+                held, waiting, count = once(), [], 0
+                if not nearest:
+                    yield out(*held[:2])
+                    held = none
+        yield out(*once()[:2])
+        for batch in table.select(_SIGS.names).filter(pa.array(some)).to_batches(max_chunksize=1 << 16):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.nulls(batch.num_rows, pa.int64())] * 2], names=[*_SIGS.names, "a", "b"])
+
+    drawn = rows.join(texts.select(C("key").alias("_key"), "sketch"), C("key") == C("_key")).select("sig", "key", "n", "at", "root", "sketch")
+    found = written(drawn.repartition(parts(rows.sparkSession), "sig").mapInArrow(run, "sig long, key long, n int, at int, a long, b long"))
+    return found.filter("a is not null").select("a", "b").distinct(), found.filter("sig is not null").select(*_SIGS.names)
+
+
+def _likely(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Those pairs (a, b) of keys that can be alike by size and sketch."""
 
-    named = sigs.join(roots, C("key") == C("node"), "left").select("sig", "key", "n", "at", F.coalesce("root", "key").alias("root"))
-    return named.repartition(parts(sigs.sparkSession), "sig").mapInArrow(run, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
+            both = Sketches(pa.concat_arrays([batch.column("sketch_a"), batch.column("sketch_b")]))
+            ok = np.minimum(n, m) >= needed(np.maximum(n, m), least)
+            ok &= both.apart(np.arange(len(n)), np.arange(len(n), 2 * len(n))) <= room(n, m, least)
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
+
+    for c in ("a", "b"):
+        pairs = pairs.join(texts.select(C("key").alias(f"_{c}"), C("n").alias(f"n_{c}"), C("sketch").alias(f"sketch_{c}")), C(c) == C(f"_{c}"))
+    return pairs.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
 
 
 def _true_links(docs: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
@@ -465,21 +619,23 @@ def one_of_each(docs: DataFrame, shingle: int = 2, budget: int = 4, blocks: int
 
     Texts whose shingles of `words` words are at least `least` alike (Jaccard), both read whole, are linked, and of each component the
     smallest doc_id stays. The links of the trie join within `budget` bits are read first, so that dense groups are one early. Then every pair
-    of different groups that shares a shingle as alike texts must (shared_shingles) is read: first each with one text of its shingle, then all that are still
-    apart. So no component at `least` is missed. Equal texts are one text from the start. Rows with a null doc_id stay unless a text with a doc_id
-    equals theirs in all; rows that share a doc_id stay or go together.
+    of different groups that shares a shingle as alike texts must (shared_shingles) is read: first the nearest that join groups, then all that are still
+    apart. Sketches tell, without an error, that most pairs can't be alike, so that few texts are read. So no component at `least` is missed. Equal texts
+    are one text from the start. Rows with a null doc_id stay unless a text with a doc_id equals theirs in all; rows that share a doc_id stay or go together.
     """
-    prints = written(fingerprints(docs, shingle))
-    texts = written(prints.groupBy(C("same").alias("key")).agg(F.min("fp").alias("fp"), F.coalesce(F.min("doc_id"), F.lit(NONE)).alias("doc")))
+    prints = written(keyed_prints(docs, shingle, words))
+    texts = prints.groupBy("key").agg(F.min("fp").alias("fp"), F.coalesce(F.min("doc_id"), F.lit(NONE)).alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    texts = written(texts)
     lead = written(texts.groupBy("fp").agg(F.min("key").alias("lead")))
     own = texts.join(lead.withColumnRenamed("fp", "_fp"), C("fp") == C("_fp")).filter(C("key") != C("lead")).select(C("key").alias("a"), C("lead").alias("b"))
     links = trie_links(lead.select("fp"), budget, blocks).distinct()
     links = links.join(lead.select(C("fp").alias("_u"), C("lead").alias("a")), C("u") == C("_u")).join(lead.select(C("fp").alias("_v"), C("lead").alias("b")), C("v") == C("_v")).select("a", "b")
-    pairs = written(own.union(links).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = own.union(links).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = written(_likely(pairs, texts, least))
     true = _true_links(docs, pairs, words, least)
-    sigs = written(shared_shingles(docs, words, least))
-    for star in (True, False):
-        more = _open_pairs(sigs, written(components(true)), least, star)
+    rows = written(shared_shingles(docs, words, least))
+    for nearest in (True, False):
+        more, rows = _open_pairs(_open_rows(rows, components(true), least), texts, least, nearest)
         more = written(more.join(pairs.select(C("a").alias("_a"), C("b").alias("_b")), (C("a") == C("_a")) & (C("b") == C("_b")), "left_anti"))
         true, pairs = true.union(_true_links(docs, more, words, least)), pairs.union(more)
     grouped = texts.join(components(true), C("key") == C("node"), "left").groupBy(F.coalesce("root", "key").alias("root"))

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -304,6 +305,36 @@ def test_every_alike_text_is_found_whatever_its_fingerprint(spark):
     assert sorted(r.doc_id for r in found) == kept
 
 
+@given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=60), st.sets(st.integers(0, 2**64 - 1), max_size=40), st.sets(st.integers(0, 2**64 - 1), max_size=40), st.sampled_from([1, 30, 100]))
+@settings(max_examples=60, deadline=None)
+def test_sketches_differ_in_no_more_bits_than_their_sets(common, left, right, times):
+    def spread(x):  # sets of up to some thousands, so that sketches are of several sizes
+        return np.unique(np.array([(v * (2 * k + 1) + k) % 2**64 for v in x for k in range(times)], np.uint64))
+
+    a, b = spread(common | left), spread(common | right)
+    sketches = simhash.Sketches(pa.array([simhash.sketch(a), simhash.sketch(b)], pa.binary()))
+    apart = int(sketches.apart(np.array([0]), np.array([1]))[0])
+    assert apart <= len(np.setxor1d(a, b)) and (apart - len(np.setxor1d(a, b))) % 2 == 0
+    assert sketches.apart(np.array([0]), np.array([0]))[0] == 0
+
+
+def test_texts_that_share_half_are_not_read_in_pairs(spark, monkeypatch):
+    rng = random.Random(6)
+    blocks = [[f"w{rng.randrange(10**6)}" for _ in range(40)] for _ in range(16)]
+    texts = [" ".join(blocks[i] + blocks[j]) for j in range(16) for i in range(j)]
+    texts += [t.replace(t.split()[20], "other", 1) for t in texts[::12]]
+    read, links = [], simhash._true_links
+
+    def spy(docs, pairs, *more):
+        read.append(pairs.count())
+        return links(docs, pairs, *more)
+
+    monkeypatch.setattr(simhash, "_true_links", spy)
+    kept = simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == kept_by_brute_force(texts) == list(range(120))
+    assert sum(read) <= len(texts)
+
+
 # --- repeats -------------------------------------------------------------------------------
 
 
