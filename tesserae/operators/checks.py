@@ -5,13 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
-from ..functions.similarity import near_miss_udf, ratio_udf, xor_before_udf
+from ..functions.similarity import near_miss_udf, ratio_udf, xor_upto_udf
 from ..sources.shared import kept
 
 C = F.col
@@ -296,69 +298,133 @@ def finding_counts(found: DataFrame) -> DataFrame:
 # --- checks over a whole catalogue -------------------------------------------------------
 
 
-def _polar_keys(word: Column) -> Column:
-    """array<struct<key, side>>: two words are of opposite sense only if they have a key in common on different sides."""
-    sides = []
-    for a, b in P.POLAR_PAIRS:
-        sides += [F.when(word == a, F.struct(F.lit(f"{a} {b}").alias("key"), F.lit(0).alias("side"))), F.when(word == b, F.struct(F.lit(f"{a} {b}").alias("key"), F.lit(1).alias("side")))]
-    sides.append(F.when(F.length(word) >= 3, F.struct(word.alias("key"), F.lit(0).alias("side"))))
+def _bares(word: Column) -> Column:
+    """array<string>: the words that a marked one is the opposite of: the first of its pair, and what stands behind its prefix."""
+    out = [F.when(word == b, F.lit(a)) for a, b in P.POLAR_PAIRS]
     for prefix in P.POLAR_PREFIXES:
-        sides.append(F.when(word.startswith(prefix) & (F.length(word) >= 3 + len(prefix)), F.struct(F.substr(word, F.lit(len(prefix) + 1)).alias("key"), F.lit(1).alias("side"))))
-    return F.array_compact(F.array(*sides))
+        base = F.substr(word, F.lit(len(prefix) + 1))
+        out.append(F.when(word.startswith(prefix) & (F.length(base) >= 3) & ~base.isin(*P.NOT_POLAR), base))
+    return F.array_distinct(F.array_compact(F.array(*out)))
+
+
+#: All prefixes of a word, as long as three letters stay.
+_PREFIXES = rf"^(?:(?:{'|'.join(P.POLAR_PREFIXES)})(?=...))+"
+
+
+def _prefixed(word: Column) -> Column:
+    """A prefix and three letters; without a pattern, as all words of all texts are looked at."""
+    return reduce(or_, [word.startswith(prefix) & (F.length(word) >= 3 + len(prefix)) for prefix in P.POLAR_PREFIXES])
+
+
+def _pair_senses() -> dict[str, str]:
+    """What words of pairs are without prefixes, and one word for all of them that pairs connect."""
+    out: dict[str, str] = {}
+    for pair in P.POLAR_PAIRS:
+        x, y = (re.sub(_PREFIXES, "", w) for w in pair)
+        old, new = out.setdefault(y, y), out.setdefault(x, x)
+        out = {k: new if v == old else v for k, v in out.items()}
+    return out
+
+
+def _senses(words: Column) -> Column:
+    """Words such that two of opposite sense are the same word; others may be, too."""
+    of_pairs = _pair_senses()
+    known = F.create_map(*[F.lit(x) for item in of_pairs.items() for x in item])
+    bare = lambda w: T.let(F.regexp_replace(w, _PREFIXES, ""), lambda x: F.coalesce(known[x], x))
+    return F.transform(words, lambda w: F.when(_prefixed(w), bare(w)).when(w.isin(*of_pairs), known[w]).otherwise(w))
+
+
+#: The numbers of words whose senses, from a source's first on, have a hash: sources are compared with longer ones only if they open alike up to the greatest of these.
+HEADS = [3 * 8**k for k in range(10)]
 
 
 def antonym_collisions(pairs: DataFrame) -> DataFrame:
     """Sources of opposite sense that share a translation: locale, relation, and for each side t, words, pos and n (t_a, ..., t_b, ...).
 
     Rows with equal translations t and words are one class of n rows, shown by the least pos; a result is a pair of classes. Only texts that open alike are compared, and
-    of these only those that can be opposites: with the same words before a word that is the other's opposite, or with the same words but for negations.
+    of these only those that can be opposites: with the same words but for one that is the other's opposite, or with the same words but for negations.
+
+    Pairs are found by hashes of 128 bits. A marked word tells what the other source has in its place, so a source with one gives the hash of its opposite. Texts are read again
+    only of sources that have another of the same senses, in whole or up to its end; they move only if those are many, and a caller who wants no texts moves none for the result.
     """
-    rows = pairs.filter(C("locale").isNotNull() & C("src").isNotNull() & C("dst").isNotNull()).select("locale", "pos", T.strip(C("dst")).alias("t"), "src")
+    # most texts have no white space at their ends, which costs less to see than to take off
+    stripped = F.when(F.concat(F.left("dst", F.lit(1)), F.right("dst", F.lit(1))).rlike(r"(?U)\s"), T.strip(C("dst"))).otherwise(C("dst"))
+    rows = pairs.filter(C("locale").isNotNull() & C("src").isNotNull() & C("dst").isNotNull()).select("locale", "pos", stripped.alias("t"), "src")
     words = T.english_words(C("src"))
-    negations = T.literal_array(P.ENGLISH_NEGATION)
-    plain = F.xxhash64(F.filter("w", lambda w: ~F.array_contains(negations, w)))
-    # texts stay behind: classes are made of hashes of 128 bits
-    hashed = rows.select("locale", "pos", F.substring("t", 1, 15).alias("block"), *_digest("t"), words.alias("w"))
-    hashed = kept(hashed.select("locale", "pos", "block", "t1", "t2", *_digest("w"), F.size("w").alias("size"), plain.alias("plain"), _all_but_none("w", 1).alias("all")))
-    classes = hashed.groupBy("locale", "block", "t1", "t2", "w1", "w2", "size", "plain", "all").agg(F.min("pos").alias("pos"), F.count("*").alias("n")).drop("w1", "w2")
-    several = classes.groupBy("locale", "block").agg(F.count("*").alias("k")).filter("k > 1")
-    own = kept(classes.join(several, ["locale", "block"], "left_semi"))
-
-    def placed(test: Callable[[Column], Column], side: int) -> DataFrame:
-        """Words that pass the test, with their keys of a side and a hash of what stands before them; a row's other words stay in it."""
-        with_hashes = rows.select("locale", "pos", words.alias("w")).withColumn("h", F.transform("w", lambda w, i: _placed(i, w, 1)))
-        zipped = F.arrays_zip(F.sequence(F.lit(0), F.size("w") - 1).alias("i"), C("w").alias("word"), C("h").alias("h"), xor_before_udf(C("h")).alias("head"))
-        each = with_hashes.filter(F.exists("w", test)).select("locale", "pos", zipped.alias("z"))
-        each = each.select("locale", "pos", F.explode(F.filter("z", lambda z: test(z["word"]))).alias("z")).select("locale", "pos", "z.*")
-        each = each.select("locale", "pos", "i", "h", "head", F.explode(_polar_keys(C("word"))).alias("k"))
-        return each.filter((C("k.side") == side) & ~C("k.key").isin(*P.NOT_POLAR)).select("locale", "pos", "i", "h", "head", "k.key")
-
-    # few words can be the marked one of two opposites; of all others, only those that have such a word in the locale move
+    read = rows.select("locale", "pos", F.xxhash64(F.substring("t", 1, 15)).alias("block"), *_digest("t"), F.length("t").alias("long"), words.alias("w"))
+    read = read.select("*", F.filter("w", lambda w: ~w.isin(*P.ENGLISH_NEGATION)).alias("p"), _senses(C("w")).alias("s"))
+    heads = F.array_compact(F.array(*[F.when(F.size("s") >= n, F.xxhash64(F.slice("s", 1, n))) for n in HEADS]))
+    texts = ["locale", "block", "t1", "t2", "long"]
+    read = read.select("pos", *texts, *_digest("w"), F.size("w").alias("size"), *_digest("p"), F.xxhash64("s").alias("sense"), heads.alias("heads"))
+    classes = read.groupBy(*texts, "w1", "w2", "size", "p1", "p2", "sense", "heads").agg(F.min("pos").alias("pos"), F.count("*").alias("n"))
+    classes = kept(classes.drop("w1", "w2"))
+
+    # of as many words: those of the same translation whose senses are the same; all others stay out
+    alike = ["locale", "t1", "t2", "size", "sense"]
+    several = classes.groupBy(*alike).agg(F.count("*").alias("k")).filter("k > 1")
+    even = classes.join(several, alike, "left_semi").select("pos", *texts, F.lit(True).alias("even"), F.lit(False).alias("short"), F.array().cast("array<int>").alias("ends"))
+    # with more words behind: those that open with the senses of a shorter one, as far as heads tell; a key has each of its sizes once, however many rows it has
+    opening = ["locale", "block", "head"]
+    first = classes.filter(F.size("heads") > 0).withColumn("head", F.get("heads", F.lit(0)))
+    varied = first.groupBy(*opening).agg(F.min("size").alias("lo"), F.max("size").alias("hi")).filter("lo < hi")
+    grown = kept(first.join(varied, opening, "left_semi").select("pos", *texts, "size", "heads"))
+    each = grown.select("pos", *texts, "size", (F.size("heads") - 1).alias("top"), F.posexplode("heads").alias("level", "head"))
+    level = [*opening, "level"]
+    sizes = each.groupBy(*level).agg(F.collect_set(F.when(C("top") == C("level"), C("size"))).alias("sizes"), F.max("size").alias("hi"))
+    sizes = sizes.filter((F.size("sizes") > 0) & (F.array_min("sizes") < C("hi")))
+    uneven = each.join(sizes, level).select("pos", *texts, ((C("top") == C("level")) & (C("size") < C("hi"))).alias("short"), F.expr("filter(sizes, n -> n < size)").alias("ends"))
+    uneven = uneven.filter(C("short") | (F.size("ends") > 0)).select("pos", *texts, F.lit(False).alias("even"), "short", "ends")
+    asked = even.union(uneven).groupBy("pos", *texts).agg(F.max("even").alias("even"), F.max("short").alias("short"), F.flatten(F.collect_list("ends")).alias("ends"))
+    asked = kept(asked)
+
+    # of these, the hashes of their words, whole and up to the places asked for, and the same with one marked word turned into its opposite
+    again = rows.select("locale", "pos", "src").join(asked, ["locale", "pos"]).select("pos", *texts, "even", "short", "ends", words.alias("w"))
+    whole = F.when(C("even") | C("short"), F.array(F.size("w"))).otherwise(F.array().cast("array<int>"))
+    again = again.withColumns({"ends": F.array_distinct(F.concat("ends", whole)), "h1": F.transform("w", lambda w, i: _placed(i, w, 1)), "h2": F.transform("w", lambda w, i: _placed(i, w, 2))})
     seconds = [b for _, b in P.POLAR_PAIRS]
-    marked = kept(placed(lambda w: w.isin(*seconds) | w.rlike(f"^(?:{'|'.join(P.POLAR_PREFIXES)})..."), 1))
-    known = kept(marked.select("locale", "key").distinct())
-    firsts = [a for a, _ in P.POLAR_PAIRS]
-    bare = placed(lambda w: w.isin(*firsts) | (F.length(w) >= 3), 0).join(known, ["locale", "key"], "left_semi")
-    sides = [kept(side.join(own, ["locale", "pos"]).withColumn("rest", C("all").bitwiseXOR(C("h"))).drop("h", "all", "plain", "n")) for side in (bare, marked)]
-
-    def met(left: DataFrame, right: DataFrame, keys: list[str], test: Column) -> DataFrame:
-        a, b = (side.select(*[C(c).alias(f"{c}_{name}") for c in dict.fromkeys([*keys, "pos", "size", "t1", "t2", *[c for c in ("rest",) if c in side.columns]])], C("locale").alias(f"_l{name}")) for side, name in ((left, "a"), (right, "b")))
-        return a.join(b, [C(f"{c}_a") == C(f"{c}_b") for c in keys]).filter(test).select(C("_la").alias("locale"), "pos_a", "pos_b")
-
-    same = [C(f"{c}_a") == C(f"{c}_b") for c in ("t1", "t2", "rest")]
-    opposite = met(*sides, ["locale", "block", "i", "key", "head"], (C("size_a") != C("size_b")) | (same[0] & same[1] & same[2]))
-    negated = met(own, own, ["locale", "t1", "t2", "plain"], (C("size_a") < C("size_b")) & (C("size_b") - C("size_a") <= 2))
-    found = kept(opposite.union(negated).select("locale", F.least("pos_a", "pos_b").alias("pos_a"), F.greatest("pos_a", "pos_b").alias("pos_b")).distinct())
-    counts = own.select("locale", "pos", "n")
+    at = F.filter(F.transform("w", lambda w, i: F.when(_prefixed(w) | w.isin(*seconds), F.named_struct(F.lit("i"), i, F.lit("w"), w)).otherwise(F.lit(None))), lambda x: x.isNotNull())
+    turned = lambda x, b: F.named_struct(F.lit("i"), x["i"], *[c for k in (1, 2) for c in (F.lit(f"d{k}"), _placed(x["i"], x["w"], k).bitwiseXOR(_placed(x["i"], b, k)))])
+    turns = F.flatten(F.transform(at, lambda x: F.transform(_bares(x["w"]), lambda b: turned(x, b))))
+    upto = F.arrays_zip(C("ends").alias("n"), xor_upto_udf(C("h1"), C("ends")).alias("x1"), xor_upto_udf(C("h2"), C("ends")).alias("x2"))
+    again = again.select("pos", *texts, "even", "short", F.size("w").alias("size"), turns.alias("turns"), F.explode(upto).alias("z")).select("*", "z.*").drop("z")
+    full = C("n") == C("size")
+    # 0: as many words; 1: the marked one is the shorter; 2: the marked one is the longer
+    none = F.struct(F.lit(-1).alias("i"), F.lit(0).cast("long").alias("d1"), F.lit(0).cast("long").alias("d2"))
+    turns = F.explode(F.concat(F.array(none), F.filter("turns", lambda x: x["i"] < C("n")))).alias("d")
+    again = again.select("pos", *texts, "even", "short", "n", full.alias("full"), "x1", "x2", turns).withColumn("marked", C("d.i") >= 0)
+    kinds = F.array(F.when(C("full") & C("even"), 0), F.when(F.when(C("marked"), C("full") & C("short")).otherwise(~C("full")), 1), F.when(F.when(C("marked"), ~C("full")).otherwise(C("full") & C("short")), 2))
+    again = again.withColumn("kind", F.explode(F.array_compact(kinds)))
+    scope = [F.when(C("kind") == 0, C("t1")).otherwise(C("block")), F.when(C("kind") == 0, C("t2")).otherwise(F.lit(0))]
+    keys = [F.xxhash64(F.lit(k), "kind", "locale", *scope, "n", C(f"x{k}").bitwiseXOR(C(f"d.d{k}"))).alias(f"k{k}") for k in (1, 2)]
+    again = kept(again.select("locale", "pos", "kind", "marked", *keys))
+    bare = again.filter(~C("marked")).select("k1", "k2", C("pos").alias("other"))
+    opposite = again.filter("marked").join(bare, ["k1", "k2"]).select("locale", "pos", "other", F.when(C("kind") == 0, "swap").otherwise("extended").alias("relation"))
+
+    # the same words but for negations, of which one has one or two more
+    plain = ["locale", "t1", "t2", "p1", "p2"]
+    unlike = classes.groupBy(*plain).agg(F.min("size").alias("lo"), F.max("size").alias("hi")).filter("lo < hi")
+    fewer, more = (classes.join(unlike, plain, "left_semi").select(*plain, C("pos").alias(pos), C("size").alias(f"_{pos}")) for pos in ("pos", "other"))
+    negated = fewer.join(more, plain).filter((C("_pos") < C("_other")) & (C("_other") - C("_pos") <= 2)).select("locale", "pos", "other", F.lit("negation").alias("relation"))
+    # a pair that is both extended and a negation is extended
+    found = opposite.union(negated).groupBy("locale", F.least("pos", "other").alias("pos_a"), F.greatest("pos", "other").alias("pos_b")).agg(F.min("relation").alias("relation"))
+    for name in "ab":
+        found = found.join(classes.select("locale", *[C(c).alias(f"{c}_{name}") for c in ("pos", "t1", "t2", "long", "n")]), ["locale", f"pos_{name}"])
+    found = kept(found)
+    same = (C("t1_a") == C("t1_b")) & (C("t2_a") == C("t2_b"))
+    # one translation may open with the other, if that is not short; only then translations are read again
+    a_longer = C("long_a") > C("long_b")
+    opening = found.filter(~same & (C("relation") == "extended") & (C("long_a") != C("long_b")) & (F.least("long_a", "long_b") >= 15))
+    opening = kept(opening.withColumns({"longer": F.when(a_longer, C("pos_a")).otherwise(C("pos_b")), **{f"_t{k}": F.when(a_longer, C(f"t{k}_b")).otherwise(C(f"t{k}_a")) for k in (1, 2)}}))
+    out = ["locale", "pos_a", "pos_b", "n_a", "n_b", "relation"]
+    found = found.filter(same).select(*out)
+    if not opening.isEmpty():
+        opens = rows.select(C("locale").alias("_l"), C("pos").alias("_p"), C("t").alias("_t")).join(opening, (C("_l") == C("locale")) & (C("_p") == C("longer")))
+        opens = opens.withColumn("cut", F.substr("_t", F.lit(1), F.least("long_a", "long_b"))).select("*", *_digest("cut")).filter((C("cut1") == C("_t1")) & (C("cut2") == C("_t2")))
+        found = found.union(opens.select(*out))
     for name in "ab":
-        shown = rows.join(found.select("locale", C(f"pos_{name}").alias("pos")).distinct(), ["locale", "pos"], "left_semi").join(counts, ["locale", "pos"])
-        shown = shown.select(C("locale").alias("_l"), C("pos").alias("_p"), C("t").alias(f"t_{name}"), C("src").alias(f"src_{name}"), C("n").alias(f"n_{name}"))
+        shown = pairs.select(C("locale").alias("_l"), C("pos").alias("_p"), T.strip(C("dst")).alias(f"t_{name}"), C("src").alias(f"src_{name}"))
         found = found.join(shown, (C("locale") == C("_l")) & (C(f"pos_{name}") == C("_p"))).drop("_l", "_p")
-    # words are found once a pair: written out in the comparison, they would be found again for each word
-    both = F.struct(*[T.english_words(C(f"src_{name}")).alias(name) for name in "ab"])
-    opposed = F.explode(F.transform(F.array(both), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), T.polarity(x["a"], x["b"]).alias("relation")))).alias("x")
-    found = found.select("locale", "pos_a", "pos_b", "t_a", "t_b", "n_a", "n_b", opposed).withColumns({"words_a": C("x.a"), "words_b": C("x.b"), "relation": C("x.relation")}).drop("x")
-    return found.filter(C("relation").isNotNull() & T.shared_translation(C("t_a"), C("t_b"), C("relation")))
+    return found.select("locale", "pos_a", "pos_b", "t_a", "t_b", "n_a", "n_b", *[T.english_words(C(f"src_{name}")).alias(f"words_{name}") for name in "ab"], "relation")
 
 
 def length_ratio_medians(pairs: DataFrame) -> DataFrame:

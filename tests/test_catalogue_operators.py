@@ -249,6 +249,25 @@ def test_antonyms_in_a_hot_block(spark):
     assert got == {(400, 402, 2, 1, "swap"), (403, 404, 1, 1, "negation")}
 
 
+def test_antonyms_against_all_pairs(spark):
+    """Each pair of sources that oppose each other and share a translation is found, with its relation and texts."""
+    rng = random.Random(5)
+    vocabulary = "enable disable undisable show hide unhide unshow active inactive unactive able unable zone unzone disunzone not never the x".split()
+    targets = ["", "Voir", " Voir\u00a0", "Voir tout", "Une traduction assez", "Une traduction assez longue", "Une traduction assez courte", "Une traduction a"]
+    rows = [(" ".join(rng.choices(vocabulary, k=rng.choice((0, 1, 2, 3, 3, 4, 4, 5)))), rng.choice(targets)) for _ in range(300)]
+    base = " ".join(rng.choices(vocabulary, k=30))
+    for k in (3, 23, 24, 25, 30):  # longer ones, of which the shorter or the longer has the marked word, on both sides of a head
+        rows += [(f"{x} {' '.join(base.split()[:k])}", t) for x in ("enable", "disable") for t in targets[3:6]]
+    pairs = pairs_of(spark, rows)
+    sides = pairs.groupBy(T.strip(C("dst")).alias("t"), T.english_words(C("src")).alias("words")).agg(F.min("pos").alias("pos"), F.count("*").alias("n"))
+    a, b = (sides.select(*[C(c).alias(f"{c}_{name}") for c in ("pos", "t", "words", "n")]) for name in "ab")
+    both = a.crossJoin(b).filter("pos_a < pos_b").withColumn("relation", T.polarity(C("words_a"), C("words_b")))
+    both = both.filter(C("relation").isNotNull() & T.shared_translation(C("t_a"), C("t_b"), C("relation")))
+    columns = ["pos_a", "pos_b", "n_a", "n_b", "relation", "t_a", "t_b", "words_a", "words_b"]
+    expected, got = (sorted(map(tuple, df.select(*columns).collect())) for df in (both, checks.antonym_collisions(pairs)))
+    assert got == expected and {r[4] for r in got} == {"swap", "extended", "negation"} and any(r[5] != r[6] for r in got)
+
+
 def test_report_lines(spark):
     rows = spark.createDataFrame([("fr_FR", 7, 95.25), ("a_very_long_locale", 123456789, None)], "locale string, total int, pct double")
     columns = [("locale", 8), ("total", -6), ("pct", -5)]

@@ -43,6 +43,17 @@ def test_antonyms_move_few_words(spark):
     assert size < 8 * sum(map(len, texts))
 
 
+def test_antonyms_move_no_words(spark):
+    """Words whose opposites the locale has move only if their source has one with the same senses; a caller who wants positions moves no texts."""
+    texts = _texts(40, 1500, 4)
+    rows = [(2 * k + side, "fr", f"{word} {t}", t) for k, t in enumerate(texts) for side, word in enumerate(("Enable", "Disable"))]
+    rows += [(100 + k, "fr", "un" + t.replace(" ", " un"), str(k)) for k, t in enumerate(texts)]
+    pairs = spark.createDataFrame(rows, "pos long, locale string, src string, dst string")
+    size, found = shuffled(spark, lambda: checks.antonym_collisions(pairs).select("locale", "pos_a", "pos_b", "relation").collect())
+    assert sorted((r.pos_a, r.pos_b, r.relation) for r in found) == [(2 * k, 2 * k + 1, "swap") for k in range(40)]
+    assert size < sum(map(len, texts))
+
+
 def test_collapses_leave_texts_behind(spark):
     """Words of sources travel without the translation that they share."""
     texts = _texts(20, 1500, 2)
