@@ -335,7 +335,7 @@ def _senses(words: Column) -> Column:
 
 
 #: The numbers of words whose senses, from a source's first on, have a hash: sources are compared with longer ones only if they open alike up to the greatest of these.
-HEADS = [3 * 8**k for k in range(10)]
+HEADS = [3, 24, 192]
 
 
 def antonym_collisions(pairs: DataFrame) -> DataFrame:
@@ -345,21 +345,21 @@ def antonym_collisions(pairs: DataFrame) -> DataFrame:
     of these only those that can be opposites: with the same words but for one that is the other's opposite, or with the same words but for negations.
 
     Pairs are found by hashes of 128 bits. A marked word tells what the other source has in its place, so a source with one gives the hash of its opposite. Texts are read again
-    only of sources that have another of the same senses, in whole or up to its end; they move only if those are many, and a caller who wants no texts moves none for the result.
+    only of sources that have another whose first words have the same senses; they move only if those are many, and a caller who wants no texts moves none for the result.
     """
     # most texts have no white space at their ends, which costs less to see than to take off
     stripped = F.when(F.concat(F.left("dst", F.lit(1)), F.right("dst", F.lit(1))).rlike(r"(?U)\s"), T.strip(C("dst"))).otherwise(C("dst"))
-    rows = pairs.filter(C("locale").isNotNull() & C("src").isNotNull() & C("dst").isNotNull()).select("locale", "pos", stripped.alias("t"), "src")
+    rows = pairs.filter(C("locale").isNotNull() & C("src").isNotNull() & C("dst").isNotNull())
     words = T.english_words(C("src"))
-    read = rows.select("locale", "pos", F.xxhash64(F.substring("t", 1, 15)).alias("block"), *_digest("t"), F.length("t").alias("long"), words.alias("w"))
-    read = read.select("*", F.filter("w", lambda w: ~w.isin(*P.ENGLISH_NEGATION)).alias("p"), _senses(C("w")).alias("s"))
+    read = rows.select("locale", "pos", stripped.alias("t"), "src").select("locale", "pos", F.xxhash64(F.substring("t", 1, 15)).alias("block"), *_digest("t"), F.length("t").alias("long"), words.alias("w"))
+    read = read.select("*", F.filter("w", lambda w: ~w.isin(*P.ENGLISH_NEGATION)).alias("p"), _senses(F.slice("w", 1, HEADS[-1])).alias("s"))
     heads = F.array_compact(F.array(*[F.when(F.size("s") >= n, F.xxhash64(F.slice("s", 1, n))) for n in HEADS]))
     texts = ["locale", "block", "t1", "t2", "long"]
     read = read.select("pos", *texts, *_digest("w"), F.size("w").alias("size"), *_digest("p"), F.xxhash64("s").alias("sense"), heads.alias("heads"))
     classes = read.groupBy(*texts, "w1", "w2", "size", "p1", "p2", "sense", "heads").agg(F.min("pos").alias("pos"), F.count("*").alias("n"))
     classes = kept(classes.drop("w1", "w2"))
 
-    # of as many words: those of the same translation whose senses are the same; all others stay out
+    # of as many words: those of the same translation whose first words have the same senses; all others stay out
     alike = ["locale", "t1", "t2", "size", "sense"]
     several = classes.groupBy(*alike).agg(F.count("*").alias("k")).filter("k > 1")
     even = classes.join(several, alike, "left_semi").select("pos", *texts, F.lit(True).alias("even"), F.lit(False).alias("short"), F.array().cast("array<int>").alias("ends"))
@@ -418,8 +418,8 @@ def antonym_collisions(pairs: DataFrame) -> DataFrame:
     out = ["locale", "pos_a", "pos_b", "n_a", "n_b", "relation"]
     found = found.filter(same).select(*out)
     if not opening.isEmpty():
-        opens = rows.select(C("locale").alias("_l"), C("pos").alias("_p"), C("t").alias("_t")).join(opening, (C("_l") == C("locale")) & (C("_p") == C("longer")))
-        opens = opens.withColumn("cut", F.substr("_t", F.lit(1), F.least("long_a", "long_b"))).select("*", *_digest("cut")).filter((C("cut1") == C("_t1")) & (C("cut2") == C("_t2")))
+        opens = rows.select(C("locale").alias("_l"), C("pos").alias("_p"), "dst").join(opening, (C("_l") == C("locale")) & (C("_p") == C("longer")))
+        opens = opens.withColumn("cut", F.substr(stripped, F.lit(1), F.least("long_a", "long_b"))).select("*", *_digest("cut")).filter((C("cut1") == C("_t1")) & (C("cut2") == C("_t2")))
         found = found.union(opens.select(*out))
     for name in "ab":
         shown = pairs.select(C("locale").alias("_l"), C("pos").alias("_p"), T.strip(C("dst")).alias(f"t_{name}"), C("src").alias(f"src_{name}"))
